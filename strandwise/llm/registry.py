@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import quality, token_counts
 
 QUERIES = {
+    "op3_token_counts": token_counts.op3_token_counts,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 
