@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import quality, token_counts
+from . import binary_output, quality, token_counts
 
 QUERIES = {
     "op3_token_counts": token_counts.op3_token_counts,
+    "op7_token_id_output": binary_output.op7_token_id_output,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 
