@@ -20,51 +20,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, table, utf8_rows
+from .common import blocks, mix, table, utf8_rows
 from .pretokens import Block, as_byte_letters, load
 
 TOKENIZER = "byte_bpe_50k.json"
 MOST_TOKENS = 1024
 #: Characters of text whose postings share rows; a bound of a task's memory.
 POSTING_CHARS = 24 << 20
+#: Sums that a task keeps before it hands them on.
+MOST_SUMS = 4_000_000
 NO_ID = -(1 << 63)
 
-_FREQ = T.StructType(
-    [
-        T.StructField("pretoken", T.StringType(), False),
-        T.StructField("base", T.LongType(), False),
-        T.StructField("docs", T.BinaryType(), False),
-        T.StructField("counts", T.BinaryType(), False),
-    ]
-)
-
-
-def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """Binary array whose rows are the bytes of values[cuts[i]:cuts[i+1]]."""
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * values.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+_FREQ = T.StructType([T.StructField("pretoken", T.StringType(), False), T.StructField("base", T.LongType(), False), T.StructField("posting", T.BinaryType(), False)])
 
 
 def _postings(names: dict[int, str], hashes: list, docs: list, counts: list) -> pa.RecordBatch:
+    """A row for each pre-token. Its posting: the documents as unsigned
+    differences from base (2, 4 or 8 bytes each), their counts (a byte each)
+    and a byte with the width; larger counts are told in further entries."""
     h, d, c = np.concatenate(hashes), np.concatenate(docs), np.concatenate(counts)
-    while (big := c > 65535).any():  # a posting holds 16 bits; more is told in further postings
+    while (big := c > 255).any():
         h, d = np.append(h, h[big]), np.append(d, d[big])
-        c = np.append(np.where(big, 65535, c), c[big] - 65535)
+        c = np.append(np.where(big, 255, c), c[big] - 255)
     order = np.lexsort((d, h))
-    h, d, c = h[order], d[order], c[order]
+    h, d, c = h[order], d[order], c[order].astype(np.uint8)
     first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-    cuts = np.append(first, len(h))
-    base = int(d.min())
-    wide = int(d.max()) - base >= 1 << 32
-    near = d if wide else (d - base).astype(np.uint32)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([names[x] for x in h[first].tolist()], pa.string()),
-            pa.array(np.full(len(first), 0 if wide else base)),
-            _packed(near, cuts),
-            _packed(c.astype(np.uint16), cuts),
-        ],
-        [f.name for f in _FREQ],
-    )
+    base = d.min()
+    away = d.astype(np.uint64) - base.astype(np.uint64)  # modulo 2**64
+    width = next(w for w in (2, 4, 8) if w == 8 or int(away.max()) < 1 << 8 * w)
+    number = np.diff(np.append(first, len(h)))
+    size = number * (width + 1) + 1
+    start = np.append(0, np.cumsum(size))
+    out = np.empty(start[-1], np.uint8)
+    nth = np.arange(len(h)) - np.repeat(first, number)
+    at = np.repeat(start[:-1], number) + nth * width
+    for k, byte in enumerate(away.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width]):
+        out[at + k] = byte
+    out[np.repeat(start[:-1] + number * width, number) + nth] = c
+    out[start[1:] - 1] = width
+    posting = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(start.astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([names[x] for x in h[first].tolist()], pa.string()), pa.array(np.full(len(first), base)), posting], [f.name for f in _FREQ])
 
 
 def _frequencies(path: str):
@@ -107,53 +102,90 @@ def _pieces(path: str):
     return run
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    docs, tokens, size = [], [], 0
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of the postings of a batch, and their tokens in these pre-tokens."""
+    base, n_pieces, column = batch.column("base").to_numpy(), batch.column("n_pieces").to_numpy(), batch.column("posting")
+    cuts = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    flat = np.frombuffer(column.buffers()[2], np.uint8)
+    widths, docs, tokens = flat[cuts[1:] - 1], [], []
+    for w in np.unique(widths).tolist():
+        mine = widths == w
+        start, number = cuts[:-1][mine], (np.diff(cuts)[mine] - 1) // (w + 1)
+        nth = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        at, away = np.repeat(start, number) + nth * w, np.zeros(len(nth), np.uint64)
+        for k in range(w):
+            away |= flat[at + k].astype(np.uint64) << np.uint64(8 * k)
+        docs.append((away + np.repeat(base[mine], number).astype(np.uint64)).astype(np.int64))
+        tokens.append(flat[np.repeat(start + number * w, number) + nth] * np.repeat(n_pieces[mine], number))
+    return np.concatenate(docs), np.concatenate(tokens)
+
+
+def _added(docs: list, tokens: list) -> tuple[np.ndarray, np.ndarray]:
+    u, inverse = np.unique(np.concatenate(docs), return_inverse=True)
+    total = np.zeros(len(u), np.int64)
+    np.add.at(total, inverse, np.concatenate(tokens))
+    return u, total
+
+
+def _partial_sums(groups: int):
+    """A row for each group of documents that the task has met: their ids and sums."""
+
+    def flush(docs: list, tokens: list) -> pa.RecordBatch:
+        u, total = _added(docs, tokens)
+        group = (mix(u.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(group[order]) != 0))
+        parts = [(int(group[at[0]]), u[at].tobytes(), total[at].tobytes()) for at in np.split(order, first[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*parts, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["doc_group", "docs", "tokens"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, tokens, size = [], [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            d, t = _unpacked(batch)
+            docs.append(d)
+            tokens.append(t)
+            size += len(d)
+            if size > MOST_SUMS:
+                d, t = _added(docs, tokens)
+                docs, tokens, size = [d], [t], len(d)
+                if size > MOST_SUMS // 2:
+                    yield flush(docs, tokens)
+                    docs, tokens, size = [], [], 0
+        if docs:
+            yield flush(docs, tokens)
+
+    return run
 
-    def flush():
-        u, inverse = np.unique(np.concatenate(docs), return_inverse=True)
-        total = np.zeros(len(u), np.int64)
-        np.add.at(total, inverse, np.concatenate(tokens))
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(total)], ["doc_id", "n_tokens"])
 
+def _total_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    docs, tokens, size, most = [], [], 0, MOST_SUMS
     for batch in batches:
-        n_pieces, base = batch.column("n_pieces").to_numpy(), batch.column("base").to_numpy()
-        raw = {}
-        for name in ("docs", "counts"):
-            column = batch.column(name)
-            cuts = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-            raw[name] = (np.frombuffer(column.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]], np.diff(cuts))
-        number = raw["counts"][1] // 2
-        count = raw["counts"][0].view(np.uint16).astype(np.int64)
-        wide = raw["docs"][1] != 4 * number
-        flat = raw["docs"][0]
-        if wide.any():  # document ids too far apart for 32 bits
-            bytes_wide = np.repeat(wide, raw["docs"][1])
-            ids = np.empty(len(count), np.int64)
-            at = np.repeat(wide, number)
-            ids[at], ids[~at] = flat[bytes_wide].view(np.int64), flat[~bytes_wide].view(np.uint32)
-        else:
-            ids = flat.view(np.uint32).astype(np.int64)
-        docs.append(ids + np.repeat(np.where(wide, 0, base), number))
-        tokens.append(count * np.repeat(n_pieces, number))
-        size += len(count)
-        if size > 2_000_000:
-            yield flush()
-            docs, tokens, size = [], [], 0
+        for d, t in zip(batch.column("docs"), batch.column("tokens"), strict=True):
+            docs.append(np.frombuffer(d.as_buffer(), np.int64))
+            tokens.append(np.frombuffer(t.as_buffer(), np.int64))
+            size += len(docs[-1])
+        if size > most:
+            d, t = _added(docs, tokens)
+            docs, tokens, size = [d], [t], len(d)
+            most = max(MOST_SUMS, 2 * size)
     if docs:
-        yield flush()
+        d, t = _added(docs, tokens)
+        yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(t)], ["doc_id", "n_tokens"])
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens per document; the file at ``tokenizer_path`` must be where the tasks run."""
     spark = docs.sparkSession
     slim = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text"))
-    freq = slim.mapInArrow(_frequencies(tokenizer_path), _FREQ).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "pretoken")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    freq = slim.mapInArrow(_frequencies(tokenizer_path), _FREQ).repartition(partitions, "pretoken")
     # It reads every column, so that this and the join below share one exchange.
-    distinct = freq.groupBy("pretoken").agg(F.max(F.col("base") + F.length("docs") + F.length("counts")).alias("widest"))
+    distinct = freq.groupBy("pretoken").agg(F.max(F.col("base") + F.length("posting")).alias("widest"))
     counted = distinct.mapInArrow(_pieces(tokenizer_path), T.StructType([T.StructField("pretoken", T.StringType(), False), T.StructField("n_pieces", T.LongType(), False)]))
-    sums = freq.join(counted, "pretoken").select("base", "docs", "counts", "n_pieces").mapInArrow(_sums, "doc_id long, n_tokens long")
-    tokens = sums.groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"))
+    sums = freq.join(counted, "pretoken").select("base", "posting", "n_pieces").mapInArrow(_partial_sums(8 * partitions), "doc_group long, docs binary, tokens binary")
+    tokens = sums.repartition(partitions, "doc_group").mapInArrow(_total_sums, "doc_id long, n_tokens long")
     sizes = slim.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("n_bytes"))
     return sizes.join(tokens, "doc_id", "left").select(
         F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "n_bytes", F.coalesce("n_tokens", F.lit(0).cast("long")).alias("n_tokens")
