@@ -47,17 +47,27 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def md5_number(text: Column) -> Column:
+    """The first 32 bits of the MD5 as a number; a hash that SQL engines share."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with ``value`` computed once a row, also inside lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
 def bucket_count(rows: int, per_bucket: int = 20_000) -> int:
     return max(1, -(-rows // per_bucket))
 
 
 def distributed_offsets(df: DataFrame, keys: list[str], order: list[str], measure: str, out: str, buckets: int) -> DataFrame:
     """Adds ``out``: the sum of ``measure`` over the rows before this one among
-    those with equal ``keys`` (null equals null), in the order (hash bucket of
-    ``order``, ``order``). No task holds a whole key: rows are dealt by
+    those with equal ``keys`` (null equals null), in the order (MD5 bucket of
+    order[0], *order). No task holds a whole key: rows are dealt by
     (key, bucket), and only bucket totals meet per key."""
     b, base, total = f"__{out}_bucket", f"__{out}_base", f"__{out}_total"
-    df = df.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    df = df.withColumn(b, md5_number(F.coalesce(F.col(order[0]).cast("string"), F.lit(""))) % F.lit(buckets))
     totals = df.groupBy(*keys, b).agg(F.sum(measure).alias(total))
     before = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn(base, F.coalesce(F.sum(total).over(before), F.lit(0)))

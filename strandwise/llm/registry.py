@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from . import binary_output, quality, token_counts
+from . import binary_output, line_dedup, mixing, quality, sharding, token_counts
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op6_mixing": mixing.op6_mixing,
     "op7_token_id_output": binary_output.op7_token_id_output,
     "op9_quality_rules": quality.op9_quality_rules,
+    "op10_sharding": sharding.op10_sharding,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_quality_rules": quality.op9_sql()}
+    return {
+        "op1_line_dedup": line_dedup.op1_sql(),
+        "op6_mixing": mixing.op6_sql(),
+        "op9_quality_rules": quality.op9_sql(),
+    }
