@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import binary_output, line_dedup, mixing, quality, sharding, token_counts
+from . import binary_output, chat, line_dedup, mixing, quality, sharding, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op3_token_counts": token_counts.op3_token_counts,
     "op6_mixing": mixing.op6_mixing,
     "op7_token_id_output": binary_output.op7_token_id_output,
+    "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
 }
@@ -18,5 +19,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup.op1_sql(),
         "op6_mixing": mixing.op6_sql(),
+        "op8_chat_formatting": chat.op8_sql(),
         "op9_quality_rules": quality.op9_sql(),
     }
