@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import binary_output, chat, line_dedup, mixing, quality, sharding, token_counts
+from . import binary_output, chat, line_dedup, mixing, near_dedup, quality, sharding, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_token_counts": token_counts.op3_token_counts,
     "op6_mixing": mixing.op6_mixing,
     "op7_token_id_output": binary_output.op7_token_id_output,
@@ -18,6 +19,7 @@ QUERIES = {
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup.op1_sql(),
+        "op2_near_dedup": near_dedup.op2_sql(),
         "op6_mixing": mixing.op6_sql(),
         "op8_chat_formatting": chat.op8_sql(),
         "op9_quality_rules": quality.op9_sql(),
