@@ -184,7 +184,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", t
     # It reads every column, so that this and the join below share one exchange.
     distinct = freq.groupBy("pretoken").agg(F.max(F.col("base") + F.length("posting")).alias("widest"))
     counted = distinct.mapInArrow(_pieces(tokenizer_path), T.StructType([T.StructField("pretoken", T.StringType(), False), T.StructField("n_pieces", T.LongType(), False)]))
-    sums = freq.join(counted, "pretoken").select("base", "posting", "n_pieces").mapInArrow(_partial_sums(8 * partitions), "doc_group long, docs binary, tokens binary")
+    sums = freq.join(counted, "pretoken").select("base", "posting", "n_pieces").mapInArrow(_partial_sums(partitions), "doc_group long, docs binary, tokens binary")
     tokens = sums.repartition(partitions, "doc_group").mapInArrow(_total_sums, "doc_id long, n_tokens long")
     sizes = slim.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("n_bytes"))
     return sizes.join(tokens, "doc_id", "left").select(
