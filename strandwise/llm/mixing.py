@@ -115,6 +115,21 @@ def numbered(docs: DataFrame, text: str = "text", source: str = "source", doc_id
     return materialise(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
 
 
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` as the mixture takes them, with the same columns: a row for each
+    segment, its words (and the white space before them) as text, n_chars its
+    length; a document that isn't taken has no row."""
+    docs = materialise(docs.withColumn("__rid", F.monotonically_increasing_id()))
+    rows = materialise(docs.select(F.col("__rid").alias("rid"), F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size")))
+    _, segments = mix(rows, block_words)
+    # At most MOST_TIMES segments for each block that a document is in.
+    of = segments.groupBy("rid").agg(F.collect_list(F.struct("first_word", "n_words")).alias("__segments"))
+    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    texts = let(words, lambda w: F.transform("__segments", lambda s: F.array_join(F.slice(w, (s["first_word"] + 1).cast("int"), s["n_words"].cast("int")), "")))
+    out = docs.join(of, docs["__rid"] == of["rid"]).withColumn("text", F.explode(texts))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select([c for c in docs.columns if c != "__rid"])
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered(table(spark, sf_dir, "documents"))
     sources, segments = mix(rows)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import binary_output, chat, line_dedup, mixing, near_dedup, quality, sharding, token_counts
+from . import binary_output, chat, line_dedup, mixing, near_dedup, neighbours, packing, quality, sharding, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_nearest_neighbours": neighbours.op5_nearest_neighbours,
     "op6_mixing": mixing.op6_mixing,
     "op7_token_id_output": binary_output.op7_token_id_output,
     "op8_chat_formatting": chat.op8_chat_formatting,

@@ -69,7 +69,7 @@ def _frequencies(path: str):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, bounds = utf8_rows(batch.column(1))
-            for i, j in blocks(np.diff(bounds)):
+            for i, j in blocks(np.diff(bounds), 1 << 19):
                 at = bounds[i : j + 1]
                 if at[-1] == at[0]:
                     continue
