@@ -31,7 +31,8 @@ SHARD_SLOTS = 4096
 ROUNDS = 8
 SEED = "mix-1"
 CHUNK = 16_384
-BUCKET_ROWS = 20_000
+#: Rows of a source that one task sorts.
+BUCKET_ROWS = 2_000
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -107,7 +108,8 @@ def mix(rows: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, Dat
     begin = F.greatest(F.col("at"), F.col("block") * block_words)
     end = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block_words)
     pieces = pieces.select("source_key", "block", "rid", (begin - F.col("at")).alias("first_word"), (end - begin).alias("n_words"))
-    return sources, slots.join(pieces, ["source_key", "block"])
+    # Slots come from a few rows by explode, which size estimates miss; they must not be broadcast.
+    return sources, slots.hint("merge").join(pieces, ["source_key", "block"])
 
 
 def numbered(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
