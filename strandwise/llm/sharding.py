@@ -5,7 +5,7 @@ rank of an MD5 bucket and its number, which deals all shards alike. In each
 round the members of a group look where the group could gather (members there
 plus room), and move there within the room that the shard's quota leaves; room
 is what linked documents don't fill, as single documents have no edges to cut.
-A group larger than a quota is split beforehand. Then the single documents
+A group larger than half a quota is split beforehand. Then the single documents
 fill every shard to its quota. The law is ``rows``: counts at most one apart.
 
 Defined results: a null text counts as empty for the checksum and the group,
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import bucket_count, distributed_offsets, materialise, table
 
-SHARDS, ROUNDS, HEAD_BYTES = 40, 4, 16
+SHARDS, ROUNDS, HEAD_BYTES = 40, 6, 16
 
 
 def _quota(n: int, shards: int) -> list[int]:
@@ -42,16 +42,18 @@ def assign(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     times = rows.groupBy("grp").agg(F.count("*").alias("members"))
     rows = rows.join(times, "grp")
     linked = distributed_offsets(rows.where("members > 1").select("rid", "grp", "shard", "one"), ["grp"], ["rid"], "one", "nth", buckets)
-    most = max(1, quota[-1])
+    most = max(1, quota[-1] // 2)
     linked = materialise(linked.select("rid", "shard", "one", F.struct("grp", (F.col("nth") / most).cast("int").alias("part")).alias("grp")))
-    for _ in range(rounds):
+    for turn in range(rounds):
         filled = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
         room = [q - filled.get(s, 0) for s, q in enumerate(quota)]
         cells = linked.groupBy("grp", "shard").agg(F.count("*").alias("here"))
         size = cells.groupBy("grp").agg(F.sum("here").alias("size"))
         cells = cells.join(size, "grp")
         together = F.col("here") + F.least(F.greatest(_at(room, F.col("shard")), F.lit(0)), F.col("size") - F.col("here"))
-        goal = cells.groupBy("grp").agg(F.max(F.struct(together.alias("together"), "here", F.xxhash64("grp", "shard").alias("tie"), "shard")).alias("best"), F.max("size").alias("size"))
+        # Near equal goals are told apart by chance, so that not all groups want one shard.
+        quarter = F.floor(4 * together / F.col("size")).alias("quarter")
+        goal = cells.groupBy("grp").agg(F.max(F.struct(quarter, (F.floor(F.log2("here"))).alias("many"), F.xxhash64("grp", "shard", F.lit(turn)).alias("tie"), "shard", "here")).alias("best"), F.max("size").alias("size"))
         goal = goal.select("grp", F.col("best.shard").alias("goal"), (F.col("size") - F.col("best.here")).alias("movers")).where("movers > 0")
         goal = distributed_offsets(goal.withColumn("tie", F.xxhash64("grp")), ["goal"], ["tie", "grp"], "movers", "ahead", buckets)
         goal = goal.withColumn("allowed", F.greatest(F.least(F.col("movers"), _at(room, F.col("goal")) - F.col("ahead")), F.lit(0))).where("allowed > 0").select("grp", "goal", "allowed")
