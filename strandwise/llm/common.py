@@ -6,6 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,18 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """Rows of an Arrow batch of what runs inside; for rows that carry whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bucket_count(rows: int, per_bucket: int = 20_000) -> int:
     return max(1, -(-rows // per_bucket))
 

@@ -27,12 +27,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of edges (u, v): component is the smallest
     node reachable. Each round's edges are written to the shared folder."""
     state = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum("v")).first()
-    edges = materialise(edges.select("u", "v").where("u != v").distinct())
-    before = state(edges)
-    while before[0]:
+    edges, before = edges.select("u", "v").where("u != v").distinct(), None
+    while True:
         edges = materialise(_small_star(_large_star(edges)))
         after = state(edges)
-        if after == before:
+        if after == before or not after[0]:
             break
         before = after
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

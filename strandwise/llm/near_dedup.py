@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import blocks, materialise, span_hashes, table, utf8_rows, word_spans
+from .common import arrow_batches, blocks, materialise, span_hashes, table, utf8_rows, word_spans
 from .components import connected_components
 
 SHINGLE, PERCENT = 5, 75
@@ -38,7 +39,9 @@ HASHES = BANDS * BAND_ROWS
 #: Equal minima of a pair below which its similarity can't be 0.75 (5 deviations).
 LEAST_EQUAL = 71
 #: Pivots of a bucket in the rounds; every round after the last has MORE times the pivots of the one before.
-MORE = 4
+MORE = 8
+#: Pairs whose two texts a task holds at once.
+PAIR_ROWS = 256
 SEED = 20_240_229
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -161,23 +164,23 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     active = members.withColumn("component", F.col("doc")).withColumn("used", F.lit(False))
     tested, labels, pivots = None, None, 1
     while True:
-        fresh = F.when(~F.col("used"), F.struct("weight", "doc"))
-        picks = [F.max(fresh)["doc"], *[F.min(F.when(~F.col("used"), F.struct(F.xxhash64(F.lit(k), "doc"), F.col("doc"))))["doc"] for k in range(pivots - 1)]]
-        buckets = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum((~F.col("used")).cast("int")).alias("fresh"), F.array_distinct(F.array(*picks)).alias("picks"))
-        buckets = buckets.where("low != high and fresh > 1").select("key", F.explode("picks").alias("pivot"))
-        chosen = materialise(buckets)
+        buckets = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum((~F.col("used")).cast("int")).alias("fresh"))
+        open_rows = active.join(buckets.where("low != high and fresh > 1").select("key"), "key")
+        nth = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "doc"))
+        picked = open_rows.where(~F.col("used")).withColumn("nth", nth).where(F.col("nth") <= pivots)
+        chosen = materialise(picked.select("key", F.col("doc").alias("pivot"), F.col("component").alias("pivot_component")))
         if not chosen.head(1):
             break
-        own = active.select("key", F.col("doc").alias("pivot"), F.col("component").alias("pivot_component"))
-        met = active.join(chosen.join(own, ["key", "pivot"]), "key").where("component != pivot_component")
+        met = active.join(chosen, "key").where("component != pivot_component")
         pairs = met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        found = _links(pairs, signed_members, texts).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        with arrow_batches(docs.sparkSession, PAIR_ROWS):
+            found = materialise(_links(pairs, signed_members, texts)).select(F.col("a").alias("u"), F.col("b").alias("v"))
         edges = found if labels is None else found.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        labels = materialise(connected_components(edges))
+        labels = connected_components(edges)
         renamed = labels.select(F.col("node").alias("doc"), F.col("component").alias("label"))
         now_used = chosen.select("key", F.col("pivot").alias("doc"), F.lit(True).alias("now"))
         after = active.join(chosen.select("key").distinct(), "key", "left_semi").drop("component").join(renamed, "doc", "left").join(now_used, ["key", "doc"], "left")
