@@ -1,6 +1,6 @@
 """Queries of the library over the driver's tables, one for each operator."""
 
-from . import amplicons, scalars
+from . import amplicons, repertoires, scalars
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "amplicons", "scalars"]
+__all__ = ["ORACLES", "QUERIES", "amplicons", "repertoires", "scalars"]

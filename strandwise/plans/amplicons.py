@@ -93,7 +93,7 @@ def j19(spark, d):
 def s04(spark, d):
     x = view(spark, d, "variants")
     forward = x.select("marker", "sample", "seq", F.col("depth").alias("w"))
-    twin = x.where("depth > 1").select("marker", "sample", s.reverse_complement("seq").alias("seq"), F.lit(1).cast("long").alias("w"))
+    twin = x.where("depth > 2").select("marker", "sample", s.reverse_complement("seq").alias("seq"), F.lit(1).cast("long").alias("w"))
     return r.fold_strands(forward.join(twin.select("marker", "sample", s.reverse_complement("seq").alias("seq"), F.col("w").alias("less")), ["marker", "sample", "seq"], "left").select("marker", "sample", "seq", (F.col("w") - F.coalesce("less", F.lit(0))).alias("w")).unionByName(twin), F.col("w"))
 
 
