@@ -49,7 +49,7 @@ VIEWS = {
   concat('f:F', p_partkey % 60), concat('g:G', p_partkey % 60, CASE WHEN p_size > 25 THEN 'x' ELSE '' END), concat('s:', 'G', p_partkey % 60, ' s', p_size % 3)) AS taxonomy FROM part""",
     "calls": f"""SELECT concat('file', o_custkey % 5) AS source, concat('chr', o_custkey % 3) AS chrom, CAST(o_orderkey % 400 AS INT) + 1 AS pos, '.' AS id,
   substr('ACGT', CAST(o_orderkey % 400 % 4 AS INT) + 1, 1) AS ref, substr('CGTA', CAST(o_orderkey % 400 % 4 AS INT) + 1, CASE WHEN o_orderkey % 9 = 0 THEN 2 ELSE 1 END) AS alt,
-  CASE WHEN o_orderstatus = 'F' THEN 'PASS' ELSE 'LOW' END AS filter, CAST(floor(o_totalprice) AS BIGINT) % 90 + 10 AS dp, CAST(floor(o_totalprice) AS BIGINT) % 31 AS ad, o_orderkey AS order_id FROM orders""",
+  CASE WHEN o_orderstatus = 'F' THEN 'PASS' ELSE 'LOW' END AS filter, CAST(floor(o_totalprice) AS BIGINT) % 90 + 31 AS dp, CAST(floor(o_totalprice) AS BIGINT) % 31 AS ad, o_orderkey AS order_id FROM orders""",
     "genes": "SELECT concat('G', p_partkey) AS gene, concat('chr', p_partkey % 3) AS chrom, CAST((p_partkey * 37) % 380 AS INT) + 1 AS start, CAST((p_partkey * 37) % 380 AS INT) + 1 + p_size AS stop, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM part WHERE p_partkey < 120",
 }
 
