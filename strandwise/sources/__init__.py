@@ -1 +1 @@
-
+"""Readers and writers of sequence, call, taxonomy and sheet files."""
