@@ -11,7 +11,8 @@ and only members of other components are compared with them; with the links
 found, components are made anew. A bucket is settled when it lies in one
 component or each of its members but one has been a pivot, so no link between
 members of a bucket is lost, and a large group of copies costs as many
-comparisons as it has members.
+comparisons as it has members. A large bucket that lies in several components
+(unlike documents with a common passage) is dealt anew by rare shingles.
 
 Defined results: no words or a null text gives an empty set, linked with
 nothing and kept; fewer than SHINGLE words are one shingle; rows with equal
@@ -38,10 +39,15 @@ BANDS, BAND_ROWS = 32, 4
 HASHES = BANDS * BAND_ROWS
 #: Equal minima of a pair below which its similarity can't be 0.75 (5 deviations).
 LEAST_EQUAL = 71
-#: Pivots of a bucket in the rounds; every round after the last has MORE times the pivots of the one before.
-MORE = 8
+#: Pivots of a bucket in the first round; each further round has MORE times as many.
+FIRST, MORE = 2, 16
+#: Buckets with more members than this that aren't settled by the first round are dealt anew by rare shingles.
+LARGE = 32
 #: Pairs whose two texts a task holds at once.
 PAIR_ROWS = 256
+#: Two bits of each minimum; of a similar pair at most MOST_BITS of the 256 differ (32 are expected, 5 deviations more).
+SKETCH, MOST_BITS = ("k0", "k1", "k2", "k3"), 64
+PROFILE = ["weight", "n", *SKETCH]
 SEED = 20_240_229
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -84,7 +90,7 @@ def signatures(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "set_hash", "signature"]
+    names = ["doc_id", "n_shingles", "set_hash", "signature", *SKETCH]
     for batch in batches:
         data, bounds = utf8_rows(batch.column(1))
         for i, j in blocks(np.diff(bounds)):
@@ -94,11 +100,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = np.flatnonzero(number)
             starts = np.cumsum(number[rows]) - number[rows]
             set_hash, signature = [None] * (j - i), [None] * (j - i)
-            minima = signatures(h, starts) if len(rows) else None
+            minima = signatures(h, starts) if len(rows) else np.zeros((0, HASHES), np.uint32)
+            bits = np.concatenate([np.packbits(minima & 1, axis=1), np.packbits(minima >> 1 & 1, axis=1)], axis=1)
+            sketch = np.zeros((j - i, len(SKETCH)), np.int64)
+            sketch[rows] = np.ascontiguousarray(bits).view(np.int64).reshape(len(rows), len(SKETCH))
             for k, (r, s, n) in enumerate(zip(rows.tolist(), starts.tolist(), number[rows].tolist(), strict=True)):
                 set_hash[r] = hashlib.blake2b(h[s : s + n], digest_size=16).digest()
                 signature[r] = minima[k].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(number), pa.array(set_hash, pa.binary()), pa.array(signature, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(number), pa.array(set_hash, pa.binary()), pa.array(signature, pa.binary()), *map(pa.array, sketch.T.copy())], names)
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,6 +144,27 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, bounds = utf8_rows(batch.column(1))
+        for i, j in blocks(np.diff(bounds)):
+            at = bounds[i : j + 1]
+            row, h = shingles(data[at[0] : at[-1]], at - at[0])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(np.bincount(row, minlength=j - i)[row]), pa.array(h.view(np.int64))], ["doc", "size", "shingle"])
+
+
+def _by_rare_shingles(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Buckets of the documents of ``rows`` (doc, weight, component, used) by their
+    rarest shingles: sets that are PERCENT similar share one of the n - ceil(PERCENT n)
+    + 1 rarest of either, so no link is lost, and what many documents hold is in few prefixes."""
+    wanted = rows.groupBy("doc").agg(*[F.first(c).alias(c) for c in (*PROFILE, "component")])
+    held = materialise(texts.join(wanted.select("doc"), "doc", "left_semi").select("doc", "text").mapInArrow(_shingle_rows, "doc long, size long, shingle long"))
+    often = held.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
+    rare = Window.partitionBy("doc").orderBy(F.coalesce("often", F.lit(1)), "shingle")
+    prefix = held.join(often, "shingle", "left").withColumn("nth", F.row_number().over(rare)).where(F.expr(f"nth <= size - ceil({PERCENT} * size / 100) + 1 and often is not null"))
+    return prefix.join(wanted, "doc").select(F.xxhash64(F.lit("prefix"), "shingle").alias("key"), "doc", *[wanted[c] for c in PROFILE], "component", F.lit(False).alias("used"))
+
+
 def _links(pairs: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links: by signature, then by full sets."""
     side = lambda df, value, end: df.select(F.col("doc").alias(end), F.col(value).alias(f"{value}_{end}"))
@@ -146,32 +176,34 @@ def _links(pairs: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of each row."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = materialise(slim.mapInArrow(_sign, "doc_id long, n_shingles long, set_hash binary, signature binary"))
+    signed = materialise(slim.mapInArrow(_sign, "doc_id long, n_shingles long, set_hash binary, signature binary, " + ", ".join(f"{k} long" for k in SKETCH)))
     named = signed.where("doc_id is not null and n_shingles > 0")
     leads = named.groupBy("set_hash").agg(F.min("doc_id").alias("lead"))
     of = leads.select("lead", F.col("set_hash").alias("of"))
-    one = named.join(of, (F.col("doc_id") == F.col("lead")) & (F.col("set_hash") == F.col("of"))).select(F.col("doc_id").alias("doc"), "signature")
+    one = named.join(of, (F.col("doc_id") == F.col("lead")) & (F.col("set_hash") == F.col("of"))).select(F.col("doc_id").alias("doc"), "signature", F.col("n_shingles").alias("n"), *SKETCH)
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("signature", b * (4 * BAND_ROWS) + 1, F.lit(4 * BAND_ROWS))))
     bands = one.select(F.explode(band).alias("key"), "doc")
     counts = bands.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = materialise(bands.join(counts, "key"))
     # How often a document meets others: the middle of a group of near copies comes first as a pivot.
     weights = shared.groupBy("doc").agg(F.sum("members").alias("weight"))
-    members = materialise(shared.select("key", "doc").distinct().join(weights, "doc"))
     texts = materialise(slim.join(weights.select("doc"), F.col("doc_id") == F.col("doc"), "left_semi").select(F.col("doc_id").alias("doc"), "text"))
-    signed_members = materialise(one.join(weights.select("doc"), "doc", "left_semi"))
+    signed_members = materialise(one.join(weights, "doc"))
+    members = shared.select("key", "doc").distinct().join(signed_members.select("doc", *PROFILE), "doc")
 
-    active = members.withColumn("component", F.col("doc")).withColumn("used", F.lit(False))
-    tested, labels, pivots = None, None, 1
+    active = materialise(members.withColumn("component", F.col("doc")).withColumn("used", F.lit(False)))
+    tested, labels, pivots = None, None, FIRST
     while True:
         buckets = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum((~F.col("used")).cast("int")).alias("fresh"))
         open_rows = active.join(buckets.where("low != high and fresh > 1").select("key"), "key")
         nth = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "doc"))
         picked = open_rows.where(~F.col("used")).withColumn("nth", nth).where(F.col("nth") <= pivots)
-        chosen = materialise(picked.select("key", F.col("doc").alias("pivot"), F.col("component").alias("pivot_component")))
+        chosen = materialise(picked.select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("component", "n", *SKETCH)], F.col("doc").alias("pivot")))
         if not chosen.head(1):
             break
-        met = active.join(chosen, "key").where("component != pivot_component")
+        differ = sum((F.bit_count(F.col(k).bitwiseXOR(F.col(f"pivot_{k}"))) for k in SKETCH), F.lit(0))
+        close = (PERCENT * F.greatest("n", "pivot_n") <= 100 * F.least("n", "pivot_n")) & (differ <= MOST_BITS)
+        met = active.join(chosen, "key").where((F.col("component") != F.col("pivot_component")) & close)
         pairs = met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -184,7 +216,13 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         renamed = labels.select(F.col("node").alias("doc"), F.col("component").alias("label"))
         now_used = chosen.select("key", F.col("pivot").alias("doc"), F.lit(True).alias("now"))
         after = active.join(chosen.select("key").distinct(), "key", "left_semi").drop("component").join(renamed, "doc", "left").join(now_used, ["key", "doc"], "left")
-        active = materialise(after.select("key", "doc", "weight", F.coalesce("label", "doc").alias("component"), (F.col("used") | F.col("now").isNotNull()).alias("used")))
+        active = materialise(after.select("key", "doc", *PROFILE, F.coalesce("label", "doc").alias("component"), (F.col("used") | F.col("now").isNotNull()).alias("used")))
+        if pivots == FIRST:
+            sizes = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+            large = materialise(sizes.where(F.col("low") != F.col("high")).where(F.col("size") > LARGE).select("key"))
+            if large.head(1):
+                rare = _by_rare_shingles(active.join(large, "key", "left_semi"), texts)
+                active = materialise(active.join(large, "key", "left_anti").select("key", "doc", *PROFILE, "component", "used").unionByName(rare))
         pivots *= MORE
 
     result = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_hash")).alias("set_hash")).join(leads, "set_hash", "left")
