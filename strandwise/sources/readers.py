@@ -18,22 +18,25 @@ from ..functions import seq as s
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     """read_id, header, seq, qual, source. A record starts at a line break before ``@``
     whose second line after it is ``+``: the text source cuts there by splits of
-    ``\\n@``; a quality line that starts with ``@`` is glued back to its record."""
+    ``\\n@``; a quality line that starts with ``@`` is glued back to its record; a record that the end
+    of a file or split leaves incomplete raises an error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[str] = []
         for rows in batches:
-            out, held = [], None
+            out = []
             for value, source in rows.itertuples(index=False):
-                lines = [x for x in value.removeprefix("@").split("\n")]
-                if held is not None and held[1] == source:
-                    lines = held[0] + ["@" + lines[0], *lines[1:]]
-                lines = [x for k, x in enumerate(lines) if not (x.startswith("#") and k % 4 == 0)]
-                if len(lines) < 4 or (len(lines) >= 4 and len(lines[3]) < len(lines[1])):
-                    held = (lines, source)
+                lines = (value if held else value.removeprefix("@")).split("\n")
+                lines = [*held, "@" + lines[0], *lines[1:]] if held else lines
+                lines = [x for k, x in enumerate(lines) if not (x.startswith("#") and k % 4 != 3)]
+                if len(lines) < 4 or len(lines[3]) < len(lines[1]):
+                    held = lines
                     continue
-                held = None
+                held = []
                 out.append((re.split(r"\s", lines[0], maxsplit=1)[0], lines[0], lines[1], lines[3], source))
             yield pd.DataFrame(out, columns=["read_id", "header", "seq", "qual", "source"])
+        if held:
+            raise ValueError(f"a record is cut short: {held[0][:80]}; compress the file or read it in larger splits")
 
     text = spark.read.option("lineSep", "\n@").text(path).select(F.rtrim("value").alias("value"), F.col("_metadata.file_path").alias("source"))
     return text.where(F.length("value") > 0).mapInPandas(run, "read_id string, header string, seq string, qual string, source string")
