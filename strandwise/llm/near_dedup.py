@@ -12,7 +12,8 @@ found, components are made anew. A bucket is settled when it lies in one
 component or each of its members but one has been a pivot, so no link between
 members of a bucket is lost, and a large group of copies costs as many
 comparisons as it has members. A large bucket that lies in several components
-(unlike documents with a common passage) is dealt anew by rare shingles.
+(unlike documents with a common passage) is dealt anew by rare shingles; what is
+left of those is compared in blocks, whose tasks give links only.
 
 Defined results: no words or a null text gives an empty set, linked with
 nothing and kept; fewer than SHINGLE words are one shingle; rows with equal
@@ -41,8 +42,12 @@ HASHES = BANDS * BAND_ROWS
 LEAST_EQUAL = 71
 #: Pivots of a bucket in the first round; each further round has MORE times as many.
 FIRST, MORE = 2, 16
-#: Buckets with more members than this that aren't settled by the first round are dealt anew by rare shingles.
-LARGE = 32
+#: Buckets with more members than this that aren't settled by the first round are dealt
+#: anew by rare shingles, and those that aren't settled by the second are compared in blocks.
+#: The second round, with as many pivots, settles all others.
+LARGE = FIRST * MORE
+#: Documents of a block, and shingles of a matrix of documents by shingles.
+BLOCK, MATRIX_COLUMNS = 512, 4096
 #: Pairs whose two texts a task holds at once.
 PAIR_ROWS = 256
 #: Two bits of each minimum; of a similar pair at most MOST_BITS of the 256 differ (32 are expected, 5 deviations more).
@@ -165,6 +170,65 @@ def _by_rare_shingles(rows: DataFrame, texts: DataFrame) -> DataFrame:
     return prefix.join(wanted, "doc").select(F.xxhash64(F.lit("prefix"), "shingle").alias("key"), "doc", *[wanted[c] for c in PROFILE], "component", F.lit(False).alias("used"))
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, bounds = utf8_rows(batch.column(1))
+        for i, j in blocks(np.diff(bounds)):
+            at = bounds[i : j + 1]
+            row, h = shingles(data[at[0] : at[-1]], at - at[0])
+            cuts = np.searchsorted(row, np.arange(j - i + 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([h[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], ["doc", "members"])
+
+
+def _links_in_block(rows: pa.Table) -> pa.Table:
+    """Links between components of a block of documents, from exact sizes of all
+    intersections; only as many as join what they join."""
+    doc, component = rows.column("doc").to_numpy(), rows.column("component").to_numpy()
+    _, one = np.unique(doc, return_index=True)
+    doc, component = doc[one], component[one]
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("members").combine_chunks().take(pa.array(one))]
+    size = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    owner, column = owner[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], np.cumsum(np.append(0, column[order][1:] != column[order][:-1]))[: len(order)]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, MATRIX_COLUMNS):
+        a, b = np.searchsorted(column, [lo, lo + MATRIX_COLUMNS])
+        has = np.zeros((len(sets), MATRIX_COLUMNS), np.float32)
+        has[owner[a:b], column[a:b] - lo] = 1
+        both += has @ has.T
+    near = (100 * both >= PERCENT * (size[:, None] + size[None, :] - both)) & (component[:, None] != component[None, :])
+    root = {c: c for c in component.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    links = []
+    for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
+        a, b = find(int(component[i])), find(int(component[j]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            links.append((int(doc[i]), int(doc[j])))
+    return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+
+
+def _block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (u, v) inside the large buckets of ``rows`` (key, doc, component): a bucket
+    is dealt into blocks of about BLOCK documents, each two of which meet in a task of
+    bounded size; no pair leaves it but links."""
+    parts = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
+    dealt = rows.join(parts, "key").select("key", "doc", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    sets = materialise(texts.join(rows.select("doc").distinct(), "doc", "left_semi").select("doc", "text").mapInArrow(_sets, "doc long, members binary"))
+    met = dealt.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("task"), "doc", "component").join(sets, "doc")
+    return met.groupBy("task").applyInArrow(_links_in_block, "u long, v long")
+
+
 def _links(pairs: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links: by signature, then by full sets."""
     side = lambda df, value, end: df.select(F.col("doc").alias(end), F.col(value).alias(f"{value}_{end}"))
@@ -217,12 +281,18 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         now_used = chosen.select("key", F.col("pivot").alias("doc"), F.lit(True).alias("now"))
         after = active.join(chosen.select("key").distinct(), "key", "left_semi").drop("component").join(renamed, "doc", "left").join(now_used, ["key", "doc"], "left")
         active = materialise(after.select("key", "doc", *PROFILE, F.coalesce("label", "doc").alias("component"), (F.col("used") | F.col("now").isNotNull()).alias("used")))
-        if pivots == FIRST:
-            sizes = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-            large = materialise(sizes.where(F.col("low") != F.col("high")).where(F.col("size") > LARGE).select("key"))
-            if large.head(1):
-                rare = _by_rare_shingles(active.join(large, "key", "left_semi"), texts)
-                active = materialise(active.join(large, "key", "left_anti").select("key", "doc", *PROFILE, "component", "used").unionByName(rare))
+        sizes = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+        large = materialise(sizes.where(F.col("low") != F.col("high")).where(F.col("size") > LARGE).select("key"))
+        if large.head(1):
+            rest, many = active.join(large, "key", "left_anti").select(*active.columns), active.join(large, "key", "left_semi")
+            if pivots == FIRST:
+                active = materialise(rest.unionByName(_by_rare_shingles(many, texts).select(*active.columns)))
+            else:
+                more = materialise(_block_links(many.select("key", "doc", "component"), texts))
+                labels = connected_components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+                active = rest
+        if pivots > FIRST:
+            break
         pivots *= MORE
 
     result = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_hash")).alias("set_hash")).join(leads, "set_hash", "left")
