@@ -261,3 +261,14 @@ def allele_coverage(sam: DataFrame, min_percent: float = 0, min_reads: int = 0)
     length = coverage(sam).groupBy("ref").agg(F.count("*").alias("covered"), F.sum("coverage").alias("area"))
     out = per.join(length, "ref").withColumn("percent", 100 * F.col("reads") / F.sum("reads").over(Window.partitionBy(F.lit(1))))
     return out.where((F.col("percent") >= min_percent) & (F.col("reads") >= min_reads))
+
+
+def pile_up_hits(hits: DataFrame, max_errors: int = 2) -> DataFrame:
+    """ref, pos, change, var_depth of aligned pairs (subject, s_start, q_aln, s_aln,
+    depth) with at most ``max_errors`` differing columns, weighted by depth."""
+    columns = F.zip_with(s.letters("q_aln"), s.letters("s_aln"), lambda q, r: F.struct(q.alias("q"), r.alias("r")))
+    fine = hits.withColumn("c", columns).where(F.size(F.filter("c", lambda x: x["q"] != x["r"])) <= max_errors)
+    each = fine.select(F.col("subject").alias("ref"), "s_start", "s_aln", "depth", F.posexplode("c").alias("k", "x")).where("x.q <> x.r")
+    before = F.length(F.replace(F.substr("s_aln", F.lit(1), F.col("k") + 1), F.lit("-"), F.lit("")))
+    change = F.concat("x.r", F.lit("->"), "x.q")
+    return each.groupBy("ref", (F.col("s_start") - 1 + before).alias("pos"), change.alias("change")).agg(F.sum("depth").alias("var_depth"))

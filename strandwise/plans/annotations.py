@@ -156,3 +156,11 @@ def j17(spark, d):
     facts = facts.groupBy("protein", "aa_pos", "label").agg(F.min("note").alias("note"))
     ids = part.select(F.expr("concat('T', p_partkey % 30)").alias("transcript"), F.expr("concat('P', p_partkey % 30)").alias("protein"), F.col("p_partkey").alias("line"))
     return m.protein_facts(hits, ids, facts).select("order_id", "note")
+
+
+@query("g32_pile_up_hits", with_views("""p AS (SELECT v.seq, v.depth, a.name AS ref, a.seq AS r FROM variants v JOIN alleles a ON a.marker = v.marker AND a.name LIKE '%-0' WHERE length(v.seq) = 60), e AS (SELECT *, (SELECT count(*) FROM (SELECT unnest(range(1, 61)) AS i) WHERE substr(p.seq, i, 1) <> substr(p.r, i, 1)) AS n FROM p)
+SELECT ref, i AS pos, concat(substr(r, i::INT, 1), '->', substr(seq, i::INT, 1)) AS change, sum(depth)::BIGINT AS var_depth FROM e, (SELECT unnest(range(1, 61)) AS i) WHERE n <= 2 AND substr(r, i::INT, 1) <> substr(seq, i::INT, 1) GROUP BY ALL""", "variants", "alleles"))
+def g32(spark, d):
+    a = view(spark, d, "alleles").where("name like '%-0'").select("marker", F.col("name").alias("subject"), F.col("seq").alias("s_aln"))
+    v = view(spark, d, "variants").where("length(seq) = 60").select("marker", F.col("seq").alias("q_aln"), "depth")
+    return m.pile_up_hits(v.join(a, "marker").withColumn("s_start", F.lit(1)))
