@@ -3,9 +3,11 @@
 A unit vector is padded to a power of two, turned by three rounds of random
 signs and fast Hadamard transforms, and named by its nearest signed axis. A
 table's bucket joins as many such names as bring about BUCKET_VECTORS vectors
-to a bucket; a query looks into the PROBES likeliest buckets of each of TABLES
-tables. The candidates are ranked by exact Euclidean distance on the original
-vectors, in double precision.
+to a bucket; a query looks into the likeliest buckets of each of TABLES tables,
+PROBES for PROBES_VECTORS vectors and more as they grow. Each run compares up to
+SAMPLE queries with all vectors and doubles the probes until LEAST_RECALL of
+their neighbours are found. The candidates are ranked by exact Euclidean
+distance on the original vectors, in double precision.
 
 Equal vectors are hashed once; each stands for its smallest K+1 ids, which are
 all that a list of K can need. A query that finds fewer than K candidates is
@@ -32,6 +34,8 @@ from .common import materialise, table
 
 K, EVERY = 10, 100
 TABLES, PROBES, BUCKET_VECTORS = 24, 12, 64
+PROBES_VECTORS, PROBES_POWER = 12_500, 0.4
+SAMPLE, LEAST_RECALL = 200, 0.95
 #: Vectors of a block that ranks its candidates.
 BLOCK_VECTORS = 2048
 SEED = 65_537
@@ -64,6 +68,11 @@ def axes(wanted: int, d: int) -> list[int]:
     return out or [1]
 
 
+def probes_for(n: int, probes: int = PROBES) -> int:
+    """Probes of a table of ``n`` vectors; a bucket's share of them shrinks as they grow."""
+    return max(probes, math.ceil(probes * (n / PROBES_VECTORS) ** PROBES_POWER))
+
+
 def scores(x: np.ndarray, nth_table: int, use: list[int]) -> list[np.ndarray]:
     """For each cross-polytope of a table, how near each row is to each signed axis."""
     d = 1 << max(0, (x.shape[1] - 1).bit_length())
@@ -117,7 +126,8 @@ def _hash(wanted: int, tables: int, probes: int):
 
 
 def _closest(k: int):
-    """The k classes of a block that are nearest to each query, of its candidates there."""
+    """The k classes of a block that are nearest to each query, of its candidates
+    there; of all its classes where the candidates are null."""
 
     def run(block: pa.Table, looks: pa.Table) -> pa.Table:
         queries, leads, gaps = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
@@ -130,9 +140,12 @@ def _closest(k: int):
             lead, x = lead[order], _vectors(own.column("vector"))[order]
             q = _vectors(rows.column("query_vector"))
             for i, (query, wanted) in enumerate(zip(rows.column("query").to_pylist(), rows.column("leads"), strict=True)):
-                ids = np.sort(wanted.values.to_numpy())
-                at = np.minimum(np.searchsorted(lead, ids), len(lead) - 1)
-                at = at[lead[at] == ids]  # candidates of other dimensions are elsewhere
+                if wanted.is_valid:
+                    ids = np.sort(wanted.values.to_numpy())
+                    at = np.minimum(np.searchsorted(lead, ids), len(lead) - 1)
+                    at = at[lead[at] == ids]  # candidates of other dimensions are elsewhere
+                else:
+                    at = np.arange(len(lead))
                 gap = x[at] - q[i]
                 gap = np.sqrt((gap * gap).sum(axis=1))
                 best = np.lexsort((lead[at], gap))[:k]
@@ -156,27 +169,40 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, tables: int = TABL
     askers = materialise(ids.where("asks").join(classes.select("vector", "lead"), "vector").select("lead", F.col("vec_id").alias("query_id")))
     n = classes.count()
     wanted = max(1, n // BUCKET_VECTORS)
-    index = classes.select("lead", "vector").mapInArrow(_hash(wanted, tables, 1), "lead long, nth long, bucket long")
+    index = materialise(classes.select("lead", "vector").mapInArrow(_hash(wanted, tables, 1), "lead long, nth long, bucket long"))
     asking = classes.where("asks").select(F.col("lead").alias("query"), F.col("vector").alias("query_vector"))
-    looks = asking.select("query", "query_vector").mapInArrow(_hash(wanted, tables, probes), "lead long, nth long, bucket long").withColumnRenamed("lead", "query")
-    block_of = F.pmod(F.xxhash64("lead"), F.lit(max(1, -(-n // BLOCK_VECTORS)))).cast("int")
+    n_blocks = max(1, -(-n // BLOCK_VECTORS))
+    block_of = F.pmod(F.xxhash64("lead"), F.lit(n_blocks)).cast("int")
     vectors_of = classes.select("lead", "vector", block_of.alias("block"))
 
-    def ranked(pairs: DataFrame) -> DataFrame:
+    def ranked(met: DataFrame) -> DataFrame:
         """The k+1 nearest classes of each query: the best of each block, then of all.
         A query meets a block as one row, with its candidates there."""
-        met = pairs.groupBy("query", "block").agg(F.collect_set("lead").alias("leads")).join(asking, "query")
         near = vectors_of.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(_closest(k + 1), "query long, lead long, score double")
         return near.withColumn("nth", F.row_number().over(Window.partitionBy("query").orderBy("score", "lead"))).where(F.col("nth") <= k + 1).drop("nth")
 
-    found = materialise(ranked(looks.join(index, ["nth", "bucket"]).select("query", "lead", block_of.alias("block"))))
+    def looked_up(queries: DataFrame, probes: int) -> DataFrame:
+        looks = queries.select("query", "query_vector").mapInArrow(_hash(wanted, tables, probes), "lead long, nth long, bucket long").withColumnRenamed("lead", "query")
+        pairs = looks.join(index, ["nth", "bucket"]).select("query", "lead", block_of.alias("block"))
+        return ranked(pairs.groupBy("query", "block").agg(F.collect_set("lead").alias("leads")).join(queries, "query"))
+
+    def compared(queries: DataFrame) -> DataFrame:
+        """As ``looked_up``, but against all vectors."""
+        blocks = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+        return ranked(queries.select("query", blocks.alias("block"), F.lit(None).cast("array<long>").alias("leads"), "query_vector"))
+
+    sample = materialise(asking.orderBy(F.xxhash64("query")).limit(SAMPLE))
+    exact = materialise(compared(sample).where("lead != query").select("query", "lead"))
+    need, probes = LEAST_RECALL * exact.count(), probes_for(n, probes)
+    # ``axes`` makes less than twice the wanted buckets; then all are looked into.
+    while looked_up(sample, probes).join(exact, ["query", "lead"], "left_semi").count() < need and probes < 2 * wanted:
+        probes *= 2
+    found = materialise(looked_up(asking, probes))
     sizes = members.groupBy("lead").agg(F.count("*").alias("size"))
     reach = found.join(sizes, "lead").groupBy("query").agg(F.sum("size").alias("reach"))
-    short = materialise(asking.join(reach, "query", "left").where(F.coalesce("reach", F.lit(0)) < k + 1).select("query"))
+    short = materialise(asking.join(reach, "query", "left").where(F.coalesce("reach", F.lit(0)) < k + 1).select("query", "query_vector"))
     if short.head(1):
-        blocks = F.sequence(F.lit(0), F.lit(max(1, -(-n // BLOCK_VECTORS)) - 1))
-        everything = short.withColumn("block", F.explode(blocks)).join(vectors_of.select("lead", "block"), "block")
-        found = found.join(short, "query", "left_anti").unionByName(ranked(everything))
+        found = found.join(short, "query", "left_anti").unionByName(compared(short))
     listed = askers.join(found.withColumnRenamed("lead", "near"), F.col("lead") == F.col("query")).join(members.select(F.col("lead").alias("near"), "vec_id"), "near").where("vec_id != query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return listed.select("query_id", "vec_id", "score").distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

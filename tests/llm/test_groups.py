@@ -150,6 +150,17 @@ def test_neighbours_recall_and_edge_cases(spark):
     assert neighbours.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 2 == 0).count() == 0
 
 
+def test_neighbours_probe_further_until_the_sampled_recall_holds(spark):
+    vectors = {i: v for i, v in enumerate(np.random.default_rng(3).standard_normal((2000, 16)).astype(np.float32))}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<float>").repartition(3)
+    got = {(r.query_id, r.vec_id) for r in neighbours.nearest(df, F.col("vec_id") % 50 == 0, tables=2, probes=1).collect()}
+    want = exact_nearest(vectors, [i for i in vectors if i % 50 == 0], 10)
+    pairs = {(q, v) for q, near in want.items() for _, v in near}
+    assert len(got & pairs) / len(pairs) >= 0.95
+    assert [neighbours.probes_for(n) for n in (100, 12_500)] == [neighbours.PROBES] * 2
+    assert neighbours.probes_for(2_000_000) > neighbours.probes_for(500_000) > neighbours.probes_for(51_282) > neighbours.PROBES
+
+
 def test_targets_stop_at_three_times_the_source(spark):
     rows = [(s, "s" + s, n) for s, n in (("a", 10), ("b", 1000), ("c", 500), ("d", 5))]
     got = {r.source_key: r.target for r in mixing.source_targets(spark.createDataFrame(rows, "source string, source_key string, size long")).collect()}
