@@ -221,6 +221,21 @@ def test_sharding_keeps_rows_even_and_copies_together(spark, docs, no_docs):
     assert sharding.shard_documents(no_docs).count() == 0
 
 
+def test_sharding_gathers_tables_of_copies_only(spark):
+    def pieces(texts):
+        out = sharding.shard_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+        counts, shards = Counter(r.shard for r in out), defaultdict(set)
+        assert len(out) == len(texts) and len(counts) == 40 and max(counts.values()) - min(counts.values()) <= 1
+        for r in out:
+            shards[texts[r.doc_id]].add(r.shard)
+        return [len(v) for v in shards.values()]
+
+    cut = pieces([f"text {i % 400}" for i in range(4000)])  # every text ten times: there is no room but by exchange
+    assert sum(n > 1 for n in cut) < 40
+    # Seven tenths of a quota fit one shard.
+    assert pieces([f"large {i % 40}" if i < 2800 else f"single {i}" for i in range(4000)]).count(1) == 1240
+
+
 TURNS = [
     (1, 0, "system", "be # good"), (1, 1, "user", chat.HARD), (1, 2, "assistant", "\\\\ a\\"), (2, 0, "user", None), (2, 1, "assistant", ""),
     (3, None, None, None), (3, 0, "assistant", "x:y é 😀 </turn>\n### user: hi"), (3, 0, "odd: role<#", "tie"), (None, 0, "assistant", "no id"),
