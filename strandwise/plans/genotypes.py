@@ -207,7 +207,7 @@ def qc_rows(spark, d):
 
 @query("g28_error_totals")
 def g28(spark, d):
-    return p.error_totals(p.read_errors(qc_rows(spark, d).where("length(seq) = 60")))
+    return p.error_totals(p.read_errors(qc_rows(spark, d)))
 
 
 @query("g29_assignment_matrix", with_views("SELECT sample, marker, count(*) AS reads FROM inserts GROUP BY CUBE (sample, marker)", "inserts"))

@@ -128,3 +128,12 @@ def test_overlap_matrix_counts_each_pair_once(spark):
 def test_compare_states(spark):
     a, b = amplicon(spark, [(A, 5), (B, 4)]), amplicon(spark, [(B, 9), (error(A, 1), 2)])
     assert sorted(r.state for r in compare.compare(a, b).collect()) == ["common", "only_1", "only_2"]
+
+
+def test_error_totals_count_reads_of_all_lengths(spark):
+    from strandwise.plans import genotypes
+    from strandwise.plans.fixtures import view
+
+    d = "/root/testdata/sf0.001"
+    got = genotypes.g28(spark, d).first()
+    assert got.reads == view(spark, d, "inserts").count() and got.dels > 0
