@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import blocks, shared_dir, table, utf8_rows
+from .common import FAN, blocks, materialise, shared_dir, table, utf8_rows
 from .pretokens import Block, as_byte_letters, load
 
 TOKENIZER = "word_bpe_49k.json"
@@ -71,25 +71,24 @@ def frames(content: bytes, at: int = 0) -> Iterator[tuple[int, int, int | None,
         at = end + 5
 
 
-_words: dict[tuple[str, int], bytes] = {}
+_words: dict[tuple[str, str], bytes] = {}
 
 
 def _ids(block: Block, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows of a block, and where each row's begin."""
     rows = len(block.bounds) - 1
-    u, first, inverse = np.unique(block.hashes, return_index=True, return_inverse=True)
     if len(_words) > MOST_WORDS:
         _words.clear()
-    model = block.tokenizer.model
-    new = np.fromiter(((path, x) not in _words for x in u.tolist()), bool, len(u))
-    for x, word in zip(u[new].tolist(), block.strings(first[new]), strict=True):
-        ids = [t.id for t in model.tokenize(as_byte_letters(word))]
-        _words[path, x] = struct.pack(f"<{len(ids)}I", *ids)
-    parts = [_words[path, x] for x in u.tolist()]
+    model, parts = block.tokenizer.model, []
+    for word in block.strings(block.first):
+        if (part := _words.get((path, word))) is None:
+            ids = [t.id for t in model.tokenize(as_byte_letters(word))]
+            part = _words[path, word] = struct.pack(f"<{len(ids)}I", *ids)
+        parts.append(part)
     lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
     flat = np.frombuffer(b"".join(parts), np.uint32)
-    each = lengths[inverse]
-    shift = (np.cumsum(lengths) - lengths)[inverse] - (np.cumsum(each) - each)
+    each = lengths[block.which]
+    shift = (np.cumsum(lengths) - lengths)[block.which] - (np.cumsum(each) - each)
     ids = flat[np.repeat(shift, each) + np.arange(each.sum())]
     number = np.bincount(block.row, each, rows).astype(np.int64)
     if not block.whole.any():
@@ -126,11 +125,13 @@ def write_records(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
     size = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     dealt = slim.repartitionByRange(max(1, -(-size // FILE_BYTES)), "doc_id").sortWithinPartitions("doc_id", "text")
     dealt.mapInArrow(_encode(tokenizer_path, end_id), "frame binary").select(F.col("frame").cast("string").alias("value")).write.text(f"{path}/records", lineSep="\n")
-    heads = read_records(docs.sparkSession, path).select("file_no", "offset", "frame_bytes", "doc_id", "n_tokens", "before")
-    totals = heads.groupBy("file_no").agg(F.sum("n_tokens").alias("total"))  # a row for each file
-    earlier = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("file_no", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("file_start"))
-    index = heads.join(totals, "file_no").withColumn("start", F.col("file_start") + F.col("before")).drop("file_start", "before")
+    heads = materialise(read_records(docs.sparkSession, path).select("file_no", "offset", "frame_bytes", "doc_id", "n_tokens", "before"))
+    # A row for each file, then one for each FAN files.
+    totals = heads.groupBy("file_no").agg(F.sum("n_tokens").alias("total")).withColumn("fan", F.floor(F.col("file_no") / FAN))
+    earlier = lambda w: F.coalesce(F.sum("total").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fans = totals.groupBy("fan").agg(F.sum("total").alias("total")).select("fan", earlier(Window.orderBy("fan")).alias("fan_start"))
+    starts = totals.withColumn("in_fan", earlier(Window.partitionBy("fan").orderBy("file_no"))).join(fans, "fan").select("file_no", (F.col("fan_start") + F.col("in_fan")).alias("file_start"))
+    index = heads.join(starts, "file_no").withColumn("start", F.col("file_start") + F.col("before")).drop("file_start", "before")
     index.write.parquet(f"{path}/index")
     return path
 

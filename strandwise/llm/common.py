@@ -31,10 +31,12 @@ def word_count(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; only where that is unset
-    (a local session, tests) one of our own is made and set."""
+    """A new folder below ``spark.checkpoint.dir``; where that is unset a local
+    session (tests) gets one of our own, and any other an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
@@ -74,25 +76,44 @@ def bucket_count(rows: int, per_bucket: int = 20_000) -> int:
     return max(1, -(-rows // per_bucket))
 
 
+#: Buckets whose totals one task adds up.
+FAN = 1024
+
+
+def _equal_keys(keys: list[str], renamed: list[str]) -> Column:
+    out = F.lit(True)
+    for k, r in zip(keys, renamed, strict=True):
+        out = out & F.col(k).eqNullSafe(F.col(r))
+    return out
+
+
+def _bases(totals: DataFrame, keys: list[str], bucket: str, total: str, base: str, buckets: int) -> DataFrame:
+    """``totals`` (keys, bucket, total) with the sum of the earlier buckets of equal keys."""
+    before = lambda part: Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    if buckets <= FAN:
+        return totals.withColumn(base, F.coalesce(F.sum(total).over(before(keys)), F.lit(0)))
+    fan, upper = f"{bucket}_fan", [f"__u{i}" for i in range(len(keys) + 1)]
+    totals = totals.withColumn(fan, F.floor(F.col(bucket) / FAN))
+    above = _bases(totals.groupBy(*keys, fan).agg(F.sum(total).alias(total)), keys, fan, total, f"{base}_above", -(-buckets // FAN))
+    above = above.select(*[F.col(k).alias(u) for k, u in zip([*keys, fan], upper, strict=True)], f"{base}_above")
+    joined = totals.withColumn(base, F.coalesce(F.sum(total).over(before([*keys, fan])), F.lit(0))).join(above, _equal_keys([*keys, fan], upper))
+    return joined.withColumn(base, F.col(base) + F.col(f"{base}_above")).drop(*upper, f"{base}_above", fan)
+
+
 def distributed_offsets(df: DataFrame, keys: list[str], order: list[str], measure: str, out: str, buckets: int) -> DataFrame:
     """Adds ``out``: the sum of ``measure`` over the rows before this one among
     those with equal ``keys`` (null equals null), in the order (MD5 bucket of
-    order[0], *order). No task holds a whole key: rows are dealt by
-    (key, bucket), and only bucket totals meet per key."""
+    order[0], *order). No task holds a whole key: rows are dealt by (key,
+    bucket), and of a key only FAN totals meet, in as many levels as it takes."""
     b, base, total = f"__{out}_bucket", f"__{out}_base", f"__{out}_total"
     df = df.withColumn(b, md5_number(F.coalesce(F.col(order[0]).cast("string"), F.lit(""))) % F.lit(buckets))
-    totals = df.groupBy(*keys, b).agg(F.sum(measure).alias(total))
-    before = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn(base, F.coalesce(F.sum(total).over(before), F.lit(0)))
-    renamed = totals.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(b).alias("__kb"), base)
-    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)] + [F.col(b) == F.col("__kb")]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
+    totals = _bases(df.groupBy(*keys, b).agg(F.sum(measure).alias(total)), keys, b, total, base, buckets)
+    renamed = [f"__k{i}" for i in range(len(keys) + 1)]
+    bases = totals.select(*[F.col(k).alias(r) for k, r in zip([*keys, b], renamed, strict=True)], base)
     within = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     running = F.coalesce(F.sum(measure).over(within), F.lit(0)).cast("long")
-    joined = df.withColumn(f"__{out}_in", running).join(renamed, cond, "left")
-    return joined.withColumn(out, (F.col(base) + F.col(f"__{out}_in")).cast("long")).drop(b, base, f"__{out}_in", "__kb", *[f"__k{i}" for i in range(len(keys))])
+    joined = df.withColumn(f"__{out}_in", running).join(bases, _equal_keys([*keys, b], renamed), "left")
+    return joined.withColumn(out, (F.col(base) + F.col(f"__{out}_in")).cast("long")).drop(b, base, f"__{out}_in", *renamed)
 
 
 # ---- numpy helpers -------------------------------------------------------
@@ -100,13 +121,15 @@ def distributed_offsets(df: DataFrame, keys: list[str], order: list[str], measur
 _P = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: The low k bytes of a 64-bit number.
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     with np.errstate(over="ignore"):
         x = x ^ (x >> np.uint64(30))
-        x = x * np.uint64(0xBF58476D1CE4E5B9)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(27)
         x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
@@ -124,18 +147,57 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][: n + 1], _powers[1][: n + 1]
 
 
-def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Polynomial rolling hash of symbols[start:end] for each span, from one
-    prefix sum, finished with the length."""
-    n = len(symbols)
+def rolling_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial rolling hash of words[start:end] for each span, from one prefix
+    sum, finished with the length. For windows of a few ``byte_hashes``: a
+    polynomial modulo 2**64 is no hash of long runs of a few symbols."""
+    n = len(words)
     pw, inv = powers(n)
     with np.errstate(over="ignore"):
         prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * pw[:n], out=prefix[1:])
+        np.cumsum((words + np.uint64(1)) * pw[:n], out=prefix[1:])
         h = (prefix[ends] - prefix[starts]) * inv[starts]
         return mix(h + mix((ends - starts).astype(np.uint64) + np.uint64(77)))
 
 
+def byte_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of symbols[start:end] for each span: its bytes in eights, two
+    neighbours mixed into one until one is left, finished with the length."""
+    raw = np.append(np.ascontiguousarray(symbols).view(np.uint8), np.zeros(8, np.uint8))
+    eights = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    at, size = starts * symbols.itemsize, (ends - starts) * symbols.itemsize
+    count = np.maximum(1, (size + 7) >> 3)
+    last = at + 8 * (count - 1)
+    out = eights[last] & _LOW_BYTES[size - 8 * (count - 1)]
+    with np.errstate(over="ignore"):
+        many = np.flatnonzero(count > 1)
+        if len(many):
+            count, tail = count[many], out[many]
+            base = np.cumsum(count) - count
+            value = eights[np.repeat(at[many] - 8 * base, count) + 8 * np.arange(count.sum())]
+            value[base + count - 1] = tail
+            while count.max() > 1:
+                half = (count + 1) >> 1
+                half_base = np.cumsum(half) - half
+                first = np.repeat(base - 2 * half_base, half) + 2 * np.arange(half.sum())
+                paired = np.ones(len(first), bool)
+                paired[(half_base + half - 1)[count & 1 == 1]] = False
+                left, first = value[first], first[paired]
+                left[paired] = mix(mix(left[paired] + _P) + value[first + 1])
+                value, count, base = left, half, half_base
+            out[many] = value
+        return mix(out + mix(size.astype(np.uint64) + np.uint64(77 + (seed << 32))))
+
+
+def same_spans(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> bool:
+    """Is each span equal, symbol for symbol, to the span numbered ``other``?"""
+    size = ends - starts
+    if (size != size[other]).any():
+        return False
+    nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    return bool((symbols[np.repeat(starts, size) + nth] == symbols[np.repeat(starts[other], size) + nth]).all())
+
+
 def blocks(lengths: np.ndarray, most: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows whose lengths sum to ``most`` at most; a
     longer row makes a range of its own."""

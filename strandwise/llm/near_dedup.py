@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_batches, blocks, materialise, span_hashes, table, utf8_rows, word_spans
+from .common import arrow_batches, blocks, byte_hashes, materialise, rolling_hashes, table, utf8_rows, word_spans
 from .components import connected_components
 
 SHINGLE, PERCENT = 5, 75
@@ -63,14 +63,14 @@ def shingles(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Row and hash of the distinct shingles of each row, sorted by both."""
     data = _LOWER[data]
     s, e, row = word_spans(data, bounds)
-    words = span_hashes(data, s, e)
+    words = byte_hashes(data, s, e)
     at = np.arange(max(0, len(s) - SHINGLE + 1))
     at = at[row[at] == row[at + SHINGLE - 1]]
     number = np.bincount(row, minlength=len(bounds) - 1)
     first = np.cumsum(number) - number
     short = np.flatnonzero((number > 0) & (number < SHINGLE))
     begin, end = np.append(at, first[short]), np.append(at + SHINGLE, (first + number)[short])
-    h, r = span_hashes(words, begin, end), row[begin] if len(begin) else np.zeros(0, np.int64)
+    h, r = rolling_hashes(words, begin, end), row[begin] if len(begin) else np.zeros(0, np.int64)
     order = np.lexsort((h, r))
     h, r = h[order], r[order]
     new = np.append(True, (h[1:] != h[:-1]) | (r[1:] != r[:-1]))[: len(h)]

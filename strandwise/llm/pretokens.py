@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 import regex
 
-from .common import span_hashes
+from .common import byte_hashes, same_spans
 
 KNOWN = 0x3000
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = 0, 1, 2, 3, 4
@@ -62,9 +62,10 @@ def _tables(lower: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Block:
-    """Pre-tokens of some texts: ``starts``, ``ends`` (into ``chars``), ``row``
-    and the 64-bit ``hashes`` of their strings; ``whole`` marks the rows that
-    need the library (for the lower-casing family they have no spans here)."""
+    """Pre-tokens of some texts: ``starts``, ``ends`` (into ``chars``) and ``row``
+    of each, ``first`` of each distinct string and the number of its string in
+    ``which``; ``whole`` marks the rows that need the library (for the
+    lower-casing family they have no spans here)."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, path: str):
         self.tokenizer, self.keeps, special = load(path)
@@ -99,14 +100,16 @@ class Block:
                 if more:
                     s, e, r = (np.array(x, np.int64) for x in zip(*more, strict=True))
                     self.starts, self.ends, self.row = np.concatenate([self.starts, s]), np.concatenate([self.ends, e]), np.concatenate([self.row, r])
-        self.hashes = span_hashes(self.chars, self.starts, self.ends)
+        most = int(self.chars.max(initial=0))
+        narrow = self.chars.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+        seed, same = 0, False
+        while not same:  # equal hashes of unequal strings call for other hashes
+            _, self.first, self.which = np.unique(byte_hashes(narrow, self.starts, self.ends, seed), return_index=True, return_inverse=True)
+            seed, same = seed + 1, same_spans(narrow, self.starts, self.ends, self.first[self.which])
 
     def row_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bounds, at, side="right") - 1
 
-    def string(self, i: int) -> str:
-        return self.chars[self.starts[i] : self.ends[i]].astype("<u4").tobytes().decode("utf-32-le")
-
     def strings(self, which: np.ndarray) -> list[str]:
         text = self.raw_text if self.keeps else self.chars.astype("<u4").tobytes().decode("utf-32-le")
         return [text[s:e] for s, e in zip(self.starts[which].tolist(), self.ends[which].tolist(), strict=True)]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, mix, span_hashes, table, utf8_rows, word_spans
+from .common import blocks, byte_hashes, mix, rolling_hashes, table, utf8_rows, word_spans
 
 #: Percent of a document's word characters that repeated n-grams may cover, by n.
 NGRAM_LIMITS = {5: 30, 6: 28, 7: 26, 8: 24, 9: 22, 10: 20}
@@ -67,16 +67,16 @@ def measure(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     full = to_word > from_word
     first, last, from_word, to_word = first[full], last[full], from_word[full], to_word[full]
     line_row = row[from_word] if len(first) else np.zeros(0, np.int64)
-    _, later = _repeated(mix(span_hashes(data, first, last) ^ mix(line_row.astype(np.uint64))))
+    _, later = _repeated(mix(byte_hashes(data, first, last) ^ mix(line_row.astype(np.uint64))))
     word_sum = np.append(0, np.cumsum(chars))
     out |= {"n_lines": per_row(line_row), "n_dup_lines": per_row(line_row[later]), "dup_line_chars": per_row(line_row[later], (word_sum[to_word] - word_sum[from_word])[later])}
 
-    words = span_hashes(data, s, e)
+    words = byte_hashes(data, s, e)
     at = np.arange(len(s))
     for n in [REPEAT_N, *NGRAM_LIMITS]:
         at = at[at + n <= len(s)]
         at = at[row[at] == row[at + n - 1]]
-        twice, _ = _repeated(mix(span_hashes(words, at, at + n) ^ mix(row[at].astype(np.uint64))))
+        twice, _ = _repeated(mix(rolling_hashes(words, at, at + n) ^ mix(row[at].astype(np.uint64))))
         at = at[twice]
         edge = np.bincount(at, minlength=len(s) + 1) - np.bincount(at + n, minlength=len(s) + 1)[: len(s) + 1]
         covered = np.cumsum(edge)[: len(s)] > 0
