@@ -6,14 +6,19 @@ nominate pairs, signatures drop pairs far below the threshold, and every link
 is confirmed on the full sets of both texts. Documents with equal sets stand
 as one. Components come from alternating large-star and small-star.
 
-A band's bucket is never paired out. In a round each bucket has a few pivots,
-and only members of other components are compared with them; with the links
-found, components are made anew. A bucket is settled when it lies in one
-component or each of its members but one has been a pivot, so no link between
-members of a bucket is lost, and a large group of copies costs as many
-comparisons as it has members. A large bucket that lies in several components
-(unlike documents with a common passage) is dealt anew by rare shingles; what is
-left of those is compared in blocks, whose tasks give links only.
+A band's bucket is never paired out. Each member meets the bucket's pivot, the
+member that meets most others in all bands; a group of copies costs as many
+comparisons as it has members. A bucket whose other members lie in several
+components after that is open. The documents of open buckets meet again by
+their rarest shingles: two sets that are PERCENT similar have their first common
+shingle, in order of rarity, so early in both that enough may follow. Only
+documents of different components are compared there, and at least one of them
+outside the shingle's largest component, so neither a group of copies nor a
+passage in unlike documents makes pairs. This second way loses nothing.
+
+What may be lost: two sets at exactly PERCENT similarity meet in no band with
+probability (1 - 0.75**4)**32 = 5e-6, less above it, and fall below LEAST_EQUAL
+equal minima with 3e-7; a document linked to others is lost only with all its links.
 
 Defined results: no words or a null text gives an empty set, linked with
 nothing and kept; fewer than SHINGLE words are one shingle; rows with equal
@@ -32,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_batches, blocks, byte_hashes, materialise, rolling_hashes, table, utf8_rows, word_spans
+from .common import arrow_batches, blocks, byte_hashes, materialise, mix, rolling_hashes, table, utf8_rows, word_spans
 from .components import connected_components
 
 SHINGLE, PERCENT = 5, 75
@@ -40,19 +45,8 @@ BANDS, BAND_ROWS = 32, 4
 HASHES = BANDS * BAND_ROWS
 #: Equal minima of a pair below which its similarity can't be 0.75 (5 deviations).
 LEAST_EQUAL = 71
-#: Pivots of a bucket in the first round; each further round has MORE times as many.
-FIRST, MORE = 2, 16
-#: Buckets with more members than this that aren't settled by the first round are dealt
-#: anew by rare shingles, and those that aren't settled by the second are compared in blocks.
-#: The second round, with as many pivots, settles all others.
-LARGE = FIRST * MORE
-#: Documents of a block, and shingles of a matrix of documents by shingles.
-BLOCK, MATRIX_COLUMNS = 512, 4096
 #: Pairs whose two texts a task holds at once.
 PAIR_ROWS = 256
-#: Two bits of each minimum; of a similar pair at most MOST_BITS of the 256 differ (32 are expected, 5 deviations more).
-SKETCH, MOST_BITS = ("k0", "k1", "k2", "k3"), 64
-PROFILE = ["weight", "n", *SKETCH]
 SEED = 20_240_229
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -95,7 +89,8 @@ def signatures(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "set_hash", "signature", *SKETCH]
+    names = ["doc_id", "n_shingles", "set_hash", "bands", "signature"]
+    nth = np.arange(BANDS, dtype=np.uint64) << np.uint64(32)
     for batch in batches:
         data, bounds = utf8_rows(batch.column(1))
         for i, j in blocks(np.diff(bounds)):
@@ -106,13 +101,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.cumsum(number[rows]) - number[rows]
             set_hash, signature = [None] * (j - i), [None] * (j - i)
             minima = signatures(h, starts) if len(rows) else np.zeros((0, HASHES), np.uint32)
-            bits = np.concatenate([np.packbits(minima & 1, axis=1), np.packbits(minima >> 1 & 1, axis=1)], axis=1)
-            sketch = np.zeros((j - i, len(SKETCH)), np.int64)
-            sketch[rows] = np.ascontiguousarray(bits).view(np.int64).reshape(len(rows), len(SKETCH))
+            key = np.broadcast_to(nth, (len(rows), BANDS))
+            for k in range(BAND_ROWS):
+                key = mix(key + minima[:, k::BAND_ROWS])
+            bands = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.where(number > 0, BANDS, 0))), pa.int32()), pa.array(key.reshape(-1).view(np.int64)))
             for k, (r, s, n) in enumerate(zip(rows.tolist(), starts.tolist(), number[rows].tolist(), strict=True)):
                 set_hash[r] = hashlib.blake2b(h[s : s + n], digest_size=16).digest()
                 signature[r] = minima[k].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(number), pa.array(set_hash, pa.binary()), pa.array(signature, pa.binary()), *map(pa.array, sketch.T.copy())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(number), pa.array(set_hash, pa.binary()), bands, pa.array(signature, pa.binary())], names)
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,162 +142,85 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same = (h[1:] == h[:-1]) & (row[1:] == row[:-1])
             both[i:j] = np.bincount(row[1:][same], minlength=j - i)
         keep = pa.array(100 * both >= PERCENT * (size[0] + size[1] - both))
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["u", "v"])
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of a document; ``part`` tells texts of one doc_id apart."""
     for batch in batches:
         data, bounds = utf8_rows(batch.column(1))
         for i, j in blocks(np.diff(bounds)):
             at = bounds[i : j + 1]
-            row, h = shingles(data[at[0] : at[-1]], at - at[0])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(np.bincount(row, minlength=j - i)[row]), pa.array(h.view(np.int64))], ["doc", "size", "shingle"])
+            own, at = data[at[0] : at[-1]], at - at[0]
+            row, h = shingles(own, at)
+            number, part = np.bincount(row, minlength=j - i), byte_hashes(own, at[:-1], at[1:]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(part[row]), pa.array(number[row]), pa.array(h.view(np.int64))], ["doc", "part", "size", "shingle"])
 
 
-def _by_rare_shingles(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Buckets of the documents of ``rows`` (doc, weight, component, used) by their
-    rarest shingles: sets that are PERCENT similar share one of the n - ceil(PERCENT n)
-    + 1 rarest of either, so no link is lost, and what many documents hold is in few prefixes."""
-    wanted = rows.groupBy("doc").agg(*[F.first(c).alias(c) for c in (*PROFILE, "component")])
-    held = materialise(texts.join(wanted.select("doc"), "doc", "left_semi").select("doc", "text").mapInArrow(_shingle_rows, "doc long, size long, shingle long"))
+def _rare_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components of members (doc, component) that share
+    a shingle behind which, in order of rarity, as many may follow as a link needs."""
+    held = materialise(texts.join(members, "doc", "left_semi").select("doc", "text").mapInArrow(_shingle_rows, "doc long, part long, size long, shingle long"))
     often = held.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
-    rare = Window.partitionBy("doc").orderBy(F.coalesce("often", F.lit(1)), "shingle")
-    prefix = held.join(often, "shingle", "left").withColumn("nth", F.row_number().over(rare)).where(F.expr(f"nth <= size - ceil({PERCENT} * size / 100) + 1 and often is not null"))
-    return prefix.join(wanted, "doc").select(F.xxhash64(F.lit("prefix"), "shingle").alias("key"), "doc", *[wanted[c] for c in PROFILE], "component", F.lit(False).alias("used"))
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, bounds = utf8_rows(batch.column(1))
-        for i, j in blocks(np.diff(bounds)):
-            at = bounds[i : j + 1]
-            row, h = shingles(data[at[0] : at[-1]], at - at[0])
-            cuts = np.searchsorted(row, np.arange(j - i + 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([h[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], ["doc", "members"])
-
-
-def _links_in_block(rows: pa.Table) -> pa.Table:
-    """Links between components of a block of documents, from exact sizes of all
-    intersections; only as many as join what they join."""
-    doc, component = rows.column("doc").to_numpy(), rows.column("component").to_numpy()
-    _, one = np.unique(doc, return_index=True)
-    doc, component = doc[one], component[one]
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("members").combine_chunks().take(pa.array(one))]
-    size = np.array([len(x) for x in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), size)
-    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times[column] > 1
-    owner, column = owner[shared], column[shared]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], np.cumsum(np.append(0, column[order][1:] != column[order][:-1]))[: len(order)]
-    both = np.zeros((len(sets), len(sets)), np.float32)
-    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, MATRIX_COLUMNS):
-        a, b = np.searchsorted(column, [lo, lo + MATRIX_COLUMNS])
-        has = np.zeros((len(sets), MATRIX_COLUMNS), np.float32)
-        has[owner[a:b], column[a:b] - lo] = 1
-        both += has @ has.T
-    near = (100 * both >= PERCENT * (size[:, None] + size[None, :] - both)) & (component[:, None] != component[None, :])
-    root = {c: c for c in component.tolist()}
-
-    def find(c: int) -> int:
-        while root[c] != c:
-            c = root[c]
-        return c
-
-    links = []
-    for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
-        a, b = find(int(component[i])), find(int(component[j]))
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            links.append((int(doc[i]), int(doc[j])))
-    return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
-
-
-def _block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (u, v) inside the large buckets of ``rows`` (key, doc, component): a bucket
-    is dealt into blocks of about BLOCK documents, each two of which meet in a task of
-    bounded size; no pair leaves it but links."""
-    parts = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
-    dealt = rows.join(parts, "key").select("key", "doc", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    sets = materialise(texts.join(rows.select("doc").distinct(), "doc", "left_semi").select("doc", "text").mapInArrow(_sets, "doc long, members binary"))
-    met = dealt.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("task"), "doc", "component").join(sets, "doc")
-    return met.groupBy("task").applyInArrow(_links_in_block, "u long, v long")
+    own = Window.partitionBy("doc", "part")
+    repeated = held.join(often, "shingle")
+    # Shingles that nobody else has come first and meet nothing.
+    nth = F.row_number().over(own.orderBy("often", "shingle")) - F.count("*").over(own) + F.col("size")
+    early = repeated.withColumn("left", F.col("size") - nth + 1).where(100 * F.col("left") >= PERCENT * F.col("size"))
+    early = materialise(early.join(members, "doc").select("shingle", "doc", "component", "size", "left"))
+    heads = early.groupBy("shingle", "component").agg(F.count("*").alias("rows")).groupBy("shingle").agg(F.max(F.struct("rows", "component")).alias("most"), F.count("*").alias("number"))
+    heads = materialise(heads.where("number > 1").select("shingle", F.col("most.component").alias("main")))
+    near = materialise(early.join(heads, "shingle"))
+    other = near.where("component != main").select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("doc", "component", "size", "left")])
+    differ = (F.col("component") != F.col("other_component")) & ((F.col("component") == F.col("main")) | (F.col("doc") < F.col("other_doc")))
+    length = 100 * F.least("size", "other_size") >= PERCENT * F.greatest("size", "other_size")
+    enough = (100 + PERCENT) * F.least("left", "other_left") >= PERCENT * (F.col("size") + F.col("other_size"))
+    return near.join(other, "shingle").where(differ & length & enough).select(F.least("doc", "other_doc").alias("a"), F.greatest("doc", "other_doc").alias("b")).distinct()
 
 
 def _links(pairs: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links: by signature, then by full sets."""
+    """Links (u, v): the pairs (a, b) that pass by signature, then by full sets."""
     side = lambda df, value, end: df.select(F.col("doc").alias(end), F.col(value).alias(f"{value}_{end}"))
     near = pairs.join(side(signed, "signature", "a"), "a").join(side(signed, "signature", "b"), "b").mapInArrow(_alike, "a long, b long")
     whole = near.join(side(texts, "text", "a"), "a").join(side(texts, "text", "b"), "b")
-    return whole.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed, "a long, b long")
+    with arrow_batches(pairs.sparkSession, PAIR_ROWS):
+        return materialise(whole.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed, "u long, v long"))
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of each row."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = materialise(slim.mapInArrow(_sign, "doc_id long, n_shingles long, set_hash binary, signature binary, " + ", ".join(f"{k} long" for k in SKETCH)))
-    named = signed.where("doc_id is not null and n_shingles > 0")
-    leads = named.groupBy("set_hash").agg(F.min("doc_id").alias("lead"))
-    of = leads.select("lead", F.col("set_hash").alias("of"))
-    one = named.join(of, (F.col("doc_id") == F.col("lead")) & (F.col("set_hash") == F.col("of"))).select(F.col("doc_id").alias("doc"), "signature", F.col("n_shingles").alias("n"), *SKETCH)
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("signature", b * (4 * BAND_ROWS) + 1, F.lit(4 * BAND_ROWS))))
-    bands = one.select(F.explode(band).alias("key"), "doc")
+    signed = materialise(slim.mapInArrow(_sign, "doc_id long, n_shingles long, set_hash binary, bands array<long>, signature binary"))
+    filled = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    sets = materialise(signed.where(filled).groupBy("set_hash").agg(F.min("doc_id").alias("doc")))
+    lead = sets.select("doc", F.col("set_hash").alias("of"))
+    one = materialise(signed.join(lead, (F.col("doc_id") == F.col("doc")) & (F.col("set_hash") == F.col("of"))).select("doc", "bands", "signature"))
+    bands = one.select(F.explode("bands").alias("key"), "doc")
     counts = bands.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = materialise(bands.join(counts, "key"))
-    # How often a document meets others: the middle of a group of near copies comes first as a pivot.
+    # How often a document meets others: the middle of a group of near copies is the pivot.
     weights = shared.groupBy("doc").agg(F.sum("members").alias("weight"))
+    pivots = materialise(shared.join(weights, "doc").groupBy("key").agg(F.max(F.struct("weight", "doc")).alias("top")).select("key", F.col("top.doc").alias("pivot")))
+    others = materialise(shared.select("key", "doc").join(pivots, "key").where("doc != pivot"))
     texts = materialise(slim.join(weights.select("doc"), F.col("doc_id") == F.col("doc"), "left_semi").select(F.col("doc_id").alias("doc"), "text"))
-    signed_members = materialise(one.join(weights, "doc"))
-    members = shared.select("key", "doc").distinct().join(signed_members.select("doc", *PROFILE), "doc")
-
-    active = materialise(members.withColumn("component", F.col("doc")).withColumn("used", F.lit(False)))
-    tested, labels, pivots = None, None, FIRST
-    while True:
-        buckets = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.sum((~F.col("used")).cast("int")).alias("fresh"))
-        open_rows = active.join(buckets.where("low != high and fresh > 1").select("key"), "key")
-        nth = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "doc"))
-        picked = open_rows.where(~F.col("used")).withColumn("nth", nth).where(F.col("nth") <= pivots)
-        chosen = materialise(picked.select("key", *[F.col(c).alias(f"pivot_{c}") for c in ("component", "n", *SKETCH)], F.col("doc").alias("pivot")))
-        if not chosen.head(1):
-            break
-        differ = sum((F.bit_count(F.col(k).bitwiseXOR(F.col(f"pivot_{k}"))) for k in SKETCH), F.lit(0))
-        close = (PERCENT * F.greatest("n", "pivot_n") <= 100 * F.least("n", "pivot_n")) & (differ <= MOST_BITS)
-        met = active.join(chosen, "key").where((F.col("component") != F.col("pivot_component")) & close)
-        pairs = met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        with arrow_batches(docs.sparkSession, PAIR_ROWS):
-            found = materialise(_links(pairs, signed_members, texts)).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        edges = found if labels is None else found.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        labels = connected_components(edges)
-        renamed = labels.select(F.col("node").alias("doc"), F.col("component").alias("label"))
-        now_used = chosen.select("key", F.col("pivot").alias("doc"), F.lit(True).alias("now"))
-        after = active.join(chosen.select("key").distinct(), "key", "left_semi").drop("component").join(renamed, "doc", "left").join(now_used, ["key", "doc"], "left")
-        active = materialise(after.select("key", "doc", *PROFILE, F.coalesce("label", "doc").alias("component"), (F.col("used") | F.col("now").isNotNull()).alias("used")))
-        sizes = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-        large = materialise(sizes.where(F.col("low") != F.col("high")).where(F.col("size") > LARGE).select("key"))
-        if large.head(1):
-            rest, many = active.join(large, "key", "left_anti").select(*active.columns), active.join(large, "key", "left_semi")
-            if pivots == FIRST:
-                active = materialise(rest.unionByName(_by_rare_shingles(many, texts).select(*active.columns)))
-            else:
-                more = materialise(_block_links(many.select("key", "doc", "component"), texts))
-                labels = connected_components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v"))))
-                active = rest
-        if pivots > FIRST:
-            break
-        pivots *= MORE
-
-    result = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_hash")).alias("set_hash")).join(leads, "set_hash", "left")
-    if labels is not None:
-        result = result.join(labels.select(F.col("node").alias("lead"), "component"), "lead", "left")
-    else:
-        result = result.withColumn("component", F.lit(None).cast("long"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "lead", "doc_id"))
-    return result.select("doc_id", "n_shingles", component.alias("component_id"))
+    signatures_of = materialise(one.join(weights, "doc", "left_semi").select("doc", "signature"))
+    found = _links(others.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct(), signatures_of, texts)
+    labels = connected_components(found)
+
+    of = labels.select(F.col("node").alias("doc"), "component")
+    component = F.coalesce("component", "doc").alias("component")
+    open_keys = others.join(of, "doc", "left").select("key", component).groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
+    met = others.join(materialise(open_keys), "key", "left_semi")
+    members = materialise(met.select("doc").unionByName(met.select(F.col("pivot").alias("doc"))).distinct().join(of, "doc", "left").select("doc", component))
+    if members.head(1):
+        more = _links(_rare_pairs(members, texts), signatures_of, texts)
+        if more.head(1):
+            of = connected_components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v")))).select(F.col("node").alias("doc"), "component")
+
+    # A row for each set, so that the rows of a group of copies meet one row.
+    named = materialise(sets.join(of, "doc", "left").select("set_hash", component))
+    linked = signed.where(filled).join(named, "set_hash").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    return linked.unionByName(signed.where(~filled).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
