@@ -4,6 +4,7 @@ alignment of a pair, and the errors of an aligned pair."""
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,13 @@ def rows_of(seqs: list[str]) -> np.ndarray:
     return np.frombuffer("".join(seqs).encode("latin-1"), np.uint8).reshape(len(seqs), -1)
 
 
+def texts_of(rows: np.ndarray) -> list[str]:
+    """The sequences of a byte matrix."""
+    width = rows.shape[1]
+    text = np.ascontiguousarray(rows).tobytes().decode("latin-1")
+    return [text[k : k + width] for k in range(0, len(text), width)] if width else [""] * len(rows)
+
+
 def global_alignment(a: str, b: str) -> tuple[str, str]:
     """Needleman-Wunsch with linear gaps; equal lengths with few differences stay ungapped."""
     if len(a) == len(b) and sum(x != y for x, y in zip(a, b, strict=True)) <= max(2, len(a) // 10):
@@ -68,6 +76,7 @@ def errors_of(aligned: str, ref: str) -> tuple[list[int], list[int], list[int],
     return subs, ins, dels, homo
 
 
+@lru_cache(1 << 16)
 def compare_pair(seq: str, ref: str) -> tuple[int, int, int, int, int, int]:
     """Identical columns, all columns, substitutions, insertions, deletions, homopolymer indels."""
     a, b = global_alignment(seq, ref)
@@ -84,6 +93,15 @@ def pair_errors(seq: pd.Series, ref: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([compare_pair(a, b) for a, b in zip(seq, ref, strict=True)], columns=_ERRORS.names)
 
 
+_POSITIONS = T.StructType([T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("subs", "ins", "dels", "homo")])
+
+
+@F.pandas_udf(_POSITIONS)
+def error_positions(aligned: pd.Series, ref: pd.Series) -> pd.DataFrame:
+    """1-based columns of the errors of an aligned pair, by kind."""
+    return pd.DataFrame([errors_of(a, b) for a, b in zip(aligned, ref, strict=True)], columns=_POSITIONS.names)
+
+
 @F.pandas_udf(_ALIGNED)
 def pair_alignment(seq: pd.Series, ref: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([global_alignment(a, b) for a, b in zip(seq, ref, strict=True)], columns=_ALIGNED.names)

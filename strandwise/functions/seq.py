@@ -5,7 +5,7 @@ closed. Null in gives null out unless stated."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: IUPAC letters and their complements, in order.
@@ -14,6 +14,8 @@ IUPAC, COMPLEMENT = "ACGTUMRWSYKVHDBXN", "TGCAAKYWSRMBDHVXN"
 AMBIGUOUS = {"A": "A", "C": "C", "G": "G", "T": "T", "U": "T", "M": "AC", "R": "AG", "W": "AT", "S": "CG", "Y": "CT", "K": "GT", "V": "ACG", "H": "ACT", "D": "AGT", "B": "CGT", "N": "ACGT", "X": "ACGT"}
 #: The standard genetic code, by first, second and third base in the order TCAG.
 GENETIC_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+#: Letters that stand for several amino acids.
+AMINO_SETS = {"J": "IL", "B": "DN", "Z": "EQ", "X": "ACDEFGHIKLMNPQRSTVWY"}
 #: Amino acids by letter.
 AMINO_ACIDS = {"A": "Ala", "R": "Arg", "N": "Asn", "D": "Asp", "C": "Cys", "Q": "Gln", "E": "Glu", "G": "Gly", "H": "His", "I": "Ile", "L": "Leu", "K": "Lys", "M": "Met", "F": "Phe", "P": "Pro", "S": "Ser", "T": "Thr", "W": "Trp", "Y": "Tyr", "V": "Val", "*": "Ter"}
 LEVELS = ("kingdom", "domain", "phylum", "class", "order", "family", "genus", "species")
@@ -103,6 +105,19 @@ def best_frame(seq: str | Column) -> Column:
     return F.array_min(F.array(*[s.cast("struct<stops:int,frame:int>") for s in stops]))["frame"]
 
 
+def translations(seq: str | Column, both_strands: bool = False, drop_stops: bool = False) -> Column:
+    """Array of frame (1 to 3, negative on the other strand), dna (whole codons) and protein."""
+    strands = [(1, _c(seq)), (-1, reverse_complement(seq))][: 1 + both_strands]
+    whole = lambda dna, f: F.substr(dna, F.lit(f), F.floor((F.length(dna) - f + 1) / 3).cast("int") * 3)
+    every = F.array(*[F.struct(F.lit(side * f).alias("frame"), whole(dna, f).alias("dna"), translate_dna(dna, f).alias("protein")) for side, dna in strands for f in (1, 2, 3)])
+    return F.filter(every, lambda t: ~F.contains(t["protein"], F.lit("*"))) if drop_stops else every
+
+
+def has_stop_in(seq: str | Column, frame: str | Column) -> Column:
+    """Is there a stop in the frame that a column names? True where it names none."""
+    return F.coalesce(F.get(F.array(*[has_stop(seq, f) for f in (1, 2, 3)]), _c(frame) - 1), F.lit(True))
+
+
 def hamming(a: str | Column, b: str | Column) -> Column:
     """Differing positions; null if lengths differ."""
     differ = F.aggregate(F.zip_with(letters(a), letters(b), lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, x: s + x)
@@ -142,6 +157,15 @@ def identity(a: str | Column, b: str | Column) -> Column:
     return F.struct(F.size(F.filter(pairs, lambda p: p["x"] == p["y"])).alias("matches"), F.size(pairs).alias("total"))
 
 
+def shared_identity(a: str | Column, b: str | Column) -> Column:
+    """As ``identity``, but a column scores the share of its bases, as IUPAC sets, that both have."""
+    sets = _map(AMBIGUOUS)
+    of = lambda x: letters(F.coalesce(F.try_element_at(sets, F.upper(x)), F.lit("")))
+    pairs = F.filter(F.zip_with(letters(a), letters(b), lambda x, y: F.struct(of(x).alias("x"), of(y).alias("y"))), lambda p: (F.size(p["x"]) > 0) | (F.size(p["y"]) > 0))
+    score = F.aggregate(pairs, F.lit(0.0), lambda t, p: t + F.size(F.array_intersect(p["x"], p["y"])) / F.greatest(F.size(p["x"]), F.size(p["y"])))
+    return F.struct(score.alias("score"), F.size(pairs).alias("total"))
+
+
 def error_label(subs: Column, ins: Column, dels: Column, homo: Column) -> Column:
     part = lambda name, n: F.when(n > 0, F.concat(F.lit(name), n.cast("string"))).otherwise("")
     return F.concat(part("X", subs), part("I", ins), part("D", dels), part("H", homo))
@@ -164,6 +188,12 @@ def mean_phred(qual: str | Column, kind: str = "sanger") -> Column:
     return F.aggregate(letters(qual), F.lit(0), lambda s, c: s + F.ascii(c)) / F.nullif(F.length(_c(qual)), F.lit(0)) - PHRED_OFFSET[kind]
 
 
+def quality_by_position(reads: DataFrame, qual: str = "qual", kind: str = "sanger") -> DataFrame:
+    """pos (from 1), mean_quality and reads of all qualities at each position."""
+    each = reads.select(F.posexplode(phred_values(qual, kind)).alias("pos", "value"))
+    return each.groupBy((F.col("pos") + 1).alias("pos")).agg(F.avg("value").alias("mean_quality"), F.count("*").alias("reads"))
+
+
 def header_fields(header: str | Column) -> Column:
     """Map of the ``key=value`` parts of ``name | key=value | ...``; ``name`` has the first part."""
     parts = F.split(_c(header), r"\s*\|\s*")
@@ -172,6 +202,14 @@ def header_fields(header: str | Column) -> Column:
     return F.map_from_entries(F.concat(F.array(F.struct(F.lit("name").alias("key"), F.trim(parts[0]).alias("value"))), entries))
 
 
+def header_segments(header: str | Column) -> Column:
+    """Map of the segments that ``tcrv=..`` or ``trv=..`` marks of a header name (tcrv, tcrj, ...) to their values."""
+    every = lambda k: F.regexp_extract_all(_c(header), F.lit(r"(?i)tc?r(\S?)=(\S+)"), F.lit(k))
+    names = F.transform(every(1), lambda x: F.concat(F.lit("tcr"), F.lower(x)))
+    pairs = F.arrays_zip(names.alias("name"), every(2).alias("value"))
+    return F.map_from_entries(F.transform(F.array_distinct(names), lambda n: F.struct(n, F.transform(F.filter(pairs, lambda p: p["name"] == n), lambda p: p["value"]))))
+
+
 def platform(read_name: str | Column) -> Column:
     name = F.regexp_replace(_c(read_name), "^[@>]", "")
     return (
@@ -182,20 +220,28 @@ def platform(read_name: str | Column) -> Column:
     )
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with ``value`` computed once a row."""
+    return F.transform(F.array(value), body)[0]
+
+
 def read_taxonomy(text: str | Column) -> Column:
     """Struct of LEVELS from ``k:..,d:..,p:..``; nothing below an "unidentified" level;
     a genus repeated at the start of the species goes."""
-    parts = F.transform(F.split(_c(text), "[,;]"), lambda p: F.trim(p))
-    named = F.transform(F.array(*[F.lit(x[0]) for x in LEVELS]), lambda k: F.get(F.filter(parts, lambda p: F.substring(p, 1, 2) == F.concat(k, F.lit(":"))), F.lit(0)))
-    value = lambda i: F.nullif(F.substr(F.get(named, F.lit(i)), F.lit(3), F.length(_c(text))), F.lit(""))
-    known, out = F.lit(True), []
-    for i, level in enumerate(LEVELS):
-        v = value(i)
-        known = known & ~F.coalesce(F.lower(v).startswith("unidentified"), F.lit(False))
-        if level == "species":
-            v = F.when(v.startswith(F.concat(value(i - 1), F.lit(" "))), F.substr(v, F.length(value(i - 1)) + 2, F.length(v))).otherwise(v)
-        out.append(F.when(known, v).alias(level))
-    return F.struct(*out)
+
+    def of(parts: Column) -> Column:
+        found = lambda k: F.get(F.filter(parts, lambda p: F.substring(p, 1, 2) == F.concat(k, F.lit(":"))), F.lit(0))
+        return F.transform(F.array(*[F.lit(x[0]) for x in LEVELS]), lambda k: F.nullif(F.substring(found(k), 3, 1 << 30), F.lit("")))
+
+    def levels(values: Column) -> Column:
+        value = lambda i: F.get(values, F.lit(i))
+        species, genus = value(len(LEVELS) - 1), value(len(LEVELS) - 2)
+        short = F.when(species.startswith(F.concat(genus, F.lit(" "))), F.substr(species, F.length(genus) + 2, F.length(species))).otherwise(species)
+        unknown = F.array_position(F.transform(values, lambda v: F.coalesce(F.lower(v).startswith("unidentified"), F.lit(False))), F.lit(True))
+        known = lambda u, i: (u == 0) | (u > i + 1)
+        return let(unknown, lambda u: F.struct(*[F.when(known(u, i), short if level == "species" else value(i)).alias(level) for i, level in enumerate(LEVELS)]))
+
+    return let(let(F.transform(F.split(_c(text), "[,;]"), lambda p: F.trim(p)), of), levels)
 
 
 def print_taxonomy(taxonomy: str | Column) -> Column:
@@ -220,6 +266,18 @@ def iupac_of(bases: str | Column) -> Column:
     return F.try_element_at(codes, F.array_join(F.array_sort(F.array_distinct(_c(bases))), ""))
 
 
+def amino_set_of(letters_: str | Column) -> Column:
+    """Letter of an array of amino acids; X for sets without a letter of their own."""
+    codes = _map({v: k for k, v in AMINO_SETS.items()})
+    key = F.array_join(F.array_sort(F.array_distinct(_c(letters_))), "")
+    return F.when(F.length(key) == 1, key).when(F.length(key) > 1, F.coalesce(F.try_element_at(codes, key), F.lit("X")))
+
+
+def amino_acids_of(letter: str | Column) -> Column:
+    """Array of the amino acids that a letter stands for."""
+    return letters(F.coalesce(F.try_element_at(_map(AMINO_SETS), F.upper(_c(letter))), F.upper(_c(letter))))
+
+
 def is_dna(seq: str | Column) -> Column:
     return F.upper(_c(seq)).rlike(f"^[{IUPAC.replace('U', '')}-]+$")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as s
+from ..functions.align import with_pair_errors
 
 
 def exact_matches(variants: DataFrame, alleles: DataFrame, least: int, both_strands: bool = False, word: int = 16) -> DataFrame:
@@ -25,12 +26,24 @@ def exact_matches(variants: DataFrame, alleles: DataFrame, least: int, both_stra
     return inside.select("md5", "name").unionByName(outside.select("md5", "name")).distinct()
 
 
-def seed_hits(variants: DataFrame, references: DataFrame, word: int = 10, max_ref_words: int = 100_000) -> DataFrame:
+def _words(df: DataFrame, key: str, name: str, word: int) -> DataFrame:
+    """(name, at, w): the words of each sequence."""
+    long = df.select(F.col(key).alias(name), "seq").distinct().where(F.length("seq") >= word)
+    return long.select(name, F.posexplode(F.transform(F.sequence(F.lit(1), F.length("seq") - word + 1), lambda i: F.substr("seq", i, F.lit(word)))).alias("at", "w"))
+
+
+def word_hits(variants: DataFrame, references: DataFrame, word: int = 8) -> DataFrame:
+    """query, subject, ident, aligned of the global alignments of all pairs that share a
+    word. Sequences of n bases with k differing columns share one of n // (k + 1) bases."""
+    pairs = _words(variants, "md5", "query", word).select("query", "w").distinct().join(_words(references, "name", "subject", word).select("subject", "w").distinct(), "w").select("query", "subject").distinct()
+    whole = pairs.join(variants.select(F.col("md5").alias("query"), F.col("seq").alias("qs")).distinct(), "query").join(references.select(F.col("name").alias("subject"), F.col("seq").alias("ss")), "subject")
+    return with_pair_errors(whole, "qs", "ss").select("query", "subject", "e.ident", "e.aligned")
+
+
+def seed_hits(variants: DataFrame, references: DataFrame, word: int = 10) -> DataFrame:
     """query, subject, ident, aligned of ungapped matches on a shared diagonal. Pairs
     come from an equi-join on words and meet by diagonal; each is then scored whole."""
-    words = lambda df, key: df.select(key, F.posexplode(F.transform(F.sequence(F.lit(1), F.length("seq") - word + 1), lambda i: F.substr("seq", i, F.lit(word)))).alias("at", "w"))
-    q = words(variants.select(F.col("md5").alias("query"), "seq").distinct().where(F.length("seq") >= word), "query")
-    r = words(references.select(F.col("name").alias("subject"), "seq").where(F.length("seq") >= word), "subject")
+    q, r = _words(variants, "md5", "query", word), _words(references, "name", "subject", word)
     diagonals = q.withColumnRenamed("at", "qa").join(r, "w").select("query", "subject", (F.col("qa") - F.col("at")).alias("diagonal")).groupBy("query", "subject", "diagonal").agg(F.count("*").alias("seeds"))
     whole = diagonals.join(variants.select(F.col("md5").alias("query"), F.col("seq").alias("qs")).distinct(), "query").join(references.select(F.col("name").alias("subject"), F.col("seq").alias("ss")), "subject")
     a = F.substr("qs", F.greatest(F.col("diagonal"), F.lit(0)) + 1, F.length("qs"))
@@ -116,22 +129,22 @@ def alleles_over_exons(candidates: DataFrame) -> DataFrame:
 
 def corrected_coverage(reads: DataFrame, most: int = 2, ratio: float = 5) -> DataFrame:
     """(locus, allele, read): alleles by reads, reads of better alleles taken off; an
-    allele stays while the one before has under ``ratio`` times its reads, ``most`` at most."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        sets = {a: set(g) for a, g in rows.groupby("allele")["read"]}
-        claimed: set = set()
-        out, before = [], None
-        for a in sorted(sets, key=lambda a: (-len(sets[a]), a)):
-            own = len(sets[a] - claimed)
-            kept = own > 0 and len(out) < most and (before is None or before < ratio * own)
-            claimed |= sets[a]
-            if own:
-                out.append((rows["locus"].iloc[0], a, len(sets[a]), own, kept)) if kept or before is not None else None
-                before = own
-        return pd.DataFrame(out, columns=["locus", "allele", "reads", "corrected", "kept"])
-
-    return reads.groupBy("locus").applyInPandas(run, "locus string, allele string, reads long, corrected long, kept boolean")
+    allele stays while the one before has under ``ratio`` times its reads, ``most`` at most.
+    A read counts for the best allele that has it; of a locus only its alleles meet."""
+    rows = reads.select("locus", "allele", "read").distinct()
+    counts = rows.groupBy("locus", "allele").agg(F.count("*").alias("reads"))
+    better = F.struct((-F.col("reads")).alias("r"), "allele")
+    first = rows.join(counts, ["locus", "allele"]).groupBy("locus", "read").agg(F.min(better)["allele"].alias("allele"))
+    own = first.groupBy("locus", "allele").agg(F.count("*").alias("corrected"))
+
+    def keep(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, kept, before = rows.sort_values(["reads", "allele"], ascending=[False, True]), [], None
+        for n in rows["corrected"]:
+            kept.append(sum(kept) < most and (before is None or before < ratio * n))
+            before = n
+        return rows.assign(kept=kept)
+
+    return counts.join(own, ["locus", "allele"]).groupBy("locus").applyInPandas(keep, "locus string, allele string, reads long, corrected long, kept boolean")
 
 
 def frequent_alleles(found: DataFrame, frequent: DataFrame) -> DataFrame:

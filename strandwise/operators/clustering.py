@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from ..functions import seq as s
 from ..functions.align import compare_pair, rows_of, with_pair_errors
-from .variants import AMPLICON, by_depth
+from .variants import AMPLICON, by_depth, degree_of_change
 
 MEMBERS = "marker string, sample string, cluster int, role string, md5 string, seq string, depth long, counted boolean, subs int, ins int, dels int, homo int"
 _COLUMNS = [c.split()[0] for c in MEMBERS.split(", ")]
@@ -186,12 +186,19 @@ def cluster_segments(seqs: DataFrame, keys: list[str], min_percent: float = 0.1,
     return seqs.groupBy(*keys).applyInPandas(run, schema)
 
 
-def is_dominant(seq: str | Column, lengths: str | Column) -> Column:
-    """A right length, or in frame with one (at most 90 % off), and no stop in frame 1."""
+def is_dominant(seq: str | Column, lengths: str | Column, ins: Column | None = None, dels: Column | None = None) -> Column:
+    """A right length, or in frame with one (at most 90 % off), and no stop in frame 1.
+    With the columns of indels against a reference: one of each within 9 columns, or
+    both in threes that lie within 3 columns."""
     n = F.length(seq)
     lengths = F.col(lengths) if isinstance(lengths, str) else lengths
     in_frame = F.exists(lengths, lambda x: (F.abs(n - x) % 3 == 0) & (F.abs(n - x) <= 0.9 * x))
-    return (F.array_contains(lengths, n) | in_frame) & ~s.has_stop(seq)
+    fine = (F.array_contains(lengths, n) | in_frame) & ~s.has_stop(seq)
+    if ins is None or dels is None:
+        return fine
+    threes = lambda x: (F.size(x) % 3 == 0) & F.forall(F.transform(x, lambda at, k: F.struct(at.alias("at"), k.alias("k"))), lambda e: (e["k"] % 3 != 2) | (e["at"] - F.get(x, e["k"] - 2) <= 2))
+    both = (F.size(ins) == 1) & (F.size(dels) == 1) & (F.abs(F.get(ins, F.lit(0)) - F.get(dels, F.lit(0))) <= 9)
+    return fine & (both | (threes(ins) & threes(dels)))
 
 
 def compare_within(variants: DataFrame, top: int = 0) -> DataFrame:
@@ -223,11 +230,15 @@ def chimeras(variants: DataFrame, least: int = 10, top: int = 0) -> DataFrame:
     return ok.groupBy(*key).agg(first.alias("x")).select(*key, "x.left_parent", "x.right_parent")
 
 
-def filter_artefacts(variants: DataFrame, min_depth: int = 0, min_percent: float = 0, min_dominant_percent: float = 0, lengths: list[int] | None = None, length_error: int | None = None, frameshift: bool = False, stops: bool = False, max_alleles: int = 0, chimera: int = 0) -> DataFrame:
+def filter_artefacts(variants: DataFrame, min_depth: int = 0, min_percent: float = 0, min_dominant_percent: float = 0, lengths: list[int] | None = None, length_error: int | None = None, frameshift: bool = False, stops: bool = False, max_alleles: int = 0, chimera: int = 0, degree: bool = False, min_cluster_size: int = 0, min_identical: int = 0) -> DataFrame:
     """Adds reasons (all failed tests) and kept. The plain tests are expressions; the
     number of alleles and chimeras of kept variants walk the amplicon by depth.
-    ``variants`` has freq (percent of the raw amplicon depth)."""
+    ``variants`` has freq (percent of the raw amplicon depth) and, for min_cluster_size,
+    cluster_size. degree: what comes after the sharpest fall of depth goes, in place of the
+    plain tests. min_identical: identical columns with the top variant. stops: in the first
+    frame without one that the deepest variant has, which has such a frame."""
     top = F.first("freq").over(by_depth(*AMPLICON))
+    whole = by_depth(*AMPLICON).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     n = F.length("seq")
     known = F.array(*[F.lit(x) for x in lengths or []])
     tests = [F.when(F.col("depth") < min_depth, "depth"), F.when(F.col("freq") < min_percent, "frequency"), F.when(100 * F.col("freq") < min_dominant_percent * top, "dominant frequency")]
@@ -235,9 +246,20 @@ def filter_artefacts(variants: DataFrame, min_depth: int = 0, min_percent: float
         tests.append(F.when(~F.exists(known, lambda x: F.abs(n - x) <= length_error), "length"))
     if frameshift:
         tests.append(F.when(~F.exists(known, lambda x: (n - x) % 3 == 0), "frameshift"))
+    if min_cluster_size:
+        tests.append(F.when(F.col("cluster_size") < min_cluster_size, "cluster size"))
+    given = variants.columns
+    if min_identical:
+        variants = with_pair_errors(variants.withColumn("__top", F.first("seq").over(by_depth(*AMPLICON))), "seq", "__top")
+        tests.append(F.when(F.col("e.ident") < min_identical, "identity"))
     if stops:
-        tests.append(F.when(s.has_stop("seq"), "stop"))
-    out = variants.withColumn("reasons", F.array_compact(F.array(*tests)))
+        variants = variants.withColumn("__frame", F.first(F.get(s.open_frames("seq"), F.lit(0)), True).over(whole))
+        tests.append(F.when(s.has_stop_in("seq", "__frame"), "stop"))
+    if degree:
+        fall = degree_of_change(variants).groupBy(*AMPLICON).agg(F.max("n_alleles").alias("__alleles"))
+        variants = variants.join(fall, list(AMPLICON), "left").withColumn("__nth", F.row_number().over(by_depth(*AMPLICON)))
+        tests = [F.when(F.col("__nth") > F.coalesce("__alleles", F.lit(1)), "degree of change")]
+    out = variants.withColumn("reasons", F.array_compact(F.array(*tests))).select(*given, "reasons")
     if max_alleles or chimera:
 
         def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -297,12 +319,13 @@ def genotype_folding(variants: DataFrame, errors: int = 3, percent: float = 2, m
     return variants.select(*AMPLICON, "md5", "seq", "depth").groupBy(*AMPLICON).applyInPandas(run, "marker string, sample string, md5 string, depth long, folded long, verdict string")
 
 
-def genotype_replicates(first: DataFrame, second: DataFrame, errors: int = 2, chimera: int = 10, top: int = 50) -> DataFrame:
+def genotype_replicates(first: DataFrame, second: DataFrame, errors: int = 2, chimera: int = 10, top: int = 0) -> DataFrame:
     """Three steps over two runs: label variants (chimera, copy, distinct), ask for the
-    replicate or another sample, then compare with the deepest artefact."""
-    top_rows = first.withColumn("nth", F.row_number().over(by_depth(*AMPLICON))).where(F.col("nth") <= top)
-    near = compare_within(top_rows.drop("nth")).where(F.col("subs") + F.col("ins") + F.col("dels") <= errors).select(*AMPLICON, F.col("md5_2").alias("md5"), F.lit("copy").alias("c")).distinct()
-    chim = chimeras(top_rows.drop("nth"), chimera).select(*AMPLICON, "md5", F.lit("chimera").alias("h"))
+    replicate or another sample, then compare with the deepest artefact. top: only
+    the deepest ``top`` of an amplicon."""
+    top_rows = first.withColumn("nth", F.row_number().over(by_depth(*AMPLICON))).where(F.col("nth") <= top).drop("nth") if top else first
+    near = compare_within(top_rows).where(F.col("subs") + F.col("ins") + F.col("dels") <= errors).select(*AMPLICON, F.col("md5_2").alias("md5"), F.lit("copy").alias("c")).distinct()
+    chim = chimeras(top_rows, chimera).select(*AMPLICON, "md5", F.lit("chimera").alias("h"))
     key = [*AMPLICON, "md5"]
     twin = second.select(*key, F.lit(True).alias("twin")).distinct()
     other = first.groupBy("marker", "md5").agg(F.countDistinct("sample").alias("n"))

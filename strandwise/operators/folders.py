@@ -9,10 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share; set
-    to a folder of our own only where it is unset (a local session)."""
+    """A new folder below spark.checkpoint.dir, which driver and executors share; where
+    it is unset a local session gets a folder of our own, and any other an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-work-"))
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

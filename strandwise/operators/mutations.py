@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as s
+from ..functions.align import rows_of, texts_of
 
 #: Columns of rows from caller_depths.
 DEPTHS = ("somatic", "passed", "dp", "ad")
@@ -54,10 +57,16 @@ def filter_calls(calls: DataFrame, kind: str = "all", pass_only: bool = False, m
     return out.where((F.col("dp") >= min_depth) & (F.col("ad") >= min_variant_depth) & (100 * F.col("ad") >= min_percent * F.col("dp")))
 
 
-def genotype_rows(calls: DataFrame, min_samples: int = 1, min_pos: int = 0, min_depth: int = 0) -> DataFrame:
-    """Sites in at least ``min_samples`` samples, from min_pos on, at least min_depth deep in each."""
+def genotype_rows(calls: DataFrame, min_samples: int = 1, min_pos: int = 0, min_depth: int = 0, min_quality: float = 0, inside: DataFrame | None = None, outside: DataFrame | None = None) -> DataFrame:
+    """Sites in at least ``min_samples`` samples, from min_pos on, at least min_depth deep
+    (and of min_quality, a column ``quality``) in each; of the sites (chrom, pos, ref, alt) of
+    ``inside`` and not of ``outside``."""
+    site = ["chrom", "pos", "ref", "alt"]
     deep = calls.where((F.col("pos") >= min_pos) & (F.col("dp") >= min_depth))
-    return deep.groupBy("chrom", "pos", "ref", "alt").agg(F.countDistinct("source").alias("samples")).where(F.col("samples") >= min_samples)
+    deep = deep.where(F.col("quality") >= min_quality) if min_quality else deep
+    found = deep.groupBy(*site).agg(F.countDistinct("source").alias("samples")).where(F.col("samples") >= min_samples)
+    found = found.join(inside.select(*site).distinct(), site, "left_semi") if inside is not None else found
+    return found.join(outside.select(*site).distinct(), site, "left_anti") if outside is not None else found
 
 
 def consequence(ref: Column, alt: Column, position: Column, cds: Column) -> Column:
@@ -92,25 +101,31 @@ def within_errors(sam: DataFrame, errors: int | None = None, substitutions: int
 _CIGAR = re.compile(r"(\d+)([MIDNSHP=X])")
 
 
-def aligned_pair(seq: str, ref: str, pos: int, cigar: str) -> tuple[str, str]:
-    """Gapped read and reference of a CIGAR at 1-based ``pos``."""
-    q, r, i, j = [], [], 0, pos - 1
+GAP = ord("-")
+
+
+@lru_cache(4096)
+def cigar_columns(cigar: str) -> tuple[np.ndarray, np.ndarray]:
+    """For each column of a CIGAR's alignment the base of the read and, from the
+    alignment's first, of the reference; -1 for a gap."""
+    q, r, i, j = [], [], 0, 0
     for n, op in ((int(n), op) for n, op in _CIGAR.findall(cigar)):
-        if op in "M=X":
-            q.append(seq[i : i + n])
-            r.append(ref[j : j + n])
-            i, j = i + n, j + n
-        elif op == "I":
-            q.append(seq[i : i + n])
-            r.append("-" * n)
-            i += n
-        elif op in "DN":
-            q.append("-" * n)
-            r.append(ref[j : j + n])
-            j += n
-        elif op == "S":
-            i += n
-    return "".join(q), "".join(r)
+        if op in "M=XIDN":
+            q.append(np.full(n, -1) if op in "DN" else np.arange(i, i + n))
+            r.append(np.full(n, -1) if op == "I" else np.arange(j, j + n))
+        i += n if op in "M=XIS" else 0
+        j += n if op in "M=XDN" else 0
+    return (np.concatenate(q), np.concatenate(r)) if q else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def aligned_rows(rows: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+    """Alignments (seq, ref_seq, pos, cigar) of one shape at a time: the rows, the byte
+    matrices of reads and references, and the reference base of each column (from 0)."""
+    for (cigar, pos, _, _), same in rows.groupby(["cigar", "pos", rows["seq"].str.len(), rows["ref_seq"].str.len()], sort=False):
+        q, r = cigar_columns(cigar)
+        at = np.where(r < 0, -1, r + pos - 1)
+        gapped = lambda texts, index: np.where(index < 0, GAP, rows_of(texts.tolist())[:, index])
+        yield same, gapped(same["seq"], q), gapped(same["ref_seq"], at), at
 
 
 def align_cigars(sam: DataFrame, references: DataFrame) -> DataFrame:
@@ -118,43 +133,60 @@ def align_cigars(sam: DataFrame, references: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            pairs = [aligned_pair(*x) for x in rows[["seq", "ref_seq", "pos", "cigar"]].itertuples(index=False)]
-            yield pd.DataFrame({"qname": rows["qname"], "rname": rows["rname"], "q_aln": [q for q, _ in pairs], "r_aln": [r for _, r in pairs], "ident": [sum(a == b for a, b in zip(q, r, strict=False)) for q, r in pairs]})
+            for same, q, r, _ in aligned_rows(rows):
+                yield pd.DataFrame({"qname": same["qname"], "rname": same["rname"], "q_aln": texts_of(q), "r_aln": texts_of(r), "ident": (q == r).sum(axis=1)})
 
     ref = references.select(F.col("name").alias("rname"), F.col("seq").alias("ref_seq"))
-    return sam.join(ref, "rname").mapInPandas(run, "qname string, rname string, q_aln string, r_aln string, ident int")
+    return sam.join(ref, "rname").select("qname", "rname", "seq", "ref_seq", "pos", "cigar").mapInPandas(run, "qname string, rname string, q_aln string, r_aln string, ident int")
+
+
+def _changes(same: pd.DataFrame, q: np.ndarray, r: np.ndarray, at: np.ndarray, ends: int) -> Iterator[tuple]:
+    """(rows, position, change, terminal) of the alignments of one shape."""
+    n = q.shape[1]
+    bases = (q != GAP) & (r != GAP) & (q != r)
+    row, col = np.nonzero(bases)
+    for k in np.unique(col).tolist():
+        here = row[col == k]
+        for pair in np.unique(r[here, k].astype(np.int64) << 8 | q[here, k]).tolist():
+            yield here[(r[here, k] == pair >> 8) & (q[here, k] == pair & 255)], int(at[k]) + 1, f"{chr(pair >> 8)}->{chr(pair & 255)}", min(k, n - 1 - k) < ends
+    gaps = np.where((r == GAP).any(axis=0), 1, np.where((q == GAP).any(axis=0), 2, 0))  # gaps are where the CIGAR has them
+    edges = np.flatnonzero(np.diff(gaps, prepend=0, append=0))
+    for k, stop in zip(edges, edges[1:], strict=False):
+        if not gaps[k]:
+            continue
+        before = int(at[:k].max(initial=-1)) if (at[:k] >= 0).any() else int(at[at >= 0].min(initial=0)) - 1  # reference base before the gap
+        texts = texts_of((q if gaps[k] == 1 else r)[:, k:stop])
+        plain = [not _RUN.search(ref[max(0, before - 2) : before + 4]) for ref in same["ref_seq"]]
+        for text in sorted(set(texts)):
+            here = np.array([i for i, (x, ok) in enumerate(zip(texts, plain, strict=True)) if ok and x == text], np.int64)
+            if len(here):
+                yield here, before + (1 if gaps[k] == 1 else 2), ("ins" if gaps[k] == 1 else "del") + text, min(int(k), n - int(stop)) < ends
+
+
+_RUN = re.compile(r"(.)\1\1")
 
 
 def pile_up(sam: DataFrame, references: DataFrame, ends: int = 5) -> DataFrame:
-    """ref, pos, change, var_depth, terminal, coverage. Changes come from CIGARs and
-    are summed in each batch before the shuffle; indels next to a run of three equal
-    bases in the six around are left out; coverage is a running sum of starts and ends."""
+    """ref, pos, change, var_depth, terminal, coverage. Equal alignments are counted
+    first; the changes of all of one CIGAR and place come from byte matrices; indels next
+    to a run of three equal bases in the six around are left out; coverage is a running
+    sum of starts and ends."""
     names = ["ref", "pos", "change", "var_depth", "terminal"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             out = []
-            for seq, ref, pos, cigar, name in rows[["seq", "ref_seq", "pos", "cigar", "rname"]].itertuples(index=False):
-                q, r = aligned_pair(seq, ref, pos, cigar)
-                at, n, k = pos - 1, len(q), 0
-                while k < n:
-                    if r[k] == "-" or q[k] == "-":
-                        stop = k
-                        while stop < n and (r[stop] == "-" if r[k] == "-" else q[stop] == "-"):
-                            stop += 1
-                        if not re.search(r"(.)\1\1", ref[max(0, at - 3) : at + 3]):
-                            out.append((name, at + (r[k] != "-"), f"ins{q[k:stop]}" if r[k] == "-" else f"del{r[k:stop]}", 1, int(min(k, n - stop) < ends)))
-                        at += 0 if r[k] == "-" else stop - k
-                        k = stop
-                        continue
-                    at += 1
-                    if q[k] != r[k]:
-                        out.append((name, at, f"{r[k]}->{q[k]}", 1, int(min(k, n - 1 - k) < ends)))
-                    k += 1
+            for same, q, r, at in aligned_rows(rows):
+                name, times = same["rname"].to_numpy(), same["times"].to_numpy()
+                for here, pos, change, end in _changes(same, q, r, at, ends):
+                    for ref in np.unique(name[here]):
+                        depth = int(times[here][name[here] == ref].sum())
+                        out.append((ref, pos, change, depth, depth if end else 0))
             yield pd.DataFrame(out, columns=names).groupby(["ref", "pos", "change"], as_index=False).sum() if out else pd.DataFrame(out, columns=names).astype({"ref": "str", "change": "str"})
 
     ref = references.select(F.col("name").alias("rname"), F.col("seq").alias("ref_seq"))
-    found = sam.join(ref, "rname").mapInPandas(run, "ref string, pos int, change string, var_depth long, terminal long")
+    once = sam.groupBy("rname", "pos", "cigar", "seq").agg(F.count("*").alias("times"))
+    found = once.join(ref, "rname").mapInPandas(run, "ref string, pos int, change string, var_depth long, terminal long")
     changes = found.groupBy("ref", "pos", "change").agg(F.sum("var_depth").alias("var_depth"), F.sum("terminal").alias("terminal"))
     return changes.join(coverage(sam), ["ref", "pos"], "left")
 
@@ -164,13 +196,24 @@ def aligned_length(cigar: Column) -> Column:
     return F.aggregate(F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1)), F.lit(0), lambda a, x: a + x.cast("int"))
 
 
+#: Positions of a stretch whose coverage one task sums.
+STRETCH = 1 << 16
+
+
 def coverage(sam: DataFrame) -> DataFrame:
-    """ref, pos, coverage: starts and ends first meet as counts, then run along each reference."""
+    """ref, pos, coverage: starts and ends first meet as counts, which run along each
+    stretch of a reference from what the stretches before it leave."""
     end = F.col("pos") + aligned_length(F.col("cigar"))
     steps = sam.select(F.col("rname").alias("ref"), F.explode(F.array(F.struct(F.col("pos"), F.lit(1).alias("step")), F.struct(end.alias("pos"), F.lit(-1).alias("step")))).alias("x"))
-    steps = steps.groupBy("ref", "x.pos").agg(F.sum("x.step").alias("step"))
-    along = Window.partitionBy("ref").orderBy("pos")
-    runs = steps.withColumns({"coverage": F.sum("step").over(along), "next": F.lead("pos").over(along)}).where("coverage > 0 and next is not null")
+    steps = steps.groupBy("ref", "x.pos").agg(F.sum("x.step").alias("step")).withColumn("stretch", F.floor(F.col("pos") / STRETCH))
+    # A row for each stretch that a reference has.
+    spans = steps.groupBy("ref").agg(F.min("stretch").alias("low"), F.max("stretch").alias("high")).select("ref", F.explode(F.sequence("low", "high")).alias("stretch"))
+    sums = spans.join(steps.groupBy("ref", "stretch").agg(F.sum("step").alias("change")), ["ref", "stretch"], "left")
+    before = F.sum("change").over(Window.partitionBy("ref").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1))
+    heads = sums.select("ref", (F.col("stretch") * STRETCH).cast("int").alias("pos"), F.coalesce(before, F.lit(0)).alias("step"), "stretch")
+    along = Window.partitionBy("ref", "stretch").orderBy("pos")
+    rows = steps.unionByName(heads).groupBy("ref", "stretch", "pos").agg(F.sum("step").alias("step"))
+    runs = rows.withColumns({"coverage": F.sum("step").over(along), "next": F.coalesce(F.lead("pos").over(along), ((F.col("stretch") + 1) * STRETCH).cast("int"))}).where("coverage > 0")
     return runs.select("ref", F.explode(F.sequence(F.col("pos"), F.col("next") - 1)).alias("pos"), "coverage")
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import re
+import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as s
+from ..functions.align import rows_of, texts_of
 
 
 def trim(reads: DataFrame, n: int, columns: tuple[str, ...] = ("seq", "qual")) -> DataFrame:
@@ -37,47 +39,65 @@ def with_primers(reads: DataFrame, primers: list[str]) -> DataFrame:
 
 
 def amplicon_patterns(markers: list[dict], samples: list[dict]) -> list[tuple[str, str, str, str, str]]:
-    """(sample, marker, tag, prefix regex, suffix regex) of a small sheet: every tag pair with every primer pair."""
+    """(sample, marker, tag, primer regex, suffix regex) of a sheet: every tag pair with
+    every primer pair; a tag with ambiguous letters stands for each plain one."""
     out = []
     for m in markers:
         for smp in samples:
-            for f in m.get("primer_f") or [""]:
-                for r in m.get("primer_rc") or [""]:
-                    out.append((smp["sample"], m["marker"], smp.get("tag_f") or "", s.iupac_pattern((smp.get("tag_f") or "") + f), s.iupac_pattern(r + (smp.get("tag_rc") or ""))))
+            for tag in map("".join, itertools.product(*[s.AMBIGUOUS.get(c, c) for c in (smp.get("tag_f") or "").upper()])):
+                for f in m.get("primer_f") or [""]:
+                    for r in m.get("primer_rc") or [""]:
+                        out.append((smp["sample"], m["marker"], tag, s.iupac_pattern(f), s.iupac_pattern(r + (smp.get("tag_rc") or ""))))
     return out
 
 
-def demultiplex(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]]) -> DataFrame:
-    """read_id, sample, marker, seq (the greedy insert, on the forward strand).
+#: Lines of a sheet up to which it is sent to all executors.
+SHEET_ROWS = 100_000
 
-    A read counts once for an amplicon and may match several. Exact tags are
-    looked up by their text at each end, so only patterns of tags that a read
-    holds are tried; patterns without a tag are tried on every read."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        compiled = [(smp, m, tag, re.compile(f"{pre}(.+){suf}", re.IGNORECASE)) for smp, m, tag, pre, suf in patterns]
-        by_tag: dict[str, list] = {}
-        for smp, m, tag, rx in compiled:
-            by_tag.setdefault(tag if set(tag) <= set("ACGT") else "", []).append((smp, m, rx))
-        lengths = sorted({len(t) for t in by_tag if t})
-        complement = str.maketrans(s.IUPAC + s.IUPAC.lower(), s.COMPLEMENT + s.COMPLEMENT.lower())
-        for rows in batches:
-            out = []
-            for read_id, text in zip(rows["read_id"], rows["seq"], strict=True):
-                seen = set()
-                for strand in (text, (text or "")[::-1].translate(complement)):
-                    if not strand:
-                        continue
-                    upper = strand.upper()
-                    tags = {upper[i : i + n] for n in lengths for i in range(len(upper) - n + 1)} & by_tag.keys()
-                    for tag in [*tags, ""]:
-                        for smp, m, rx in by_tag.get(tag, ()):
-                            if (smp, m) not in seen and (hit := rx.search(strand)):
-                                seen.add((smp, m))
-                                out.append((read_id, smp, m, hit[1].upper()))
-            yield pd.DataFrame(out, columns=["read_id", "sample", "marker", "seq"])
+def _matches(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]]) -> DataFrame:
+    """Adds sample, marker, tag, pattern and the ``strand`` that it matches, to reads; the
+    forward strand first. Where a primer lies, the bases before it are a tag, which is
+    looked up in the sheet by an equi-join; only the lines found are tried on the read."""
+    spark = reads.sparkSession
+    kinds = sorted({(primer, len(tag)) for _, _, tag, primer, _ in patterns})
+    number = {kind: k for k, kind in enumerate(kinds)}
+    lines = [F.struct(*[F.lit(x).alias(c) for c, x in zip(("kind", "tag", "sample", "marker", "line", "pattern"), (number[p, len(t)], t, smp, m, i, f"{t}{p}(.+){suf}"), strict=True)]) for i, (smp, m, t, p, suf) in enumerate(patterns)]
+    sheet = spark.range(1, numPartitions=1).select(F.inline(F.array(*lines)))
+    sheet = F.broadcast(sheet) if len(lines) <= SHEET_ROWS else sheet
+    strands = reads.withColumn("__forward", F.upper("seq")).where("__forward is not null").withColumn("__reverse", s.reverse_complement("__forward"))
+
+    def tags(primer: str, length: int) -> Column:
+        before = F.lit(f"(?=(.{{{length}}}){primer})")
+        return F.array_distinct(F.concat(F.regexp_extract_all("__forward", before, F.lit(1)), F.regexp_extract_all("__reverse", before, F.lit(1))))
 
-    return reads.select("read_id", "seq").mapInPandas(run, "read_id string, sample string, marker string, seq string")
+    held = [F.transform(tags(*kind), lambda t: F.struct(F.lit(number[kind]).alias("kind"), t.alias("tag"))) for kind in kinds]  # noqa: B023  run at once
+    found = strands.withColumn("__t", F.explode(F.concat(*held))).select(*strands.columns, "__t.kind", "__t.tag").join(sheet, ["kind", "tag"])
+    strand = F.when(F.expr("rlike(__forward, pattern)"), F.col("__forward")).when(F.expr("rlike(__reverse, pattern)"), F.col("__reverse"))
+    hits = found.withColumn("strand", strand).where("strand is not null")
+    if len({p[:2] for p in patterns}) < len(patterns):  # an amplicon has several lines: its first counts
+        first = Window.partitionBy("read_id", "sample", "marker").orderBy("line")
+        hits = hits.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
+    return hits.drop("kind", "line", "__forward", "__reverse")
+
+
+def demultiplex(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]]) -> DataFrame:
+    """read_id, sample, marker, seq (the greedy insert, on the forward strand). A read
+    counts once for an amplicon and may match several."""
+    hits = _matches(reads.select("read_id", "seq"), patterns)
+    return hits.select("read_id", "sample", "marker", F.expr("regexp_extract(strand, pattern, 1)").alias("seq"))
+
+
+def retag(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]], new_tags: DataFrame) -> DataFrame:
+    """read_id, sample, marker, seq, qual of the reads that match, on the forward strand;
+    those of samples in new_tags (sample, new_tag) carry the new tag in place of theirs, its
+    bases with the quality of the tag's first."""
+    hits = _matches(reads.select("read_id", "seq", "qual"), patterns).join(new_tags.select("sample", "new_tag"), "sample", "left")
+    hits = hits.withColumn("at", F.expr("regexp_instr(strand, pattern)")).withColumn("quals", F.when(F.col("strand") == F.upper("seq"), F.col("qual")).otherwise(F.reverse("qual")))
+    new = F.col("new_tag").isNotNull()
+    swap = lambda text, tag: F.when(new, F.concat(F.substr(text, F.lit(1), F.col("at") - 1), tag, F.substr(text, F.col("at") + F.length("tag"), F.length(text)))).otherwise(F.col(text))
+    first = F.substr("quals", F.col("at"), F.lit(1))
+    return hits.select("read_id", "sample", "marker", swap("strand", F.col("new_tag")).alias("seq"), swap("quals", F.repeat(first, F.length("new_tag"))).alias("qual"))
 
 
 def reads_of_amplicons(reads: DataFrame, patterns: list[tuple]) -> DataFrame:
@@ -102,8 +122,6 @@ def primer_hits(reads: DataFrame, primers: list[tuple[str, str]], max_percent: f
     sequence) with at most ``max_percent`` mismatches, by sliding Hamming in numpy."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
         for rows in batches:
             out = []
             for n, group in rows.groupby(rows["seq"].str.len()):
@@ -136,18 +154,21 @@ def merge_mates(left: DataFrame, right: DataFrame, shortest: int = 10, longest:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            out = []
-            for read_id, a, qa, b, qb in rows[["read_id", "seq", "qual", "seq2", "qual2"]].itertuples(index=False):
-                best = None
-                for n in range(min(longest, len(a), len(b)), shortest - 1, -1):
-                    wrong = sum(x != y for x, y in zip(a[-n:], b[:n], strict=True))
-                    if wrong <= max_mismatch * n and (best is None or wrong / n < best[0]):
-                        best = (wrong / n, n)
-                if best:
-                    n = best[1]
-                    mid = [(x, p) if p >= q else (y, q) for x, p, y, q in zip(a[-n:], qa[-n:], b[:n], qb[:n], strict=True)]
-                    out.append((read_id, a[:-n] + "".join(x for x, _ in mid) + b[n:], qa[:-n] + "".join(q for _, q in mid) + qb[n:], n))
-            yield pd.DataFrame(out, columns=["read_id", "seq", "qual", "overlap"])
+            out = [pd.DataFrame({c: pd.Series([], dtype=str) for c in ("read_id", "seq", "qual")} | {"overlap": pd.Series([], dtype="int32")})]
+            for (la, lb), same in rows.groupby([rows["seq"].str.len(), rows["seq2"].str.len()], sort=False):
+                a, qa, b, qb = (rows_of(same[c].tolist()) for c in ("seq", "qual", "seq2", "qual2"))
+                share, best = np.full(len(same), np.inf), np.zeros(len(same), np.int64)
+                for n in range(min(longest, la, lb), shortest - 1, -1):
+                    wrong = (a[:, la - n :] != b[:, :n]).sum(axis=1) / n
+                    better = (wrong <= max_mismatch) & (wrong < share)
+                    share[better], best[better] = wrong[better], n
+                for n in np.unique(best[best > 0]).tolist():
+                    at = np.flatnonzero(best == n)
+                    left = qa[at, la - n :] >= qb[at, :n]
+                    seq = np.hstack([a[at, : la - n], np.where(left, a[at, la - n :], b[at, :n]), b[at, n:]])
+                    qual = np.hstack([qa[at, : la - n], np.maximum(qa[at, la - n :], qb[at, :n]), qb[at, n:]])
+                    out.append(pd.DataFrame({"read_id": same["read_id"].to_numpy()[at], "seq": texts_of(seq), "qual": texts_of(qual), "overlap": n}))
+            yield pd.concat(out)
 
     r = right.select("read_id", s.reverse_complement("seq").alias("seq2"), F.reverse("qual").alias("qual2"))
     return left.select("read_id", "seq", "qual").join(r, "read_id").mapInPandas(run, "read_id string, seq string, qual string, overlap int")
@@ -166,8 +187,7 @@ def fold_strands(inserts: DataFrame, weight: Column) -> DataFrame:
 
 def tag_primer_sequences(samples: DataFrame, markers: DataFrame) -> DataFrame:
     """Plain sequences of tag + primer of every amplicon (small sheets): name, seq."""
-    every = samples.withColumn("k", F.lit(1)).join(markers.withColumn("k", F.lit(1)), "k")
-    seqs = every.select("sample", "marker", F.posexplode(s.plain_sequences(F.concat(F.coalesce("tag_f", F.lit("")), "primer_f"))).alias("n", "seq"))
+    seqs = samples.crossJoin(markers).select("sample", "marker", F.posexplode(s.plain_sequences(F.concat(F.coalesce("tag_f", F.lit("")), "primer_f"))).alias("n", "seq"))
     return seqs.select(F.concat("sample", F.lit("-"), "marker", F.lit("_F"), F.lpad((F.col("n") + 1).cast("string"), 3, "0")).alias("name"), "seq")
 
 
@@ -201,6 +221,11 @@ def shuffle_reads(reads: DataFrame, seed: str = "1", order: str = "read_id") ->
     return reads.orderBy(F.md5(F.concat(F.lit(seed), order)), order)
 
 
+def split_reads(reads: DataFrame, parts: int, order: str = "read_id") -> DataFrame:
+    """Adds ``part`` (from 0), near even and the same on every run, by a hash of ``order``."""
+    return reads.withColumn("part", (F.conv(F.substring(F.md5(F.col(order).cast("string")), 1, 8), 16, 10).cast("long") % parts).cast("int"))
+
+
 def sampling_rounds(reads: DataFrame, rounds: int, n: int, order: str = "read_id") -> DataFrame:
     """``rounds`` samples of ``n`` reads each, with their ``round``; drawn anew in each."""
     out = [sample_reads(reads, n, str(r), order=order).withColumn("round", F.lit(r)) for r in range(rounds)]

@@ -22,6 +22,17 @@ def error_totals(errors: DataFrame, scale: float = 1.0) -> DataFrame:
     return errors.agg(*scaled, F.avg(mean_phred("qual")).alias("mean_quality"), F.avg(F.when(wrong > 0, mean_phred("qual"))).alias("mean_quality_with_errors"))
 
 
+def error_classes(errors: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Of the reads of errors (read_id, side F or R, errors by kind), by ``keys``: all, those
+    with both primers, and those wrong on the forward side only, the reverse only, both, none."""
+    wrong = F.col("subs") + F.col("ins") + F.col("dels") > 0
+    has = lambda test: F.bool_or(test)
+    each = errors.groupBy(*keys, "read_id").agg(*[has(F.col("side") == x).alias(f"has_{x}") for x in "FR"], *[has((F.col("side") == x) & wrong).alias(f"bad_{x}") for x in "FR"])
+    f, r = F.col("bad_F"), F.col("bad_R")
+    classes = {"reads": F.lit(True), "both_primers": F.col("has_F") & F.col("has_R"), "forward_errors": f & ~r, "reverse_errors": r & ~f, "both_errors": f & r, "no_errors": ~f & ~r}
+    return each.groupBy(*keys).agg(*[F.count_if(v).alias(k) for k, v in classes.items()])
+
+
 def assignment_matrix(rows: DataFrame) -> DataFrame:
     """Reads by sample and marker with totals (null: all)."""
     return rows.cube("sample", "marker").agg(F.count("*").alias("reads"))

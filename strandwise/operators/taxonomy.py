@@ -13,7 +13,8 @@ def consensus(hits: DataFrame, level: str = "species") -> DataFrame:
     """Per otu the levels, down to ``level``, while all its assignments agree."""
     used = s.LEVELS[: s.LEVELS.index(level) + 1]
     parsed = hits.withColumn("t", s.read_taxonomy("taxonomy"))
-    one = parsed.groupBy("otu").agg(*[F.when((F.count_distinct(F.coalesce(f"t.{x}", F.lit(""))) == 1), F.max(f"t.{x}")).alias(f"c_{x}") for x in used], *[(F.count_distinct(F.coalesce(f"t.{x}", F.lit(""))) == 1).alias(f"a_{x}") for x in used])
+    text = lambda x: F.coalesce(f"t.{x}", F.lit(""))
+    one = parsed.groupBy("otu").agg(*[F.max(f"t.{x}").alias(f"c_{x}") for x in used], *[(F.min(text(x)) == F.max(text(x))).alias(f"a_{x}") for x in used])
     agreed, out = F.lit(True), []
     for x in used:
         agreed = agreed & F.col(f"a_{x}")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as s
+from ..functions.align import with_pair_errors
 
 AMPLICON = ("marker", "sample")
 
@@ -140,3 +141,30 @@ def automatic_min_frequency(variants: DataFrame, amplicons: DataFrame, max_allel
     last = degree_of_change(variants, max_alleles).where("nth = n_alleles").join(amplicons, list(AMPLICON)).withColumn("freq", 100 * F.col("depth") / F.col("depth_amplicon"))
     some = F.max("n_alleles").over(Window.partitionBy("marker")) > 1
     return last.withColumn("some", some).where("n_alleles > 1 or not some").groupBy("marker").agg((0.9 * F.median("freq")).alias("min_freq"))
+
+
+def automatic_errors(variants: DataFrame) -> DataFrame:
+    """One row: the mean rates of indels and substitutions (percent of aligned columns)
+    between an amplicon's top variant and its rarest near copy (2 % of the length, 98 %
+    identical, at most a tenth of the depth), limits of 1.1 times the largest, and the
+    platform that makes such errors."""
+    ranked = variants.withColumn("nth", F.row_number().over(by_depth(*AMPLICON)))
+    top = ranked.where("nth = 1").select(*AMPLICON, F.col("seq").alias("top_seq"), F.col("depth").alias("top_depth"))
+    n = F.length("top_seq")
+    rare = ranked.join(top, list(AMPLICON)).where((F.col("nth") > 1) & (F.abs(n - F.length("seq")) <= 0.02 * n) & (F.col("top_depth") - F.col("depth") >= 0.9 * F.col("top_depth")))
+    near = with_pair_errors(rare, "seq", "top_seq").where(F.col("e.ident") >= 0.98 * F.col("e.aligned"))
+    last = near.groupBy(*AMPLICON).agg(F.max_by("e", "nth").alias("e"))
+    rates = last.select(F.round(100 * (F.col("e.ins") + F.col("e.dels")) / F.col("e.aligned"), 2).alias("indels"), F.round(100 * F.col("e.subs") / F.col("e.aligned"), 2).alias("subs"))
+    least = F.lit(0.001)
+    out = rates.agg(*[F.coalesce(F.round(F.avg(c), 2), least).alias(f"mean_{c}") for c in ("indels", "subs")], *[F.coalesce(F.round(1.1 * F.max(c), 2), least).alias(f"limit_{c}") for c in ("indels", "subs")])
+    platform = F.when(F.col("mean_indels") > F.col("mean_subs"), "454/IonTorrent").when(F.col("mean_subs") > 100 * F.col("mean_indels"), "Illumina").otherwise("Unknown")
+    return out.withColumn("platform", platform)
+
+
+def automatic_ratio(variants: DataFrame, most: float = 50, percent: float = 25) -> DataFrame:
+    """Per marker the least percent of depth between two major variants (see there) of an
+    amplicon that are less than 95 % identical, ``most`` at most."""
+    majors = major_variants(variants, percent).select(*AMPLICON, "md5", "seq", "depth")
+    other = majors.select(*AMPLICON, F.col("md5").alias("md5_2"), F.col("seq").alias("seq_2"), F.col("depth").alias("depth_2"))
+    pairs = with_pair_errors(majors.join(other, list(AMPLICON)).where("md5 <> md5_2"), "seq", "seq_2").where(F.col("e.ident") < 0.95 * F.col("e.aligned"))
+    return pairs.groupBy("marker").agg(F.least(F.min(F.round(100 * F.col("depth_2") / F.col("depth"), 2)), F.lit(float(most))).alias("ratio"))

@@ -39,9 +39,11 @@ def f03(spark, d):
 _ONE = "one AS (SELECT read_id FROM inserts GROUP BY read_id)"
 
 
-@query("f04_amplicon_reads", with_views("SELECT read_id FROM reads", "reads"))
+@query("f04_amplicon_reads", with_views("SELECT read_id FROM reads WHERE substr(qual, 1, 1) NOT IN ('5', '?')", "reads"))
 def f04(spark, d):
-    return r.reads_of_amplicons(view(spark, d, "reads"), sheet(spark, d)).select("read_id")
+    """A fifth of the reads has lost its first eight bases, another has a bad base in each primer; both must go."""
+    cut = F.when(F.substring("qual", 1, 1) == "5", F.substr("seq", F.lit(9))).when(F.substring("qual", 1, 1) == "?", F.overlay(F.overlay("seq", F.lit("NN"), 8), F.lit("NN"), F.length("seq") - 3))
+    return r.reads_of_amplicons(view(spark, d, "reads").withColumn("seq", F.coalesce(cut, F.col("seq"))), sheet(spark, d)).select("read_id")
 
 
 @query("f05_primer_prefilter", with_views("SELECT read_id FROM reads WHERE contains(seq, 'ACGTTGCAAC') OR contains(seq, 'GTTGCAACGT')", "reads"))
@@ -81,12 +83,13 @@ def j18(spark, d):
     return r.join_mates(x, x.select("read_id", F.substr("seq", F.lit(41)).alias("seq"), F.substr("qual", F.lit(41)).alias("qual")))
 
 
-@query("j19_merge_mates", with_views("SELECT read_id, seq, qual FROM reads WHERE length(seq) = 86", "reads"))
+@query("j19_merge_mates", with_views("SELECT read_id, seq, qual FROM reads", "reads"))
 def j19(spark, d):
-    x = view(spark, d, "reads").where("length(seq) = 86").select("read_id", "seq", "qual")
+    """Mates that share 29 or 30 bases, by the length of the read."""
+    x = view(spark, d, "reads").select("read_id", "seq", "qual")
     left = x.select("read_id", F.substring("seq", 1, 60).alias("seq"), F.substring("qual", 1, 60).alias("qual"))
     right = x.select("read_id", s.reverse_complement(F.substr("seq", F.lit(31))).alias("seq"), F.reverse(F.substr("qual", F.lit(31))).alias("qual"))
-    return r.merge_mates(left, right, 30, 30, 0).select("read_id", "seq", "qual")
+    return r.merge_mates(left, right, 25, 40, 0).select("read_id", "seq", "qual")
 
 
 @query("s04_compressed_amplicons", with_views("SELECT marker, sample, md5, seq, depth FROM variants", "variants"))
@@ -251,3 +254,30 @@ def t07(spark, d):
 @query("t08_read_counts", with_views("SELECT run, count(*) AS reads, count(DISTINCT seq) AS sequences FROM reads GROUP BY run", "reads"))
 def t08(spark, d):
     return view(spark, d, "reads").groupBy("run").agg(F.count("*").alias("reads"), F.countDistinct("seq").alias("sequences"))
+
+
+@query("t08_split_reads", with_views("SELECT read_id, (('0x' || substr(md5(read_id), 1, 8))::BIGINT % 4)::INT AS part FROM reads", "reads"))
+def t08s(spark, d):
+    return r.split_reads(view(spark, d, "reads"), 4).select("read_id", "part")
+
+
+@query("u03_rewrite_reads", with_views("SELECT read_id, concat(CASE WHEN sample < 'S3' THEN concat('NN', sample) ELSE tag END, primer_f, seq, primer_rc) AS seq, CASE WHEN sample < 'S3' THEN length(sample) + 2 ELSE 6 END + length(seq) + 20 AS n FROM inserts", "inserts"))
+def u03r(spark, d):
+    """Samples whose tags clash get new ones, of other lengths, and their reads carry them."""
+    new = view(spark, d, "samples").where("sample < 'S3'").select("sample", F.concat(F.lit("NN"), "sample").alias("new_tag"))
+    return r.retag(view(spark, d, "reads"), sheet(spark, d), new).select("read_id", "seq", F.length("qual").alias("n"))
+
+
+_RARE = """rk AS (SELECT *, row_number() OVER (PARTITION BY marker, sample ORDER BY depth DESC, md5) AS nth FROM variants), rr AS (SELECT x.marker, x.sample, x.nth, length(x.seq) <> length(t.seq) AS gap, greatest(length(x.seq), length(t.seq)) AS n FROM rk x JOIN rk t ON t.marker = x.marker AND t.sample = x.sample AND t.nth = 1 AND x.nth > 1 WHERE abs(length(t.seq) - length(x.seq)) <= 0.02 * length(t.seq) AND t.depth - x.depth >= 0.9 * t.depth AND levenshtein(x.seq, t.seq) <= 1),
+lr AS (SELECT round(CASE WHEN gap THEN 100.0 / n ELSE 0 END, 2) AS indels, round(CASE WHEN gap THEN 0 ELSE 100.0 / n END, 2) AS subs FROM (SELECT *, row_number() OVER (PARTITION BY marker, sample ORDER BY nth DESC) AS k FROM rr) WHERE k = 1),
+er AS (SELECT coalesce(round(avg(indels), 2), 0.001)::DOUBLE AS mean_indels, coalesce(round(avg(subs), 2), 0.001)::DOUBLE AS mean_subs, coalesce(round(1.1 * max(indels), 2), 0.001)::DOUBLE AS limit_indels, coalesce(round(1.1 * max(subs), 2), 0.001)::DOUBLE AS limit_subs FROM lr)"""
+
+
+@query("g36_automatic_errors", with_views(_RARE + " SELECT *, CASE WHEN mean_indels > mean_subs THEN '454/IonTorrent' WHEN mean_subs > 100 * mean_indels THEN 'Illumina' ELSE 'Unknown' END AS platform FROM er", "variants"))
+def g36e(spark, d):
+    return v.automatic_errors(view(spark, d, "variants"))
+
+
+@query("g36_automatic_ratio", with_views("ma AS (SELECT * FROM (SELECT *, 100.0 * coalesce(sum(depth) OVER (PARTITION BY marker, sample ORDER BY depth DESC, md5 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(depth) OVER (PARTITION BY marker, sample) AS before, row_number() OVER (PARTITION BY marker, sample ORDER BY depth DESC, md5) AS nth FROM variants) WHERE before < 80 AND nth <= 10) SELECT x.marker, least(min(round(100.0 * y.depth / x.depth, 2)), 50.0)::DOUBLE AS ratio FROM ma x JOIN ma y ON y.marker = x.marker AND y.sample = x.sample AND y.md5 <> x.md5 WHERE levenshtein(x.seq, y.seq) > 3 GROUP BY x.marker", "variants"))
+def g36r(spark, d):
+    return v.automatic_ratio(view(spark, d, "variants"), percent=80)

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.alleles import exact_matches
 from ..operators.folders import work_folder
 from ..sources import readers, writers
 from .fixtures import view, with_views
 from .registry import query
 
 
+#: The twelve samples of the fixture.
+SAMPLES = [f"S{k}" for k in range(12)]
+_WIDE = lambda value: ", ".join(f"max({value}) FILTER (sample = '{x}') AS \"{x}\"" for x in SAMPLES)
+
+
 def _text(spark, lines) -> str:
     path = work_folder(spark)
     lines.write.text(path)
@@ -41,28 +47,27 @@ def s04(spark, d):
     path = work_folder(spark)
     x = view(spark, d, "variants")
     x.select("marker", "sample", F.concat(F.lit(">v | depth="), "depth", F.lit("\n"), "seq").alias("value")).repartition("marker", "sample").write.partitionBy("marker", "sample").text(path)
-    back = spark.read.option("lineSep", "\n>").text(path)
-    return back.select("marker", "sample", F.substr(F.regexp_substr("value", F.lit(r"\n[ACGT]+")), F.lit(2)).alias("seq"), F.regexp_extract("value", r"depth=(\d+)", 1).cast("long").alias("weight"))
+    return readers.read_compressed(spark, path)
 
 
-@query("s05_read_result_matrix", with_views("SELECT marker, md5, sample, depth, round(depth / 7.0, 2) AS freq, 'ok' AS note FROM variants WHERE sample IN ('S1', 'S2')", "variants"))
+@query("s05_read_result_matrix", with_views("SELECT marker, md5, sample, depth, round(depth / 7.0, 2) AS freq, 'ok' AS note FROM variants", "variants"))
 def s05(spark, d):
-    x = view(spark, d, "variants").where("sample in ('S1', 'S2')").withColumn("cell", F.concat("depth", F.lit("; "), F.round(F.col("depth") / 7, 2), F.lit("%; ok")))
-    wide = writers.result_matrix(x, ["S1", "S2"], "cell").drop("seq")
+    x = view(spark, d, "variants").withColumn("cell", F.concat("depth", F.lit("; "), F.round(F.col("depth") / 7, 2), F.lit("%; ok")))
+    wide = writers.result_matrix(x, SAMPLES, "cell").drop("seq")
     path = work_folder(spark)
     writers.write_table(wide, path)
     back = spark.read.option("sep", "\t").option("header", True).csv(path)
     return readers.read_matrix(back, ["marker", "md5"])
 
 
-@query("s06_result_matrix", with_views("SELECT marker, md5, max(depth) FILTER (sample = 'S1') AS \"S1\", max(depth) FILTER (sample = 'S2') AS \"S2\" FROM variants GROUP BY marker, md5", "variants"))
+@query("s06_result_matrix", with_views(f"SELECT marker, md5, {_WIDE('depth')} FROM variants GROUP BY marker, md5", "variants"))
 def s06(spark, d):
-    return writers.result_matrix(view(spark, d, "variants"), ["S1", "S2"]).drop("seq")
+    return writers.result_matrix(view(spark, d, "variants"), SAMPLES).drop("seq")
 
 
-@query("s06_matrix_totals", with_views("p AS (SELECT marker, sample, sum(depth)::BIGINT AS a, count(*) AS c FROM variants GROUP BY ALL), q AS (SELECT p.*, depth_amplicon AS d FROM p JOIN amplicons USING (marker, sample)), r AS (SELECT marker, sample, 'DEPTH_AMPLICON' AS row, d AS n FROM q UNION ALL SELECT marker, sample, 'DEPTH_ALLELES', a FROM q UNION ALL SELECT marker, sample, 'COUNT_ALLELES', c FROM q) SELECT marker, row, max(n) FILTER (sample = 'S1') AS \"S1\", max(n) FILTER (sample = 'S2') AS \"S2\" FROM r GROUP BY ALL", "variants", "amplicons"))
+@query("s06_matrix_totals", with_views(f"p AS (SELECT marker, sample, sum(depth)::BIGINT AS a, count(*) AS c FROM variants GROUP BY ALL), q AS (SELECT p.*, depth_amplicon AS d FROM p JOIN amplicons USING (marker, sample)), r AS (SELECT marker, sample, 'DEPTH_AMPLICON' AS row, d AS n FROM q UNION ALL SELECT marker, sample, 'DEPTH_ALLELES', a FROM q UNION ALL SELECT marker, sample, 'COUNT_ALLELES', c FROM q) SELECT marker, row, {_WIDE('n')} FROM r GROUP BY ALL", "variants", "amplicons"))
 def s06t(spark, d):
-    return writers.matrix_totals(view(spark, d, "variants"), view(spark, d, "amplicons"), ["S1", "S2"])
+    return writers.matrix_totals(view(spark, d, "variants"), view(spark, d, "amplicons"), SAMPLES)
 
 
 @query("s07_write_fasta", with_views("SELECT marker, concat(md5, ' | hash=', md5, ' | len=', length(seq), ' | depth=', depth) AS name, seq FROM variants", "variants"))
@@ -73,14 +78,17 @@ def s07(spark, d):
     return back.select("marker", F.regexp_extract("value", r"^([^\n]*)\n", 1).alias("name"), F.regexp_extract("value", r"\n([ACGT]+)", 1).alias("seq"))
 
 
-@query("s10_read_vcf", with_views("SELECT chrom, pos, ref, alt, filter, dp::VARCHAR AS dp FROM calls WHERE source = 'file1'", "calls"))
+@query("s10_read_vcf", with_views("SELECT regexp_extract(source, '\\d+', 0) AS file, chrom, pos, ref, alt, filter, dp::VARCHAR AS dp FROM calls", "calls"))
 def s10(spark, d):
-    x = view(spark, d, "calls").where("source = 'file1'")
-    rows = x.select(F.concat_ws("\t", "chrom", "pos", "id", "ref", "alt", F.lit("."), "filter", F.lit("."), F.lit("GT:DP"), F.concat(F.lit("0/1:"), "dp")).alias("value"))
-    head = spark.createDataFrame([("##fileformat=VCFv4.2",), ("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tTUMOR",)], "value string").coalesce(1)
+    """A folder of files, each with its own header and sample name."""
+    x = view(spark, d, "calls").withColumn("n", F.regexp_extract("source", r"\d+", 0))
+    rows = x.select("source", F.lit(2).alias("k"), F.concat_ws("\t", "chrom", "pos", "id", "ref", "alt", F.lit("."), "filter", F.lit("."), F.lit("GT:DP"), F.concat(F.lit("0/1:"), "dp")).alias("value"))
+    names = x.select("source", "n").distinct()
+    head = names.select("source", F.inline(F.array(F.struct(F.lit(0).alias("k"), F.lit("##fileformat=VCFv4.2").alias("value")), F.struct(F.lit(1).alias("k"), F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tTUMOR"), "n").alias("value")))))
     path = work_folder(spark)
-    head.unionByName(rows).coalesce(1).write.text(path)
-    return readers.read_vcf(spark, path).select("chrom", "pos", "ref", "alt", "filter", F.col("gt")["TUMOR"]["DP"].alias("dp"))
+    head.unionByName(rows).repartition("source").sortWithinPartitions("source", "k").drop("k").write.partitionBy("source").text(path)
+    gt = F.map_entries("gt")[0]
+    return readers.read_vcf(spark, path).select(F.replace(gt["key"], F.lit("TUMOR"), F.lit("")).alias("file"), "chrom", "pos", "ref", "alt", "filter", gt["value"]["DP"].alias("dp"))
 
 
 @query("s11_read_sam", with_views("SELECT read_id AS qname, marker AS rname, seq, tax % 3 AS xm FROM inserts", "inserts"))
@@ -164,3 +172,21 @@ def x02(spark, d):
     params = spark.createDataFrame([("min_depth", "all", ["5"]), ("min_depth", "M1", ["7"])], "param string, marker string, values array<string>")
     out = readers.resolve_params(params, view(spark, d, "alleles").select("marker"), {"errors": "1", "min_depth": "0"})
     return out.select("marker", "param", F.get("values", F.lit(0)).alias("value"))
+
+
+@query("s13_catalogue", "SELECT p_partkey::VARCHAR AS id, p_brand AS brand, p_type AS kind FROM part WHERE p_brand LIKE '%2'")
+def s13c(spark, d):
+    """Chosen columns of a headed table for the ids that another table asks for."""
+    part = spark.read.parquet(f"{d}/part.parquet")
+    path = work_folder(spark)
+    writers.write_table(part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"), F.col("p_type").alias("kind"), F.col("p_size").alias("size")), path)
+    wanted = part.where("p_brand like '%2'").select(F.col("p_partkey").cast("string").alias("id"))
+    return readers.read_catalogue(spark, path, ["id", "brand", "kind"], wanted, "id")
+
+
+@query("x03_reference_set", with_views("SELECT DISTINCT v.md5, a.name FROM variants v JOIN alleles a ON contains(v.seq, a.seq) OR contains(a.seq, v.seq)", "variants", "alleles"))
+def x03(spark, d):
+    """A user's references, from a FASTA file, in the place of the built-in ones."""
+    x = view(spark, d, "alleles")
+    path = _text(spark, x.select(F.concat(F.lit(">"), "name", F.lit(" user set\n"), F.lower("seq")).alias("value")))
+    return exact_matches(view(spark, d, "variants"), readers.read_alleles(spark, path), 30)

@@ -35,6 +35,8 @@ VIEWS = {
     "reads": """SELECT read_id, CASE WHEN strand = 'R' THEN reverse(translate(whole, 'ACGT', 'TGCA')) ELSE whole END AS seq,
   repeat(substr('5:?DI', tax % 5 + 1, 1), CAST(length(whole) AS INT)) AS qual, sample, marker, run FROM (SELECT *, concat(tag, primer_f, seq, primer_rc) AS whole FROM inserts)""",
     "variants": "SELECT marker, sample, md5(seq) AS md5, seq, count(*) AS depth FROM inserts GROUP BY marker, sample, seq",
+    "members": """SELECT marker, sample, CAST(instr('ACGT', substr(seq, 1, 1)) AS INT) AS cluster, CASE WHEN row_number() OVER (PARTITION BY marker, sample, substr(seq, 1, 1) ORDER BY depth DESC, md5) = 1 THEN 'head' ELSE 'member' END AS role,
+  md5, seq, depth, substr(md5, 1, 1) <> '0' AS counted FROM variants""",
     "amplicons": "SELECT marker, sample, count(*) AS depth_amplicon FROM inserts GROUP BY marker, sample",
     "runs": "SELECT run, marker, sample, md5(seq) AS md5, seq, count(*) AS depth FROM inserts GROUP BY run, marker, sample, seq",
     "cdr3": f"""SELECT event_id, concat('I', u % 3, '_', CAST(floor(u / 3) AS INT)) AS sample, concat('I', u % 3) AS individual, 'TRB' AS marker,
@@ -47,10 +49,10 @@ VIEWS = {
     "otus": """SELECT concat('OTU', l_partkey % 60) AS otu, concat('S', l_suppkey % 12) AS sample, count(*) AS depth FROM lineitem GROUP BY 1, 2""",
     "taxa": """SELECT concat('OTU', p_partkey % 60) AS otu, p_partkey AS hit, concat_ws(',', concat('k:K', p_partkey % 2), concat('p:P', p_partkey % 4), concat('c:C', p_partkey % 12), concat('o:O', p_partkey % 12),
   concat('f:F', p_partkey % 60), concat('g:G', p_partkey % 60, CASE WHEN p_size > 25 THEN 'x' ELSE '' END), concat('s:', 'G', p_partkey % 60, ' s', p_size % 3)) AS taxonomy FROM part""",
-    "calls": f"""SELECT concat('file', o_custkey % 5) AS source, concat('chr', o_custkey % 3) AS chrom, CAST(o_orderkey % 400 AS INT) + 1 AS pos, '.' AS id,
+    "calls": f"""SELECT concat('file', o_custkey % 5) AS source, concat('chr', CAST(floor(o_custkey / 60) AS INT)) AS chrom, CAST(o_orderkey % 400 AS INT) + 1 AS pos, '.' AS id,
   substr('ACGT', CAST(o_orderkey % 400 % 4 AS INT) + 1, 1) AS ref, substr('CGTA', CAST(o_orderkey % 400 % 4 AS INT) + 1, CASE WHEN o_orderkey % 9 = 0 THEN 2 ELSE 1 END) AS alt,
   CASE WHEN o_orderstatus = 'F' THEN 'PASS' ELSE 'LOW' END AS filter, CAST(floor(o_totalprice) AS BIGINT) % 90 + 31 AS dp, CAST(floor(o_totalprice) AS BIGINT) % 31 AS ad, o_orderkey AS order_id FROM orders""",
-    "genes": "SELECT concat('G', p_partkey) AS gene, concat('chr', p_partkey % 3) AS chrom, CAST((p_partkey * 37) % 380 AS INT) + 1 AS start, CAST((p_partkey * 37) % 380 AS INT) + 1 + p_size AS stop, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM part WHERE p_partkey < 120",
+    "genes": "SELECT concat('G', p_partkey) AS gene, concat('chr', CAST(floor(p_partkey / 80) AS INT)) AS chrom, CAST((p_partkey * 37) % 380 AS INT) + 1 AS start, CAST((p_partkey * 37) % 380 AS INT) + 1 + p_size AS stop, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM part",
 }
 
 

@@ -147,12 +147,30 @@ def w09(spark, d):
 _PATTERN = r"(?P<V>..)(?P<CDR3>[A-Z]{3,})(?P<J>[A-Z]{2})$"
 
 
-@query("c23_segment_reads")
+_SEGMENTS = f"""{CODE_CTE}, fr AS (SELECT event_id, k, k % 3 AS off, CASE WHEN k < 3 THEN cdr3 ELSE reverse(translate(cdr3, 'ACGT', 'TGCA')) END AS dna FROM (SELECT event_id, cdr3, unnest(range(6)) AS k FROM cdr3)),
+cn AS (SELECT event_id, k, string_agg(aa, '' ORDER BY i) AS aa FROM (SELECT event_id, k, off, dna, unnest(range((length(dna) - off) // 3)) AS i FROM fr) JOIN code ON codon = substr(dna, (i * 3 + off + 1)::INT, 3) GROUP BY ALL),
+op AS (SELECT fr.*, length(aa) AS n FROM fr JOIN cn USING (event_id, k) WHERE NOT contains(aa, '*')), hit AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY k) AS nth FROM op WHERE n >= 7) WHERE nth = 1),
+sg AS (SELECT c.event_id::VARCHAR AS read_id, CASE WHEN h.k IS NOT NULL THEN 'valid' WHEN c.event_id IN (SELECT event_id FROM op) THEN 'no_pattern' ELSE 'no_frame' END AS status, (CASE WHEN h.k < 3 THEN h.k + 1 ELSE 2 - h.k END)::INT AS frame, substr(dna, (off + 1)::INT, 6) AS v, substr(dna, (off + 7)::INT, (3 * n - 12)::INT) AS cdr3, substr(dna, (off + 3 * n - 5)::INT, 6) AS j FROM cdr3 c LEFT JOIN hit h USING (event_id))"""
+
+
+def _with_pattern(v: int, least: int, j: int) -> str:
+    """SQL of the segments when V has v letters, J the last j and CDR3 ``least`` at least."""
+    return _SEGMENTS.replace("n >= 7", f"n >= {v + least + j}").replace("::INT, 6) AS v", f"::INT, {3 * v}) AS v").replace("off + 7)::INT, (3 * n - 12)", f"off + {3 * v + 1})::INT, (3 * n - {3 * (v + j)})").replace("off + 3 * n - 5)::INT, 6)", f"off + 3 * n - {3 * j - 1})::INT, {3 * j})")
+
+
+@query("c23_segment_reads", with_views(_SEGMENTS + " SELECT * FROM sg", "cdr3"))
 def c23(spark, d):
     return r.segment_reads(rows(spark, d).select(F.col("event_id").cast("string").alias("read_id"), F.col("cdr3").alias("seq")), _PATTERN)
 
 
-@query("g44_parse_totals")
+@query("x01_user_patterns", with_views(_with_pattern(3, 2, 1) + " SELECT * FROM sg", "cdr3"))
+def x01(spark, d):
+    """Segments by a pattern that the user gives."""
+    x = rows(spark, d).select(F.col("event_id").cast("string").alias("read_id"), F.col("cdr3").alias("seq"))
+    return r.segment_reads(x, r"(?P<V>[A-Z]{3})(?P<CDR3>[A-Z]{2,})(?P<J>[A-Z])$")
+
+
+@query("g44_parse_totals", with_views(_SEGMENTS + " SELECT count(*) AS reads, count(*) FILTER (status = 'valid') AS valid, count(*) FILTER (status = 'no_pattern') AS no_pattern, count(*) FILTER (status = 'no_frame') AS no_frame FROM sg", "cdr3"))
 def g44(spark, d):
     return r.parse_totals(c23(spark, d))
 

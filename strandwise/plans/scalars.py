@@ -176,3 +176,39 @@ def c30(spark, d):
     t = view(spark, d, "taxa").groupBy("otu").agg(F.collect_list("hit").alias("hits"), F.collect_list("taxonomy").alias("texts"))
     has = F.array_contains("hits", 7) | F.array_contains("hits", 67)
     return t.select("otu", has.alias("has"), F.size(F.filter("texts", lambda x: F.regexp_extract(x, "(x),s:", 1) == "x")).cast("long").alias("n_x"))
+
+
+_SIX = ", ".join(f"{side}{f} AS ({protein_sql(src, 'md5', frame=f)})" for side, src in (("p", "v"), ("m", "w")) for f in (1, 2, 3))
+
+
+@query("c07_translations", with_views(f"v AS ({_V}), w AS (SELECT md5, reverse(translate(seq, 'ACGT', 'TGCA')) AS seq FROM v), {CODE_CTE}, {_SIX}, al AS (" + " UNION ALL ".join(f"SELECT md5, {sign}{f} AS frame, aa FROM {side}{f}" for side, sign in (("p", ""), ("m", "-")) for f in (1, 2, 3)) + ") SELECT md5, frame, aa AS protein, 3 * length(aa) AS n FROM al WHERE NOT contains(aa, '*')", "variants"))
+def c07t(spark, d):
+    """All frames of both strands without a stop."""
+    t = _variants(spark, d).select("md5", F.explode(s.translations("seq", True, True)).alias("t"))
+    return t.select("md5", "t.frame", "t.protein", F.length("t.dna").alias("n"))
+
+
+@query("c12_shared_identity", with_views(_PAIR + " SELECT md5, (SELECT sum(CASE WHEN a = r THEN 1.0 WHEN a = 'R' AND r IN ('A', 'G') THEN 0.5 WHEN a = 'N' THEN 0.25 ELSE 0 END) FROM (SELECT substr(translate(seq, 'AT', 'RN'), i, 1) AS a, substr(ref, i, 1) AS r FROM (SELECT unnest(range(1, length(seq) + 1)) AS i))) AS score FROM p WHERE length(seq) = length(ref)", "variants", "alleles"))
+def c12s(spark, d):
+    p = pairs(spark, d).where(F.length("seq") == F.length("ref"))
+    return p.select("md5", s.shared_identity(F.translate("seq", "AT", "RN"), "ref")["score"].alias("score"))
+
+
+@query("c14_quality_by_position", with_views("SELECT i AS pos, round(avg(ascii(substr(qual, i::INT, 1)) - 33), 6) AS mean_quality, count(*) AS reads FROM (SELECT qual, unnest(range(1, length(qual) + 1)) AS i FROM reads) GROUP BY i", "reads"))
+def c14p(spark, d):
+    out = s.quality_by_position(view(spark, d, "reads"))
+    return out.withColumn("mean_quality", F.round("mean_quality", 6))
+
+
+@query("c16_header_segments", with_views("SELECT event_id, v, concat(j, '+', v) AS j FROM cdr3", "cdr3"))
+def c16s(spark, d):
+    header = F.concat(F.lit("read | tcrv="), "v", F.lit(" | TRJ="), "j", F.lit(" | tcrj="), "v")
+    x = view(spark, d, "cdr3").select("event_id", s.header_segments(header).alias("m"))
+    return x.select("event_id", F.array_join(F.col("m")["tcrv"], "+").alias("v"), F.array_join(F.col("m")["tcrj"], "+").alias("j"))
+
+
+@query("c19_amino_acid_sets", "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'J' WHEN 1 THEN 'B' WHEN 2 THEN 'Z' WHEN 3 THEN 'X' ELSE 'W' END AS letter, CASE p_partkey % 5 WHEN 0 THEN 'IL' WHEN 1 THEN 'DN' WHEN 2 THEN 'EQ' WHEN 3 THEN 'ACDEFGHIKLMNPQRSTVWY' ELSE 'W' END AS members FROM part")
+def c19s(spark, d):
+    text = F.expr("CASE p_partkey % 5 WHEN 0 THEN 'LIL' WHEN 1 THEN 'ND' WHEN 2 THEN 'QE' WHEN 3 THEN 'WCA' ELSE 'WW' END")
+    x = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", s.amino_set_of(s.letters(text)).alias("letter"))
+    return x.select("p_partkey", "letter", F.array_join(s.amino_acids_of("letter"), "").alias("members"))

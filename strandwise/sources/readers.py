@@ -5,9 +5,7 @@ split by a record separator or numbered inside their file."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,30 +14,30 @@ from ..functions import seq as s
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """read_id, header, seq, qual, source. A record starts at a line break before ``@``
-    whose second line after it is ``+``: the text source cuts there by splits of
-    ``\\n@``; a quality line that starts with ``@`` is glued back to its record; a record that the end
-    of a file or split leaves incomplete raises an error."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[str] = []
-        for rows in batches:
-            out = []
-            for value, source in rows.itertuples(index=False):
-                lines = (value if held else value.removeprefix("@")).split("\n")
-                lines = [*held, "@" + lines[0], *lines[1:]] if held else lines
-                lines = [x for k, x in enumerate(lines) if not (x.startswith("#") and k % 4 != 3)]
-                if len(lines) < 4 or len(lines[3]) < len(lines[1]):
-                    held = lines
-                    continue
-                held = []
-                out.append((re.split(r"\s", lines[0], maxsplit=1)[0], lines[0], lines[1], lines[3], source))
-            yield pd.DataFrame(out, columns=["read_id", "header", "seq", "qual", "source"])
-        if held:
-            raise ValueError(f"a record is cut short: {held[0][:80]}; compress the file or read it in larger splits")
-
-    text = spark.read.option("lineSep", "\n@").text(path).select(F.rtrim("value").alias("value"), F.col("_metadata.file_path").alias("source"))
-    return text.where(F.length("value") > 0).mapInPandas(run, "read_id string, header string, seq string, qual string, source string")
+    """read_id, header, seq, qual, source. The text source cuts records at ``\\n@``, also
+    where that starts a quality line; such a record is in two pieces, whose lines tell
+    which is which: a head has its header, bases and ``+``, a tail only the quality. Pieces
+    meet in their order in a split, and those that a split's end parts in the order of
+    splits. A head without its tail raises an error."""
+    text = spark.read.option("lineSep", "\n@").text(path)
+    lines = F.split(F.rtrim(F.translate("value", "\r", ""), F.lit("\n ")), "\n")
+    lines = F.filter(lines, lambda x, k: ~(x.startswith("#") & (k % 4 != 3)))
+    at = [F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth")]
+    pieces = text.select(*at, lines.alias("lines"))
+    line = lambda k: F.get("lines", F.lit(k))
+    header = F.when(F.col("block") == 0, F.regexp_replace(line(0), "^@", "")).otherwise(line(0))
+    record = lambda header, qual: [F.regexp_extract(header, r"^(\S*)", 1).alias("read_id"), header.alias("header"), F.col("seq"), qual.alias("qual"), F.col("source")]
+    whole = pieces.where(F.size("lines") >= 4).withColumn("seq", line(1)).select(*record(header, line(3)))
+    parts = pieces.where(F.size("lines") < 4).select("source", "block", "nth", (F.size("lines") > 1).alias("head"), header.alias("header"), line(0).alias("text"), line(1).alias("seq"))
+    after = lambda w: {"then": F.lead("head").over(w), "tail": F.lead("text").over(w)}
+    split = Window.partitionBy("source", "block").orderBy("nth")
+    met = parts.withColumns(after(split) | {"before": F.lag("head").over(split)})
+    # Of a split at most its first tail and its last head are left.
+    left = met.where((F.col("head") & F.col("then").isNull()) | (~F.col("head") & F.col("before").isNull())).select(*parts.columns)
+    left = left.withColumns(after(Window.partitionBy("source").orderBy("block", "nth"))).where("head")
+    glued = met.where("head and then is not null").drop("before").unionByName(left)
+    qual = F.when(~F.col("then"), F.concat(F.lit("@"), "tail")).otherwise(F.raise_error(F.concat(F.lit("a record is cut short: "), "header")))
+    return whole.unionByName(glued.select(*record(F.col("header"), qual)))
 
 
 ID_PATTERNS = {"genbank": r"gi\|(\d+)", "ensembl": r"(ENS\w+)", "uniprot": r"(?:sp|tr)\|(\w+)", "first": r"^(\S+)"}
@@ -128,18 +126,20 @@ def resolve_params(params: DataFrame, markers: DataFrame, presets: dict[str, str
     common = params.where("marker = 'all'").select("param", F.col("values").alias("common"))
     spark = params.sparkSession
     preset = spark.createDataFrame([(k, [v]) for k, v in (presets or {}).items()], "param string, preset array<string>")
-    names = params.select("param").union(preset.select("param")).distinct().withColumn("k", F.lit(1))
-    every = markers.select("marker").distinct().withColumn("k", F.lit(1)).join(names, "k").drop("k")
+    names = params.select("param").union(preset.select("param")).distinct()
+    every = markers.select("marker").distinct().crossJoin(names)  # two short lists
     joined = every.join(own, ["marker", "param"], "left").join(common, "param", "left").join(preset, "param", "left")
     return joined.select("marker", "param", F.coalesce("own", "common", "preset").alias("values"))
 
 
 def read_compressed(spark: SparkSession, path: str) -> DataFrame:
-    """marker (folder), sample (file), seq, weight (``| depth=N`` of the header, else 1) of FASTA files."""
+    """marker, sample, seq, weight (``| depth=N`` of the header, else 1) of FASTA files in
+    folders ``marker=../sample=..``, or else of a folder for each marker and a file for each sample."""
     text = spark.read.option("lineSep", "\n>").option("recursiveFileLookup", True).text(path).select(F.regexp_replace("value", "^>", "").alias("value"), F.col("_metadata.file_path").alias("f"))
     depth = F.try_to_number(F.regexp_extract("value", r"depth=(\d+)", 1), F.lit("999999999")).cast("long")
     body = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", "")
-    return text.where(F.length(F.trim("value")) > 0).select(F.regexp_extract("f", r"([^/]+)/[^/]+$", 1).alias("marker"), F.regexp_extract("f", r"([^/.]+)[^/]*$", 1).alias("sample"), body.alias("seq"), F.coalesce(depth, F.lit(1)).alias("weight"))
+    named = lambda key, other: F.coalesce(F.nullif(F.regexp_extract("f", f"/{key}=([^/]+)/", 1), F.lit("")), F.regexp_extract("f", other, 1))
+    return text.where(F.length(F.trim("value")) > 0).select(named("marker", r"([^/]+)/[^/]+$").alias("marker"), named("sample", r"([^/.]+)[^/]*$").alias("sample"), body.alias("seq"), F.coalesce(depth, F.lit(1)).alias("weight"))
 
 
 def read_matrix(wide: DataFrame, variant_columns: list[str]) -> DataFrame:

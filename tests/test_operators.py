@@ -1,12 +1,14 @@
 """Planted-truth cases of the sequence operators."""
 
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from strandwise.functions import align
 from strandwise.functions import seq as s
-from strandwise.operators import clustering, compare, reads, repertoire, taxonomy, variants
-from strandwise.operators import mutations
+from strandwise.operators import alleles, clustering, compare, mutations, reads, repertoire, taxonomy, variants
 from strandwise.sources import readers, writers
 
 A = "ACGTTGCAACGGATCCTTAGCATGCATTGGCCAATTCGCGATATCGGATCA"
@@ -137,3 +139,92 @@ def test_error_totals_count_reads_of_all_lengths(spark):
     d = "/root/testdata/sf0.001"
     got = genotypes.g28(spark, d).first()
     assert got.reads == view(spark, d, "inserts").count() and got.dels > 0
+
+
+def test_fastq_records_that_splits_cut(spark, tmp_path):
+    """Splits of a few bytes, which end in headers, bases and qualities that start with @."""
+    rows = [(f"r{i}", f"r{i} x{i}", "ACGT" * (1 + i % 4), ("@@II" if i % 3 == 0 else "@III" if i % 3 == 1 else "II@I") * (1 + i % 4)) for i in range(60)]
+    (tmp_path / "x.fastq").write_text("".join(f"@{h}\n{seq}\n+\n{qual}\n" for _, h, seq, qual in rows))
+    (tmp_path / "y.fastq").write_text("@one\nA\n+\n@\n@two\nC\n+\nI")
+    keys = {"spark.sql.files.maxPartitionBytes": None, "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    try:
+        for size in (7, 16, 33, 64, 1000):
+            for k, v in keys.items():
+                spark.conf.set(k, v or str(size))
+            got = sorted((r.read_id, r.header, r.seq, r.qual) for r in readers.read_fastq(spark, str(tmp_path / "x.fastq")).collect())
+            assert got == sorted(rows), size
+            got = sorted((r.read_id, r.seq, r.qual) for r in readers.read_fastq(spark, str(tmp_path / "y.fastq")).collect())
+            assert got == [("one", "A", "@"), ("two", "C", "I")]
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    (tmp_path / "z.fastq").write_text("@one\nA\n+\n")
+    with pytest.raises(Exception, match="cut short"):
+        readers.read_fastq(spark, str(tmp_path / "z.fastq")).collect()
+
+
+def test_a_sheet_with_ambiguous_tags_and_several_primers(spark):
+    """Reads that match several amplicons, none, or only on the other strand."""
+    markers = [{"marker": "M1", "primer_f": ["ACGTR", "ACGTA"], "primer_rc": ["GGCC"]}, {"marker": "M2", "primer_f": ["TTTTC"], "primer_rc": ["GGCC", "CCGG"]}]
+    samples = [{"sample": "S1", "tag_f": "AAN"}, {"sample": "S2", "tag_f": "CCC", "tag_rc": "TT"}, {"sample": "S3"}]
+    patterns = reads.amplicon_patterns(markers, samples)
+    texts = ["AAGACGTATTTGGCC", "ggccaaatacgtctt", "CCCTTTTCAAGGCCTT", "CCCTTTTCAAGGCC", "GGGG", None, "AATACGTGCAGGCCAAGTTTTCGACCGG", "AAGACGTAGGCC"]
+    got = sorted((r.read_id, r["sample"], r.marker, r.seq) for r in reads.demultiplex(spark.createDataFrame(list(enumerate(texts)), "read_id int, seq string"), patterns).collect())
+    want = []
+    flip = str.maketrans("ACGT", "TGCA")
+    for i, text in enumerate(texts):
+        seen = set()
+        for strand in ((text or "").upper(), (text or "").upper()[::-1].translate(flip)):
+            for sample, marker, tag, primer, suffix in patterns:
+                if (hit := re.search(f"{tag}{primer}(.+){suffix}", strand)) and (sample, marker) not in seen:
+                    seen.add((sample, marker))
+                    want.append((i, sample, marker, hit[1]))
+    assert got == sorted(want) and len({g[0] for g in got}) == 5
+
+
+def test_pile_up_of_hard_cigars(spark):
+    """Insertions, deletions, clips and gaps at the edges, against a walk base by base."""
+    ref = "ACGTACGGGTACCATGCATTTGCA"
+    rows = [("a", 3, "4M2I5M", "GTACTTGGGTA"), ("a", 3, "4M2I5M", "GTACTAGGGTA"), ("a", 1, "5M1D4M", "ACGTAGGGT"), ("a", 11, "2S3M1I2M1D4M", "NNACCGATCATT"), ("a", 3, "4M2I5M", "GTACTTGGGTA"), ("a", 12, "2I4M", "GGCCAT"), ("a", 1, "24M", ref[:10] + "T" + ref[11:])]
+    sam = spark.createDataFrame([(f"q{i}", *r) for i, r in enumerate(rows)], "qname string, rname string, pos int, cigar string, seq string")
+    refs = spark.createDataFrame([("a", ref)], "name string, seq string")
+    want = Counter()
+    for _, pos, cigar, seq in rows:
+        columns, i, j = [], 0, pos - 1
+        for n, op in re.findall(r"(\d+)([MIDS])", cigar):
+            for _ in range(int(n)):
+                if op != "S":
+                    columns.append((seq[i] if op != "D" else "-", ref[j] if op != "I" else "-", j))
+                i += op != "D"
+                j += op not in "IS"
+        k = 0
+        while k < len(columns):
+            q, r, j = columns[k]
+            stop = k + 1
+            if "-" in (q, r):
+                while stop < len(columns) and (columns[stop][0] == "-", columns[stop][1] == "-") == (q == "-", r == "-"):
+                    stop += 1
+                if not re.search(r"(.)\1\1", ref[max(0, j - 3) : j + 3]):
+                    text = "".join(c[1 if q == "-" else 0] for c in columns[k:stop])
+                    want[j + (q == "-"), ("del" if q == "-" else "ins") + text] += 1
+            elif q != r:
+                want[j + 1, f"{r}->{q}"] += 1
+            k = stop
+    got = {(r.pos, r.change): r.var_depth for r in mutations.pile_up(sam, refs).collect()}
+    assert got == dict(want)
+    deep = Counter(p for _, pos, cigar, _ in rows for p in range(pos, pos + sum(int(n) for n in re.findall(r"(\d+)[MD]", cigar))))
+    assert {r.pos: r.coverage for r in mutations.coverage(sam).collect()} == deep
+
+
+def test_coverage_runs_over_stretches(spark, monkeypatch):
+    monkeypatch.setattr(mutations, "STRETCH", 16)
+    rows = [("a", 3, "70M"), ("a", 10, "5M"), ("a", 15, "1M"), ("a", 120, "9M"), ("b", 16, "16M")]
+    deep = Counter((ref, p) for ref, pos, cigar in rows for p in range(pos, pos + int(cigar[:-1])))
+    got = mutations.coverage(spark.createDataFrame(rows, "rname string, pos int, cigar string")).collect()
+    assert {(r.ref, r.pos): r.coverage for r in got} == deep and len(got) == len(deep)
+
+
+def test_corrected_coverage_counts_a_read_once(spark):
+    rows = [("L", a, f"r{k}") for a, n, m in (("A1", 0, 50), ("A2", 40, 60), ("A3", 0, 40), ("A4", 55, 58)) for k in range(n, m)]
+    got = {r.allele: (r.reads, r.corrected, r.kept) for r in alleles.corrected_coverage(spark.createDataFrame(rows, "locus string, allele string, read string")).collect()}
+    assert got == {"A1": (50, 50, True), "A2": (20, 10, False)}
