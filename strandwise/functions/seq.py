@@ -5,6 +5,8 @@ closed. Null in gives null out unless stated."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,12 @@ def iupac_pattern(seq: str) -> str:
     return "".join(b if len(b) == 1 else f"[{b}]" for b in (AMBIGUOUS.get(x, x) for x in seq.upper()))
 
 
+def complement_pattern(pattern: str) -> str:
+    """The ``iupac_pattern`` of the reverse complement of what ``pattern`` was made of."""
+    turned = [x.translate(str.maketrans(IUPAC, COMPLEMENT)) for x in re.findall(r"\[[A-Z]+\]|[A-Z]", pattern)]
+    return "".join(reversed(turned))
+
+
 def plain_sequences(seq: str | Column) -> Column:
     """Array of all unambiguous sequences of an IUPAC sequence."""
     bases = _map(AMBIGUOUS)

@@ -65,20 +65,27 @@ def _matches(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]]) -
     lines = [F.struct(*[F.lit(x).alias(c) for c, x in zip(("kind", "tag", "sample", "marker", "line", "pattern"), (number[p, len(t)], t, smp, m, i, f"{t}{p}(.+){suf}"), strict=True)]) for i, (smp, m, t, p, suf) in enumerate(patterns)]
     sheet = spark.range(1, numPartitions=1).select(F.inline(F.array(*lines)))
     sheet = F.broadcast(sheet) if len(lines) <= SHEET_ROWS else sheet
-    strands = reads.withColumn("__forward", F.upper("seq")).where("__forward is not null").withColumn("__reverse", s.reverse_complement("__forward"))
+    forward = reads.withColumn("__forward", F.upper("seq")).where("__forward is not null")
 
     def tags(primer: str, length: int) -> Column:
-        before = F.lit(f"(?=(.{{{length}}}){primer})")
-        return F.array_distinct(F.concat(F.regexp_extract_all("__forward", before, F.lit(1)), F.regexp_extract_all("__reverse", before, F.lit(1))))
+        """What lies before the primer, and, turned, what lies behind its reverse complement."""
+
+        def where(primer: str, around: str) -> Column:
+            has = F.contains("__forward", F.lit(primer)) if "[" not in primer else F.rlike("__forward", F.lit(primer))
+            return F.when(has, F.regexp_extract_all("__forward", F.lit(around), F.lit(1))).otherwise(F.array().cast("array<string>"))
+
+        turned = s.complement_pattern(primer)
+        before, behind = where(primer, f"(?={primer})(?<=(.{{{length}}}))"), where(turned, f"(?={turned}(.{{{length}}}))")
+        return F.array_distinct(F.concat(before, F.transform(behind, s.reverse_complement)))
 
     held = [F.transform(tags(*kind), lambda t: F.struct(F.lit(number[kind]).alias("kind"), t.alias("tag"))) for kind in kinds]  # noqa: B023  run at once
-    found = strands.withColumn("__t", F.explode(F.concat(*held))).select(*strands.columns, "__t.kind", "__t.tag").join(sheet, ["kind", "tag"])
-    strand = F.when(F.expr("rlike(__forward, pattern)"), F.col("__forward")).when(F.expr("rlike(__reverse, pattern)"), F.col("__reverse"))
-    hits = found.withColumn("strand", strand).where("strand is not null")
+    found = forward.withColumn("__t", F.explode(F.concat(*held))).select(*forward.columns, "__t.kind", "__t.tag").join(sheet, ["kind", "tag"])
+    turned = s.let(s.reverse_complement("__forward"), lambda r: F.when(F.rlike(r, F.col("pattern")), r))
+    hits = found.withColumn("strand", F.when(F.rlike("__forward", F.col("pattern")), F.col("__forward")).otherwise(turned)).where("strand is not null")
     if len({p[:2] for p in patterns}) < len(patterns):  # an amplicon has several lines: its first counts
         first = Window.partitionBy("read_id", "sample", "marker").orderBy("line")
         hits = hits.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
-    return hits.drop("kind", "line", "__forward", "__reverse")
+    return hits.drop("kind", "line", "__forward")
 
 
 def demultiplex(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]]) -> DataFrame:
@@ -101,8 +108,8 @@ def retag(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]], new_
 
 
 def reads_of_amplicons(reads: DataFrame, patterns: list[tuple]) -> DataFrame:
-    """Reads that match some amplicon in either strand."""
-    return reads.join(demultiplex(reads, patterns).select("read_id").distinct(), "read_id", "left_semi")
+    """Reads (of one read_id each) that match some amplicon in either strand."""
+    return _matches(reads, patterns).select(*reads.columns).dropDuplicates(["read_id"])
 
 
 def inserts_from_hits(hits: DataFrame, reads: DataFrame) -> DataFrame:
