@@ -1,23 +1,29 @@
 """Line dedup by content-defined chunks of lines, with DataFrame functions only.
 
-A boundary lies before a line where the rolling hash of the WINDOW lines above
-it is 0 modulo DIVISOR, so boundaries depend on near lines only and come back
-after an insertion. A line of LONG_WORDS words or more is a chunk of its own.
-Chunks of two lines or more, and those long lines, that occur again anywhere
-are removed but for the first occurrence (smallest doc_id, then position).
-Hashes only nominate chunks; the grouping that decides compares their bytes.
+Lines that occur once anywhere belong to no chunk. The runs of other lines are
+cut into chunks: before a line where the rolling hash of the WINDOW lines above
+it, all of the run, is 0 modulo DIVISOR, and on both sides of a line of
+LONG_WORDS words or more. So a passage between a document's own lines has the
+same boundaries everywhere, and they come back after an insertion. A chunk that
+occurs again anywhere counts but for its first occurrence (smallest doc_id, then
+position) and is removed if it has two lines or more, or if it and its counted
+neighbours make two lines or more of LONG_WORDS words. With ``single_lines`` a
+line of LONG_WORDS words is removed on its own, too; that is off in op1, where
+chunks have more lines than one, and on in the pipeline, where passages may be
+a line. Hashes only nominate lines; the grouping that decides compares bytes.
 
 Defined results: a null text stays null and has no lines; an empty text has
-one empty line and no chunk; a document that loses all lines has an empty
-text; rows with equal doc_id and text count as one document and get the same
-result, rows with equal doc_id and other texts are documents of their own; a
-null doc_id sorts first. Other columns pass unchanged.
+one empty line; a document that loses all lines has an empty text; rows with
+equal doc_id and text count as one document and get the same result, rows with
+equal doc_id and other texts are documents of their own; a null doc_id sorts
+first. Other columns pass unchanged.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import WORD, let, materialise, md5_number, table
 
@@ -30,38 +36,35 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _chunks(text: Column) -> Column:
-    """Array of (first, n_lines, key) of the chunks that may be removed."""
+def _chunks(text: Column, at: Column) -> Column:
+    """Array of (first, n_lines, n_words, body) of the chunks of the lines ``at`` (sorted)."""
 
-    def number(line: Column) -> Column:
-        return md5_number(line)
-
-    def long(line: Column) -> Column:
-        return (F.length(line) >= 2 * LONG_WORDS - 1) & (F.regexp_count(line, F.lit(WORD)) >= LONG_WORDS)
-
-    def starts(hashes: Column, longs: Column) -> Column:
-        def opens(i: Column) -> Column:
+    def starts(hashes: Column, words: Column) -> Column:
+        def opens(k: Column) -> Column:
             rolling = F.lit(0).cast("long")
-            for k in range(WINDOW, 0, -1):
-                rolling = (rolling * MULTIPLIER + F.get(hashes, i - k)) % PRIME
-            return (i == 0) | F.get(longs, i) | F.get(longs, i - 1) | ((i >= WINDOW) & (rolling % DIVISOR == 0))
+            for back in range(WINDOW, 0, -1):
+                rolling = (rolling * MULTIPLIER + F.get(hashes, k - back)) % PRIME
+            of_run = F.get(at, k - WINDOW) == F.get(at, k) - WINDOW
+            long = (F.get(words, k) >= LONG_WORDS) | (F.get(words, k - 1) >= LONG_WORDS)
+            return (k == 0) | (F.get(at, k - 1) != F.get(at, k) - 1) | long | ((k >= WINDOW) & of_run & (rolling % DIVISOR == 0))
 
-        return F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), opens)
+        return F.filter(F.sequence(F.lit(0), F.size(at) - 1), opens)
 
     def of(lines: Column) -> Column:
-        def built(longs: Column) -> Column:
+        def built(words: Column) -> Column:
             def cut(begins: Column) -> Column:
-                def one(first: Column, j: Column) -> Column:
-                    n = F.coalesce(F.get(begins, j + 1), F.size(lines)) - first
-                    return F.struct(first.alias("first"), n.alias("n_lines"), F.xxhash64(F.array_join(F.slice(lines, first + 1, n), "\n")).alias("key"), F.get(longs, first).alias("long"))
+                def one(k: Column, j: Column) -> Column:
+                    n = F.coalesce(F.get(begins, j + 1), F.size(at)) - k
+                    body = F.array_join(F.slice(lines, k + 1, n), "\n")
+                    return F.struct(F.get(at, k).alias("first"), n.alias("n_lines"), F.aggregate(F.slice(words, k + 1, n), F.lit(0), lambda a, x: a + x).alias("n_words"), body.alias("body"))
 
-                return F.filter(F.transform(begins, one), lambda c: (c["n_lines"] >= 2) | c["long"])
+                return F.transform(begins, one)
 
-            return let(let(F.transform(lines, number), lambda hashes: starts(hashes, longs)), cut)
+            return let(let(F.transform(lines, md5_number), lambda hashes: starts(hashes, words)), cut)
 
-        return let(F.transform(lines, long), built)
+        return let(F.transform(lines, lambda line: F.regexp_count(line, F.lit(WORD))), built)
 
-    return let(_lines(text), of)
+    return let(let(_lines(text), lambda lines: F.transform(at, lambda i: F.get(lines, i))), of)
 
 
 def _without(text: Column, removed: Column) -> Column:
@@ -78,22 +81,27 @@ def _without(text: Column, removed: Column) -> Column:
     return let(_lines(text), of)
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the text shortened, plus ``__removed``: the removed ranges
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", single_lines: bool = False) -> DataFrame:
+    """``docs`` with the text shortened, plus ``__removed``: the removed chunks
     (first line, number of lines), null where nothing was removed."""
     keyed = docs.withColumns({_ID: F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))), _HASH: F.coalesce(F.xxhash64(text), F.lit(0))})
     slim = keyed.select(_ID, _HASH, F.col(text).alias("__text"))
-    found = slim.select(_ID, _HASH, F.explode(_chunks(F.col("__text"))).alias("c")).select(_ID, _HASH, "c.first", "c.n_lines", "c.key")
-    found = materialise(found)
-    repeated = found.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
-    refs = found.join(repeated, "key").groupBy(_ID, _HASH).agg(F.collect_set(F.struct("first", "n_lines", "key")).alias("refs"))
-    # Bytes of the nominated chunks; one row for a chunk of a document.
-    whole = slim.join(refs, [_ID, _HASH])
-    bytes_of = let(_lines(F.col("__text")), lambda lines: F.transform("refs", lambda r: F.struct(r["first"].alias("first"), r["n_lines"].alias("n_lines"), r["key"].alias("key"), F.array_join(F.slice(lines, r["first"] + 1, r["n_lines"]), "\n").alias("body"))))
-    chunks = materialise(whole.select(_ID, _HASH, F.explode(bytes_of).alias("c")).select(_ID, _HASH, "c.*"))
-    owners = chunks.groupBy("key", "body").agg(F.min(F.struct(_ID, "first", _HASH)).alias("owner"))
-    later = chunks.join(owners, ["key", "body"]).where(F.struct(_ID, "first", _HASH) != F.col("owner"))
-    removed = later.groupBy(_ID, _HASH).agg(F.array_sort(F.collect_set(F.struct("first", "n_lines"))).alias("__removed"))
+    lines = materialise(slim.select(_ID, _HASH, F.posexplode(F.transform(_lines(F.col("__text")), lambda line: F.xxhash64(line))).alias("at", "line")))
+    repeated = materialise(lines.groupBy("line").agg(F.count("*").alias("times")).where("times > 1").select("line"))
+    nominated = lines.join(repeated, "line").groupBy(_ID, _HASH).agg(F.array_sort(F.collect_set("at")).alias("rows"))
+    cut = slim.join(nominated, [_ID, _HASH]).select(_ID, _HASH, F.explode(_chunks(F.col("__text"), F.col("rows"))).alias("c"))
+    chunks = materialise(cut.select(_ID, _HASH, "c.*", F.xxhash64("c.body").alias("key")))
+    owners = chunks.groupBy("key", "body").agg(F.min(F.struct(_ID, "first", _HASH)).alias("owner"), F.count("*").alias("times")).where("times > 1")
+    later = chunks.join(materialise(owners.drop("times")), ["key", "body"]).where(F.struct(_ID, "first", _HASH) != F.col("owner"))
+    later = later.select(_ID, _HASH, "first", "n_lines", "n_words").distinct()
+    before = Window.partitionBy(_ID, _HASH).orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    island = Window.partitionBy(_ID, _HASH, "island")
+    later = later.withColumn("island", F.col("first") - F.coalesce(F.sum("n_lines").over(before), F.lit(0)))
+    goes = (F.col("n_lines") >= 2) | ((F.sum("n_lines").over(island) >= 2) & (F.sum("n_words").over(island) >= LONG_WORDS))
+    if single_lines:
+        goes = goes | (F.col("n_words") >= LONG_WORDS)
+    gone = later.withColumn("goes", goes).where("goes")
+    removed = gone.groupBy(_ID, _HASH).agg(F.array_sort(F.collect_list(F.struct("first", "n_lines"))).alias("__removed"))
     out = keyed.join(removed, [_ID, _HASH], "left")
     return out.withColumn(text, F.when(F.col("__removed").isNull(), F.col(text)).otherwise(_without(F.col(text), F.col("__removed")))).drop(_ID, _HASH)
 
@@ -109,11 +117,15 @@ def op1_sql() -> str:
     for k in range(WINDOW, 0, -1):
         rolling = f"(({rolling}) * {MULTIPLIER} + lag(h, {k}) OVER w) % {PRIME}"
     return f"""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL),
-h AS (SELECT *, ('0x' || substr(md5(l), 1, 8))::BIGINT AS h, len(regexp_extract_all(l, '[^\\x20\\x09-\\x0D]+')) >= {LONG_WORDS} AS long FROM lines),
-o AS (SELECT *, i = 0 OR long OR lag(long) OVER w OR (i >= {WINDOW} AND ({rolling}) % {DIVISOR} = 0) AS opens FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT *, len(regexp_extract_all(l, '[^\\x20\\x09-\\x0D]+')) AS words, ('0x' || substr(md5(l), 1, 8))::BIGINT AS h FROM lines WHERE l IN (SELECT l FROM lines GROUP BY l HAVING count(*) > 1)),
+u AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+o AS (SELECT *, lag(i) OVER w IS NULL OR words >= {LONG_WORDS} OR lag(words) OVER w >= {LONG_WORDS} OR (lag(i, {WINDOW}) OVER w IS NOT NULL AND ({rolling}) % {DIVISOR} = 0) AS opens FROM u WINDOW w AS (PARTITION BY doc_id, run ORDER BY i)),
 n AS (SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM o),
-c AS (SELECT doc_id, chunk, min(i) AS first, count(*) AS n, bool_or(long) AS long, string_agg(l, chr(10) ORDER BY i) AS body FROM n GROUP BY doc_id, chunk),
-r AS (SELECT *, (n >= 2 OR long) AND row_number() OVER (PARTITION BY body, n >= 2 OR long ORDER BY doc_id, first) > 1 AS gone FROM c)
-SELECT d.doc_id, coalesce(sum(n), 0)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_lines_removed, count(*) FILTER (gone) AS n_chunks_removed,
-  CASE WHEN any_value(d.text) IS NOT NULL THEN coalesce(string_agg(body, chr(10) ORDER BY first) FILTER (NOT gone), '') END AS text
-FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id"""
+c AS (SELECT doc_id, min(i) AS first, count(*) AS n, sum(words) AS words, string_agg(l, chr(10) ORDER BY i) AS body FROM n GROUP BY doc_id, chunk),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) AS nth FROM c) WHERE nth > 1),
+s AS (SELECT *, first - coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island FROM k),
+r AS (SELECT doc_id, first, n FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id, island) AS all_n, sum(words) OVER (PARTITION BY doc_id, island) AS all_words FROM s) WHERE n >= 2 OR (all_n >= 2 AND all_words >= {LONG_WORDS})),
+x AS (SELECT lines.doc_id, lines.l, lines.i, r.first IS NOT NULL AS gone, r.first = lines.i AS heads FROM lines LEFT JOIN r ON r.doc_id = lines.doc_id AND lines.i >= r.first AND lines.i < r.first + r.n)
+SELECT d.doc_id, count(x.i)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_lines_removed, count(*) FILTER (heads)::BIGINT AS n_chunks_removed,
+  CASE WHEN any_value(d.text) IS NOT NULL THEN coalesce(string_agg(x.l, chr(10) ORDER BY x.i) FILTER (NOT gone), '') END AS text
+FROM documents d LEFT JOIN x ON x.doc_id = d.doc_id GROUP BY d.doc_id"""
