@@ -154,7 +154,8 @@ def _changes(same: pd.DataFrame, q: np.ndarray, r: np.ndarray, at: np.ndarray, e
     for k, stop in zip(edges, edges[1:], strict=False):
         if not gaps[k]:
             continue
-        before = int(at[:k].max(initial=-1)) if (at[:k] >= 0).any() else int(at[at >= 0].min(initial=0)) - 1  # reference base before the gap
+        earlier, bases = at[:k][at[:k] >= 0], at[at >= 0]
+        before = int(earlier[-1] if len(earlier) else bases[0] - 1 if len(bases) else -1)  # reference base before the gap
         texts = texts_of((q if gaps[k] == 1 else r)[:, k:stop])
         plain = [not _RUN.search(ref[max(0, before - 2) : before + 4]) for ref in same["ref_seq"]]
         for text in sorted(set(texts)):
