@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -18,3 +18,10 @@ def work_folder(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-work-"))
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to a work folder and read back, for what is used several times."""
+    path = work_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

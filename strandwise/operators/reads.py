@@ -234,9 +234,7 @@ def split_reads(reads: DataFrame, parts: int, order: str = "read_id") -> DataFra
 
 
 def sampling_rounds(reads: DataFrame, rounds: int, n: int, order: str = "read_id") -> DataFrame:
-    """``rounds`` samples of ``n`` reads each, with their ``round``; drawn anew in each."""
-    out = [sample_reads(reads, n, str(r), order=order).withColumn("round", F.lit(r)) for r in range(rounds)]
-    joined = out[0]
-    for o in out[1:]:
-        joined = joined.unionByName(o)
-    return joined
+    """``rounds`` samples of ``n`` reads each, with their ``round``; drawn anew in each, in one pass."""
+    every = reads.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    drawn = Window.partitionBy("round").orderBy(F.md5(F.concat(F.col("round").cast("string"), order)), order)
+    return every.withColumn("nth", F.row_number().over(drawn)).where(F.col("nth") <= n).drop("nth")

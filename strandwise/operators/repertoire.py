@@ -53,12 +53,23 @@ def validity_counts(rows: DataFrame, low: int, high: int) -> DataFrame:
     return valid_cdr3(rows, low, high).groupBy("sample", "marker").agg(F.count("*").alias("reads"), *[F.count_if(f).alias(f) for f in flags])
 
 
+def plain_umis(rows: DataFrame) -> DataFrame:
+    """Rows whose UMI has no other letters than A, C, G, T; others, as NNN.., are hot keys."""
+    return rows.where(F.coalesce(F.col("umi").rlike("^[ACGT]+$"), F.lit(False)))
+
+
+def umi_letters(rows: DataFrame) -> DataFrame:
+    """Per sample the reads whose UMI counts, and those that ``plain_umis`` leaves out."""
+    plain = F.coalesce(F.col("umi").rlike("^[ACGT]+$"), F.lit(False))
+    return rows.groupBy("sample").agg(F.count_if(plain).alias("used"), F.count_if(~plain).alias("left_out"))
+
+
 def umi_consensus(rows: DataFrame, substitutions: int = 0, keep_singles: bool = False) -> DataFrame:
     """A row per UMI: its most frequent sequence, the reads within ``substitutions``
-    of it, all reads, and whether it is correct (more than half of them). UMIs
-    with other letters than A, C, G, T are left out first, as they are hot keys."""
+    of it, all reads, and whether it is correct (more than half of them). Only
+    ``plain_umis`` count."""
     key = ["sample", "marker", "umi"]
-    counts = rows.where(F.col("umi").rlike("^[ACGT]+$")).groupBy(*key, "cdr3").agg(F.count("*").alias("n"))
+    counts = plain_umis(rows).groupBy(*key, "cdr3").agg(F.count("*").alias("n"))
     top = counts.groupBy(*key).agg(F.sum("n").alias("reads"), F.min(F.struct((-F.col("n")).alias("n"), "cdr3"))["cdr3"].alias("top"))
     joined = counts.join(top, key)
     near = F.when(F.col("cdr3") == F.col("top"), 0).otherwise(s.hamming("cdr3", "top")) <= substitutions if substitutions else F.col("cdr3") == F.col("top")
@@ -75,8 +86,8 @@ def capped_umis(umis: DataFrame, most: int) -> DataFrame:
 
 
 def reads_per_umi(rows: DataFrame) -> DataFrame:
-    """Histogram of reads per UMI of each sample, gaps filled with 0."""
-    per = rows.groupBy("sample", "umi").agg(F.count("*").alias("reads")).groupBy("sample", "reads").agg(F.count("*").alias("umis"))
+    """Histogram of reads per UMI (``plain_umis``) of each sample, gaps filled with 0."""
+    per = plain_umis(rows).groupBy("sample", "umi").agg(F.count("*").alias("reads")).groupBy("sample", "reads").agg(F.count("*").alias("umis"))
     steps = per.groupBy("sample").agg(F.max("reads").alias("most")).select("sample", F.explode(F.sequence(F.lit(1).cast("long"), "most")).alias("reads"))
     return steps.join(per, ["sample", "reads"], "left").select("sample", "reads", F.coalesce("umis", F.lit(0)).cast("long").alias("umis"))
 

@@ -45,13 +45,19 @@ def marker_statistics(variants: DataFrame, amplicons: DataFrame) -> DataFrame:
 
 
 def name_variants(marker_variants: DataFrame, known: DataFrame | None = None, width: int = 7) -> DataFrame:
-    """``marker-0000001``: numbers by falling depth that run on across markers; a
-    variant with a known name keeps that and uses up its number. Offsets come
-    from marker counts (a row for each marker), so no task sorts all variants."""
-    counts = marker_variants.groupBy("marker").agg(F.count("*").alias("n"))
-    before = Window.orderBy("marker").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("marker", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    numbered = marker_variants.withColumn("nth", F.row_number().over(by_depth("marker"))).join(offsets, "marker")
+    """``marker-0000001``: numbers by falling depth, then MD5, that run on across markers;
+    a variant with a known name keeps that and uses up its number. Numbers are sums of
+    counts: of markers, of a marker's greater depths, of a depth's lower MD5 prefixes; only
+    variants of one depth and prefix are sorted together."""
+    cell = ["marker", "depth", "prefix"]
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cells = marker_variants.groupBy("marker", "depth", F.substring("md5", 1, 3).alias("prefix")).agg(F.count("*").alias("n"))
+    depths = cells.groupBy("marker", "depth").agg(F.sum("n").alias("n"))
+    markers = depths.groupBy("marker").agg(F.sum("n").alias("n")).select("marker", before(Window.orderBy("marker")).alias("of_marker"))
+    deeper = depths.select("marker", "depth", before(Window.partitionBy("marker").orderBy(F.desc("depth"))).alias("of_depth"))
+    lower = cells.select(*cell, before(Window.partitionBy("marker", "depth").orderBy("prefix")).alias("of_prefix"))
+    offsets = lower.join(deeper, ["marker", "depth"]).join(markers, "marker").select(*cell, (F.col("of_marker") + F.col("of_depth") + F.col("of_prefix")).alias("offset"))
+    numbered = marker_variants.withColumn("prefix", F.substring("md5", 1, 3)).withColumn("nth", F.row_number().over(Window.partitionBy(*cell).orderBy("md5"))).join(offsets, cell).drop("prefix")
     number = F.col("nth") + F.col("offset")
     name = F.concat_ws("-", "marker", F.lpad(number.cast("string"), width, "0"))
     if known is None:

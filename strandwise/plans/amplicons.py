@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import seq as s
 from ..operators import reads as r
 from ..operators import variants as v
+from ..operators.folders import stored
 from .fixtures import PRIMERS, view, with_views
 from .registry import query
 
@@ -18,7 +19,8 @@ def sheet(spark, d):
 
 
 def both(spark, d):
-    return view(spark, d, "variants"), view(spark, d, "amplicons")
+    x = stored(view(spark, d, "variants"))
+    return x, x.groupBy("marker", "sample").agg(F.sum("depth").alias("depth_amplicon"))
 
 
 @query("f01_trim", with_views("SELECT read_id, substr(seq, 1, 40) AS seq, substr(qual, 1, 40) AS qual FROM reads", "reads"))
@@ -275,9 +277,9 @@ er AS (SELECT coalesce(round(avg(indels), 2), 0.001)::DOUBLE AS mean_indels, coa
 
 @query("g36_automatic_errors", with_views(_RARE + " SELECT *, CASE WHEN mean_indels > mean_subs THEN '454/IonTorrent' WHEN mean_subs > 100 * mean_indels THEN 'Illumina' ELSE 'Unknown' END AS platform FROM er", "variants"))
 def g36e(spark, d):
-    return v.automatic_errors(view(spark, d, "variants"))
+    return v.automatic_errors(stored(view(spark, d, "variants")))
 
 
 @query("g36_automatic_ratio", with_views("ma AS (SELECT * FROM (SELECT *, 100.0 * coalesce(sum(depth) OVER (PARTITION BY marker, sample ORDER BY depth DESC, md5 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(depth) OVER (PARTITION BY marker, sample) AS before, row_number() OVER (PARTITION BY marker, sample ORDER BY depth DESC, md5) AS nth FROM variants) WHERE before < 80 AND nth <= 10) SELECT x.marker, least(min(round(100.0 * y.depth / x.depth, 2)), 50.0)::DOUBLE AS ratio FROM ma x JOIN ma y ON y.marker = x.marker AND y.sample = x.sample AND y.md5 <> x.md5 WHERE levenshtein(x.seq, y.seq) > 3 GROUP BY x.marker", "variants"))
 def g36r(spark, d):
-    return v.automatic_ratio(view(spark, d, "variants"), percent=80)
+    return v.automatic_ratio(stored(view(spark, d, "variants")), percent=80)

@@ -8,17 +8,21 @@ from ..functions.align import error_positions, pair_alignment, pair_errors
 from ..operators import alleles as a
 from ..operators import clustering as c
 from ..operators import reports as p
+from ..operators.folders import stored
 from .fixtures import view, with_views
 from .registry import query
 from .scalars import CODE_CTE, pairs, protein_sql
 
 
 def variants(spark, d):
-    return view(spark, d, "variants")
+    """The variants as a table, as they would be after dereplication."""
+    return stored(view(spark, d, "variants"))
 
 
 def freqs(spark, d):
-    return variants(spark, d).join(view(spark, d, "amplicons"), ["marker", "sample"]).withColumn("freq", 100 * F.col("depth") / F.col("depth_amplicon"))
+    v = variants(spark, d)
+    total = v.groupBy("marker", "sample").agg(F.sum("depth").alias("depth_amplicon"))
+    return v.join(total, ["marker", "sample"]).withColumn("freq", 100 * F.col("depth") / F.col("depth_amplicon"))
 
 
 _FREQ = "fr AS (SELECT v.*, 100.0 * depth / depth_amplicon AS freq FROM variants v JOIN amplicons USING (marker, sample))"
@@ -173,7 +177,7 @@ wo AS (SELECT *, max(CASE WHEN step = 'artefact' THEN freq END) OVER (PARTITION
 
 @query("g40_replicates", with_views(_RUNS + " SELECT marker, sample, md5, depth, round(freq, 6) AS freq, label, CASE WHEN step = 'artefact' THEN 'artefact' WHEN step = 'candidate' AND freq > coalesce(worst, 0) THEN 'allele' WHEN step = 'doubtful' THEN 'artefact' ELSE 'unclassified' END AS verdict FROM wo", "runs"))
 def g40(spark, d):
-    runs = view(spark, d, "runs")
+    runs = stored(view(spark, d, "runs"))
     total = runs.groupBy("run", "marker", "sample").agg(F.sum("depth").alias("total"))
     runs = runs.join(total, ["run", "marker", "sample"]).withColumn("freq", 100 * F.col("depth") / F.col("total")).drop("total")
     return c.genotype_replicates(runs.where("run = 'F'").drop("run"), runs.where("run <> 'F'").drop("run")).withColumn("freq", F.round("freq", 6))
@@ -203,9 +207,9 @@ def j04(spark, d):
     return a.exact_matches(variants(spark, d), view(spark, d, "alleles").withColumn("seq", F.substring("seq", 6, 40)), 30)
 
 
-def lengths(spark, d):
-    v = variants(spark, d).select(F.col("md5").alias("id"), F.length("seq").alias("len")).distinct()
-    return v.unionByName(view(spark, d, "alleles").select(F.col("name").alias("id"), F.length("seq").alias("len")))
+def lengths(variants, alleles):
+    v = variants.select(F.col("md5").alias("id"), F.length("seq").alias("len")).distinct()
+    return v.unionByName(alleles.select(F.col("name").alias("id"), F.length("seq").alias("len")))
 
 
 @query("j06_seed_hits", with_views("""q AS (SELECT DISTINCT md5 AS query, seq AS qs FROM variants), qw AS (SELECT *, substr(qs, qa::INT, 10) AS w FROM (SELECT *, unnest(range(1, length(qs) - 8)) AS qa FROM q)), sw AS (SELECT *, substr(ss, sa::INT, 10) AS w FROM (SELECT name AS subject, seq AS ss, unnest(range(1, length(seq) - 8)) AS sa FROM alleles)),
@@ -218,7 +222,8 @@ def j06(spark, d):
 @query("j05_best_names", with_views("""h AS (SELECT DISTINCT v.md5 AS query, a.name AS subject, v.seq, a.seq AS ref FROM variants v JOIN alleles a ON length(v.seq) = length(a.seq) OR v.seq = concat(substr(a.seq, 1, 20), substr(a.seq, 22))),
 k AS (SELECT query, subject, length(ref) AS n, CASE WHEN length(seq) < length(ref) THEN length(seq) ELSE (SELECT count(*) FROM (SELECT unnest(range(1, length(seq) + 1)) AS i) WHERE substr(seq, i, 1) = substr(ref, i, 1)) END AS ident FROM h), m AS (SELECT *, rank() OVER (PARTITION BY query ORDER BY ident DESC) AS r FROM k WHERE ident >= 0.9 * n) SELECT query, string_agg(subject, ' | ' ORDER BY subject) AS name, max(ident) AS ident FROM m WHERE r = 1 GROUP BY query""", "variants", "alleles"))
 def j05(spark, d):
-    return a.best_names(a.word_hits(variants(spark, d), view(spark, d, "alleles")), lengths(spark, d))
+    v, alleles = variants(spark, d), stored(view(spark, d, "alleles"))
+    return a.best_names(a.word_hits(v, alleles), lengths(v, alleles))
 
 
 @query("j07_segment_names")

@@ -51,6 +51,13 @@ def t04(spark, d):
     return r.capped_umis(r.umi_consensus(rows(spark, d)), 50).select("sample", "umi")
 
 
+@query("g08_umi_letters", with_views("SELECT sample, count(*) FILTER (event_id % 23 <> 0) AS used, count(*) FILTER (event_id % 23 = 0) AS left_out FROM cdr3 GROUP BY sample", "cdr3"))
+def g08l(spark, d):
+    """One UMI in 23 has an unknown base."""
+    x = rows(spark, d).withColumn("umi", F.when(F.col("event_id") % 23 == 0, F.overlay("umi", F.lit("N"), 3)).otherwise(F.col("umi")))
+    return r.umi_letters(x)
+
+
 @query("g09_reads_per_umi", with_views("p AS (SELECT sample, reads, count(*) AS umis FROM (SELECT sample, umi, count(*) AS reads FROM cdr3 GROUP BY ALL) GROUP BY ALL), st AS (SELECT sample, unnest(range(1, max(reads) + 1)) AS reads FROM p GROUP BY sample) SELECT st.sample, st.reads, coalesce(umis, 0) AS umis FROM st LEFT JOIN p USING (sample, reads)", "cdr3"))
 def g09(spark, d):
     return r.reads_per_umi(rows(spark, d))

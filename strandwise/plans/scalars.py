@@ -76,7 +76,7 @@ _PAIR = "p AS (SELECT DISTINCT v.md5, v.seq, a.seq AS ref FROM variants v JOIN a
 
 def pairs(spark, d):
     a = view(spark, d, "alleles").where("name like '%-0'").select("marker", F.col("seq").alias("ref"))
-    return view(spark, d, "variants").join(F.broadcast(a), "marker").select("md5", "seq", "ref").distinct()
+    return view(spark, d, "variants").join(a, "marker").select("md5", "seq", "ref").distinct()
 
 
 _HAM = "(SELECT count(*) FROM (SELECT unnest(range(1, length(seq) + 1)) AS i) WHERE substr(seq, i, 1) <> substr(ref, i, 1))"
@@ -145,11 +145,17 @@ def c19(spark, d):
     return _variants(spark, d).select("md5", s.aa_letters(names).alias("aa"), F.length(names).alias("n"))
 
 
-@query("c20_kind_and_cleaning", with_views("SELECT DISTINCT md5, true AS dna, seq AS cleaned, substr(md5, 1, 9) AS name FROM variants", "variants"))
+_KIND = "CASE WHEN md5 < '6' THEN seq WHEN md5 < 'b' THEN concat(replace(seq, 'T', 'U'), 'U') ELSE concat('MEFLQ', seq) END"
+
+
+@query("c20_kind_and_cleaning", with_views(f"SELECT DISTINCT md5, CASE WHEN md5 < '6' THEN 'dna' WHEN md5 < 'b' THEN 'rna' ELSE 'protein' END AS kind, {_KIND} AS cleaned, substr(md5, 1, 9) AS name FROM variants", "variants"))
 def c20(spark, d):
-    dirty = F.concat(F.substring("seq", 1, 5), F.lit("-- 12"), F.substring("seq", 6, 99))
+    """A third each of DNA, RNA and protein, with blanks, gaps and digits between."""
+    x = _variants(spark, d).withColumn("text", F.expr(_KIND))
+    dirty = F.concat(F.substring("text", 1, 5), F.lit("-- 12"), F.substring("text", 6, 99))
     name = F.concat(F.substring("md5", 1, 4), F.lit("_-|"), F.substring("md5", 5, 5))
-    return _variants(spark, d).select("md5", (s.is_dna("seq") & ~s.is_rna("seq") & ~s.is_protein("seq")).alias("dna"), s.clean_sequence(dirty).alias("cleaned"), s.clean_name(name).alias("name"))
+    kind = F.when(s.is_dna("text"), "dna").when(s.is_rna("text"), "rna").when(s.is_protein("text"), "protein")
+    return x.select("md5", kind.alias("kind"), s.clean_sequence(dirty).alias("cleaned"), s.clean_name(name).alias("name"))
 
 
 @query("c27_genotypes", with_views("SELECT order_id, CASE dp % 3 WHEN 0 THEN ref WHEN 1 THEN concat(ref, ',', alt) ELSE alt END AS genotype, '0/0,0/1,1/1' AS all_genotypes FROM calls", "calls"))
