@@ -283,3 +283,11 @@ def g36e(spark, d):
 @query("g36_automatic_ratio", with_views("ma AS (SELECT * FROM (SELECT *, 100.0 * coalesce(sum(depth) OVER (PARTITION BY marker, sample ORDER BY depth DESC, md5 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(depth) OVER (PARTITION BY marker, sample) AS before, row_number() OVER (PARTITION BY marker, sample ORDER BY depth DESC, md5) AS nth FROM variants) WHERE before < 80 AND nth <= 10) SELECT x.marker, least(min(round(100.0 * y.depth / x.depth, 2)), 50.0)::DOUBLE AS ratio FROM ma x JOIN ma y ON y.marker = x.marker AND y.sample = x.sample AND y.md5 <> x.md5 WHERE levenshtein(x.seq, y.seq) > 3 GROUP BY x.marker", "variants"))
 def g36r(spark, d):
     return v.automatic_ratio(stored(view(spark, d, "variants")), percent=80)
+
+
+@query("g03_shared_between_markers", with_views("x AS (SELECT CASE WHEN md5 < '8' THEN 'MX' ELSE marker END AS marker, md5, depth FROM variants UNION ALL SELECT marker, md5, depth FROM variants WHERE md5 < '4') SELECT md5, count(DISTINCT marker) AS n_markers, sum(depth)::BIGINT AS depth FROM x GROUP BY md5 HAVING count(DISTINCT marker) > 1", "variants"))
+def g03s(spark, d):
+    """Sequences that two markers have."""
+    x = stored(view(spark, d, "variants"))
+    y = x.withColumn("marker", F.when(F.col("md5") < "8", "MX").otherwise(F.col("marker"))).unionByName(x.where("md5 < '4'"))
+    return v.shared_between_markers(y)

@@ -118,10 +118,23 @@ def s14(spark, d):
     return out.select("name", F.array_join("accessions", ",").alias("accessions"), F.get("functions", F.lit(0)).alias("function"))
 
 
-@query("s15_taxonomy_forms", "SELECT concat('ACC', p_partkey, ';tax=k:K', p_partkey % 2, ',p:P', p_partkey % 4) AS name, 'ACGT' AS seq FROM part")
+@query("s15_taxonomy_forms", "SELECT form, concat('ACC', p_partkey, ';tax=k:K', p_partkey % 2, ',p:P', p_partkey % 4, CASE WHEN form = 'table' THEN ',c:C' ELSE '' END) AS name, 'ACGT' AS seq FROM part, (SELECT unnest(['prefixed', 'levels', 'unite', 'table']) AS form)")
 def s15(spark, d):
-    x = spark.read.parquet(f"{d}/part.parquet").select(F.expr("concat('ACC', p_partkey, ' k__K', p_partkey % 2, '; p__P', p_partkey % 4, '; c__')").alias("name"), F.lit("ACGU").alias("seq"))
-    return readers.normalise_taxonomy(x, "prefixed")
+    """Prefixes, bare levels, the last of several bars, and levels from a table of ids."""
+    part = spark.read.parquet(f"{d}/part.parquet")
+    texts = {
+        "prefixed": "concat('ACC', p_partkey, ' k__K', p_partkey % 2, '; p__P', p_partkey % 4, '; c__')",
+        "levels": "concat('ACC', p_partkey, ' K', p_partkey % 2, '; P', p_partkey % 4)",
+        "unite": "concat('ACC', p_partkey, '|SH', p_size, '|reps|k__K', p_partkey % 2, ';p__P', p_partkey % 4, ';c__')",
+        "table": "concat('ACC', p_partkey, ' some words')",
+    }
+    table = part.select(F.expr("concat('ACC', p_partkey)").alias("id"), F.expr("concat('K', p_partkey % 2, ';P', p_partkey % 4, ';C')").alias("taxonomy"))
+    out = None
+    for form, text in texts.items():
+        x = readers.normalise_taxonomy(part.select(F.expr(text).alias("name"), F.lit("ACGU").alias("seq")), "levels" if form == "table" else form, table if form == "table" else None)
+        x = x.select(F.lit(form).alias("form"), "name", "seq")
+        out = x if out is None else out.unionByName(x)
+    return out
 
 
 @query("s16_read_blast", with_views("SELECT md5 AS query, marker AS subject, length(seq)::INT AS aligned, round_even(90.0 * length(seq) / 100, 0)::INT AS ident FROM (SELECT DISTINCT md5, marker, seq FROM variants)", "variants"))

@@ -1,5 +1,6 @@
 """Planted-truth cases of the sequence operators."""
 
+import json
 import re
 from collections import Counter
 
@@ -228,3 +229,10 @@ def test_corrected_coverage_counts_a_read_once(spark):
     rows = [("L", a, f"r{k}") for a, n, m in (("A1", 0, 50), ("A2", 40, 60), ("A3", 0, 40), ("A4", 55, 58)) for k in range(n, m)]
     got = {r.allele: (r.reads, r.corrected, r.kept) for r in alleles.corrected_coverage(spark.createDataFrame(rows, "locus string, allele string, read string")).collect()}
     assert got == {"A1": (50, 50, True), "A2": (20, 10, False)}
+
+
+def test_biom_object(spark):
+    rows = [("O2", "S1", 3), ("O1", "S1", 1), ("O1", "S2", 5)]
+    table = json.loads(taxonomy.biom_json(spark.createDataFrame(rows, "otu string, sample string, depth long")).first().value)
+    assert [r["id"] for r in table["rows"]] == ["O1", "O2"] and [c["id"] for c in table["columns"]] == ["S1", "S2"]
+    assert table["shape"] == [2, 2] and sorted(map(tuple, table["data"])) == [(0, 0, 1), (0, 1, 5), (1, 0, 3)]
