@@ -6,6 +6,8 @@ allows. Depth is conserved: counted members, ambiguous ones and leftovers add up
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,50 +21,65 @@ MEMBERS = "marker string, sample string, cluster int, role string, md5 string, s
 _COLUMNS = [c.split()[0] for c in MEMBERS.split(", ")]
 
 
-def cluster_guided(variants: DataFrame, max_subs: float = 1, max_indels: float = 1, min_dominant_percent: float = 25, lengths: list[int] | None = None, max_clusters: int = 0) -> DataFrame:
+def cluster_guided(variants: DataFrame, max_subs: float = 1, max_indels: float = 1, min_dominant_percent: float = 25, lengths: list[int] | None = None, max_clusters: int = 0, min_amplicon_percent: float = 0, min_identity: float = 0) -> DataFrame:
     """Walks each amplicon by depth: a head absorbs variants within max_subs percent
-    substitutions and max_indels percent other indels, but not one with
-    min_dominant_percent of its depth that passes as dominant. A variant as near to
-    another strong one is listed, not counted. Singletons are no heads; what is left is
-    role "none" of cluster 0. Rows of MEMBERS."""
+    substitutions and max_indels percent other indels (and of min_identity percent), but
+    not a strong one: with min_dominant_percent of its depth, or min_amplicon_percent of the
+    amplicon's, that passes as dominant. A variant as near to another strong one is listed,
+    not counted. Singletons are no heads; what is left is role "none" of cluster 0. Rows of
+    MEMBERS."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
         rows = rows.sort_values(["depth", "md5"], ascending=[False, True]).reset_index(drop=True)
         seqs, depths = rows["seq"].tolist(), rows["depth"].tolist()
-        free, heads, out = set(range(len(rows))), [], []
-        strong = lambda i, top: 100 * depths[i] >= min_dominant_percent * depths[top] and dominant(seqs[i], seqs[top])
+        total = sum(depths)
+        free, out = set(range(len(rows))), []
+        blocks = {int(n): (at.index.to_numpy(), rows_of(at["seq"].tolist())) for n, at in rows.groupby(rows["seq"].str.len())}
 
         def dominant(seq: str, ref: str) -> bool:
             n = lengths or [len(ref)]
             return any(abs(len(seq) - x) % 3 == 0 and abs(len(seq) - x) <= 0.9 * x for x in n)
 
-        def near(i: int, head: int) -> tuple | None:
-            a, b = seqs[i], seqs[head]
+        def strong(i: int, top: int) -> bool:
+            much = 100 * depths[i] >= min_dominant_percent * depths[top] or (min_amplicon_percent and 100 * depths[i] >= min_amplicon_percent * total)
+            return much and dominant(seqs[i], seqs[top])
+
+        @lru_cache(None)
+        def near(head: int) -> dict[int, tuple]:
+            """Errors of all variants that ``head`` may absorb."""
+            b, found = seqs[head], {}
             subs_limit, indel_limit = round(max_subs * len(b) / 100), round(max_indels * len(b) / 100)
-            if len(a) == len(b):
-                d = sum(x != y for x, y in zip(a, b, strict=True))
-                return (d, 0, 0, 0) if d <= subs_limit else None
-            if indel_limit < 1 or abs(len(a) - len(b)) > max(indel_limit, 3):
-                return None
-            _, _, subs, ins, dels, homo = compare_pair(a, b)
-            return (subs, ins, dels, homo) if subs <= subs_limit and ins + dels - homo <= indel_limit else None
+            at, x = blocks[len(b)]
+            d = (x != np.frombuffer(b.encode("latin-1"), np.uint8)).sum(axis=1)
+            found.update((i, (n, 0, 0, 0)) for i, n in zip(at[d <= subs_limit].tolist(), d[d <= subs_limit].tolist(), strict=True) if 100 * (len(b) - n) >= min_identity * len(b))
+            for n, (others, _) in blocks.items():
+                if n == len(b) or indel_limit < 1 or abs(n - len(b)) > max(indel_limit, 3):
+                    continue
+                for i in others.tolist():
+                    ident, columns, subs, ins, dels, homo = compare_pair(seqs[i], b)
+                    if subs <= subs_limit and ins + dels - homo <= indel_limit and 100 * ident >= min_identity * columns:
+                        found[i] = (subs, ins, dels, homo)
+            return found
 
+        heads = 0
         for top in range(len(rows)):
-            if top not in free or depths[top] < 2 or (max_clusters and len(heads) >= max_clusters):
+            if top not in free or depths[top] < 2 or (max_clusters and heads >= max_clusters):
                 continue
-            heads.append(top)
+            heads += 1
             free.discard(top)
-            k = len(heads)
-            out.append((k, "head", top, True, 0, 0, 0, 0))
-            rivals = [i for i in sorted(free) if near(i, top) and strong(i, top)]
-            for i in sorted(free):
-                if i in rivals or not (e := near(i, top)):
+            out.append((heads, "head", top, True, 0, 0, 0, 0))
+            mine = {i: e for i, e in sorted(near(top).items()) if i in free}
+            rivals = [i for i in mine if strong(i, top)]
+            for i, e in mine.items():
+                if i in rivals:
                     continue
-                others = [sum(x) for r in rivals if (x := near(i, r))]
+                others = [sum(near(r)[i]) for r in rivals if i in near(r)]
                 if others and min(others) < sum(e):
                     continue
                 free.discard(i)
-                out.append((k, "member", i, not (others and min(others) == sum(e)), *e))
+                out.append((heads, "member", i, not (others and min(others) == sum(e)), *e))
         out += [(0, "none", i, False, 0, 0, 0, 0) for i in sorted(free)]
         built = [(rows["marker"][0], rows["sample"][0], k, role, rows["md5"][i], seqs[i], depths[i], counted, *e) for k, role, i, counted, *e in out]
         return pd.DataFrame(built, columns=_COLUMNS)
@@ -119,17 +136,24 @@ def cluster_depths(members: DataFrame) -> DataFrame:
     return per.select(*AMPLICON, "cluster", "h.md5", "h.seq", "depth", "size")
 
 
-def consensus(members: DataFrame, least: int = 3) -> DataFrame:
-    """Depth-weighted consensus of the members as long as their head; the smallest
-    base wins ties; clusters below ``least`` members keep their head."""
+def consensus(members: DataFrame, least: int = 3, lengths: list[int] | None = None) -> DataFrame:
+    """Depth-weighted consensus of the members as long as their head; the smallest base
+    wins ties; clusters below ``least`` members, or whose consensus isn't dominant for
+    ``lengths``, keep their head. merged_into: the first earlier cluster of the amplicon
+    that has the consensus as a member."""
     key = [*AMPLICON, "cluster"]
     heads = cluster_depths(members).select(*key, F.col("seq").alias("head_seq"), "size")
     fit = members.where("cluster > 0 and counted").join(heads, key).where(F.length("seq") == F.length("head_seq"))
     bases = fit.select(*key, "head_seq", "size", "depth", F.posexplode(s.letters("seq")).alias("pos", "base"))
     best = bases.groupBy(*key, "head_seq", "size", "pos", "base").agg(F.sum("depth").alias("d")).groupBy(*key, "head_seq", "size", "pos").agg(F.min(F.struct((-F.col("d")).alias("d"), "base"))["base"].alias("base"))
-    joined = best.groupBy(*key, "head_seq", "size").agg(F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("b"))
-    seq = F.when(F.col("size") >= least, F.array_join(F.transform("b", lambda x: x["base"]), "")).otherwise(F.col("head_seq"))
-    return joined.select(*key, seq.alias("consensus"), (seq != F.col("head_seq")).alias("changed"))
+    joined = best.groupBy(*key, "head_seq", "size").agg(F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("b")).withColumn("built", F.array_join(F.transform("b", lambda x: x["base"]), ""))
+    right = F.col("size") >= least
+    if lengths is not None:
+        right = right & is_dominant("built", F.array(*[F.lit(n) for n in lengths]))
+    seq = F.when(right, F.col("built")).otherwise(F.col("head_seq"))
+    out = joined.select(*key, seq.alias("consensus"), (seq != F.col("head_seq")).alias("changed"))
+    earlier = members.where("cluster > 0").select(*AMPLICON, F.col("seq").alias("consensus"), F.col("cluster").alias("of")).groupBy(*AMPLICON, "consensus").agg(F.min("of").alias("of"))
+    return out.join(earlier, [*AMPLICON, "consensus"], "left").select(*key, "consensus", "changed", F.when(F.col("of") < F.col("cluster"), F.col("of")).alias("merged_into"))
 
 
 def prefer_known_heads(members: DataFrame, alleles: DataFrame) -> DataFrame:

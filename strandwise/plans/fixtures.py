@@ -35,7 +35,7 @@ VIEWS = {
     "reads": """SELECT read_id, CASE WHEN strand = 'R' THEN reverse(translate(whole, 'ACGT', 'TGCA')) ELSE whole END AS seq,
   repeat(substr('5:?DI', tax % 5 + 1, 1), CAST(length(whole) AS INT)) AS qual, sample, marker, run FROM (SELECT *, concat(tag, primer_f, seq, primer_rc) AS whole FROM inserts)""",
     "variants": "SELECT marker, sample, md5(seq) AS md5, seq, count(*) AS depth FROM inserts GROUP BY marker, sample, seq",
-    "members": """SELECT marker, sample, CAST(instr('ACGT', substr(seq, 1, 1)) AS INT) AS cluster, CASE WHEN row_number() OVER (PARTITION BY marker, sample, substr(seq, 1, 1) ORDER BY depth DESC, md5) = 1 THEN 'head' ELSE 'member' END AS role,
+    "members": """SELECT marker, sample, CAST(instr('ACGT', substr(seq, 60, 1)) AS INT) AS cluster, CASE WHEN row_number() OVER (PARTITION BY marker, sample, instr('ACGT', substr(seq, 60, 1)) ORDER BY depth DESC, md5) = 1 THEN 'head' ELSE 'member' END AS role,
   md5, seq, depth, substr(md5, 1, 1) <> '0' AS counted FROM variants""",
     "amplicons": "SELECT marker, sample, count(*) AS depth_amplicon FROM inserts GROUP BY marker, sample",
     "runs": "SELECT run, marker, sample, md5(seq) AS md5, seq, count(*) AS depth FROM inserts GROUP BY run, marker, sample, seq",

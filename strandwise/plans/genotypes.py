@@ -47,7 +47,7 @@ def g04(spark, d):
     return c.cluster_guided(variants(spark, d), 2, 2)
 
 
-_HEADS = "hd AS (SELECT marker, sample, cluster, max(md5) FILTER (role = 'head') AS md5, max(seq) FILTER (role = 'head') AS seq, sum(CASE WHEN counted THEN depth ELSE 0 END)::BIGINT AS depth, count(*) AS size FROM members GROUP BY ALL)"
+_HEADS = "hd AS (SELECT marker, sample, cluster, max(md5) FILTER (role = 'head') AS md5, max(seq) FILTER (role = 'head') AS seq, sum(CASE WHEN counted THEN depth ELSE 0 END)::BIGINT AS depth, count(*) AS size FROM members WHERE cluster > 0 GROUP BY ALL)"
 
 
 @query("g10_cluster_depths", with_views(_HEADS + " SELECT * FROM hd", "members"))
@@ -55,9 +55,15 @@ def g10(spark, d):
     return c.cluster_depths(view(spark, d, "members"))
 
 
-@query("g05_consensus", with_views(_HEADS + ", bs AS (SELECT h.marker, h.sample, h.cluster, h.seq AS head_seq, h.size, i, substr(m.seq, i::INT, 1) AS b, sum(m.depth) AS d FROM members m JOIN hd h ON h.marker = m.marker AND h.sample = m.sample AND h.cluster = m.cluster AND length(h.seq) = length(m.seq), (SELECT unnest(range(1, 61)) AS i) WHERE counted AND i <= length(h.seq) GROUP BY ALL), be AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY marker, sample, cluster, i ORDER BY d DESC, b) AS k FROM bs) WHERE k = 1), co AS (SELECT marker, sample, cluster, head_seq, CASE WHEN size >= 3 THEN string_agg(b, '' ORDER BY i) ELSE head_seq END AS consensus FROM be GROUP BY marker, sample, cluster, head_seq, size) SELECT marker, sample, cluster, consensus, consensus <> head_seq AS changed FROM co", "members"))
+_CONSENSUS = _HEADS + f""", bs AS (SELECT h.marker, h.sample, h.cluster, h.seq AS head_seq, h.size, i, substr(m.seq, i::INT, 1) AS b, sum(m.depth) AS d FROM members m JOIN hd h ON h.marker = m.marker AND h.sample = m.sample AND h.cluster = m.cluster AND length(h.seq) = length(m.seq), (SELECT unnest(range(1, 61)) AS i) WHERE m.cluster > 0 AND counted AND i <= length(h.seq) GROUP BY ALL),
+be AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY marker, sample, cluster, i ORDER BY d DESC, b) AS k FROM bs) WHERE k = 1), co AS (SELECT marker, sample, cluster, head_seq, size, string_agg(b, '' ORDER BY i) AS seq FROM be GROUP BY marker, sample, cluster, head_seq, size),
+cs AS (SELECT DISTINCT seq FROM co), {CODE_CTE}, pt AS (SELECT seq, aa FROM ({protein_sql('(SELECT seq AS k, seq FROM cs)', 'k')}) JOIN cs ON cs.seq = k),
+fn AS (SELECT marker, sample, cluster, head_seq, CASE WHEN size >= 3 AND length(co.seq) % 3 = 0 AND NOT contains(aa, '*') THEN co.seq ELSE head_seq END AS consensus FROM co JOIN pt USING (seq))"""
+
+
+@query("g05_consensus", with_views(_CONSENSUS + " SELECT marker, sample, cluster, consensus, consensus <> head_seq AS changed, (SELECT min(m.cluster) FROM members m WHERE m.cluster > 0 AND m.marker = fn.marker AND m.sample = fn.sample AND m.seq = fn.consensus AND m.cluster < fn.cluster) AS merged_into FROM fn", "members"))
 def g05(spark, d):
-    return c.consensus(view(spark, d, "members"))
+    return c.consensus(stored(view(spark, d, "members")), 3, [60])
 
 
 @query("g06_denovo_clusters")
@@ -75,7 +81,7 @@ def g12(spark, d):
     return c.cluster_segments(variants(spark, d), ["marker", "sample"], 0.3)
 
 
-@query("j23_known_heads", with_views("k AS (SELECT m.*, row_number() OVER (PARTITION BY marker, sample, cluster ORDER BY CASE WHEN m.seq IN (SELECT seq FROM alleles) THEN 0 ELSE 1 END, CASE WHEN role = 'head' THEN 0 ELSE 1 END, depth DESC, md5) AS nth FROM members m) SELECT marker, sample, cluster, CASE WHEN nth = 1 THEN 'head' ELSE 'member' END AS role, md5, seq, depth, counted FROM k", "members", "alleles"))
+@query("j23_known_heads", with_views("k AS (SELECT m.*, row_number() OVER (PARTITION BY marker, sample, cluster ORDER BY CASE WHEN m.seq IN (SELECT seq FROM alleles) THEN 0 ELSE 1 END, CASE WHEN role = 'head' THEN 0 ELSE 1 END, depth DESC, md5) AS nth FROM members m) SELECT marker, sample, cluster, CASE WHEN cluster = 0 THEN 'none' WHEN nth = 1 THEN 'head' ELSE 'member' END AS role, md5, seq, depth, counted FROM k", "members", "alleles"))
 def j23(spark, d):
     return c.prefer_known_heads(view(spark, d, "members"), view(spark, d, "alleles"))
 
