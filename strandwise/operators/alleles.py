@@ -93,6 +93,32 @@ def allele_groups(names: list[str]) -> list[str]:
     return out
 
 
+def allele_groups_between(names: list[str], others: list[str]) -> dict[str, list[str]]:
+    """Each of ``names`` with those of ``others`` that share leading fields with it, under
+    the fields that all share; one of ``others`` goes with the first name that takes it."""
+    left, out = [x.split(":") for x in others], {}
+
+    def shared(a: list[str], b: list[str]) -> int:
+        return next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+    for fields in (x.split(":") for x in names):
+        taken = [x for x in left if x != fields and shared(x, fields)]
+        left = [x for x in left if x not in taken]
+        common = ":".join(fields[: min((shared(x, fields) for x in taken), default=len(fields))])
+        out.setdefault(common, []).extend(":".join(x) for x in [fields, *taken])
+    return out
+
+
+def group_allele_names_between(rows: DataFrame, column: str, other: str) -> DataFrame:
+    """Adds groups (name, members) of two columns of allele names."""
+
+    @F.pandas_udf("array<struct<name: string, members: array<string>>>")
+    def grouped(names: pd.Series, others: pd.Series) -> pd.Series:
+        return pd.Series([[{"name": k, "members": v} for k, v in allele_groups_between(list(a), list(b)).items()] for a, b in zip(names, others, strict=True)])
+
+    return rows.withColumn("groups", grouped(column, other))
+
+
 def group_allele_names(rows: DataFrame, column: str = "names") -> DataFrame:
     @F.pandas_udf("array<string>")
     def grouped(names: pd.Series) -> pd.Series:

@@ -265,6 +265,16 @@ def c21(spark, d):
     return a.group_allele_names(x)
 
 
+@query("c21_groups_between")
+def c21b(spark, d):
+    """Names of one half of each OTU's hits against those of the other half."""
+    name = F.expr("concat('A*', hit % 3, ':0', hit % 4, ':', hit % 8)")
+    half = lambda k: F.array_sort(F.collect_set(F.when(F.floor(F.col("hit") / 60) % 2 == k, name)))
+    x = view(spark, d, "taxa").groupBy("otu").agg(half(0).alias("names"), half(1).alias("others"))
+    out = a.group_allele_names_between(x, "names", "others").select("otu", F.explode("groups").alias("g"))
+    return out.select("otu", "g.name", F.array_join("g.members", ",").alias("members"))
+
+
 @query("f14_frequent_alleles", "WITH f AS (SELECT concat('L', p_size % 3) AS locus, p_brand AS allele, p_partkey AS entry, p_size AS coverage FROM part), g AS (SELECT DISTINCT locus, allele FROM f WHERE allele LIKE '%1') SELECT locus, allele, entry, coverage FROM (SELECT f.*, row_number() OVER (PARTITION BY locus, allele ORDER BY coverage DESC, entry) AS n FROM f JOIN g USING (locus, allele)) WHERE n = 1")
 def f14(spark, d):
     f = spark.read.parquet(f"{d}/part.parquet").select(F.expr("concat('L', p_size % 3)").alias("locus"), F.col("p_brand").alias("allele"), F.col("p_partkey").alias("entry"), F.col("p_size").alias("coverage"))

@@ -236,3 +236,11 @@ def test_biom_object(spark):
     table = json.loads(taxonomy.biom_json(spark.createDataFrame(rows, "otu string, sample string, depth long")).first().value)
     assert [r["id"] for r in table["rows"]] == ["O1", "O2"] and [c["id"] for c in table["columns"]] == ["S1", "S2"]
     assert table["shape"] == [2, 2] and sorted(map(tuple, table["data"])) == [(0, 0, 1), (0, 1, 5), (1, 0, 3)]
+
+
+def test_allele_groups_between_two_lists(spark):
+    names, others = ["A*02:01:01", "A*02:05", "B*07:02"], ["A*02:01:03", "A*02:06", "B*07:02", "C*01:02"]
+    want = {"A*02": ["A*02:01:01", "A*02:01:03", "A*02:06"], "A*02:05": ["A*02:05"], "B*07:02": ["B*07:02"]}
+    assert alleles.allele_groups_between(names, others) == want
+    df = spark.createDataFrame([(names, others)], "x array<string>, y array<string>")
+    assert {g.name: g.members for g in alleles.group_allele_names_between(df, "x", "y").first().groups} == want
