@@ -244,3 +244,28 @@ def test_allele_groups_between_two_lists(spark):
     assert alleles.allele_groups_between(names, others) == want
     df = spark.createDataFrame([(names, others)], "x array<string>, y array<string>")
     assert {g.name: g.members for g in alleles.group_allele_names_between(df, "x", "y").first().groups} == want
+
+
+def test_identity_clusters_segments_and_folding(spark):
+    """A rare copy of one allele and a strong copy of another."""
+    thin, strong = error(A, 3), error(B, 7)
+    df = amplicon(spark, [(A, 1000), (thin, 5), (B, 400), (strong, 300)])
+    name = {r.md5: r.seq for r in df.collect()}
+    keys = ["marker", "sample"]
+    same = {r.seq: (name[r["head"]], r.removed) for r in clustering.cluster_by_identity(df, 95, keys, 0.2).collect()}
+    assert same == {A: (A, False), thin: (A, True), B: (B, False), strong: (B, False)}
+    assert {r.seq: name[r["head"]] for r in clustering.cluster_segments(df, keys).collect()} == {A: A, thin: A, B: B, strong: strong}
+    folded = {name[r.md5]: r.folded for r in clustering.genotype_folding(df).collect()}
+    assert folded == {A: 1005, thin: 0, B: 400, strong: 300}
+
+
+def test_filter_reasons(spark):
+    """Stops in the frame of the deepest open variant, columns shared with it, small clusters, the sharpest fall."""
+    open_ = "ACG" * 17
+    stop = open_[:30] + "TAA" + open_[33:]
+    far = B  # with a stop in frame 1
+    rows = amplicon(spark, [(open_, 100), (stop, 90), (far, 6)]).withColumns({"freq": F.col("depth") / 2, "cluster_size": F.when(F.col("depth") == 90, 1).otherwise(3)})
+    got = {r.seq: r.reasons for r in clustering.filter_artefacts(rows, stops=True, min_cluster_size=2, min_identical=45).collect()}
+    assert got == {open_: [], stop: ["cluster size", "stop"], far: ["identity", "stop"]}
+    kept = {r.seq: r.kept for r in clustering.filter_artefacts(rows, degree=True).collect()}
+    assert kept == {open_: True, stop: True, far: False}
