@@ -125,20 +125,21 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     rows = materialise(docs.select(F.col("__rid").alias("rid"), F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size")))
     _, segments = mix(rows, block_words)
     # At most MOST_TIMES segments for each block that a document is in.
-    of = segments.groupBy("rid").agg(F.collect_list(F.struct("first_word", "n_words")).alias("__segments"))
+    of = segments.groupBy(F.col("rid").alias("__of")).agg(F.collect_list(F.struct("first_word", "n_words")).alias("__segments"))
     words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     texts = let(words, lambda w: F.transform("__segments", lambda s: F.array_join(F.slice(w, (s["first_word"] + 1).cast("int"), s["n_words"].cast("int")), "")))
-    out = docs.join(of, docs["__rid"] == of["rid"]).withColumn("text", F.explode(texts))
+    out = docs.join(of, F.col("__rid") == F.col("__of")).withColumn("text", F.explode(texts))
     return out.withColumn("n_chars", F.length("text").cast("long")).select([c for c in docs.columns if c != "__rid"])
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered(table(spark, sf_dir, "documents"))
     sources, segments = mix(rows)
-    taken = segments.groupBy("rid").agg(F.sum("n_words").alias("taken"))
+    # As many segments a document as it has blocks, MOST_TIMES over.
+    taken = segments.groupBy("rid").agg(F.sum("n_words").alias("taken"), F.size(F.collect_set("shard")).cast("long").alias("n_shards"))
     keyed = rows.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
     out = keyed.join(taken, "rid", "left").join(sources, "source_key")
-    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("taken", "n_shards")])
 
 
 def op6_sql() -> str:
@@ -161,8 +162,8 @@ q AS (SELECT *, ceil(source_size / {BLOCK_WORDS})::BIGINT AS n_blocks FROM s WHE
 q2 AS (SELECT *, least({MOST_TIMES} * n_blocks, round(target * n_blocks / source_size)::BIGINT) AS n_slots FROM q),
 s0 AS (SELECT source_key, slot, n_blocks, slot // n_blocks AS lap, {x} AS x FROM (SELECT *, unnest(range(n_slots)) AS slot FROM q2)),
 {", ".join(rounds)},
-k AS (SELECT source_key, x AS block, count(*) AS times FROM {previous} GROUP BY ALL),
+k AS (SELECT source_key, x AS block, ('0x' || substr(md5(concat_ws('/', '{SEED}/shard', source_key, slot::VARCHAR)), 1, 8))::BIGINT % (SELECT ceil(sum(n_slots) / {SHARD_SLOTS})::BIGINT FROM q2) AS shard FROM {previous}),
 o AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source_key ORDER BY ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % (SELECT greatest(1, ceil(count(*) / {BUCKET_ROWS}))::BIGINT FROM t), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM t WHERE size > 0),
 e AS (SELECT source_key, doc_id, size, pos, unnest(range(pos // {BLOCK_WORDS}, (pos + size - 1) // {BLOCK_WORDS} + 1)) AS block FROM o),
-g AS (SELECT e.doc_id, sum(times * (least(pos + size, (e.block + 1) * {BLOCK_WORDS}) - greatest(pos, e.block * {BLOCK_WORDS}))) AS taken FROM e JOIN k ON k.source_key = e.source_key AND k.block = e.block GROUP BY e.doc_id)
-SELECT t.doc_id, t.size, s.source_size, s.target, coalesce(g.taken, 0)::BIGINT AS taken FROM t JOIN s ON s.source_key = t.source_key LEFT JOIN g ON g.doc_id = t.doc_id"""
+g AS (SELECT e.doc_id, count(DISTINCT shard) AS n_shards, sum((least(pos + size, (e.block + 1) * {BLOCK_WORDS}) - greatest(pos, e.block * {BLOCK_WORDS}))) AS taken FROM e JOIN k ON k.source_key = e.source_key AND k.block = e.block GROUP BY e.doc_id)
+SELECT t.doc_id, t.size, s.source_size, s.target, coalesce(g.taken, 0)::BIGINT AS taken, coalesce(g.n_shards, 0)::BIGINT AS n_shards FROM t JOIN s ON s.source_key = t.source_key LEFT JOIN g ON g.doc_id = t.doc_id"""

@@ -70,6 +70,38 @@ def test_near_copies_of_a_base_that_are_far_from_each_other(spark):
     assert got == plain_components(rows)
 
 
+def exact_components(rows):
+    """As ``plain_components``, with all intersections from one matrix."""
+    sets = sets_of(rows)
+    ids = sorted(sets)
+    number = {g: k for k, g in enumerate({g for d in ids for g in sets[d]})}
+    both = np.zeros((len(ids), len(ids)), np.float32)
+    for lo in range(0, len(number), 4096):
+        part = np.zeros((len(ids), 4096), np.float32)
+        for i, d in enumerate(ids):
+            part[i, [number[g] - lo for g in sets[d] if lo <= number[g] < lo + 4096]] = 1
+        both += part @ part.T
+    size = np.array([len(sets[d]) for d in ids])
+    near = 100 * both >= 75 * (size[:, None] + size[None, :] - both)
+    label = np.arange(len(ids))
+    while (low := np.array([label[near[i]].min() if size[i] else label[i] for i in range(len(ids))])).tolist() != label.tolist():
+        label = low
+    return {d: (len(sets[d]), ids[label[i]]) for i, d in enumerate(ids)}
+
+
+def test_unlike_documents_with_a_common_passage(spark):
+    """Two thousand documents that share two thirds to six sevenths of their words, and near copies of some."""
+    passage, rows = words(72, 11), []
+    for i in range(2000):
+        own = [f"{w}{i}" for w in words(12 + i % 25, 5000 + i)]
+        rows.append((i, " ".join(own + passage)))
+        if i % 100 == 0:
+            own[0] = "changed"
+            rows.append((10_000 + i, " ".join(own + passage)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == exact_components(rows)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 100 + i) for i in range(1, 30)] + [(5, 5)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -150,6 +182,25 @@ def test_neighbours_recall_and_edge_cases(spark):
     assert neighbours.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 2 == 0).count() == 0
 
 
+def test_neighbours_of_vectors_of_unlike_length(spark):
+    """Directions choose the buckets, lengths decide the nearest; repeated rows and clashing names change nothing."""
+    draw = np.random.default_rng(8)
+    centres = draw.normal(size=(30, 16))
+    x = (centres[draw.integers(0, 30, 1500)] + 0.3 * draw.normal(size=(1500, 16))) * np.exp(0.5 * draw.normal(size=(1500, 1)))
+    rows = [(i, v.tolist(), "a", 1) for i, v in enumerate(x)]
+    df = spark.createDataFrame([*rows, *rows[:50]], "vec_id long, embedding array<double>, lead string, block int")
+    got = defaultdict(list)
+    for r in neighbours.nearest(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    found = 0
+    for q in range(0, 1500, 100):
+        gap = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        gap[q] = np.inf
+        found += len(set(np.argsort(gap, kind="stable")[:10].tolist()) & set(got[q]))
+        assert len(got[q]) == 10
+    assert found >= 0.9 * 150
+
+
 def test_neighbours_probe_further_until_the_sampled_recall_holds(spark):
     vectors = {i: v for i, v in enumerate(np.random.default_rng(3).standard_normal((2000, 16)).astype(np.float32))}
     df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<float>").repartition(3)
@@ -177,9 +228,10 @@ def test_targets_stop_at_three_times_the_source(spark):
         assert abs(got[k] - (3 * size[k] if k in capped else level * weight[k])) < 1e-6
 
 
-def test_mixing_meets_targets(spark, docs, no_docs):
+def test_mixing_meets_targets(spark, docs, no_docs, monkeypatch):
     rows = [(i, " ".join(words(30 + i % 90, i)), f"s{i % 4 if i % 3 else 0}") for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 64)
     numbered = mixing.numbered(df)
     sources, segments = mixing.mix(numbered, 16)
     segments = segments.cache()
@@ -194,6 +246,15 @@ def test_mixing_meets_targets(spark, docs, no_docs):
         assert abs(by_source[r.source_key] - r.target) <= max(32, 0.02 * r.target)
     again = mixing.mix(mixing.numbered(df.repartition(5)), 16)[1].groupBy("source_key").agg(F.sum("n_words").alias("n")).collect()
     assert {r.source_key: r.n for r in again} == by_source
+    # Slots draw their shards: even counts for each source, up to what a multinomial draw strays.
+    slots = segments.select("source_key", "slot", "shard").distinct().groupBy("source_key", "shard").agg(F.count("*").alias("n")).collect()
+    shards = 1 + max(r.shard for r in slots)
+    of_source = Counter()
+    for r in slots:
+        of_source[r.source_key] += r.n
+    for r in slots:
+        mean = of_source[r.source_key] / shards
+        assert abs(r.n - mean) <= 6 * math.sqrt(mean) + 1
     text = {i: t for i, t, _ in rows}
     for r in mixing.mixed_documents(df.withColumn("n_chars", F.lit(1).cast("long")), 16).limit(200).collect():
         assert " ".join(r.text.split()) in text[r.doc_id]

@@ -22,7 +22,7 @@ def test_stages_in_order(spark, docs):
 
     thin = stages["line_dedup"](spark, good, "").cache()
     texts = {r.doc_id: r.text for r in good.collect() if r.doc_id is not None}
-    want = {k: v for k, v in plain_line_dedup(sorted(texts.items())).items() if WORD.search(v)}
+    want = {k: v for k, v in plain_line_dedup(sorted(texts.items()), True).items() if WORD.search(v)}
     assert thin.columns == columns and {r.doc_id: r.text for r in thin.collect() if r.doc_id is not None} == want
 
     one = stages["near_dedup"](spark, thin, "").cache()
@@ -48,3 +48,13 @@ def test_run_over_documents(spark, tmp_path):
     spark.createDataFrame([r[:5] for r in document_rows()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     out = p.run(spark, str(tmp_path))
     assert out.count() > 0 and {"doc_id", "bin_id", "n_words"} <= set(out.columns)
+
+
+def test_columns_with_clashing_names_pass(spark, docs):
+    names = ["rid", "lead", "block", "key", "row_no", "line", "at", "first", "component", "shard", "words", "doc"]
+    wide = docs.withColumns({n: F.lit(n) for n in names})
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, wide, "")
+        assert out.columns == wide.columns
+        assert {tuple(r) for r in out.select(*names).distinct().collect()} == {tuple(names)}, name
+    assert p.STAGES[-1][1](spark, wide, "").count() > 0
