@@ -126,7 +126,8 @@ def assign(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     n = rows.count()
     quota, buckets = _quota(n, shards), bucket_count(n)
     rows = rows.withColumn("one", F.lit(1).cast("long"))
-    rows = materialise(rows.join(rows.groupBy("grp").agg(F.count("*").alias("members")), "grp"))
+    # The counts are a table of their own, so that the join can split a large group.
+    rows = materialise(rows.join(materialise(rows.groupBy("grp").agg(F.count("*").alias("members"))), "grp"))
     most = max(1, quota[-1])
     linked = distributed_offsets(rows.where("members > 1").select("rid", "grp", "one"), ["grp"], ["rid"], "one", "nth", buckets)
     linked = materialise(linked.select("rid", "one", F.struct("grp", (F.col("nth") / most).cast("int").alias("part")).alias("grp")))
