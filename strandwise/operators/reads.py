@@ -109,7 +109,8 @@ def retag(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]], new_
 
 def reads_of_amplicons(reads: DataFrame, patterns: list[tuple]) -> DataFrame:
     """Reads (of one read_id each) that match some amplicon in either strand."""
-    return _matches(reads, patterns).select(*reads.columns).dropDuplicates(["read_id"])
+    whole = reads.select("read_id", "seq", F.struct(*reads.columns).alias("__read"))
+    return _matches(whole, patterns).dropDuplicates(["read_id"]).select("__read.*")
 
 
 def inserts_from_hits(hits: DataFrame, reads: DataFrame) -> DataFrame:
