@@ -25,6 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_position(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns c0, c1, ... by position, and what ``names`` are called
+    there. So a table's other columns never clash with helper columns, nor with
+    each other where they differ by case only; ``toDF(*docs.columns)`` undoes it."""
+    given = docs.columns
+    at = [given.index(n) if n in given else [c.lower() for c in given].index(n.lower()) for n in names]
+    return docs.toDF(*[f"c{i}" for i in range(len(given))]), [f"c{i}" for i in at]
+
+
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

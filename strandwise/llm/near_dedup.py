@@ -21,9 +21,13 @@ probability (1 - 0.75**4)**32 = 5e-6, less above it, and fall below LEAST_EQUAL
 equal minima with 3e-7; a document linked to others is lost only with all its links.
 
 Defined results: no words or a null text gives an empty set, linked with
-nothing and kept; fewer than SHINGLE words are one shingle; rows with equal
-doc_id are one node, each with a row of the result; a null doc_id has a null
-component and is kept; an empty table gives no rows; other columns aren't read.
+nothing and kept; fewer than SHINGLE words are one shingle; each row has a row
+of the result. Rows with equal doc_id have one component_id, even if their
+texts are unlike, as the doc_id links them; but ``keep_one`` looks at texts
+only: of each group of similar texts the row of the smallest (doc_id, text hash)
+stays, with the rows that equal it. A null doc_id has a null component and is
+kept; an empty table gives no rows; other columns aren't read, so their names
+are free.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_batches, blocks, byte_hashes, materialise, mix, rolling_hashes, table, utf8_rows, word_spans
+from .common import arrow_batches, blocks, byte_hashes, by_position, materialise, mix, rolling_hashes, table, utf8_rows, word_spans
 from .components import connected_components
 
 SHINGLE, PERCENT = 5, 75
@@ -89,10 +93,10 @@ def signatures(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "set_hash", "bands", "signature"]
+    names = ["doc_id", "part", "n_shingles", "set_hash", "bands", "signature"]
     nth = np.arange(BANDS, dtype=np.uint64) << np.uint64(32)
     for batch in batches:
-        data, bounds = utf8_rows(batch.column(1))
+        data, bounds = utf8_rows(batch.column(2))
         for i, j in blocks(np.diff(bounds)):
             at = bounds[i : j + 1]
             row, h = shingles(data[at[0] : at[-1]], at - at[0])
@@ -108,7 +112,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, (r, s, n) in enumerate(zip(rows.tolist(), starts.tolist(), number[rows].tolist(), strict=True)):
                 set_hash[r] = hashlib.blake2b(h[s : s + n], digest_size=16).digest()
                 signature[r] = minima[k].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(number), pa.array(set_hash, pa.binary()), bands, pa.array(signature, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(number), pa.array(set_hash, pa.binary()), bands, pa.array(signature, pa.binary())], names)
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,87 +150,123 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each shingle of a document; ``part`` tells texts of one doc_id apart."""
+    """A row for each shingle of a node's text."""
     for batch in batches:
         data, bounds = utf8_rows(batch.column(1))
         for i, j in blocks(np.diff(bounds)):
             at = bounds[i : j + 1]
-            own, at = data[at[0] : at[-1]], at - at[0]
-            row, h = shingles(own, at)
-            number, part = np.bincount(row, minlength=j - i), byte_hashes(own, at[:-1], at[1:]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(part[row]), pa.array(number[row]), pa.array(h.view(np.int64))], ["doc", "part", "size", "shingle"])
+            row, h = shingles(data[at[0] : at[-1]], at - at[0])
+            number = np.bincount(row, minlength=j - i)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(number[row]), pa.array(h.view(np.int64))], ["node", "size", "shingle"])
 
 
 def _rare_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components of members (doc, component) that share
+    """Pairs (a, b) of different components of members (node, component) that share
     a shingle behind which, in order of rarity, as many may follow as a link needs."""
-    held = materialise(texts.join(members, "doc", "left_semi").select("doc", "text").mapInArrow(_shingle_rows, "doc long, part long, size long, shingle long"))
+    held = materialise(texts.join(members, "node", "left_semi").select("node", "text").mapInArrow(_shingle_rows, "node long, size long, shingle long"))
     often = held.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
-    own = Window.partitionBy("doc", "part")
+    own = Window.partitionBy("node")
     repeated = held.join(often, "shingle")
     # Shingles that nobody else has come first and meet nothing.
     nth = F.row_number().over(own.orderBy("often", "shingle")) - F.count("*").over(own) + F.col("size")
     early = repeated.withColumn("left", F.col("size") - nth + 1).where(100 * F.col("left") >= PERCENT * F.col("size"))
-    early = materialise(early.join(members, "doc").select("shingle", "doc", "component", "size", "left"))
+    early = materialise(early.join(members, "node").select("shingle", "node", "component", "size", "left"))
     heads = early.groupBy("shingle", "component").agg(F.count("*").alias("rows")).groupBy("shingle").agg(F.max(F.struct("rows", "component")).alias("most"), F.count("*").alias("number"))
     heads = materialise(heads.where("number > 1").select("shingle", F.col("most.component").alias("main")))
     near = materialise(early.join(heads, "shingle"))
-    other = near.where("component != main").select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("doc", "component", "size", "left")])
-    differ = (F.col("component") != F.col("other_component")) & ((F.col("component") == F.col("main")) | (F.col("doc") < F.col("other_doc")))
+    other = near.where("component != main").select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "left")])
+    differ = (F.col("component") != F.col("other_component")) & ((F.col("component") == F.col("main")) | (F.col("node") < F.col("other_node")))
     length = 100 * F.least("size", "other_size") >= PERCENT * F.greatest("size", "other_size")
     enough = (100 + PERCENT) * F.least("left", "other_left") >= PERCENT * (F.col("size") + F.col("other_size"))
-    return near.join(other, "shingle").where(differ & length & enough).select(F.least("doc", "other_doc").alias("a"), F.greatest("doc", "other_doc").alias("b")).distinct()
+    return near.join(other, "shingle").where(differ & length & enough).select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
 
 
 def _links(pairs: DataFrame, signed: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (u, v): the pairs (a, b) that pass by signature, then by full sets."""
-    side = lambda df, value, end: df.select(F.col("doc").alias(end), F.col(value).alias(f"{value}_{end}"))
+    side = lambda df, value, end: df.select(F.col("node").alias(end), F.col(value).alias(f"{value}_{end}"))
     near = pairs.join(side(signed, "signature", "a"), "a").join(side(signed, "signature", "b"), "b").mapInArrow(_alike, "a long, b long")
     whole = near.join(side(texts, "text", "a"), "a").join(side(texts, "text", "b"), "b")
     with arrow_batches(pairs.sparkSession, PAIR_ROWS):
         return materialise(whole.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed, "u long, v long"))
 
 
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of each row."""
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = materialise(slim.mapInArrow(_sign, "doc_id long, n_shingles long, set_hash binary, bands array<long>, signature binary"))
-    filled = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    sets = materialise(signed.where(filled).groupBy("set_hash").agg(F.min("doc_id").alias("doc")))
-    lead = sets.select("doc", F.col("set_hash").alias("of"))
-    one = materialise(signed.join(lead, (F.col("doc_id") == F.col("doc")) & (F.col("set_hash") == F.col("of"))).select("doc", "bands", "signature"))
-    bands = one.select(F.explode("bands").alias("key"), "doc")
+def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of rows (doc_id, part, text): all with their n_shingles and set_hash, and
+    the sets of words with their class: set_hash, node, component (the least node
+    of the class), top (the least (doc_id, part) of the class)."""
+    signed = rows.mapInArrow(_sign, "doc_id long, part long, n_shingles long, set_hash binary, bands array<long>, signature binary")
+    signed = materialise(signed.withColumn("rid", F.monotonically_increasing_id()))
+    filled = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    # A set is a node, numbered by its first row, whose text stands for it.
+    sets = filled.groupBy("set_hash").agg(F.min(F.struct("doc_id", "part", "rid")).alias("first"))
+    sets = sets.select("set_hash", F.struct("first.doc_id", "first.part").alias("lead"), F.col("first.rid").alias("node"))
+    sets = materialise(sets)
+    one = materialise(filled.join(sets.select("node"), F.col("rid") == F.col("node")).select("node", "doc_id", "part", "bands", "signature"))
+    bands = one.select(F.explode("bands").alias("key"), "node")
     counts = bands.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = materialise(bands.join(counts, "key"))
-    # How often a document meets others: the middle of a group of near copies is the pivot.
-    weights = shared.groupBy("doc").agg(F.sum("members").alias("weight"))
-    pivots = materialise(shared.join(weights, "doc").groupBy("key").agg(F.max(F.struct("weight", "doc")).alias("top")).select("key", F.col("top.doc").alias("pivot")))
-    others = materialise(shared.select("key", "doc").join(pivots, "key").where("doc != pivot"))
-    texts = materialise(slim.join(weights.select("doc"), F.col("doc_id") == F.col("doc"), "left_semi").select(F.col("doc_id").alias("doc"), "text"))
-    signatures_of = materialise(one.join(weights, "doc", "left_semi").select("doc", "signature"))
-    found = _links(others.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct(), signatures_of, texts)
-    labels = connected_components(found)
-
-    of = labels.select(F.col("node").alias("doc"), "component")
-    component = F.coalesce("component", "doc").alias("component")
-    open_keys = others.join(of, "doc", "left").select("key", component).groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
+    # How often a node meets others: the middle of a group of near copies is the pivot.
+    weights = shared.groupBy("node").agg(F.sum("members").alias("weight"))
+    pivots = materialise(shared.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top")).select("key", F.col("top.node").alias("pivot")))
+    others = materialise(shared.select("key", "node").join(pivots, "key").where("node != pivot"))
+    needed = materialise(one.join(weights, "node", "left_semi").select("node", "doc_id", "part", "signature"))
+    texts = materialise(rows.join(needed.select("node", "doc_id", "part"), ["doc_id", "part"]).dropDuplicates(["doc_id", "part"]).select("node", "text"))
+    signatures_of = needed.select("node", "signature")
+    found = _links(others.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), signatures_of, texts)
+    of = connected_components(found)
+
+    component = F.coalesce("component", "node").alias("component")
+    open_keys = others.join(of, "node", "left").select("key", component).groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
     met = others.join(materialise(open_keys), "key", "left_semi")
-    members = materialise(met.select("doc").unionByName(met.select(F.col("pivot").alias("doc"))).distinct().join(of, "doc", "left").select("doc", component))
+    members = materialise(met.select("node").unionByName(met.select(F.col("pivot").alias("node"))).distinct().join(of, "node", "left").select("node", component))
     if members.head(1):
         more = _links(_rare_pairs(members, texts), signatures_of, texts)
         if more.head(1):
-            of = connected_components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v")))).select(F.col("node").alias("doc"), "component")
+            of = connected_components(more.unionByName(of.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+
+    named = materialise(sets.join(of, "node", "left").select("set_hash", "node", component, "lead"))
+    tops = named.join(of.select("node"), "node", "left_semi").groupBy("component").agg(F.min("lead").alias("top"))
+    return signed, materialise(named.join(tops, "component", "left").select("set_hash", "node", "component", F.coalesce("top", "lead").alias("top")))
+
 
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, part (tells texts of one doc_id apart), text."""
+    plain, (of, at) = by_position(docs, doc_id, text)
+    return plain.select(F.col(of).cast("long").alias("doc_id"), F.coalesce(F.xxhash64(at), F.lit(0)).alias("part"), F.col(at).alias("text"))
+
+
+def _one_class_a_doc_id(linked: DataFrame, named: DataFrame) -> DataFrame:
+    """``linked`` (doc_id, n_shingles, component, top) with classes that a doc_id
+    joins made one, and the least doc_id of each as component_id."""
+    spread = materialise(linked.groupBy("doc_id").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("doc_id", "low"))
+    plain = linked.select("doc_id", "n_shingles", F.col("top.doc_id").alias("component_id"), "component")
+    if not spread.head(1):
+        return plain.drop("component")
+    joined = connected_components(linked.join(spread, "doc_id").select(F.col("component").alias("u"), F.col("low").alias("v")).distinct())
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    least = named.join(joined, "component").groupBy("root").agg(F.min("top.doc_id").alias("least"))
+    moved = materialise(joined.join(least, "root").select("component", "least"))
+    return plain.join(moved, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"))
+
+
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id of each row."""
+    signed, named = _classes(_rows(docs, doc_id, text))
+    filled = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     # A row for each set, so that the rows of a group of copies meet one row.
-    named = materialise(sets.join(of, "doc", "left").select("set_hash", component))
-    linked = signed.where(filled).join(named, "set_hash").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    return linked.unionByName(signed.where(~filled).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    linked = signed.where(filled).join(named, "set_hash").select("doc_id", "n_shingles", "component", "top")
+    alone = signed.where(~filled).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return _one_class_a_doc_id(linked, named).unionByName(alone)
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` but for documents that another of their component stands for."""
-    gone = components(docs, doc_id, text).where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` but for those that another row of a similar text stands for."""
+    signed, named = _classes(_rows(docs, doc_id, text))
+    other = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).join(named, "set_hash").where(F.struct("doc_id", "part") != F.col("top"))
+    gone = other.select(F.col("doc_id").alias("gone_id"), F.col("part").alias("gone_part")).distinct()
+    plain, (of, at) = by_position(docs, doc_id, text)
+    same = (F.col(of).cast("long") == F.col("gone_id")) & (F.coalesce(F.xxhash64(at), F.lit(0)) == F.col("gone_part"))
+    return plain.join(gone, same, "left_anti").toDF(*docs.columns)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
