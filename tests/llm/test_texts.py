@@ -138,13 +138,21 @@ def plain_line_dedup(rows, single_lines=False):
 
     number = lambda line: int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
     size = lambda line: len(WORD.findall(line))
-    often = Counter(line for _, text in rows for line in text.split("\n"))
+    split = {}
+    for doc_id, text in rows:  # lines with a word, each with the blank ones after it
+        units = [[]]
+        for line in text.split("\n"):
+            if size(line):
+                units.append([])
+            units[-1].append(line)
+        split[doc_id] = units[0], units[1:]
+    often = Counter(u[0] for _, units in split.values() for u in units)
     chunks = []
-    for doc_id, text in rows:
-        lines, i = text.split("\n"), 0
+    for doc_id, _ in rows:
+        lines, i = [u[0] for u in split[doc_id][1]], 0
         while i < len(lines):
             start = i
-            while i < len(lines) and often[lines[i]] > 1:
+            while i < len(lines) and often[lines[i]] > 1 and often[lines[i]] == often[lines[start]]:
                 i += 1
             cuts = [start]
             for k in range(start + 1, i):
@@ -162,8 +170,9 @@ def plain_line_dedup(rows, single_lines=False):
             later[doc_id].append((a, b))
         seen.add(body)
     left = {}
-    for doc_id, text in rows:
-        lines, islands = text.split("\n"), []
+    for doc_id, _ in rows:
+        before, units = split[doc_id]
+        lines, islands, units = [u[0] for u in units], [], units.copy()
         for a, b in later[doc_id]:
             if islands and islands[-1][-1][1] == a:
                 islands[-1].append((a, b))
@@ -174,8 +183,8 @@ def plain_line_dedup(rows, single_lines=False):
             whole = island[-1][1] - island[0][0] >= 2 and words >= line_dedup.LONG_WORDS
             for a, b in island:
                 if b - a >= 2 or whole or (single_lines and size(lines[a]) >= line_dedup.LONG_WORDS):
-                    lines[a:b] = [None] * (b - a)
-        left[doc_id] = "\n".join(x for x in lines if x is not None)
+                    units[a:b] = [[]] * (b - a)
+        left[doc_id] = "\n".join([*before, *(x for u in units for x in u)])
     return left
 
 
@@ -188,7 +197,7 @@ def test_line_dedup_equals_a_plain_pass(docs, no_docs):
     assert got[6] is None and got[None] == "no id here" and got[4] == got[1] and out.count() == docs.count()
     single = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, single_lines=True).collect()}
     assert {k: single[k] for k in want} == plain_line_dedup(sorted(rows.items()), True) and single[4] == ""
-    assert set(out.columns) == {*docs.columns, "__removed"}
+    assert out.columns == docs.columns
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
@@ -213,3 +222,18 @@ def test_short_passages_between_own_lines_go(spark):
         own = "\n".join(x for x in text.split("\n") if x.startswith("own"))
         assert out[i] == (text if i % 3 == 0 else own)
     assert out == plain_line_dedup(rows)
+
+
+def test_passages_beside_blank_and_common_lines_go(spark):
+    """One copy of each passage stands beside a blank line, or beside a line that
+    twenty documents have; the other between own lines."""
+    rows = [(1000 + i, f"a line that many have\nonly {i}") for i in range(20)]
+    passages = ["\n".join(" ".join(words(13, 7000 * k + i)) for i in range(4)) for k in range(60)]
+    for k, passage in enumerate(passages):
+        beside = ("", "   ", "a line that many have")[k % 3]
+        rows += [(2 * k, f"own {k} first\n{passage}\nown {k} last"), (2 * k + 1, f"own {k} other\n{beside}\n{passage}\n{beside}\nown {k} end")]
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == plain_line_dedup(sorted(rows))
+    for k, passage in enumerate(passages):
+        assert passage in out[2 * k] and not set(passage.split("\n")) & set(out[2 * k + 1].split("\n"))
+        assert {f"own {k} other", f"own {k} end"} <= set(out[2 * k + 1].split("\n"))
