@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bucket_count, distributed_offsets, let, materialise, md5_number, table, word_count
+from .common import bucket_count, by_position, distributed_offsets, let, materialise, md5_number, table, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
@@ -121,15 +121,16 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     """``docs`` as the mixture takes them, with the same columns: a row for each
     segment, its words (and the white space before them) as text, n_chars its
     length; a document that isn't taken has no row."""
-    docs = materialise(docs.withColumn("__rid", F.monotonically_increasing_id()))
-    rows = materialise(docs.select(F.col("__rid").alias("rid"), F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size")))
+    plain, (doc_id, text, source, n_chars) = by_position(docs, "doc_id", "text", "source", "n_chars")
+    held = materialise(plain.withColumn("rid", F.monotonically_increasing_id()))
+    rows = materialise(held.select("rid", F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")))
     _, segments = mix(rows, block_words)
     # At most MOST_TIMES segments for each block that a document is in.
-    of = segments.groupBy(F.col("rid").alias("__of")).agg(F.collect_list(F.struct("first_word", "n_words")).alias("__segments"))
-    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    texts = let(words, lambda w: F.transform("__segments", lambda s: F.array_join(F.slice(w, (s["first_word"] + 1).cast("int"), s["n_words"].cast("int")), "")))
-    out = docs.join(of, F.col("__rid") == F.col("__of")).withColumn("text", F.explode(texts))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select([c for c in docs.columns if c != "__rid"])
+    of = segments.groupBy("rid").agg(F.collect_list(F.struct("first_word", "n_words")).alias("segments"))
+    words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    texts = let(words, lambda w: F.transform("segments", lambda s: F.array_join(F.slice(w, (s["first_word"] + 1).cast("int"), s["n_words"].cast("int")), "")))
+    out = held.join(of, "rid").withColumn(text, F.explode(texts)).withColumn(n_chars, F.length(text).cast("long"))
+    return out.select(*plain.columns).toDF(*docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_count, materialise, md5_number, table, word_count
+from .common import bucket_count, by_position, materialise, md5_number, table, word_count
 
 CAPACITY, MOST_OF_SOURCE, GROUP_ROWS = 2048, 2, 4096
 PACKED = "doc_id long, source string, piece long, first_word long, n_words long, bin_id long, bin_offset long"
@@ -91,7 +91,9 @@ def pack(items: DataFrame, capacity: int = CAPACITY, most_of_source: int = MOST_
 
 def documents_as_items(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Items of a documents table: sizes in words, clusters of equal texts."""
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"), F.when(F.col(text).isNotNull(), F.xxhash64(text)).alias("cluster"))
+    plain, (of, at, by) = by_position(docs, doc_id, text, source)
+    cluster = F.when(F.col(at).isNotNull(), F.xxhash64(at)).alias("cluster")
+    return plain.select(F.monotonically_increasing_id().alias("rid"), F.col(of).cast("long").alias("doc_id"), F.col(by).cast("string").alias("source"), word_count(F.col(at)).alias("size"), cluster)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, byte_hashes, mix, rolling_hashes, table, utf8_rows, word_spans
+from .common import blocks, by_position, byte_hashes, mix, rolling_hashes, table, utf8_rows, word_spans
 
 #: Percent of a document's word characters that repeated n-grams may cover, by n.
 NGRAM_LIMITS = {5: 30, 6: 28, 7: 26, 8: 24, 9: 22, 10: 20}
@@ -116,7 +116,8 @@ def quality(text: str | Column) -> Column:
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs``, unchanged, whose text the rules keep."""
-    return docs.where(quality(F.col(text)).getField("kept"))
+    plain, (at,) = by_position(docs, text)
+    return plain.where(quality(F.col(at)).getField("kept")).toDF(*docs.columns)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,12 @@ def _into(room: list[int], rank: Column) -> Column:
     return F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= rank)).cast("int")
 
 
+def _spread(rank: str, rooms: int, rows: int) -> Column:
+    """rank * rooms div rows; the product passes 64 bits where rows pass 3 billion."""
+    wide = "cast({} as decimal(19, 0))"
+    return F.expr(f"{wide.format(rank)} * {wide.format(rooms)} div {wide.format(rows)}")
+
+
 def admitted(wanted: list[list[int]], room: list[int]) -> list[list[int]]:
     """How many of the movers wanted[s][t] may go so that no shard gains more
     than its room: first those that make place for each other round a cycle,
@@ -139,8 +145,7 @@ def assign(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     settled = linked.join(large, "grp").select("rid", "shard")
     linked = distributed_offsets(linked.join(large, "grp", "left_anti"), ["one"], ["rid"], "one", "rank", buckets)
     m = n - sum(taken.values()) - rows.where("members = 1").count()
-    start = F.expr(f"rank * {sum(free)}L div {max(1, m)}L")
-    linked = materialise(linked.select("rid", "grp", _into(free, start).alias("shard"), "one"))
+    linked = materialise(linked.select("rid", "grp", _into(free, _spread("rank", sum(free), max(1, m))).alias("shard"), "one"))
     settled = materialise(settled.unionByName(_laid_out(_gathered(linked, free, buckets), free, buckets)))
     filled = {r["shard"]: r["n"] for r in settled.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     single = distributed_offsets(rows.where("members = 1").select("rid", "one"), ["one"], ["rid"], "one", "rank", buckets)

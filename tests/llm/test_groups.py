@@ -54,6 +54,18 @@ def test_near_dedup_edge_cases(docs, no_docs):
     assert near_dedup.components(no_docs).count() == 0
 
 
+def test_unlike_texts_of_one_doc_id(spark):
+    """The doc_id links its rows in ``components``; ``keep_one`` loses no text for it."""
+    x, y, z = (" ".join(words(60, seed)) for seed in (91, 92, 93))
+    near = x.replace(" ", " changed ", 1)
+    rows = [(3, x), (5, x), (5, y), (7, z), (8, z.upper()), (9, near), (5, y), (11, None), (11, "few words"), (None, x)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.components(df).collect())
+    assert got == Counter({(3, 56, 3): 1, (5, 56, 3): 3, (7, 56, 7): 1, (8, 56, 7): 1, (9, 57, 3): 1, (11, 0, 11): 1, (11, 1, 11): 1, (None, 56, None): 1})
+    kept = Counter((r.doc_id, r.text) for r in near_dedup.keep_one(df).collect())
+    assert kept == Counter({(3, x): 1, (5, y): 2, (7, z): 1, (11, None): 1, (11, "few words"): 1, (None, x): 1})
+
+
 def test_near_copies_of_a_base_that_are_far_from_each_other(spark):
     """Links only through the base, which is not the smallest id."""
     base = words(150, 9)
@@ -282,6 +294,41 @@ def test_sharding_keeps_rows_even_and_copies_together(spark, docs, no_docs):
     assert sharding.shard_documents(no_docs).count() == 0
 
 
+def test_places_of_more_rows_than_64_bit_products_hold(spark):
+    big = 10**12
+    ranks = [0, 1, 123_456_789_012, big - 7, big - 1]
+    df = spark.createDataFrame([(k,) for k in ranks], "rank long")
+    got = {r["rank"]: r.at for r in df.select("rank", sharding._spread("rank", big - 3, big).alias("at")).collect()}
+    assert got == {k: k * (big - 3) // big for k in ranks}
+
+
+def test_sharding_cuts_no_more_groups_than_a_search_of_all_placements(spark):
+    """Small tables whose least number of cut groups is found by trying all ways
+    to lay whole groups into quotas; propagation may cut one group a shard more."""
+
+    def least_cut(sizes, quota):
+        import itertools
+
+        best = len(sizes)
+        for places in itertools.product(range(len(quota) + 1), repeat=len(sizes)):  # the last place: cut
+            if sum(p == len(quota) for p in places) < best and all(sum(n for n, p in zip(sizes, places, strict=True) if p == s) <= q for s, q in enumerate(quota)):
+                best = sum(p == len(quota) for p in places)
+        return best
+
+    for seed, singles in ((1, 0), (2, 0), (3, 3), (4, 6)):
+        r = random.Random(seed)
+        sizes = [r.randint(2, 5) for _ in range(6)]
+        texts = [f"group {k}" for k, n in enumerate(sizes) for _ in range(n)] + [f"single {k}" for k in range(singles)]
+        r.shuffle(texts)
+        out = sharding.shard_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3).collect()
+        counts, shards = Counter(x.shard for x in out), defaultdict(set)
+        for x in out:
+            shards[texts[x.doc_id]].add(x.shard)
+        assert max(counts.values()) - min(counts[s] for s in range(3)) <= 1
+        cut = sum(len(v) > 1 for v in shards.values())
+        assert cut <= least_cut(sizes, sorted(counts.values(), reverse=True)) + 2
+
+
 def test_sharding_gathers_tables_of_copies_only(spark):
     def pieces(texts):
         out = sharding.shard_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
