@@ -7,7 +7,6 @@ are written as Parquet in the shared folder and read again.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strandwise.llm import line_dedup, mixing, near_dedup, packing, quality
 from strandwise.llm.common import materialise, table
@@ -23,10 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated chunks of lines, and repeated lines of 50 words, leave the texts; a document that loses all its words goes."""
-    out = line_dedup.dedup_lines(docs, single_lines=True)
-    changed = F.col("__removed").isNotNull()
-    out = out.where(~changed | F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")))
-    return out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).drop("__removed").select(docs.columns)
+    return line_dedup.without_repeats(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
