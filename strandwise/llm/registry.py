@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import binary_output, chat, line_dedup, mixing, near_dedup, neighbours, packing, quality, sharding, token_counts
+from . import binary_output, centroids, chat, collocations, languages, line_dedup, mixing, near_dedup, neighbours, packing, quality, sharding, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_centroids": centroids.op12_centroids,
+    "op13_languages": languages.op13_languages,
 }
 
 
@@ -25,4 +28,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_mixing": mixing.op6_sql(),
         "op8_chat_formatting": chat.op8_sql(),
         "op9_quality_rules": quality.op9_sql(),
+        "op11_collocations": collocations.op11_sql(),
+        "op12_centroids": centroids.op12_sql(),
     }
