@@ -38,10 +38,10 @@ FILTER_BITS = 26
 TRIE_PHRASES = 1 << 18
 #: Distinct keys that a task holds before it hands them on.
 HELD_KEYS = 1 << 21
-#: Symbols of a row of the encoded table.
-ROW_SYMBOLS = 1 << 17
+#: Symbols of a row of the encoded table. Parquet buffers a hundred rows before it looks at their size.
+ROW_SYMBOLS = 1 << 13
 #: Such rows that a task takes at once.
-ROWS = 32
+ROWS = 128
 #: Parts that a language's candidates are ranked in before the last ranking.
 PARTS = 64
 
@@ -95,6 +95,16 @@ def _encoder(seed: int):
             lang, word = (pa.concat_arrays([p[k] for p in parts]).take(at) for k in (2, 3))
             yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(symbol[i : i + (1 << 16)].view(np.int64)), lang, word, pa.array(n[i : i + (1 << 16)])], schema=_ENCODED)
 
+    def rows_of(x: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows that end with a piece, so that no phrase is cut."""
+        cuts = np.flatnonzero(x == 0) + 1
+        stops = np.unique(cuts[np.searchsorted(cuts, np.append(np.arange(ROW_SYMBOLS, len(x), ROW_SYMBOLS), len(x)))]) if len(x) else cuts
+        for i in range(0, len(stops), ROWS):
+            begin, own = stops[i - 1] if i else 0, stops[i : i + ROWS]
+            offsets = np.append(0, own - begin).astype(np.int32) * 8
+            ids = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(offsets), pa.py_buffer(x[begin : own[-1]])])
+            yield pa.RecordBatch.from_arrays([ids, *(pa.nulls(len(own), t) for t in (pa.int64(), pa.string(), pa.string(), pa.int64()))], schema=_ENCODED)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
@@ -105,12 +115,7 @@ def _encoder(seed: int):
                 at = bounds[i : j + 1]
                 own = data[at[0] : at[-1]]
                 x, symbol, row, s, e = encode(own, at - at[0], languages[i:j], seed)
-                cuts = np.flatnonzero(x == 0) + 1
-                begin = 0
-                while begin < len(x):  # after a piece's end, so no phrase is cut
-                    stop = cuts[min(np.searchsorted(cuts, begin + ROW_SYMBOLS), len(cuts) - 1)]
-                    yield pa.RecordBatch.from_arrays([pa.array([x[begin:stop].tobytes()], pa.binary()), *(pa.nulls(1, t) for t in (pa.int64(), pa.string(), pa.string(), pa.int64()))], schema=_ENCODED)
-                    begin = int(stop)
+                yield from rows_of(x)
                 if len(symbol):
                     one, first, n = _merged(symbol, np.ones(len(symbol), np.int64))
                     parts.append((one, n, batch.column(1).take(pa.array(row[first] + i)), _strings(_PLAIN[own], s[first], e[first])))
@@ -124,6 +129,15 @@ def _encoder(seed: int):
     return run
 
 
+def _symbols(ids: pa.Array) -> np.ndarray:
+    """The symbols of all rows of a batch, one row behind the other."""
+    if not len(ids):
+        return np.zeros(0, np.uint64)
+    _, offsets, values = ids.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1]
+    return np.frombuffer(values, np.uint8)[bounds[0] : bounds[-1]].view(np.uint64)
+
+
 # ---- candidates ------------------------------------------------------------
 
 
@@ -185,14 +199,13 @@ def _counter(found):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            for ids in batch.column(0):
-                for keys in found(np.frombuffer(ids.as_buffer(), np.uint64)):
-                    k, _, n = _merged(keys, np.ones(len(keys), np.int64))
-                    parts.append((k, n))
-                    held += len(k)
-                if held > HELD_KEYS:
-                    yield from emit(parts)
-                    parts, held = [], 0
+            for keys in found(_symbols(batch.column(0))):
+                k, _, n = _merged(keys, np.ones(len(keys), np.int64))
+                parts.append((k, n))
+                held += len(k)
+            if held > HELD_KEYS:
+                yield from emit(parts)
+                parts, held = [], 0
         if held:
             yield from emit(parts)
 
@@ -215,20 +228,19 @@ def _phrases(pairs, longer):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            for ids in batch.column(0):
-                x = np.frombuffer(ids.as_buffer(), np.uint64)
-                for n, at, h in _longer(x, pairs):
-                    if n > 2:
-                        keep = _passes(longer.value, h)
-                        at, h = at[keep], h[keep]
-                    symbols = np.zeros((len(at), LONGEST), np.uint64)
-                    for k in range(n):
-                        symbols[:, k] = x[at + k]
-                    parts.append(distinct(h, np.full(len(at), n), symbols))
-                    held += len(parts[-1][0])
-                if held > HELD_KEYS >> 2:
-                    yield from emit(parts)
-                    parts, held = [], 0
+            x = _symbols(batch.column(0))
+            for n, at, h in _longer(x, pairs):
+                if n > 2:
+                    keep = _passes(longer.value, h)
+                    at, h = at[keep], h[keep]
+                symbols = np.zeros((len(at), LONGEST), np.uint64)
+                for k in range(n):
+                    symbols[:, k] = x[at + k]
+                parts.append(distinct(h, np.full(len(at), n), symbols))
+                held += len(parts[-1][0])
+            if held > HELD_KEYS >> 2:
+                yield from emit(parts)
+                parts, held = [], 0
         if held:
             yield from emit(parts)
 
@@ -323,8 +335,7 @@ def _trie_counter(trie):
         own = pickle.loads(trie.value)
         total = np.zeros(len(own.phrases), np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                total += own.count(np.frombuffer(ids.as_buffer(), np.uint64))
+            total += own.count(_symbols(batch.column(0)))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(own.phrases[some, k]).view(np.int64)) for k in range(LONGEST)), pa.array(total[some])], [*_S, "n"])
 
