@@ -1,132 +1,145 @@
-"""Clustering of amplicon variants, chimeras, artefact filters and genotyping.
+"""Clustering of amplicon variants, artefact filters and genotyping.
 
-Order-dependent steps walk one amplicon by (depth desc, md5) in applyInPandas;
-an amplicon's distinct sequences are its group, blocked by length where the step
-allows. Depth is conserved: counted members, ambiguous ones and leftovers add up."""
+Greedy steps take variants by (depth desc, md5), in rounds over the table of near
+pairs, so that an amplicon's work is spread over tasks. Depth is conserved: counted
+members, ambiguous ones and leftovers add up."""
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as s
-from ..functions.align import compare_pair, rows_of, with_pair_errors
+from ..functions.align import compare_pair, error_positions, pair_alignment, with_pair_errors
+from .chimeras import chimeras
+from .folders import stored
+from .near import PRIORITY, both_sides, near_candidates, near_pairs, settled, with_vid
 from .variants import AMPLICON, by_depth, degree_of_change
 
 MEMBERS = "marker string, sample string, cluster int, role string, md5 string, seq string, depth long, counted boolean, subs int, ins int, dels int, homo int"
 _COLUMNS = [c.split()[0] for c in MEMBERS.split(", ")]
-
-
-def cluster_guided(variants: DataFrame, max_subs: float = 1, max_indels: float = 1, min_dominant_percent: float = 25, lengths: list[int] | None = None, max_clusters: int = 0, min_amplicon_percent: float = 0, min_identity: float = 0) -> DataFrame:
+_ERRORS = ("subs", "ins", "dels", "homo")
+
+
+def _guided_pairs(known: DataFrame, max_subs: float, max_indels: float, min_identity: float) -> DataFrame:
+    """(h, v, h_rank, v_rank, seqs, depths, errors): what a head h may absorb, earlier or
+    later than it. Equal lengths differ by substitutions only; others by at most
+    max(indel limit, 3) indels in all, of which the limit counts those outside of runs."""
+    longest = known.agg(F.coalesce(F.max(F.length("seq")), F.lit(0))).first()[0]
+    subs, indels = round(max_subs * longest / 100), round(max_indels * longest / 100)
+    equal = both_sides(near_candidates(known, subs, same_length=True), known).where(F.length("seq_1") == F.length("seq_2"))
+    equal = equal.withColumns({"subs": s.hamming("seq_1", "seq_2"), **{c: F.lit(0) for c in ("ins", "dels", "homo")}})
+    both = equal.withColumn("ident", F.length("seq_1") - F.col("subs")).withColumn("aligned", F.length("seq_1"))
+    if indels >= 1:
+        gapped = both_sides(near_candidates(known, subs + max(indels, 3)), known).where(F.length("seq_1") != F.length("seq_2"))
+        gapped = with_pair_errors(gapped, "seq_2", "seq_1")
+        both = both.unionByName(gapped.select("*", *[F.col(f"e.{c}") for c in (*_ERRORS, "ident", "aligned")]).drop("e"))
+    turn = lambda a, b, ins, dels: both.select(*AMPLICON, F.col(f"vid_{a}").alias("h"), F.col(f"vid_{b}").alias("v"), F.col(f"rank_{a}").alias("h_rank"), F.col(f"rank_{b}").alias("v_rank"), F.col(f"seq_{a}").alias("h_seq"), F.col(f"seq_{b}").alias("v_seq"), F.col(f"depth_{a}").alias("h_depth"), F.col(f"depth_{b}").alias("v_depth"), "ident", "aligned", "subs", F.col(ins).alias("ins"), F.col(dels).alias("dels"), "homo")
+    pairs = turn(1, 2, "ins", "dels").unionByName(turn(2, 1, "dels", "ins"))
+    n, m = F.length("h_seq"), F.length("v_seq")
+    limit = lambda percent: F.bround(F.lit(float(percent)) * n / 100)
+    gaps = F.col("ins") + F.col("dels")
+    fits = (m == n) | ((limit(max_indels) >= 1) & (F.abs(m - n) <= F.greatest(limit(max_indels), F.lit(3))) & (gaps <= F.greatest(limit(max_indels), F.lit(3))) & (gaps - F.col("homo") <= limit(max_indels)))
+    return pairs.where(fits & (F.col("subs") <= limit(max_subs)) & (100 * F.col("ident") >= min_identity * F.col("aligned")))
+
+
+def cluster_guided(variants: DataFrame, max_subs: float = 1, max_indels: float = 1, min_dominant_percent: float = 25, lengths: list[int] | None = None, max_clusters: int = 0, min_amplicon_percent: float = 0, min_identity: float = 0, exact_length: bool = False, stops: int = 0) -> DataFrame:
     """Walks each amplicon by depth: a head absorbs variants within max_subs percent
     substitutions and max_indels percent other indels (and of min_identity percent), but
     not a strong one: with min_dominant_percent of its depth, or min_amplicon_percent of the
-    amplicon's, that passes as dominant. A variant as near to another strong one is listed,
-    not counted. Singletons are no heads; what is left is role "none" of cluster 0. Rows of
-    MEMBERS."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        rows = rows.sort_values(["depth", "md5"], ascending=[False, True]).reset_index(drop=True)
-        seqs, depths = rows["seq"].tolist(), rows["depth"].tolist()
-        total = sum(depths)
-        free, out = set(range(len(rows))), []
-        blocks = {int(n): (at.index.to_numpy(), rows_of(at["seq"].tolist())) for n, at in rows.groupby(rows["seq"].str.len())}
-
-        def dominant(seq: str, ref: str) -> bool:
-            n = lengths or [len(ref)]
-            return any(abs(len(seq) - x) % 3 == 0 and abs(len(seq) - x) <= 0.9 * x for x in n)
-
-        def strong(i: int, top: int) -> bool:
-            much = 100 * depths[i] >= min_dominant_percent * depths[top] or (min_amplicon_percent and 100 * depths[i] >= min_amplicon_percent * total)
-            return much and dominant(seqs[i], seqs[top])
-
-        @lru_cache(None)
-        def near(head: int) -> dict[int, tuple]:
-            """Errors of all variants that ``head`` may absorb."""
-            b, found = seqs[head], {}
-            subs_limit, indel_limit = round(max_subs * len(b) / 100), round(max_indels * len(b) / 100)
-            at, x = blocks[len(b)]
-            d = (x != np.frombuffer(b.encode("latin-1"), np.uint8)).sum(axis=1)
-            found.update((i, (n, 0, 0, 0)) for i, n in zip(at[d <= subs_limit].tolist(), d[d <= subs_limit].tolist(), strict=True) if 100 * (len(b) - n) >= min_identity * len(b))
-            for n, (others, _) in blocks.items():
-                if n == len(b) or indel_limit < 1 or abs(n - len(b)) > max(indel_limit, 3):
-                    continue
-                for i in others.tolist():
-                    ident, columns, subs, ins, dels, homo = compare_pair(seqs[i], b)
-                    if subs <= subs_limit and ins + dels - homo <= indel_limit and 100 * ident >= min_identity * columns:
-                        found[i] = (subs, ins, dels, homo)
-            return found
-
-        heads = 0
-        for top in range(len(rows)):
-            if top not in free or depths[top] < 2 or (max_clusters and heads >= max_clusters):
-                continue
-            heads += 1
-            free.discard(top)
-            out.append((heads, "head", top, True, 0, 0, 0, 0))
-            mine = {i: e for i, e in sorted(near(top).items()) if i in free}
-            rivals = [i for i in mine if strong(i, top)]
-            for i, e in mine.items():
-                if i in rivals:
-                    continue
-                others = [sum(near(r)[i]) for r in rivals if i in near(r)]
-                if others and min(others) < sum(e):
-                    continue
-                free.discard(i)
-                out.append((heads, "member", i, not (others and min(others) == sum(e)), *e))
-        out += [(0, "none", i, False, 0, 0, 0, 0) for i in sorted(free)]
-        built = [(rows["marker"][0], rows["sample"][0], k, role, rows["md5"][i], seqs[i], depths[i], counted, *e) for k, role, i, counted, *e in out]
-        return pd.DataFrame(built, columns=_COLUMNS)
-
-    return variants.select(*AMPLICON, "md5", "seq", "depth").groupBy(*AMPLICON).applyInPandas(run, MEMBERS)
+    amplicon's, that passes as dominant: in frame with ``lengths`` (or the head's) or of
+    such a length (exact_length), without a stop in frame ``stops`` (if not 0), with
+    indels against the head in threes or one of each nearby. A variant as near to another
+    strong one is listed, not counted. Singletons are no heads; what is left is role "none"
+    of cluster 0. Rows of MEMBERS.
+
+    The walk is done in rounds: a head acts as soon as no earlier head can still touch it
+    or what it touches, so alleles that are unlike act at once."""
+    known = stored(with_vid(variants))
+    near = _guided_pairs(known, max_subs, max_indels, min_identity)
+    total = known.groupBy(*AMPLICON).agg(F.sum("depth").alias("total"))
+    near = near.join(total, list(AMPLICON))
+    right = F.array(*[F.lit(x) for x in lengths]) if lengths else F.array(F.length("h_seq"))
+    much = 100 * F.col("v_depth") >= min_dominant_percent * F.col("h_depth")
+    if min_amplicon_percent:
+        much = much | (100 * F.col("v_depth") >= min_amplicon_percent * F.col("total"))
+    much = much & (F.col("v_rank") > F.col("h_rank"))
+    frame = F.expr("exists(right, x -> abs(length(v_seq) - x) % 3 = 0 and abs(length(v_seq) - x) <= 0.9 * x)")
+    fine = F.array_contains("right", F.length("v_seq")) if exact_length else frame
+    if stops:
+        fine = fine & ~s.has_stop("v_seq", stops)
+    near = near.withColumn("right", right).withColumn("strong", much & fine).drop("right")
+    # Where the lengths differ the indels have to be in threes, too.
+    odd = near.where(F.col("strong") & (F.col("ins") + F.col("dels") > 0)).select("h_seq", "v_seq").distinct()
+    odd = odd.withColumn("p", pair_alignment("v_seq", "h_seq")).withColumn("at", error_positions("p.q_aln", "p.s_aln"))
+    odd = odd.select("h_seq", "v_seq", indels_in_threes(F.col("at.ins"), F.col("at.dels")).alias("threes"))
+    near = near.join(odd, ["h_seq", "v_seq"], "left").withColumn("strong", F.col("strong") & F.coalesce("threes", F.lit(True)))
+    near = stored(near.select("h", "h_rank", "v", "v_rank", *_ERRORS, (F.col("subs") + F.col("ins") + F.col("dels") + F.col("homo")).alias("errors"), "strong"))
+
+    later = near.where(F.col("v_rank") > F.col("h_rank"))
+    free = stored(known.select("vid", "depth", F.expr(PRIORITY).alias("rank")))
+    results = []
+    while free.where("depth > 1").head(1):
+        heads = free.where("depth > 1").select(F.col("vid").alias("h"), F.col("rank").alias("h_rank"))
+        mine = later.drop("h_rank").join(heads, "h").join(free.select(F.col("vid").alias("v")), "v", "left_semi")
+        touched = mine.select("h", "h_rank", "v").unionByName(heads.withColumn("v", F.col("h")))
+        first = touched.groupBy("v").agg(F.min("h_rank").alias("first"))
+        ready = stored(touched.join(first, "v").groupBy("h").agg(F.max(F.col("first") != F.col("h_rank")).alias("waits")).where("not waits").select("h"))
+        mine = mine.join(ready, "h", "left_semi")
+        rivals = mine.where("strong").select("h", F.col("v").alias("r"))
+        others = rivals.join(near.select(F.col("h").alias("r"), "v", "errors"), "r").groupBy("h", "v").agg(F.min("errors").alias("other"))
+        won = mine.where("not strong").join(others, ["h", "v"], "left").where(F.col("other").isNull() | (F.col("other") >= F.col("errors")))
+        won = won.select("h", "v", F.lit("member").alias("role"), (F.col("other").isNull() | (F.col("other") > F.col("errors"))).alias("counted"), *_ERRORS)
+        zero = [F.lit(0).alias(c) for c in _ERRORS]
+        done = stored(won.unionByName(ready.select("h", F.col("h").alias("v"), F.lit("head").alias("role"), F.lit(True).alias("counted"), *zero)))
+        results.append(done)
+        free = stored(free.join(done.select(F.col("v").alias("vid")), "vid", "left_anti"))
+    return _members(known, results, max_clusters)
+
+
+def _members(known: DataFrame, results: list[DataFrame], max_clusters: int = 0, order: DataFrame | None = None) -> DataFrame:
+    """Rows of MEMBERS from (h, v, role, counted, errors); clusters are numbered by the
+    depth of their heads, or as in ``order``."""
+    if not results:
+        done = known.select(F.col("vid").alias("h"), F.col("vid").alias("v"), F.lit("none").alias("role"), F.lit(False).alias("counted"), *[F.lit(0).alias(c) for c in _ERRORS]).limit(0)
+    else:
+        done = results[0]
+        for more in results[1:]:
+            done = done.unionByName(more)
+    heads = order if order is not None else known.join(done.where("role = 'head'").select(F.col("v").alias("vid")), "vid", "left_semi")
+    number = F.row_number().over(by_depth(*AMPLICON))
+    numbered = heads.select(F.col("vid").alias("h"), number.alias("cluster"))
+    numbered = numbered.where(F.col("cluster") <= max_clusters) if max_clusters else numbered
+    got = done.join(numbered, "h").drop("h").withColumnRenamed("v", "vid")
+    out = known.join(got, "vid", "left")
+    return out.select(*AMPLICON, F.coalesce("cluster", F.lit(0)).alias("cluster"), F.coalesce("role", F.lit("none")).alias("role"), "md5", "seq", "depth", F.coalesce("counted", F.lit(False)).alias("counted"), *[F.coalesce(c, F.lit(0)).alias(c) for c in _ERRORS])
 
 
 def cluster_denovo(variants: DataFrame, substitutions: int = 1, min_percent: float = 25, min_seed: int = 2) -> DataFrame:
     """Round one joins equal lengths within ``substitutions``, smaller depth first
     under min_percent of the head's; round two joins heads whose alignment has as few
     errors, on cluster depths. Rows of MEMBERS."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        rows = rows.sort_values(["depth", "md5"], ascending=[False, True]).reset_index(drop=True)
-        depth, head = rows["depth"].to_numpy(), np.full(len(rows), -1)
-        for _, block in rows.groupby(rows["seq"].str.len(), sort=False):
-            at = block.index.to_numpy()
-            x = rows_of(block["seq"].tolist())
-            for k, i in enumerate(at):
-                if head[i] >= 0 or depth[i] < min_seed:
-                    continue
-                head[i] = i
-                d = (x[k + 1 :] != x[k]).sum(axis=1)
-                join = at[k + 1 :][(d <= substitutions) & (100 * depth[at[k + 1 :]] < min_percent * depth[i]) & (head[at[k + 1 :]] < 0)]
-                head[join] = i
-        total = np.bincount(head[head >= 0], depth[head >= 0], len(rows)) if (head >= 0).any() else np.zeros(len(rows))
-        heads = sorted(set(head[head >= 0].tolist()), key=lambda i: (-total[i], rows["md5"][i]))
-        to: dict[int, int] = {}
-        for n, i in enumerate(heads):
-            for j in heads[:n]:
-                if j in to or abs(len(rows["seq"][i]) - len(rows["seq"][j])) > substitutions or len(rows["seq"][i]) == len(rows["seq"][j]):
-                    continue
-                _, _, sub, ins, dels, _ = compare_pair(rows["seq"][i], rows["seq"][j])
-                if sub + ins + dels <= substitutions and 100 * total[i] < min_percent * total[j]:
-                    to[i] = j
-                    break
-        final = [to.get(h, h) if h >= 0 else -1 for h in head.tolist()]
-        number = {h: k for k, h in enumerate([h for h in heads if h not in to], 1)}
-        out = []
-        for i, h in enumerate(final):
-            e = compare_pair(rows["seq"][i], rows["seq"][h])[2:] if h >= 0 and h != i else (0, 0, 0, 0)
-            out.append((rows["marker"][0], rows["sample"][0], number.get(h, 0), "none" if h < 0 else "head" if h == i else "member", rows["md5"][i], rows["seq"][i], int(depth[i]), h >= 0, *e))
-        return pd.DataFrame(out, columns=_COLUMNS)
-
-    return variants.select(*AMPLICON, "md5", "seq", "depth").groupBy(*AMPLICON).applyInPandas(run, MEMBERS)
+    known = stored(with_vid(variants))
+    equal = both_sides(near_candidates(known, substitutions, same_length=True), known).where(s.hamming("seq_1", "seq_2") <= substitutions)
+    weak = lambda low, high: 100 * F.col(low) < min_percent * F.col(high)
+    first = settled(equal.where((F.col("depth_1") >= min_seed) & weak("depth_2", "depth_1")).select(F.col("vid_1").alias("u"), F.col("rank_1").alias("rank"), F.col("vid_2").alias("v")))
+    head = F.coalesce("to", F.when(F.col("depth") >= min_seed, F.col("vid")))
+    placed = stored(known.join(first.withColumnRenamed("v", "vid"), "vid", "left").withColumn("h", head).drop("to"))
+    total = placed.where("h is not null").groupBy("h").agg(F.sum("depth").alias("total"))
+    heads = stored(known.drop("depth").join(total, F.col("vid") == F.col("h")).drop("h").withColumnRenamed("total", "depth"))
+    gapped = both_sides(near_candidates(heads, substitutions), heads).where(F.length("seq_1") != F.length("seq_2")).where(weak("depth_2", "depth_1"))
+    gapped = with_pair_errors(gapped, "seq_2", "seq_1").where(F.col("e.subs") + F.col("e.ins") + F.col("e.dels") <= substitutions)
+    second = settled(gapped.select(F.col("vid_1").alias("u"), F.col("rank_1").alias("rank"), F.col("vid_2").alias("v")))
+    final = placed.join(second.select(F.col("v").alias("h"), "to"), "h", "left").withColumn("h", F.coalesce("to", "h")).drop("to")
+    of = known.select(F.col("vid").alias("h"), F.col("seq").alias("h_seq"))
+    rows = with_pair_errors(final.where("h is not null").join(of, "h"), "seq", "h_seq")
+    alone = F.col("vid") == F.col("h")
+    done = rows.select("h", F.col("vid").alias("v"), F.when(alone, "head").otherwise("member").alias("role"), F.lit(True).alias("counted"), *[F.when(alone, 0).otherwise(F.col(f"e.{c}")).alias(c) for c in _ERRORS])
+    # Numbers go by the depth of the clusters before their heads are joined.
+    order = heads.join(done.where("role = 'head'").select(F.col("v").alias("vid")), "vid", "left_semi").select("vid", *AMPLICON, "md5", "seq", "depth")
+    return _members(known, [stored(done)], 0, order)
 
 
 def cluster_depths(members: DataFrame) -> DataFrame:
@@ -220,43 +233,19 @@ def is_dominant(seq: str | Column, lengths: str | Column, ins: Column | None = N
     fine = (F.array_contains(lengths, n) | in_frame) & ~s.has_stop(seq)
     if ins is None or dels is None:
         return fine
+    return fine & indels_in_threes(ins, dels)
+
+
+def indels_in_threes(ins: Column, dels: Column) -> Column:
+    """One of each within 9 columns, or both in threes that lie within 3 columns."""
     threes = lambda x: (F.size(x) % 3 == 0) & F.forall(F.transform(x, lambda at, k: F.struct(at.alias("at"), k.alias("k"))), lambda e: (e["k"] % 3 != 2) | (e["at"] - F.get(x, e["k"] - 2) <= 2))
     both = (F.size(ins) == 1) & (F.size(dels) == 1) & (F.abs(F.get(ins, F.lit(0)) - F.get(dels, F.lit(0))) <= 9)
-    return fine & (both | (threes(ins) & threes(dels)))
-
-
-def compare_within(variants: DataFrame, top: int = 0) -> DataFrame:
-    """Pairs of an amplicon's variants, the deeper first: ident, aligned, subs, ins,
-    dels, homo of the second against the first. top: only its deepest ``top``."""
-    ranked = variants.withColumn("nth", F.row_number().over(by_depth(*AMPLICON)))
-    ranked = ranked.where(F.col("nth") <= top) if top else ranked
-    a = ranked.select(*AMPLICON, F.col("md5").alias("md5_1"), F.col("seq").alias("seq_1"), F.col("depth").alias("depth_1"), F.col("nth").alias("nth_1"))
-    b = ranked.select(*AMPLICON, F.col("md5").alias("md5_2"), F.col("seq").alias("seq_2"), F.col("depth").alias("depth_2"), F.col("nth").alias("nth_2"))
-    pairs = with_pair_errors(a.join(b, list(AMPLICON)).where("nth_1 < nth_2"), "seq_2", "seq_1")
-    return pairs.select(*AMPLICON, "md5_1", "md5_2", "depth_1", "depth_2", "e.*")
-
-
-def chimeras(variants: DataFrame, least: int = 10, top: int = 0) -> DataFrame:
-    """Variants that a prefix of one deeper variant and a suffix of another cover,
-    each ``least`` long: md5 with both parents (the longest prefix, then depth)."""
-    ranked = variants.withColumn("nth", F.row_number().over(by_depth(*AMPLICON)))
-    parents = ranked.where(F.col("nth") <= top) if top else ranked
-    q = ranked.select(*AMPLICON, "md5", F.col("seq").alias("q"), F.col("nth").alias("n"))
-    p = parents.select(*AMPLICON, F.col("md5").alias("parent"), F.col("seq").alias("p"), "nth")
-    pairs = q.join(p, list(AMPLICON)).where("nth < n").select(*AMPLICON, "md5", "q", "parent", "nth", s.first_difference("q", "p").alias("prefix"), s.common_suffix("q", "p").alias("suffix"))
-    key = [*AMPLICON, "md5"]
-    # The two best prefixes and suffixes tell whether two different parents cover the sequence.
-    best = lambda c: F.slice(F.reverse(F.array_sort(F.collect_list(F.struct(c, (-F.col("nth")).alias("rank"), "parent")))), 1, 2)
-    per = pairs.groupBy(*key, F.length("q").alias("len")).agg(best("prefix").alias("pre"), best("suffix").alias("suf"))
-    each = per.select(*key, "len", F.explode("pre").alias("a"), "suf").select(*key, "len", "a", F.explode("suf").alias("b"))
-    ok = each.where((F.col("a.parent") != F.col("b.parent")) & (F.col("a.prefix") >= least) & (F.col("b.suffix") >= least) & (F.col("a.prefix") + F.col("b.suffix") >= F.col("len")) & (F.col("a.prefix") < F.col("len")) & (F.col("b.suffix") < F.col("len")))
-    first = F.max(F.struct("a.prefix", "a.rank", F.col("a.parent").alias("left_parent"), F.col("b.suffix").alias("suffix"), F.col("b.parent").alias("right_parent")))
-    return ok.groupBy(*key).agg(first.alias("x")).select(*key, "x.left_parent", "x.right_parent")
+    return both | (threes(ins) & threes(dels))
 
 
-def filter_artefacts(variants: DataFrame, min_depth: int = 0, min_percent: float = 0, min_dominant_percent: float = 0, lengths: list[int] | None = None, length_error: int | None = None, frameshift: bool = False, stops: bool = False, max_alleles: int = 0, chimera: int = 0, degree: bool = False, min_cluster_size: int = 0, min_identical: int = 0) -> DataFrame:
+def filter_artefacts(variants: DataFrame, min_depth: int = 0, min_percent: float = 0, min_dominant_percent: float = 0, lengths: list[int] | None = None, length_error: int | None = None, frameshift: bool = False, stops: bool = False, max_alleles: int = 0, chimera: int | str = 0, degree: bool = False, min_cluster_size: int = 0, min_identical: int = 0) -> DataFrame:
     """Adds reasons (all failed tests) and kept. The plain tests are expressions; the
-    number of alleles and chimeras of kept variants walk the amplicon by depth.
+    number of alleles and chimeras of kept variants settle in rounds.
     ``variants`` has freq (percent of the raw amplicon depth) and, for min_cluster_size,
     cluster_size. degree: what comes after the sharpest fall of depth goes, in place of the
     plain tests. min_identical: identical columns with the top variant. stops: in the first
@@ -285,35 +274,38 @@ def filter_artefacts(variants: DataFrame, min_depth: int = 0, min_percent: float
         tests = [F.when(F.col("__nth") > F.coalesce("__alleles", F.lit(1)), "degree of change")]
     out = variants.withColumn("reasons", F.array_compact(F.array(*tests))).select(*given, "reasons")
     if max_alleles or chimera:
-
-        def run(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values(["depth", "md5"], ascending=[False, True])
-            kept, reasons = [], []
-            for q, why in zip(rows["seq"], rows["reasons"], strict=True):
-                why = list(why)
-                if chimera and len(kept) > 1:
-                    ends = [(_prefix(q, p), _prefix(q[::-1], p[::-1])) for p in kept]
-                    if any(a >= chimera and b >= chimera and a + b >= len(q) for i, (a, _) in enumerate(ends) for j, (_, b) in enumerate(ends) if i != j):
-                        why.append("chimera")
-                if max_alleles and not why and len(kept) >= max_alleles:
-                    why.append("allele number")
-                if not why:
-                    kept.append(q)
-                reasons.append(why)
-            return rows.assign(reasons=reasons)
-
-        out = out.groupBy(*AMPLICON).applyInPandas(run, out.schema)
+        out = _ordered_filters(out, max_alleles, chimera)
     return out.withColumn("kept", F.size("reasons") == 0)
 
 
-def _prefix(a: str, b: str) -> int:
-    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+def _ordered_filters(tested: DataFrame, max_alleles: int, chimera: int | str) -> DataFrame:
+    """Adds the reasons that depend on what is kept before: chimeras of two kept
+    variants, and the number of alleles. What is kept settles by depth, so rounds
+    that start from the kept ones of the round before come to an end."""
+    tested = stored(tested)
+    fine = tested.where(F.size("reasons") == 0).select(*AMPLICON, "md5", "seq", "depth")
+
+    def first(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("nth", F.row_number().over(by_depth(*AMPLICON))).where(F.col("nth") <= max_alleles).drop("nth") if max_alleles else rows
+
+    key, kept = [*AMPLICON, "md5"], stored(first(fine))
+    odd = tested.select(*key).limit(0)
+    while chimera:
+        odd = stored(chimeras(tested, chimera, parents=kept).select(*key))
+        again = stored(first(fine.join(odd, key, "left_anti")))
+        same = not again.select(*key).exceptAll(kept.select(*key)).head(1) and not kept.select(*key).exceptAll(again.select(*key)).head(1)
+        kept = again
+        if same:
+            break
+    more = [F.when(F.col("odd"), "chimera"), F.when((F.size("reasons") == 0) & F.col("odd").isNull() & F.col("in").isNull(), "allele number")]
+    out = tested.join(odd.withColumn("odd", F.lit(True)), key, "left").join(kept.select(*key, F.lit(True).alias("in")), key, "left")
+    return out.withColumn("reasons", F.concat("reasons", F.array_compact(F.array(*more)))).drop("odd", "in")
 
 
 def genotype_threshold_zones(variants: DataFrame, low: float = 1, high: float = 5, errors: int = 1, chimera: int = 10) -> DataFrame:
     """Under ``low`` percent artefact, over ``high`` allele; between them an artefact if
     a chimera or within ``errors`` of a deeper variant. Adds verdict."""
-    near = compare_within(variants).where(F.col("subs") + F.col("ins") + F.col("dels") <= errors).select(*AMPLICON, F.col("md5_2").alias("md5"), F.lit(True).alias("copy")).distinct()
+    near = near_pairs(variants, errors).select(*AMPLICON, F.col("md5_2").alias("md5"), F.lit(True).alias("copy")).distinct()
     chim = chimeras(variants, chimera).select(*AMPLICON, "md5", F.lit(True).alias("chimera"))
     out = variants.join(near, [*AMPLICON, "md5"], "left").join(chim, [*AMPLICON, "md5"], "left")
     odd = F.coalesce("copy", F.lit(False)) | F.coalesce("chimera", F.lit(False))
@@ -323,24 +315,33 @@ def genotype_threshold_zones(variants: DataFrame, low: float = 1, high: float =
 def genotype_folding(variants: DataFrame, errors: int = 3, percent: float = 2, max_alleles: int = 10) -> DataFrame:
     """Folds variants under ``percent`` of a parent and within ``errors`` onto it; the
     degree of change of folded depths tells alleles from artefacts."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["depth", "md5"], ascending=[False, True]).reset_index(drop=True)
-        folded, parents = rows["depth"].tolist(), []
-        for i, q in enumerate(rows["seq"]):
-            to = next((p for p in parents if rows["depth"][i] * 100 < percent * rows["depth"][p] and sum(compare_pair(q, rows["seq"][p])[2:5]) <= errors), None)
-            if to is None:
-                parents.append(i)
-            else:
-                folded[to] += folded[i]
-                folded[i] = 0
-        order = sorted(parents, key=lambda p: (-folded[p], rows["md5"][p]))[: max_alleles + 1]
-        ratios = [folded[a] / folded[b] for a, b in zip(order, order[1:], strict=False)]
-        n = max(range(len(ratios)), key=lambda k: (ratios[k], k)) + 1 if ratios else len(order)
-        alleles = set(order[:n])
-        return rows.assign(folded=folded, verdict=["allele" if i in alleles else "artefact" for i in range(len(rows))])[["marker", "sample", "md5", "depth", "folded", "verdict"]]
-
-    return variants.select(*AMPLICON, "md5", "seq", "depth").groupBy(*AMPLICON).applyInPandas(run, "marker string, sample string, md5 string, depth long, folded long, verdict string")
+    known = stored(with_vid(variants))
+    pairs = both_sides(near_candidates(known, errors), known).where(100 * F.col("depth_2") < percent * F.col("depth_1"))
+    pairs = with_pair_errors(pairs, "seq_2", "seq_1").where(F.col("e.subs") + F.col("e.ins") + F.col("e.dels") <= errors)
+    to = settled(pairs.select(F.col("vid_1").alias("u"), F.col("rank_1").alias("rank"), F.col("vid_2").alias("v"))).where("to is not null").withColumnRenamed("v", "vid")
+    placed = stored(known.join(to, "vid", "left").select("vid", *AMPLICON, "md5", "depth", F.coalesce("to", "vid").alias("parent")))
+    folded = placed.groupBy(F.col("parent").alias("vid")).agg(F.sum("depth").alias("folded"))
+    parents = stored(placed.select("vid", *AMPLICON, "md5").join(folded, "vid").withColumnRenamed("folded", "depth"))
+    nth = F.row_number().over(by_depth(*AMPLICON))
+    top = parents.withColumn("nth", nth).where(F.col("nth") <= max_alleles + 1)
+    # One parent has no change: it is the allele.
+    falls = degree_of_change(parents, max_alleles).groupBy(*AMPLICON).agg(F.max("n_alleles").alias("n_alleles"))
+    alleles = top.join(falls, list(AMPLICON), "left").where(F.col("nth") <= F.coalesce("n_alleles", F.lit(1))).select("vid", F.lit("allele").alias("verdict"))
+    out = placed.join(folded, "vid", "left").join(alleles, "vid", "left")
+    return out.select(*AMPLICON, "md5", "depth", F.coalesce("folded", F.lit(0)).cast("long").alias("folded"), F.coalesce("verdict", F.lit("artefact")).alias("verdict"))
+
+
+def repaired_indels(variants: DataFrame, max_freq: float) -> DataFrame:
+    """Variants below max_freq (percent, ``freq``) that are one inserted or deleted base
+    away from a deeper variant of the amplicon give it their depth and freq; the
+    deepest such variant takes them. Substitutions may be alleles and stay."""
+    key = [*AMPLICON, "md5"]
+    known = stored(with_vid(variants))
+    pairs = near_pairs(variants, 1).where((F.col("subs") == 0) & (F.col("ins") + F.col("dels") == 1))
+    to = pairs.groupBy(*AMPLICON, F.col("md5_2").alias("md5")).agg(F.min(F.struct((-F.col("depth_1")).alias("d"), F.col("md5_1").alias("to")))["to"].alias("to"))
+    moved = variants.join(to, key, "left").withColumn("md5", F.when(F.col("freq") < max_freq, F.coalesce("to", "md5")).otherwise(F.col("md5")))
+    sums = moved.groupBy(*key).agg(F.sum("depth").alias("depth"), F.sum("freq").alias("freq"))
+    return sums.join(known.select(*key, "seq"), key)
 
 
 def genotype_replicates(first: DataFrame, second: DataFrame, errors: int = 2, chimera: int = 10, top: int = 0) -> DataFrame:
@@ -348,7 +349,7 @@ def genotype_replicates(first: DataFrame, second: DataFrame, errors: int = 2, ch
     replicate or another sample, then compare with the deepest artefact. top: only
     the deepest ``top`` of an amplicon."""
     top_rows = first.withColumn("nth", F.row_number().over(by_depth(*AMPLICON))).where(F.col("nth") <= top).drop("nth") if top else first
-    near = compare_within(top_rows).where(F.col("subs") + F.col("ins") + F.col("dels") <= errors).select(*AMPLICON, F.col("md5_2").alias("md5"), F.lit("copy").alias("c")).distinct()
+    near = near_pairs(top_rows, errors).select(*AMPLICON, F.col("md5_2").alias("md5"), F.lit("copy").alias("c")).distinct()
     chim = chimeras(top_rows, chimera).select(*AMPLICON, "md5", F.lit("chimera").alias("h"))
     key = [*AMPLICON, "md5"]
     twin = second.select(*key, F.lit(True).alias("twin")).distinct()
@@ -361,9 +362,11 @@ def genotype_replicates(first: DataFrame, second: DataFrame, errors: int = 2, ch
     return labelled.withColumn("step", step).withColumn("verdict", verdict).select(*key, "depth", "freq", "label", "verdict")
 
 
-def genotype_by_rank(variants: DataFrame, min_freq: float = 1, stop_mean: float = 1) -> DataFrame:
+def genotype_by_rank(variants: DataFrame, min_freq: float = 1, stop_mean: float = 1, repair_below: float = 0) -> DataFrame:
     """Variants of a marker by their highest frequency; the list ends before the first
-    rank whose followers' mean is under stop_mean."""
+    rank whose followers' mean is under stop_mean. repair_below: single indels of
+    variants with less frequency are repaired first."""
+    variants = stored(repaired_indels(variants, repair_below)) if repair_below else variants
     best = variants.where(F.col("freq") >= min_freq).groupBy("marker", "md5").agg(F.max("freq").alias("best"))
     down = Window.partitionBy("marker").orderBy(F.desc("best"), "md5")
     ranked = best.withColumns({"rank": F.row_number().over(down), "above": F.avg("best").over(down.rowsBetween(Window.unboundedPreceding, 0)), "below": F.avg("best").over(down.rowsBetween(1, Window.unboundedFollowing))})

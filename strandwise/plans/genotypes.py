@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions.align import error_positions, pair_alignment, pair_errors
 from ..operators import alleles as a
+from ..operators import chimeras as h
 from ..operators import clustering as c
+from ..operators import near as n
 from ..operators import reports as p
 from ..operators.folders import stored
 from .fixtures import view, with_views
@@ -86,9 +88,20 @@ def j23(spark, d):
     return c.prefer_known_heads(view(spark, d, "members"), view(spark, d, "alleles"))
 
 
-@query("j20_pairwise_comparison")
+# Within two errors an alignment has as many errors as the edit distance; what the lengths differ by is gaps.
+_PAIRS = f"""pr AS (SELECT x.marker, x.sample, x.md5, y.md5 AS of, x.depth, y.depth AS depth_of, length(x.seq) AS nx, length(y.seq) AS ny, CASE WHEN length(x.seq) = length(y.seq) THEN hamming(x.seq, y.seq) END AS h, levenshtein(x.seq, y.seq) AS lev FROM variants x JOIN variants y ON y.marker = x.marker AND y.sample = x.sample AND y.md5 <> x.md5),
+er AS (SELECT *, CASE WHEN h <= greatest(2, nx // 10) THEN h ELSE lev END AS errors, CASE WHEN h <= greatest(2, nx // 10) THEN 0 WHEN nx = ny THEN 1 ELSE greatest(ny - nx, 0) END AS ins, CASE WHEN h <= greatest(2, nx // 10) THEN 0 WHEN nx = ny THEN 1 ELSE greatest(nx - ny, 0) END AS dels FROM pr)"""
+
+
+@query("j20_pairwise_comparison", with_views(_PAIRS + " SELECT marker, sample, md5, of, depth, depth_of, errors - ins - dels AS subs, ins, dels FROM er WHERE errors <= 2", "variants"))
 def j20(spark, d):
-    return c.compare_within(variants(spark, d))
+    return n.compare_within(variants(spark, d), 2).select("marker", "sample", "md5", "of", "depth", "depth_of", "subs", "ins", "dels")
+
+
+@query("j20_similar_variants")
+def j20s(spark, d):
+    """With limits in percent, and the error label."""
+    return n.compare_within(variants(spark, d), 4, 3.5, 2, 95)
 
 
 _CHIM = """rk AS (SELECT *, row_number() OVER (PARTITION BY marker, sample ORDER BY depth DESC, md5) AS nth FROM variants),
@@ -115,7 +128,7 @@ def _copies(source: str, errors: int) -> str:
 
 @query("j21_chimeras", with_views(_CHIM, "variants"))
 def j21(spark, d):
-    return c.chimeras(variants(spark, d), 10).select("marker", "sample", "md5")
+    return h.chimeras(variants(spark, d), 10).select("marker", "sample", "md5")
 
 
 # The frame of an amplicon is the first one without a stop of its deepest variant that has one.
@@ -197,6 +210,14 @@ def g41(spark, d):
     return c.genotype_by_rank(freqs(spark, d), 0.5).select("marker", "md5", "rank", "allele")
 
 
+_REPAIRED = _FREQ + """, rp AS (SELECT x.marker, x.sample, x.md5, arg_min(y.md5, (-y.depth, y.md5)) AS to FROM fr x JOIN fr y ON y.marker = x.marker AND y.sample = x.sample AND (y.depth > x.depth OR (y.depth = x.depth AND y.md5 < x.md5)) AND abs(length(y.seq) - length(x.seq)) = 1 WHERE x.freq < 2 AND levenshtein(x.seq, y.seq) = 1 GROUP BY ALL)"""
+
+
+@query("g41_repaired_indels", with_views(_REPAIRED + " SELECT fr.marker, fr.sample, coalesce(rp.to, fr.md5) AS md5, sum(fr.depth)::BIGINT AS depth, round(sum(fr.freq), 6) AS freq FROM fr LEFT JOIN rp ON rp.marker = fr.marker AND rp.sample = fr.sample AND rp.md5 = fr.md5 GROUP BY ALL", "variants", "amplicons"))
+def g41i(spark, d):
+    return c.repaired_indels(stored(freqs(spark, d)), 2).select("marker", "sample", "md5", "depth", F.round("freq", 6).alias("freq"))
+
+
 @query("w10_running_means", with_views(_RANK + " SELECT marker, md5, round(above, 6) AS above, round(below, 6) AS below FROM r", "variants", "amplicons"))
 def w10(spark, d):
     return c.genotype_by_rank(freqs(spark, d), 0.5).select("marker", "md5", F.round("above", 6).alias("above"), F.round("below", 6).alias("below"))
@@ -205,7 +226,7 @@ def w10(spark, d):
 @query("g42_check_verdicts", with_views(f"cp AS ({_copies('variants', 1)}), ch AS ({_chim_of('variants')}), sta AS (SELECT marker, md5, CASE WHEN ch.md5 IS NOT NULL OR ratio < 25 THEN 'bad' WHEN ratio IS NOT NULL THEN 'suspicious' ELSE 'good' END AS state FROM variants LEFT JOIN cp USING (marker, sample, md5) LEFT JOIN ch USING (marker, sample, md5)), per AS (SELECT marker, md5, count(*) FILTER (state = 'good') AS good, count(*) FILTER (state = 'suspicious') AS suspicious, count(*) FILTER (state = 'bad') AS bad FROM sta GROUP BY ALL) SELECT *, CASE WHEN good > 5 * (bad + suspicious) THEN 'good' WHEN good + suspicious > bad THEN 'suspicious' ELSE 'bad' END AS verdict FROM per", "variants"))
 def g42(spark, d):
     x = variants(spark, d)
-    return c.check_verdicts(x, c.compare_within(x), c.chimeras(x))
+    return c.check_verdicts(x, n.near_pairs(x, 1), h.chimeras(x))
 
 
 @query("j04_exact_allele_matches", with_views("SELECT DISTINCT v.md5, a.name FROM variants v JOIN (SELECT name, substr(seq, 6, 40) AS ref FROM alleles) a ON contains(v.seq, a.ref) OR contains(a.ref, v.seq)", "variants", "alleles"))

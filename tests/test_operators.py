@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions import align
 from strandwise.functions import seq as s
-from strandwise.operators import alleles, clustering, compare, mutations, reads, repertoire, taxonomy, variants
+from strandwise.operators import alleles, chimeras, clustering, compare, mutations, reads, repertoire, taxonomy, variants
 from strandwise.sources import readers, writers
 
 A = "ACGTTGCAACGGATCCTTAGCATGCATTGGCCAATTCGCGATATCGGATCA"
@@ -42,7 +42,7 @@ def test_a_strong_copy_stays_apart_and_a_tie_is_not_counted(spark):
 
 
 def test_chimera_names_both_parents(spark):
-    rows = clustering.chimeras(amplicon(spark, [(A, 500), (B, 400), (A[:25] + B[25:], 20), (error(A, 5), 9)])).collect()
+    rows = chimeras.chimeras(amplicon(spark, [(A, 500), (B, 400), (A[:25] + B[25:], 20), (error(A, 5), 9)])).collect()
     import hashlib
 
     md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
