@@ -37,11 +37,13 @@ SCALE = 2_000_000
 FILTER_BITS = 26
 TRIE_PHRASES = 1 << 18
 #: Distinct keys that a task holds before it hands them on.
-HELD_KEYS = 1 << 21
+HELD_KEYS = 1 << 20
 #: Symbols of a row of the encoded table. Parquet buffers a hundred rows before it looks at their size.
 ROW_SYMBOLS = 1 << 13
 #: Such rows that a task takes at once.
-ROWS = 128
+ROWS = 32
+#: Characters of text that are encoded at once, and rows of a batch that a task hands on.
+ENCODED_CHARS, OUT_ROWS = 1 << 18, 1 << 16
 #: Parts that a language's candidates are ranked in before the last ranking.
 PARTS = 64
 
@@ -90,10 +92,10 @@ def _encoder(seed: int):
 
     def words(parts: list) -> Iterator[pa.RecordBatch]:
         symbol, first, n = _merged(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        for i in range(0, len(symbol), 1 << 16):
-            at = pa.array(first[i : i + (1 << 16)])
+        for i in range(0, len(symbol), OUT_ROWS):
+            at = pa.array(first[i : i + OUT_ROWS])
             lang, word = (pa.concat_arrays([p[k] for p in parts]).take(at) for k in (2, 3))
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(symbol[i : i + (1 << 16)].view(np.int64)), lang, word, pa.array(n[i : i + (1 << 16)])], schema=_ENCODED)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(symbol[i : i + OUT_ROWS].view(np.int64)), lang, word, pa.array(n[i : i + OUT_ROWS])], schema=_ENCODED)
 
     def rows_of(x: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Rows that end with a piece, so that no phrase is cut."""
@@ -111,7 +113,7 @@ def _encoder(seed: int):
             data, bounds = utf8_rows(batch.column(0))
             lang_data, lang_bounds = utf8_rows(batch.column(1))
             languages = byte_hashes(lang_data, lang_bounds[:-1], lang_bounds[1:], seed + 1)
-            for i, j in blocks(np.diff(bounds)):
+            for i, j in blocks(np.diff(bounds), ENCODED_CHARS):
                 at = bounds[i : j + 1]
                 own = data[at[0] : at[-1]]
                 x, symbol, row, s, e = encode(own, at - at[0], languages[i:j], seed)
@@ -194,7 +196,8 @@ def _counter(found):
 
     def emit(parts: list) -> Iterator[pa.RecordBatch]:
         k, _, n = _merged(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], ["key", "n"])
+        for i in range(0, len(k), OUT_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(k[i : i + OUT_ROWS].view(np.int64)), pa.array(n[i : i + OUT_ROWS])], ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
