@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_batches, blocks, by_position, byte_hashes, materialise, mix, table, utf8_rows, word_spans
+from .common import blocks, by_position, byte_hashes, materialise, mix, settings, table, utf8_rows, word_spans
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A candidate goes if a longer one that holds it has this percent of its count.
@@ -42,6 +42,9 @@ HELD_KEYS = 1 << 20
 ROW_SYMBOLS = 1 << 13
 #: Such rows that a task takes at once.
 ROWS = 32
+#: Documents that a task takes at once, and bytes of a file that a task reads: the distinct
+#: keys of a task are held in the executor's memory, too.
+DOCUMENTS, SPLIT = 1000, "16m"
 #: Characters of text that are encoded at once, and rows of a batch that a task hands on.
 ENCODED_CHARS, OUT_ROWS = 1 << 18, 1 << 16
 #: Parts that a language's candidates are ranked in before the last ranking.
@@ -92,9 +95,10 @@ def _encoder(seed: int):
 
     def words(parts: list) -> Iterator[pa.RecordBatch]:
         symbol, first, n = _merged(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        langs, names = (pa.concat_arrays([p[k] for p in parts]) for k in (2, 3))
         for i in range(0, len(symbol), OUT_ROWS):
             at = pa.array(first[i : i + OUT_ROWS])
-            lang, word = (pa.concat_arrays([p[k] for p in parts]).take(at) for k in (2, 3))
+            lang, word = langs.take(at), names.take(at)
             yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(symbol[i : i + OUT_ROWS].view(np.int64)), lang, word, pa.array(n[i : i + OUT_ROWS])], schema=_ENCODED)
 
     def rows_of(x: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -439,8 +443,10 @@ def scored(phrases: DataFrame, words: DataFrame, least: int) -> DataFrame:
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of the first ``top`` phrases of each language."""
-    ids, words = _encoded(docs, lang, text)
-    with arrow_batches(docs.sparkSession, ROWS):
+    spark, batch = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    with settings(spark, {batch: str(DOCUMENTS), "spark.sql.files.maxPartitionBytes": SPLIT}):
+        ids, words = _encoded(docs, lang, text)
+    with settings(spark, {batch: str(ROWS), "spark.sql.files.maxPartitionBytes": SPLIT}):
         phrases = counted_phrases(ids, words, least)
     found = materialise(scored(phrases, words, least))
     often = words.where(F.col("n") >= least)

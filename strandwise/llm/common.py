@@ -70,15 +70,21 @@ def let(value: Column, body) -> Column:
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int):
-    """Rows of an Arrow batch of what runs inside; for rows that carry whole texts."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def settings(spark: SparkSession, values: dict[str, str]):
+    """SQL settings of what runs inside."""
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def arrow_batches(spark: SparkSession, rows: int):
+    """Rows of an Arrow batch of what runs inside; for rows that carry whole texts."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)})
 
 
 def bucket_count(rows: int, per_bucket: int = 20_000) -> int:
