@@ -7,10 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import search
 from ..functions import seq as s
 from ..functions.align import rows_of, texts_of
 
@@ -38,81 +40,153 @@ def with_primers(reads: DataFrame, primers: list[str]) -> DataFrame:
     return reads.where(F.upper("seq").rlike("|".join(both)))
 
 
-def amplicon_patterns(markers: list[dict], samples: list[dict]) -> list[tuple[str, str, str, str, str]]:
-    """(sample, marker, tag, primer regex, suffix regex) of a sheet: every tag pair with
-    every primer pair; a tag with ambiguous letters stands for each plain one."""
+#: A line of a sheet: sample, marker, tag (plain), primer, reverse primer and its tag (all as they stand on the forward strand).
+Line = tuple[str, str, str, str, str, str]
+
+
+def amplicon_patterns(markers: list[dict], samples: list[dict]) -> list[Line]:
+    """The lines of a sheet: every tag pair with every primer pair; a tag with
+    ambiguous letters stands for each plain one."""
     out = []
     for m in markers:
         for smp in samples:
             for tag in map("".join, itertools.product(*[s.AMBIGUOUS.get(c, c) for c in (smp.get("tag_f") or "").upper()])):
                 for f in m.get("primer_f") or [""]:
                     for r in m.get("primer_rc") or [""]:
-                        out.append((smp["sample"], m["marker"], tag, s.iupac_pattern(f), s.iupac_pattern(r + (smp.get("tag_rc") or ""))))
+                        out.append((smp["sample"], m["marker"], tag, f.upper(), r.upper(), (smp.get("tag_rc") or "").upper()))
     return out
 
 
-#: Lines of a sheet up to which it is sent to all executors.
-SHEET_ROWS = 100_000
-
-
-def _matches(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]]) -> DataFrame:
-    """Adds sample, marker, tag, pattern and the ``strand`` that it matches, to reads; the
-    forward strand first. Where a primer lies, the bases before it are a tag, which is
-    looked up in the sheet by an equi-join; only the lines found are tried on the read."""
+#: Bytes of a sheet up to which it is sent to all executors.
+SHEET_BYTES = 8 << 20
+
+_TAIL = "array<struct<kind: int, start: int>>"
+_ENDS = f"heads array<struct<kind: int, tag: string, forward: int, turned: int>>, forward {_TAIL}, turned {_TAIL}"
+
+
+def _ends(heads: list[tuple[str, int]], tails: list[str]):
+    """Column function: of each sequence the tags before primers (kind, tag, where it
+    starts first on the forward strand and on the turned one, or null), and where
+    reverse primers start on each strand. heads: primer and length of the tag."""
+    before = [(search.pattern_masks(p), len(p), n) for p, n in heads]
+    behind = [search.pattern_masks(p) for p in tails]
+
+    def text_array(tags: np.ndarray, n: int) -> pa.Array:
+        return pa.StringArray.from_buffers(len(tags), pa.py_buffer((np.arange(len(tags) + 1) * n).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(tags)))
+
+    def lists(rows: int, row: np.ndarray, fields: dict) -> pa.Array:
+        order = np.argsort(row, kind="stable")
+        offsets = np.append(0, np.cumsum(np.bincount(row, minlength=rows))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([v.take(pa.array(order)) for v in fields.values()], list(fields)))
+
+    @F.arrow_udf(_ENDS)
+    def found(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            head, tail = [], ([], [])
+            for rows, letters in search.letters_by_length(column):
+                strands = (letters, search.turned(letters))
+                codes = [search.word_codes(x) for x in strands]
+                any_head = np.zeros((2, len(rows)), bool)
+                for kind, (pattern, _, n) in enumerate(before):
+                    parts = []
+                    for side, x in enumerate(strands):
+                        row, start, _ = search.places(x, pattern, codes=codes[side])
+                        row, start = row[start >= n], start[start >= n]
+                        any_head[side, row] = True
+                        tag = np.ascontiguousarray(x[row[:, None], start[:, None] - n + np.arange(n)]).view(f"S{n}").ravel() if n else np.zeros(len(row), "S1")
+                        parts.append((row, tag, np.full(len(row), side), start - n))
+                    row, tag, side, at = (np.concatenate(v) for v in zip(*parts, strict=True))
+                    order = np.lexsort((at, side, tag, row))
+                    row, tag, side, at = row[order], tag[order], side[order], at[order]
+                    new = np.append(True, (row[1:] != row[:-1]) | (tag[1:] != tag[:-1]))[: len(row)]
+                    one = np.cumsum(new) - 1
+                    first = np.full((2, int(new.sum())), -1)
+                    for k in (1, 0):  # the first of each strand, written last
+                        mine = np.flatnonzero(side == k)[::-1]
+                        first[k, one[mine]] = at[mine]
+                    head.append((rows[row[new]], np.full(int(new.sum()), kind), tag[new], first[0], first[1]))
+                for side, x in enumerate(strands):
+                    some = np.flatnonzero(any_head[side])
+                    for kind, pattern in enumerate(behind):
+                        row, start, _ = search.places(x[some], pattern, codes=codes[side][some])
+                        if not len(pattern):  # no reverse primer: the insert goes on to the end
+                            row, start = np.arange(len(some)), np.full(len(some), x.shape[1])
+                        tail[side].append((rows[some[row]], np.full(len(row), kind), start))
+            join = lambda parts, k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64)
+            none = lambda v: pa.array(v, pa.int32(), mask=v < 0)
+            tags = pa.concat_arrays([text_array(p[2], heads[k][1]) for p in head for k in p[1][:1]] or [pa.array([], pa.string())])
+            fields = {"kind": pa.array(join(head, 1), pa.int32()), "tag": tags, "forward": none(join(head, 3)), "turned": none(join(head, 4))}
+            ends = [lists(len(column), join(tail[k], 0), {"kind": pa.array(join(tail[k], 1), pa.int32()), "start": pa.array(join(tail[k], 2), pa.int32())}) for k in (0, 1)]
+            yield pa.StructArray.from_arrays([lists(len(column), join(head, 0), fields), *ends], ["heads", "forward", "turned"])
+
+    return found
+
+
+def _matches(reads: DataFrame, patterns: list[Line]) -> DataFrame:
+    """Adds sample, marker, tag, strand (the read on the strand that matches, the forward
+    one first), turned, at (where the tag starts, from 1), start and length of the insert.
+    Tags before primers are looked up in the sheet by an equi-join; of the lines
+    found those count whose reverse primer and tag come later, the last place of them."""
     spark = reads.sparkSession
-    kinds = sorted({(primer, len(tag)) for _, _, tag, primer, _ in patterns})
-    number = {kind: k for k, kind in enumerate(kinds)}
-    lines = [F.struct(*[F.lit(x).alias(c) for c, x in zip(("kind", "tag", "sample", "marker", "line", "pattern"), (number[p, len(t)], t, smp, m, i, f"{t}{p}(.+){suf}"), strict=True)]) for i, (smp, m, t, p, suf) in enumerate(patterns)]
-    sheet = spark.range(1, numPartitions=1).select(F.inline(F.array(*lines)))
-    sheet = F.broadcast(sheet) if len(lines) <= SHEET_ROWS else sheet
-    forward = reads.withColumn("__forward", F.upper("seq")).where("__forward is not null")
-
-    def tags(primer: str, length: int) -> Column:
-        """What lies before the primer, and, turned, what lies behind its reverse complement."""
-
-        def where(primer: str, around: str) -> Column:
-            has = F.contains("__forward", F.lit(primer)) if "[" not in primer else F.rlike("__forward", F.lit(primer))
-            return F.when(has, F.regexp_extract_all("__forward", F.lit(around), F.lit(1))).otherwise(F.array().cast("array<string>"))
-
-        turned = s.complement_pattern(primer)
-        before, behind = where(primer, f"(?={primer})(?<=(.{{{length}}}))"), where(turned, f"(?={turned}(.{{{length}}}))")
-        return F.array_distinct(F.concat(before, F.transform(behind, s.reverse_complement)))
-
-    held = [F.transform(tags(*kind), lambda t: F.struct(F.lit(number[kind]).alias("kind"), t.alias("tag"))) for kind in kinds]  # noqa: B023  run at once
-    found = forward.withColumn("__t", F.explode(F.concat(*held))).select(*forward.columns, "__t.kind", "__t.tag").join(sheet, ["kind", "tag"])
-    turned = s.let(s.reverse_complement("__forward"), lambda r: F.when(F.rlike(r, F.col("pattern")), r))
-    hits = found.withColumn("strand", F.when(F.rlike("__forward", F.col("pattern")), F.col("__forward")).otherwise(turned)).where("strand is not null")
+    plain = lambda text: set(text) <= set("ACGT")
+    # A reverse tag with ambiguous letters is searched for with its primer.
+    patterns = [(*p[:4], p[4], p[5]) if plain(p[5]) else (*p[:4], p[4] + p[5], "") for p in patterns]
+    heads, tails = sorted({(p[3], len(p[2])) for p in patterns}), sorted({p[4] for p in patterns})
+    lines = [(heads.index((f, len(tag))), tag, smp, m, i, len(tag) + len(f), tails.index(r), len(r), end) for i, (smp, m, tag, f, r, end) in enumerate(patterns)]
+    sheet = spark.createDataFrame(lines, "kind int, tag string, sample string, marker string, line int, head int, tail int, tail_length int, tag_rc string")
+    sheet = F.broadcast(sheet) if sum(64 + sum(len(x) for x in p) for p in patterns) <= SHEET_BYTES else sheet
+    given = reads.columns
+    found = reads.where("seq is not null").withColumn("__ends", _ends(heads, tails)(F.col("seq"))).withColumn("__h", F.explode("__ends.heads"))
+    found = found.select(*given, "__ends", "__h", F.col("__h.kind").alias("kind"), F.col("__h.tag").alias("tag")).join(sheet, ["kind", "tag"])
+    turned = s.reverse_complement(F.upper("seq"))
+
+    def stop(side: str, text: Column) -> Column:
+        fits = lambda t: (t["kind"] == F.col("tail")) & (t["start"] > F.col(f"__h.{side}") + F.col("head")) & ((F.col("tag_rc") == "") | (F.substr(text, t["start"] + F.col("tail_length") + 1, F.length("tag_rc")) == F.col("tag_rc")))
+        return F.when(F.col(f"__h.{side}").isNotNull(), F.array_max(F.transform(F.filter(f"__ends.{side}", fits), lambda t: t["start"])))
+
+    hits = found.withColumns({"__f": stop("forward", F.upper("seq")), "__t": stop("turned", turned)}).where("__f is not null or __t is not null")
+    back = F.col("__f").isNull()
+    head = F.when(back, F.col("__h.turned")).otherwise(F.col("__h.forward"))
+    begin = head + F.col("head")
+    hits = hits.select(*given, "sample", "marker", "tag", "line", F.when(back, turned).otherwise(F.upper("seq")).alias("strand"), back.alias("turned"), (head + 1).alias("at"), (begin + 1).alias("start"), (F.coalesce("__f", "__t") - begin).alias("length"))
     if len({p[:2] for p in patterns}) < len(patterns):  # an amplicon has several lines: its first counts
         first = Window.partitionBy("read_id", "sample", "marker").orderBy("line")
         hits = hits.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
-    return hits.drop("kind", "line", "__forward")
+    return hits.drop("line")
 
 
-def demultiplex(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]]) -> DataFrame:
+def demultiplex(reads: DataFrame, patterns: list[Line]) -> DataFrame:
     """read_id, sample, marker, seq (the greedy insert, on the forward strand). A read
     counts once for an amplicon and may match several."""
     hits = _matches(reads.select("read_id", "seq"), patterns)
-    return hits.select("read_id", "sample", "marker", F.expr("regexp_extract(strand, pattern, 1)").alias("seq"))
+    return hits.select("read_id", "sample", "marker", F.substr("strand", F.col("start"), F.col("length")).alias("seq"))
 
 
-def retag(reads: DataFrame, patterns: list[tuple[str, str, str, str, str]], new_tags: DataFrame) -> DataFrame:
+def retag(reads: DataFrame, patterns: list[Line], new_tags: DataFrame) -> DataFrame:
     """read_id, sample, marker, seq, qual of the reads that match, on the forward strand;
     those of samples in new_tags (sample, new_tag) carry the new tag in place of theirs, its
     bases with the quality of the tag's first."""
     hits = _matches(reads.select("read_id", "seq", "qual"), patterns).join(new_tags.select("sample", "new_tag"), "sample", "left")
-    hits = hits.withColumn("at", F.expr("regexp_instr(strand, pattern)")).withColumn("quals", F.when(F.col("strand") == F.upper("seq"), F.col("qual")).otherwise(F.reverse("qual")))
+    hits = hits.withColumn("quals", F.when(F.col("turned"), F.reverse("qual")).otherwise(F.col("qual")))
     new = F.col("new_tag").isNotNull()
     swap = lambda text, tag: F.when(new, F.concat(F.substr(text, F.lit(1), F.col("at") - 1), tag, F.substr(text, F.col("at") + F.length("tag"), F.length(text)))).otherwise(F.col(text))
     first = F.substr("quals", F.col("at"), F.lit(1))
     return hits.select("read_id", "sample", "marker", swap("strand", F.col("new_tag")).alias("seq"), swap("quals", F.repeat(first, F.length("new_tag"))).alias("qual"))
 
 
-def reads_of_amplicons(reads: DataFrame, patterns: list[tuple]) -> DataFrame:
+def reads_of_amplicons(reads: DataFrame, patterns: list[Line]) -> DataFrame:
     """Reads (of one read_id each) that match some amplicon in either strand."""
     whole = reads.select("read_id", "seq", F.struct(*reads.columns).alias("__read"))
     return _matches(whole, patterns).dropDuplicates(["read_id"]).select("__read.*")
 
 
+def pairs_of_amplicons(left: DataFrame, right: DataFrame, patterns: list[Line]) -> tuple[DataFrame, DataFrame]:
+    """Both mates of the pairs of which each mate matches some amplicon in either strand."""
+    both = [_matches(mates.select("read_id", "seq"), patterns).select("read_id").distinct() for mates in (left, right)]
+    ids = both[0].join(both[1], "read_id")
+    return left.join(ids, "read_id", "left_semi"), right.join(ids, "read_id", "left_semi")
+
+
 def inserts_from_hits(hits: DataFrame, reads: DataFrame) -> DataFrame:
     """From primer hits (read_id, sample, marker, side F or R, strand, start, stop):
     the insert between a forward and a reverse hit of one amplicon on one strand;
@@ -126,27 +200,25 @@ def inserts_from_hits(hits: DataFrame, reads: DataFrame) -> DataFrame:
 
 
 def primer_hits(reads: DataFrame, primers: list[tuple[str, str]], max_percent: float = 10) -> DataFrame:
-    """read_id, primer, start, errors: the best place of each primer (name, plain
-    sequence) with at most ``max_percent`` mismatches, by sliding Hamming in numpy."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            out = []
-            for n, group in rows.groupby(rows["seq"].str.len()):
-                n = int(n)
-                x = np.frombuffer("".join(group["seq"]).encode("latin-1"), np.uint8).reshape(len(group), n)
-                for name, primer in primers:
-                    p = np.frombuffer(primer.encode(), np.uint8)
-                    if n < len(p):
-                        continue
-                    errors = np.stack([(x[:, k : k + len(p)] != p).sum(axis=1) for k in range(n - len(p) + 1)], axis=1)
-                    best = errors.argmin(axis=1)
-                    least = errors[np.arange(len(x)), best]
-                    ok = 100 * least <= max_percent * len(p)
-                    out.append(pd.DataFrame({"read_id": group["read_id"].to_numpy()[ok], "primer": name, "start": best[ok] + 1, "errors": least[ok]}))
-            yield pd.concat(out) if out else pd.DataFrame({"read_id": [], "primer": [], "start": [], "errors": []}).astype({"read_id": "str", "primer": "str"})
-
-    return reads.select("read_id", "seq").where("seq is not null").mapInPandas(run, "read_id string, primer string, start int, errors int")
+    """read_id, primer, strand, start, stop (from 1, on the read as it is), errors: all
+    places of the primers (name, IUPAC sequence), as they are (+) and as reverse
+    complements (-), with at most ``max_percent`` of their letters wrong."""
+    turn = str.maketrans(s.IUPAC, s.COMPLEMENT)
+    wanted = [(name, strand, search.pattern_masks(p), int(max_percent * len(p) / 100)) for name, seq in primers for strand, p in (("+", seq.upper()), ("-", seq.upper()[::-1].translate(turn)))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, letters in search.letters_by_length(batch.column(1)):
+                for name, strand, pattern, most in wanted:
+                    row, start, errors = search.places(letters, pattern, most)
+                    if len(row):
+                        ids = batch.column(0).take(pa.array(rows[row]))
+                        same = [pa.array([x] * len(row)) for x in (name, strand)]
+                        numbers = [pa.array(v, pa.int32()) for v in (start + 1, start + len(pattern), errors)]
+                        yield pa.RecordBatch.from_arrays([ids, *same, *numbers], ["read_id", "primer", "strand", "start", "stop", "errors"])
+
+    key = reads.schema["read_id"].dataType.simpleString()
+    return reads.select("read_id", "seq").where("seq is not null").mapInArrow(run, f"read_id {key}, primer string, strand string, start int, stop int, errors int")
 
 
 def join_mates(left: DataFrame, right: DataFrame, reverse: bool = True) -> DataFrame:
@@ -209,11 +281,13 @@ def add_tags(reads: DataFrame, samples: DataFrame, markers: DataFrame, quality:
 
 def retag_clashes(runs: DataFrame, new_tags: list[str]) -> DataFrame:
     """Samples (run, sample, tag_f) of several runs: a tag that an earlier run has is
-    replaced by the next of ``new_tags``; new_tag is null where nothing changes."""
+    replaced by the next of ``new_tags``; new_tag is null where nothing changes. Too
+    few of them raise an error when the rows are read."""
     nth = F.row_number().over(Window.partitionBy("tag_f").orderBy("run", "sample"))
     clash = runs.withColumn("nth", nth).withColumn("clash", (F.col("nth") > 1).cast("int"))
     order = F.sum("clash").over(Window.orderBy("run", "sample", "tag_f"))  # a row for each sample of the sheets
-    tag = F.get(F.array(*[F.lit(t) for t in new_tags]), (order - 1).cast("int"))
+    more = F.raise_error(F.lit(f"more than {len(new_tags)} tags clash")).cast("string")
+    tag = F.coalesce(F.get(F.array(*[F.lit(t) for t in new_tags]).cast("array<string>"), (order - 1).cast("int")), more)
     return clash.withColumn("new_tag", F.when(F.col("clash") == 1, tag)).drop("nth", "clash")
 
 

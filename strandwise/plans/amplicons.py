@@ -74,9 +74,27 @@ def j02(spark, d):
     return r.inserts_from_hits(hits(spark, d), view(spark, d, "reads"))
 
 
-@query("j03_primer_search")
+# The last letter of each primer stands for any base, so nine letters count; one may be wrong.
+_PLACES = " UNION ALL ".join(
+    f"SELECT read_id, '{m}' AS primer, '{strand}' AS strand, i AS start, i + 9 AS stop, hamming(substr(seq, i + {skip}, 9), '{part}') AS errors FROM (SELECT read_id, seq, unnest(range(1, length(seq) - 8)) AS i FROM reads)"
+    for m, p in PRIMERS.items()
+    for strand, skip, part in (("+", 0, p[0][:9]), ("-", 1, p[0][:9][::-1].translate(str.maketrans("ACGT", "TGCA"))))
+)
+
+
+@query("j03_primer_search", with_views(f"pl AS ({_PLACES}) SELECT read_id, primer, strand, start::INTEGER AS start, stop::INTEGER AS stop, errors::INTEGER AS errors FROM pl WHERE errors <= 1", "reads"))
 def j03(spark, d):
-    return r.primer_hits(view(spark, d, "reads"), [(m, p[0][:-1] + ("A" if p[0][-1] != "A" else "C")) for m, p in PRIMERS.items()])
+    return r.primer_hits(view(spark, d, "reads"), [(m, p[0][:9] + "N") for m, p in PRIMERS.items()])
+
+
+@query("f04_amplicon_pairs", with_views("SELECT read_id FROM reads WHERE substr(qual, 1, 1) NOT IN ('5', '?')", "reads"))
+def f04p(spark, d):
+    """Mates of which one has lost its first bases, or the other has a bad base in each primer."""
+    whole = view(spark, d, "reads").select("read_id", "seq", "qual")
+    first = whole.withColumn("seq", F.when(F.substring("qual", 1, 1) == "5", F.substr("seq", F.lit(9))).otherwise(F.col("seq")))
+    bad = F.overlay(F.overlay("seq", F.lit("NN"), 8), F.lit("NN"), F.length("seq") - 3)
+    second = whole.withColumn("seq", s.reverse_complement(F.when(F.substring("qual", 1, 1) == "?", bad).otherwise(F.col("seq"))))
+    return r.pairs_of_amplicons(first, second, sheet(spark, d))[0].select("read_id")
 
 
 @query("j18_join_mates", with_views("SELECT read_id, concat(seq, reverse(translate(substr(seq, 41), 'ACGT', 'TGCA'))) AS seq, concat(qual, reverse(substr(qual, 41))) AS qual FROM reads", "reads"))

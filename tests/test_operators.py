@@ -82,6 +82,44 @@ def test_demultiplexing_inverts_tagging(spark):
     assert got == {(i, smp, q) for i, smp, _, q, _ in rows}
 
 
+def test_primer_places_equal_a_plain_search(spark):
+    """Ambiguous primers, both strands, all places within a tenth and within a third."""
+    import random
+
+    r = random.Random(7)
+    primers = [("p", "ACGTRCAANC"), ("q", "TTGGC"), ("s", "GATTACAGATTACAGATTACN")]
+    flip = str.maketrans(s.IUPAC, s.COMPLEMENT)
+    texts = ["".join(r.choice("ACGTacgtN" if i % 5 == 0 else "ACGT") for _ in range(r.choice([0, 4, 30, 31, 90]))) for i in range(120)] + ["GATTACAGATTACAGATTACG" * 2, "ACGTACAATCACGTGCAACC", None]
+    for k in range(20):
+        texts.append(texts[k] + "GATTACAGATTTCAGATTACA"[: 21 - k % 3])
+    df = spark.createDataFrame(list(enumerate(texts)), "read_id int, seq string").repartition(3)
+    for percent in (10, 34):
+        want = Counter()
+        for i, text in enumerate(texts):
+            for name, primer in primers:
+                for strand, p in (("+", primer), ("-", primer[::-1].translate(flip))):
+                    for at in range(len(text or "") - len(p) + 1):
+                        wrong = sum(x not in s.AMBIGUOUS[y] for x, y in zip(text.upper()[at : at + len(p)], p))
+                        if wrong <= int(percent * len(p) / 100):
+                            want[i, name, strand, at + 1, at + len(p), wrong] += 1
+        assert Counter(tuple(x) for x in reads.primer_hits(df, primers, percent).collect()) == want
+
+
+def test_both_mates_must_match(spark):
+    patterns = reads.amplicon_patterns([{"marker": "M", "primer_f": ["ACGT"], "primer_rc": ["GGCC"]}], [{"sample": "S", "tag_f": "AAC"}])
+    good, bad = "AACACGTTTTGGCC", "AACACGTTTTGGC"
+    left = spark.createDataFrame([(1, good), (2, good), (3, bad), (4, None)], "read_id int, seq string")
+    right = spark.createDataFrame([(1, good[::-1].translate(str.maketrans("ACGT", "TGCA"))), (2, bad), (3, good), (4, good)], "read_id int, seq string")
+    assert [[x.read_id for x in df.collect()] for df in reads.pairs_of_amplicons(left, right, patterns)] == [[1], [1]]
+
+
+def test_more_clashing_tags_than_new_ones(spark):
+    runs = spark.createDataFrame([("A", "S1", "AAC"), ("B", "S2", "AAC"), ("C", "S3", "AAC")], "run string, sample string, tag_f string")
+    assert sorted((r["sample"], r.new_tag) for r in reads.retag_clashes(runs, ["X", "Y"]).collect()) == [("S1", None), ("S2", "X"), ("S3", "Y")]
+    with pytest.raises(Exception, match="tags clash"):
+        reads.retag_clashes(runs, ["X"]).collect()
+
+
 def test_alignment_and_its_errors():
     a, b = align.global_alignment(A[:20] + A[23:], A)
     assert a.replace("-", "") == A[:20] + A[23:] and b == A and a.count("-") == 3
@@ -176,8 +214,8 @@ def test_a_sheet_with_ambiguous_tags_and_several_primers(spark):
     for i, text in enumerate(texts):
         seen = set()
         for strand in ((text or "").upper(), (text or "").upper()[::-1].translate(flip)):
-            for sample, marker, tag, primer, suffix in patterns:
-                if (hit := re.search(f"{tag}{primer}(.+){suffix}", strand)) and (sample, marker) not in seen:
+            for sample, marker, tag, primer, reverse, end in patterns:
+                if (hit := re.search(f"{tag}{s.iupac_pattern(primer)}(.+){s.iupac_pattern(reverse + end)}", strand)) and (sample, marker) not in seen:
                     seen.add((sample, marker))
                     want.append((i, sample, marker, hit[1]))
     assert got == sorted(want) and len({g[0] for g in got}) == 5
