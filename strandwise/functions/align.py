@@ -107,6 +107,24 @@ def pair_alignment(seq: pd.Series, ref: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([global_alignment(a, b) for a, b in zip(seq, ref, strict=True)], columns=_ALIGNED.names)
 
 
+_STAR = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("slot", T.IntegerType()), T.StructField("base", T.StringType())]))
+
+
+@F.pandas_udf(_STAR)
+def star_columns(aligned: pd.Series, ref: pd.Series) -> pd.Series:
+    """The letters of an aligned pair by place: pos is the base of the reference (from
+    1) with slot 0, or the base before an insertion with its number in it."""
+
+    def one(a: str, b: str) -> list[dict]:
+        out, pos, slot = [], 0, 0
+        for x, y in zip(a, b, strict=True):
+            pos, slot = (pos, slot + 1) if y == "-" else (pos + 1, 0)
+            out.append({"pos": pos, "slot": slot, "base": x})
+        return out
+
+    return pd.Series([one(a, b) for a, b in zip(aligned, ref, strict=True)])
+
+
 def with_pair_errors(rows: DataFrame, seq: str, ref: str) -> DataFrame:
     """Adds ``e``, the errors of ``seq`` against ``ref``. Each distinct pair is aligned once."""
     once = rows.select(seq, ref).distinct().withColumn("e", pair_errors(seq, ref))

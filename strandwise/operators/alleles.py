@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -53,6 +53,42 @@ def seed_hits(variants: DataFrame, references: DataFrame, word: int = 10) -> Dat
     return whole.select("query", "subject", (n - differ).alias("ident"), n.alias("aligned"))
 
 
+def local_hits(variants: DataFrame, references: DataFrame, word: int = 10, penalty: int = 3, least: int | None = None, both_strands: bool = False) -> DataFrame:
+    """query, subject, strand, q_start, s_start (from 1, on the forward subject), aligned,
+    ident, score: on each diagonal that shares a word the ungapped segment of the highest
+    score, 1 for a match and -penalty for a mismatch, of ``least`` (a word) or more. The
+    running sum starts anew where it falls to zero, so a pair with an indel has a segment
+    on either side of it, on two diagonals."""
+    refs = references.select("name", F.upper("seq").alias("seq"), F.lit("+").alias("strand"))
+    if both_strands:
+        refs = refs.unionByName(references.select("name", s.reverse_complement(F.upper("seq")).alias("seq"), F.lit("-").alias("strand")))
+    refs = refs.withColumn("subject", F.concat("strand", "name"))
+    q, r = _words(variants, "md5", "query", word), _words(refs, "subject", "subject", word)
+    diagonals = q.withColumnRenamed("at", "qa").join(r, "w").select("query", "subject", (F.col("qa") - F.col("at")).alias("diagonal")).distinct()
+    whole = diagonals.join(variants.select(F.col("md5").alias("query"), F.col("seq").alias("qs")).distinct(), "query").join(refs.select("subject", "name", "strand", F.col("seq").alias("ss")), "subject")
+    a0, b0 = F.greatest(F.col("diagonal"), F.lit(0)), F.greatest(-F.col("diagonal"), F.lit(0))
+    n = F.least(F.length("qs") - a0, F.length("ss") - b0)
+    same = F.zip_with(s.letters(F.substr("qs", a0 + 1, n)), s.letters(F.substr("ss", b0 + 1, n)), lambda x, y: x == y)
+    number = lambda x: F.lit(x).cast("int")
+    state = F.struct(*[number(0).alias(c) for c in ("at", "sum", "start", "best", "first", "last")])
+
+    def step(t: Column, match: Column) -> Column:
+        anew = t["sum"] <= 0
+        start = F.when(anew, t["at"]).otherwise(t["start"])
+        value = F.when(anew, 0).otherwise(t["sum"]) + F.when(match, 1).otherwise(-penalty)
+        better = value > t["best"]
+        pick = lambda new, old: F.when(better, new).otherwise(t[old])
+        fields = {"at": t["at"] + 1, "sum": value, "start": start, "best": pick(value, "best"), "first": pick(start, "first"), "last": pick(t["at"] + 1, "last")}
+        return F.struct(*[v.cast("int").alias(k) for k, v in fields.items()])
+
+    scored = whole.withColumn("t", F.aggregate(same, state, step)).where(F.col("t.best") >= (word if least is None else least))
+    aligned = F.col("t.last") - F.col("t.first")
+    ident = (F.col("t.best") + penalty * aligned) / (1 + penalty)
+    forward = b0 + F.col("t.first") + 1
+    s_start = F.when(F.col("strand") == "+", forward).otherwise(F.length("ss") - (forward + aligned - 1) + 1)
+    return scored.select("query", F.col("name").alias("subject"), "strand", (a0 + F.col("t.first") + 1).cast("int").alias("q_start"), s_start.cast("int").alias("s_start"), aligned.alias("aligned"), ident.cast("int").alias("ident"), F.col("t.best").alias("score"))
+
+
 def best_names(hits: DataFrame, lengths: DataFrame, min_aligned: float = 0.9, min_ident: float = 0.9) -> DataFrame:
     """query and the joined names of its subjects with most identical bases. Hits of
     a pair add up; lengths: (id, len) of queries and subjects."""
@@ -173,6 +209,38 @@ def corrected_coverage(reads: DataFrame, most: int = 2, ratio: float = 5) -> Dat
     return counts.join(own, ["locus", "allele"]).groupBy("locus").applyInPandas(keep, "locus string, allele string, reads long, corrected long, kept boolean")
 
 
+def equal_alleles(reads: DataFrame) -> DataFrame:
+    """(locus, allele, read) to (locus, allele, entry): alleles of a locus that the same
+    reads support get one entry, the names joined. Sets meet by their size and a sum of
+    hashes of their reads, which needs no order and no list; an anti-join of the reads
+    with those of the first allele confirms each."""
+    rows = reads.select("locus", "allele", "read").distinct()
+    hashed = F.xxhash64("read").cast("decimal(38,0)")
+    sets = rows.groupBy("locus", "allele").agg(F.count("*").alias("n"), F.sum(hashed).alias("sum"), F.bit_xor(F.xxhash64("read", F.lit(1))).alias("xor"))
+    lead = sets.withColumn("lead", F.min("allele").over(Window.partitionBy("locus", "n", "sum", "xor"))).select("locus", "allele", "lead")
+    others = rows.join(lead.where("allele <> lead"), ["locus", "allele"])
+    of_lead = rows.select("locus", F.col("allele").alias("lead"), "read")
+    wrong = others.join(of_lead, ["locus", "lead", "read"], "left_anti").select("locus", "allele", F.lit(True).alias("wrong")).distinct()
+    checked = lead.join(wrong, ["locus", "allele"], "left").withColumn("lead", F.when(F.col("wrong"), F.col("allele")).otherwise(F.col("lead")))
+    names = checked.groupBy("locus", "lead").agg(F.array_join(F.array_sort(F.collect_set("allele")), " | ").alias("entry"))
+    return checked.join(names, ["locus", "lead"]).select("locus", "allele", "entry")
+
+
+def allele_numbers(reads: DataFrame, ratio: float = 5, most: int = 2) -> DataFrame:
+    """locus, allele (entries of ``equal_alleles``), reads, corrected, kept: one allele
+    where the best has more than ``ratio`` times the corrected reads of the next, else
+    as many as the degree of change of the first most + 1 says."""
+    entries = equal_alleles(reads)
+    single = reads.join(entries, ["locus", "allele"]).select("locus", F.col("entry").alias("allele"), "read").distinct()
+    corrected = corrected_coverage(single, most, ratio).drop("kept")
+    order = Window.partitionBy("locus").orderBy(F.desc("corrected"), "allele")
+    ranked = corrected.withColumns({"nth": F.row_number().over(order), "next": F.lead("corrected").over(order), "first": F.first("corrected").over(order)})
+    top = ranked.where(F.col("nth") <= most + 1)
+    ratios = top.where("next is not null").where(F.col("nth") <= most).groupBy("locus").agg(F.max(F.struct((F.col("corrected") / F.col("next")).alias("ratio"), "nth"))["nth"].alias("degree"), F.max(F.when(F.col("nth") == 1, F.col("corrected") > ratio * F.col("next"))).alias("one"))
+    number = F.when(F.coalesce("one", F.lit(True)), 1).otherwise(F.col("degree"))
+    return ranked.join(ratios, "locus", "left").select("locus", "allele", "reads", "corrected", (F.col("nth") <= number).alias("kept"))
+
+
 def frequent_alleles(found: DataFrame, frequent: DataFrame) -> DataFrame:
     """Alleles of a (locus, allele) list; of entries with one name the best covered."""
     listed = found.join(frequent.select("locus", "allele").distinct(), ["locus", "allele"], "left_semi")

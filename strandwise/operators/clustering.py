@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as s
-from ..functions.align import compare_pair, error_positions, pair_alignment, with_pair_errors
+from ..functions.align import compare_pair, error_positions, pair_alignment, star_columns, with_pair_errors
 from .chimeras import chimeras
 from .folders import stored
 from .near import PRIORITY, both_sides, near_candidates, near_pairs, settled, with_vid
@@ -149,17 +149,44 @@ def cluster_depths(members: DataFrame) -> DataFrame:
     return per.select(*AMPLICON, "cluster", "h.md5", "h.seq", "depth", "size")
 
 
-def consensus(members: DataFrame, least: int = 3, lengths: list[int] | None = None) -> DataFrame:
-    """Depth-weighted consensus of the members as long as their head; the smallest base
+def _star_profile(members: DataFrame, heads: DataFrame) -> DataFrame:
+    """key, built: the vote by depth in the columns of a star alignment, each distinct
+    (member, head) aligned once; a gap is a letter that loses ties."""
+    key = [*AMPLICON, "cluster"]
+    counted = members.where("cluster > 0 and counted").join(heads.select(*key, "head_seq"), key)
+    pairs = counted.select("seq", "head_seq").distinct().withColumn("p", pair_alignment("seq", "head_seq"))
+    columns = pairs.select("seq", "head_seq", star_columns("p.q_aln", "p.s_aln").alias("c"))
+    votes = counted.join(columns, ["seq", "head_seq"]).select(*key, "depth", F.inline("c")).groupBy(*key, "pos", "slot", "base").agg(F.sum("depth").alias("d"))
+    # Members without an insertion vote for none.
+    total = counted.groupBy(*key).agg(F.sum("depth").alias("total"))
+    gaps = votes.where("slot > 0").groupBy(*key, "pos", "slot").agg(F.sum("d").alias("d")).join(total, key)
+    votes = votes.unionByName(gaps.select(*key, "pos", "slot", F.lit("-").alias("base"), (F.col("total") - F.col("d")).alias("d")))
+    best = F.min(F.struct((-F.col("d")).alias("d"), (F.col("base") == "-").alias("gap"), "base"))["base"]
+    kept = votes.groupBy(*key, "pos", "slot").agg(best.alias("base")).where("base <> '-'")
+    built = kept.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("pos", "slot", "base"))).alias("b"))
+    return built.select(*key, F.array_join(F.transform("b", lambda x: x["base"]), "").alias("built"))
+
+
+def consensus(members: DataFrame, least: int = 3, lengths: list[int] | None = None, gapped: bool = False) -> DataFrame:
+    """Depth-weighted consensus of the members as long as their head, or of all members,
+    aligned to their head, if ``gapped``; the smallest base
     wins ties; clusters below ``least`` members, or whose consensus isn't dominant for
     ``lengths``, keep their head. merged_into: the first earlier cluster of the amplicon
     that has the consensus as a member."""
     key = [*AMPLICON, "cluster"]
     heads = cluster_depths(members).select(*key, F.col("seq").alias("head_seq"), "size")
     fit = members.where("cluster > 0 and counted").join(heads, key).where(F.length("seq") == F.length("head_seq"))
+    if gapped:
+        return _named_consensus(members, _star_profile(members, heads).join(heads, key), least, lengths)
     bases = fit.select(*key, "head_seq", "size", "depth", F.posexplode(s.letters("seq")).alias("pos", "base"))
     best = bases.groupBy(*key, "head_seq", "size", "pos", "base").agg(F.sum("depth").alias("d")).groupBy(*key, "head_seq", "size", "pos").agg(F.min(F.struct((-F.col("d")).alias("d"), "base"))["base"].alias("base"))
     joined = best.groupBy(*key, "head_seq", "size").agg(F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("b")).withColumn("built", F.array_join(F.transform("b", lambda x: x["base"]), ""))
+    return _named_consensus(members, joined, least, lengths)
+
+
+def _named_consensus(members: DataFrame, joined: DataFrame, least: int, lengths: list[int] | None) -> DataFrame:
+    """consensus, changed and merged_into from (key, head_seq, size, built)."""
+    key = [*AMPLICON, "cluster"]
     right = F.col("size") >= least
     if lengths is not None:
         right = right & is_dominant("built", F.array(*[F.lit(n) for n in lengths]))
@@ -169,13 +196,23 @@ def consensus(members: DataFrame, least: int = 3, lengths: list[int] | None = No
     return out.join(earlier, [*AMPLICON, "consensus"], "left").select(*key, "consensus", "changed", F.when(F.col("of") < F.col("cluster"), F.col("of")).alias("merged_into"))
 
 
-def prefer_known_heads(members: DataFrame, alleles: DataFrame) -> DataFrame:
-    """A member that is a known allele becomes its cluster's head (the deepest, if several)."""
+def prefer_known_heads(members: DataFrame, alleles: DataFrame, errors: bool = False) -> DataFrame:
+    """A member that is a known allele becomes its cluster's head (the deepest, if
+    several). errors: members of such a cluster get their errors against the new head."""
     known = alleles.select("seq", F.lit(True).alias("known")).distinct()
     m = members.join(known, "seq", "left")
     order = Window.partitionBy(*AMPLICON, "cluster").orderBy((~F.coalesce("known", F.lit(False))).cast("int"), F.when(F.col("role") == "head", 0).otherwise(1), F.desc("depth"), "md5")
     role = F.when(F.col("cluster") == 0, "none").when(F.row_number().over(order) == 1, "head").otherwise("member")
-    return m.withColumn("role", role).drop("known")
+    out = m.withColumn("role", role).drop("known")
+    if not errors:
+        return out
+    key = [*AMPLICON, "cluster"]
+    changed = out.where("role = 'head' and cluster > 0").join(members.where("role = 'head'").select(*key, F.col("md5").alias("old")), key).where("md5 <> old").select(*key, F.col("seq").alias("head_seq"))
+    new = with_pair_errors(out.join(changed, key).where("role = 'member'"), "seq", "head_seq").select(*key, "md5", "e")
+    heads = changed.select(*key, F.lit(True).alias("new_head"))
+    told = out.join(new, [*key, "md5"], "left").join(heads, key, "left")
+    fresh = lambda c: F.when(F.col("e").isNotNull(), F.col(f"e.{c}")).when(F.col("new_head") & (F.col("role") == "head"), 0).otherwise(F.col(c))
+    return told.select(*[fresh(c).alias(c) if c in _ERRORS else F.col(c) for c in out.columns])
 
 
 def cluster_by_identity(seqs: DataFrame, percent: float, keys: list[str], max_ratio: float = 0.0) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from ..functions import search
 from ..functions import seq as s
 from ..functions.align import rows_of, texts_of
+from .ranking import first_rows
 
 
 def trim(reads: DataFrame, n: int, columns: tuple[str, ...] = ("seq", "qual")) -> DataFrame:
@@ -295,8 +296,8 @@ def sample_reads(reads: DataFrame, n: int, seed: str = "1", keys: tuple[str, ...
     """``n`` reads (of each of ``keys``) by the order of a hash: the same on every run."""
     if not keys:
         return reads.orderBy(F.md5(F.concat(F.lit(seed), order)), order).limit(n)
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.md5(F.concat(F.lit(seed), order)), order))
-    return reads.withColumn("nth", nth).where(F.col("nth") <= n).drop("nth")
+    drawn = F.md5(F.concat(F.lit(seed), order))
+    return first_rows(reads, list(keys), [F.substring(drawn, 1, 4)], [drawn, F.col(order)], n).drop("nth")
 
 
 def shuffle_reads(reads: DataFrame, seed: str = "1", order: str = "read_id") -> DataFrame:
@@ -311,5 +312,5 @@ def split_reads(reads: DataFrame, parts: int, order: str = "read_id") -> DataFra
 def sampling_rounds(reads: DataFrame, rounds: int, n: int, order: str = "read_id") -> DataFrame:
     """``rounds`` samples of ``n`` reads each, with their ``round``; drawn anew in each, in one pass."""
     every = reads.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-    drawn = Window.partitionBy("round").orderBy(F.md5(F.concat(F.col("round").cast("string"), order)), order)
-    return every.withColumn("nth", F.row_number().over(drawn)).where(F.col("nth") <= n).drop("nth")
+    drawn = F.md5(F.concat(F.col("round").cast("string"), order))
+    return first_rows(every, ["round"], [F.substring(drawn, 1, 4)], [drawn, F.col(order)], n).drop("nth")

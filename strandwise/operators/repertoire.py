@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as s
+from .ranking import first_rows
 
 
 def extract_cdr3(reads: DataFrame, pattern: str, umi_at: int = 0, umi_length: int = 0, v_pattern: str = "", flank: int = 3, j_length: int = 30) -> DataFrame:
@@ -135,8 +136,8 @@ def clonotypes(rows: DataFrame) -> DataFrame:
 
 
 def top_clones(clones: DataFrame, most: int = 10_000) -> DataFrame:
-    nth = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("cloneCount"), "nSeqCDR3"))
-    return clones.withColumn("nth", nth).where(F.col("nth") <= most)
+    """The ``most`` clones of each sample by count, then sequence, with their number."""
+    return first_rows(clones, ["sample"], [-F.col("cloneCount"), F.substring("nSeqCDR3", 1, 6)], [F.col("nSeqCDR3")], most)
 
 
 def percentile_group(clones: DataFrame) -> DataFrame:

@@ -165,11 +165,11 @@ def s18(spark, d):
     return writers.sheet_lines(markers, samples, params, view(spark, d, "alleles")).select("value")
 
 
-@query("s19_typing_table", with_views("SELECT substr(name, 1, 2) AS locus, max(seq) FILTER (name LIKE '%-0') AS a0, max(seq) FILTER (name LIKE '%-1') AS a1 FROM alleles GROUP BY 1", "alleles"))
+@query("s19_typing_table", with_views("SELECT substr(name, 1, 2) AS locus, " + ", ".join(f"max(seq) FILTER (name LIKE '%-{k}') AS a{k}" for k in range(5)) + " FROM alleles GROUP BY 1", "alleles"))
 def s19(spark, d):
     x = view(spark, d, "alleles").select(F.substring("name", 1, 2).alias("locus"), F.concat(F.lit("a"), F.substring("name", 4, 1)).alias("allele"), "seq")
     path = work_folder(spark)
-    writers.write_table(x.groupBy("locus").pivot("allele", ["a0", "a1"]).agg(F.max("seq")), path)
+    writers.write_table(x.groupBy("locus").pivot("allele", [f"a{k}" for k in range(5)]).agg(F.max("seq")), path)
     return spark.read.option("sep", "\t").option("header", True).csv(path)
 
 

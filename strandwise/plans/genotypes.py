@@ -68,6 +68,12 @@ def g05(spark, d):
     return c.consensus(stored(view(spark, d, "members")), 3, [60])
 
 
+@query("g05_gapped_consensus")
+def g05g(spark, d):
+    """Of guided clusters: members with a deletion vote for a gap."""
+    return c.consensus(stored(c.cluster_guided(variants(spark, d), 2, 2)), 3, [60], gapped=True)
+
+
 @query("g06_denovo_clusters")
 def g06(spark, d):
     return c.cluster_denovo(variants(spark, d))
@@ -246,6 +252,20 @@ def j06(spark, d):
     return a.seed_hits(variants(spark, d), view(spark, d, "alleles"))
 
 
+_LOCAL = """q AS (SELECT DISTINCT md5 AS query, seq AS qs FROM variants), sb AS (SELECT name AS subject, '+' AS strand, seq AS ss FROM alleles UNION ALL SELECT name, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM alleles),
+qw AS (SELECT *, substr(qs, qa::INT, 10) AS w FROM (SELECT *, unnest(range(1, length(qs) - 8)) AS qa FROM q)), sw AS (SELECT *, substr(ss, sa::INT, 10) AS w FROM (SELECT *, unnest(range(1, length(ss) - 8)) AS sa FROM sb)),
+dg AS (SELECT DISTINCT query, subject, strand, qs, ss, greatest(qa - sa, 0) AS a, greatest(sa - qa, 0) AS b FROM qw JOIN sw USING (w)),
+po AS (SELECT *, CASE WHEN substr(qs, (a + i + 1)::INT, 1) = substr(ss, (b + i + 1)::INT, 1) THEN 1 ELSE -3 END AS v FROM (SELECT *, unnest(range(least(length(qs) - a, length(ss) - b))) AS i FROM dg)),
+pr AS (SELECT *, sum(v) OVER w - v AS prev FROM po WINDOW w AS (PARTITION BY query, subject, strand, a, b ORDER BY i)), mi AS (SELECT *, min(prev) OVER w AS low FROM pr WINDOW w AS (PARTITION BY query, subject, strand, a, b ORDER BY i)),
+st AS (SELECT *, prev + v - low AS score, max(CASE WHEN prev = low THEN i END) OVER w AS first FROM mi WINDOW w AS (PARTITION BY query, subject, strand, a, b ORDER BY i)),
+be AS (SELECT *, row_number() OVER (PARTITION BY query, subject, strand, a, b ORDER BY score DESC, i) AS nth FROM st)"""
+
+
+@query("j06_local_segments", with_views(_LOCAL + " SELECT query, subject, strand, (a + first + 1)::INT AS q_start, (CASE strand WHEN '+' THEN b + first + 1 ELSE length(ss) - (b + i) END)::INT AS s_start, (i - first + 1)::INT AS aligned, ((score + 3 * (i - first + 1)) // 4)::INT AS ident, score::INT AS score FROM be WHERE nth = 1 AND score >= 10", "variants", "alleles"))
+def j06l(spark, d):
+    return a.local_hits(variants(spark, d), view(spark, d, "alleles"), both_strands=True)
+
+
 @query("j05_best_names", with_views("""h AS (SELECT DISTINCT v.md5 AS query, a.name AS subject, v.seq, a.seq AS ref FROM variants v JOIN alleles a ON length(v.seq) = length(a.seq) OR v.seq = concat(substr(a.seq, 1, 20), substr(a.seq, 22))),
 k AS (SELECT query, subject, length(ref) AS n, CASE WHEN length(seq) < length(ref) THEN length(seq) ELSE (SELECT count(*) FROM (SELECT unnest(range(1, length(seq) + 1)) AS i) WHERE substr(seq, i, 1) = substr(ref, i, 1)) END AS ident FROM h), m AS (SELECT *, rank() OVER (PARTITION BY query ORDER BY ident DESC) AS r FROM k WHERE ident >= 0.9 * n) SELECT query, string_agg(subject, ' | ' ORDER BY subject) AS name, max(ident) AS ident FROM m WHERE r = 1 GROUP BY query""", "variants", "alleles"))
 def j05(spark, d):
@@ -280,6 +300,30 @@ def g35(spark, d):
     return a.corrected_coverage(hits)
 
 
+_EQUAL = "ht AS (SELECT DISTINCT marker AS locus, concat('A', x) AS allele, read_id AS read FROM (SELECT marker, read_id, unnest([substr(sample, 2)::INT % 5, substr(sample, 2)::INT % 3, 100 + substr(sample, 2)::INT % 3]) AS x FROM inserts)), sg AS (SELECT locus, allele, string_agg(read, ',' ORDER BY read) AS reads FROM ht GROUP BY ALL), nm AS (SELECT locus, reads, string_agg(allele, ' | ' ORDER BY allele) AS entry FROM sg GROUP BY ALL)"
+
+
+def read_sets(spark, d):
+    """Each read supports an allele by its sample modulo 5, and two by it modulo 3."""
+    x = view(spark, d, "inserts").select("read_id", "marker", F.expr("cast(substr(sample, 2) as int)").alias("k"))
+    alleles = F.array(*[F.concat(F.lit("A"), e.cast("string")) for e in (F.col("k") % 5, F.col("k") % 3, F.col("k") % 3 + 100)])
+    return x.select(F.col("marker").alias("locus"), F.explode(alleles).alias("allele"), F.col("read_id").alias("read")).distinct()
+
+
+@query("g35_equal_alleles", with_views(_EQUAL + " SELECT locus, allele, entry FROM sg JOIN nm USING (locus, reads)", "inserts"))
+def g35e(spark, d):
+    return a.equal_alleles(stored(read_sets(spark, d)))
+
+
+@query("g35_allele_numbers", with_views(_EQUAL + """, e AS (SELECT DISTINCT locus, entry AS allele, read FROM ht JOIN sg USING (locus, allele) JOIN nm USING (locus, reads)), ct AS (SELECT locus, allele, count(*) AS reads FROM e GROUP BY ALL),
+fi AS (SELECT locus, read, allele FROM (SELECT *, row_number() OVER (PARTITION BY locus, read ORDER BY reads DESC, allele) AS k FROM e JOIN ct USING (locus, allele)) WHERE k = 1), ow AS (SELECT locus, allele, reads, count(*) AS corrected FROM fi JOIN ct USING (locus, allele) GROUP BY ALL),
+rk AS (SELECT *, row_number() OVER w AS nth, lead(corrected) OVER w AS next FROM ow WINDOW w AS (PARTITION BY locus ORDER BY corrected DESC, allele)),
+dc AS (SELECT locus, max(CASE WHEN nth = 1 THEN corrected > 5 * next END) AS one, arg_max(nth, (corrected::DOUBLE / next, nth)) AS degree FROM rk WHERE nth <= 2 AND next IS NOT NULL GROUP BY locus)
+SELECT rk.locus, allele, reads, corrected, nth <= CASE WHEN coalesce(one, true) THEN 1 ELSE degree END AS kept FROM rk LEFT JOIN dc ON dc.locus = rk.locus""", "inserts"))
+def g35n(spark, d):
+    return a.allele_numbers(stored(read_sets(spark, d)))
+
+
 @query("c21_allele_groups")
 def c21(spark, d):
     x = view(spark, d, "taxa").groupBy("otu").agg(F.array_sort(F.collect_set(F.expr("concat('A*', hit % 2, ':0', hit % 4, ':', hit % 8)"))).alias("names"))

@@ -8,6 +8,7 @@ from ..functions import seq as s
 from ..operators import compare as c
 from ..operators import repertoire as r
 from ..operators import taxonomy as t
+from ..operators.folders import stored, work_folder
 from .fixtures import view, with_views
 from .registry import query
 from .scalars import CODE_CTE, protein_sql
@@ -211,9 +212,42 @@ def u04(spark, d):
     return t.latest_database(x.select("otu", F.concat(F.lit("A"), "otu").alias("name")), x.where("hit % 3 = 0").select("otu", F.concat(F.lit("B"), "otu").alias("name")))
 
 
-@query("s08_otu_table", with_views("SELECT otu, coalesce(sum(depth) FILTER (sample = 'S1'), 0)::BIGINT AS \"S1\", coalesce(sum(depth) FILTER (sample = 'S2'), 0)::BIGINT AS \"S2\" FROM otus GROUP BY otu", "otus"))
+_SAMPLES = [f"S{k}" for k in range(12)]
+
+
+@query("s08_otu_table", with_views("SELECT otu, " + ", ".join(f"coalesce(sum(depth) FILTER (sample = '{x}'), 0)::BIGINT AS \"{x}\"" for x in _SAMPLES) + " FROM otus GROUP BY otu", "otus"))
 def s08(spark, d):
-    return t.wide_table(view(spark, d, "otus"), ["S1", "S2"])
+    return t.wide_table(view(spark, d, "otus"), _SAMPLES)
+
+
+@query("s08_biom_round_trip", with_views("SELECT otu, sample, depth FROM otus", "otus"))
+def s08b(spark, d):
+    path = work_folder(spark)
+    t.write_biom(view(spark, d, "otus"), path)
+    return t.read_biom(spark, path)
+
+
+_SUMMARY = _LCA + """, nt AS (SELECT otu, 'phylum' AS level, phylum AS taxon, p > 1 AS differs FROM z UNION ALL SELECT otu, 'genus', coalesce(CASE WHEN g = 1 THEN genus END, 'unassigned'), g > 1 FROM z),
+tt AS (SELECT sample, sum(depth) AS total FROM otus GROUP BY sample), ts AS (SELECT level, taxon, sample, sum(depth) AS depth FROM otus JOIN nt USING (otu) GROUP BY ALL),
+tx AS (SELECT level, taxon, sum(depth)::BIGINT AS depth, count(*) AS samples, round(sum(100.0 * depth / total) / (SELECT count(*) FROM tt), 6) AS mean_freq FROM ts JOIN tt USING (sample) GROUP BY ALL),
+oc AS (SELECT level, taxon, count(*) AS otus, count(*) FILTER (differs) AS ambiguous FROM nt WHERE otu IN (SELECT otu FROM otus) GROUP BY ALL)"""
+
+
+@query("g24_taxon_summary", with_views(_SUMMARY + " SELECT level, taxon, otus, depth, samples, mean_freq, ambiguous FROM tx JOIN oc USING (level, taxon)", "otus", "taxa"))
+def g24s(spark, d):
+    taxa = stored(view(spark, d, "taxa"))
+    return t.taxon_summary(stored(view(spark, d, "otus")), t.consensus(taxa), ("phylum", "genus"), taxa).withColumn("mean_freq", F.round("mean_freq", 6))
+
+
+_DEPTH = "sd AS (SELECT sample, sum(depth) AS depth FROM otus GROUP BY sample), sg AS (SELECT round_even(avg(depth) / 10, 0)::BIGINT::VARCHAR AS tenth, min(depth) AS low FROM sd), sp AS (SELECT greatest(1, substr(tenth, 1, 1)::BIGINT * (10 ** (length(tenth) - 1))::BIGINT) AS step, low FROM sg)"
+
+
+@query("g25_common_depth", with_views(_DEPTH + " SELECT sample, r.k::INTEGER AS replicate, ((low // step + 1) * step)::BIGINT AS reads FROM sd, sp, (SELECT unnest(range(3)) AS k) r", "otus"))
+def g25c(spark, d):
+    """Reads of each draw at the common depth; the counts themselves are random."""
+    otus = stored(view(spark, d, "otus"))
+    _, common = t.rarefaction_depths(otus)
+    return t.rarefied_counts(otus, [common], 3).groupBy("sample", "replicate").agg(F.sum("n").alias("reads"))
 
 
 _RUNS = "r1 AS (SELECT * FROM runs WHERE run = 'F'), r2 AS (SELECT * FROM runs WHERE run <> 'F'), cp AS (SELECT coalesce(a.marker, b.marker) AS marker, coalesce(a.sample, b.sample) AS sample, coalesce(a.md5, b.md5) AS md5, a.depth AS depth_1, b.depth AS depth_2, CASE WHEN b.md5 IS NULL THEN 'only_1' WHEN a.md5 IS NULL THEN 'only_2' ELSE 'common' END AS state FROM r1 a FULL JOIN r2 b ON a.marker = b.marker AND a.sample = b.sample AND a.md5 = b.md5)"

@@ -96,18 +96,27 @@ def c11(spark, d):
     return pairs(spark, d).select("md5", e["kind"].alias("kind"), e["position"].alias("position"))
 
 
-@query("c12_identity_score", with_views(_PAIR + f" SELECT md5, length(seq) - {_HAM} AS matches, length(seq) AS total FROM p WHERE length(seq) = length(ref)", "variants", "alleles"))
+# Variants that lost base 21 have a gap there.
+_GAPPED = ", ag AS (SELECT md5, CASE WHEN length(seq) < length(ref) THEN concat(substr(seq, 1, 20), '-', substr(seq, 21)) ELSE seq END AS seq, ref FROM p)"
+
+
+def aligned(spark, d):
+    gapped = F.concat(F.substr("seq", F.lit(1), F.lit(20)), F.lit("-"), F.substr("seq", F.lit(21)))
+    return pairs(spark, d).withColumn("seq", F.when(F.length("seq") < F.length("ref"), gapped).otherwise(F.col("seq")))
+
+
+@query("c12_identity_score", with_views(_PAIR + _GAPPED + f" SELECT md5, length(seq) - {_HAM} AS matches, length(seq) AS total FROM ag", "variants", "alleles"))
 def c12(spark, d):
     i = s.identity("seq", "ref")
-    return pairs(spark, d).where(F.length("seq") == F.length("ref")).select("md5", i["matches"].alias("matches"), i["total"].alias("total"))
+    return aligned(spark, d).select("md5", i["matches"].alias("matches"), i["total"].alias("total"))
 
 
-@query("c13_difference_strings", with_views(_PAIR + """ SELECT md5, (SELECT string_agg(CASE WHEN substr(seq, i, 1) = substr(ref, i, 1) THEN substr(seq, i, 1) ELSE concat('[', substr(seq, i, 1), '|', substr(ref, i, 1), ']') END, '' ORDER BY i) FROM (SELECT unnest(range(1, length(seq) + 1)) AS i)) AS line,
-CASE WHEN seq = ref THEN '' ELSE concat('X', """ + _HAM + ") END AS label FROM p WHERE length(seq) = length(ref)", "variants", "alleles"))
+@query("c13_difference_strings", with_views(_PAIR + _GAPPED + """ SELECT md5, (SELECT string_agg(CASE WHEN substr(seq, i, 1) = substr(ref, i, 1) THEN substr(seq, i, 1) ELSE concat('[', substr(seq, i, 1), '|', substr(ref, i, 1), ']') END, '' ORDER BY i) FROM (SELECT unnest(range(1, length(seq) + 1)) AS i)) AS line,
+concat(CASE WHEN """ + f"{_HAM} > contains(seq, '-')::INT THEN concat('X', {_HAM} - contains(seq, '-')::INT) ELSE '' END, CASE WHEN contains(seq, '-') THEN 'D1' ELSE '' END) AS label FROM ag", "variants", "alleles"))
 def c13(spark, d):
-    p = pairs(spark, d).where(F.length("seq") == F.length("ref"))
-    zero = F.lit(0)
-    return p.select("md5", s.one_line_alignment("seq", "ref").alias("line"), s.error_label(s.hamming("seq", "ref"), zero, zero, zero).alias("label"))
+    p = aligned(spark, d)
+    zero, gaps = F.lit(0), F.contains("seq", F.lit("-")).cast("int")
+    return p.select("md5", s.one_line_alignment("seq", "ref").alias("line"), s.error_label(s.hamming("seq", "ref") - gaps, zero, gaps, zero).alias("label"))
 
 
 @query("c14_phred", with_views("SELECT read_id, (ascii(substr(qual, 1, 1)) - 33)::DOUBLE AS mean_quality, repeat(chr(ascii(substr(qual, 1, 1)) + 31), length(qual)::INT) AS old_text FROM reads", "reads"))
@@ -194,10 +203,9 @@ def c07t(spark, d):
     return t.select("md5", "t.frame", "t.protein", F.length("t.dna").alias("n"))
 
 
-@query("c12_shared_identity", with_views(_PAIR + " SELECT md5, (SELECT sum(CASE WHEN a = r THEN 1.0 WHEN a = 'R' AND r IN ('A', 'G') THEN 0.5 WHEN a = 'N' THEN 0.25 ELSE 0 END) FROM (SELECT substr(translate(seq, 'AT', 'RN'), i, 1) AS a, substr(ref, i, 1) AS r FROM (SELECT unnest(range(1, length(seq) + 1)) AS i))) AS score FROM p WHERE length(seq) = length(ref)", "variants", "alleles"))
+@query("c12_shared_identity", with_views(_PAIR + _GAPPED + " SELECT md5, (SELECT sum(CASE WHEN a = r THEN 1.0 WHEN a = 'R' AND r IN ('A', 'G') THEN 0.5 WHEN a = 'N' THEN 0.25 ELSE 0 END) FROM (SELECT substr(translate(seq, 'AT', 'RN'), i, 1) AS a, substr(ref, i, 1) AS r FROM (SELECT unnest(range(1, length(seq) + 1)) AS i))) AS score FROM ag", "variants", "alleles"))
 def c12s(spark, d):
-    p = pairs(spark, d).where(F.length("seq") == F.length("ref"))
-    return p.select("md5", s.shared_identity(F.translate("seq", "AT", "RN"), "ref")["score"].alias("score"))
+    return aligned(spark, d).select("md5", s.shared_identity(F.translate("seq", "AT", "RN"), "ref")["score"].alias("score"))
 
 
 @query("c14_quality_by_position", with_views("SELECT i AS pos, round(avg(ascii(substr(qual, i::INT, 1)) - 33), 6) AS mean_quality, count(*) AS reads FROM (SELECT qual, unnest(range(1, length(qual) + 1)) AS i FROM reads) GROUP BY i", "reads"))

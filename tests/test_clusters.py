@@ -229,6 +229,28 @@ def test_ordered_filters_settle_as_the_walk_does(spark):
                 assert got[s, md5(q)] == (not why, why)
 
 
+def test_deletions_are_outvoted_and_insertions_voted_in(spark):
+    """Members of all lengths vote; the head lacks a base that most have, and has one that few have."""
+    a = "ACGTTGCAACGGATCCTTAGCATGCATTGG"
+    lost, more = a[:9] + a[10:], a[:20] + "T" + a[20:]
+    rows = [("M", "S", 1, "head", lost, 50), ("M", "S", 1, "member", a, 40), ("M", "S", 1, "member", a[:3] + "C" + a[4:], 30), ("M", "S", 1, "member", more, 5), ("M", "S", 2, "head", a, 9), ("M", "S", 2, "member", lost, 8)]
+    df = spark.createDataFrame(rows, "marker string, sample string, cluster int, role string, seq string, depth long").withColumns({"md5": F.md5("seq"), "counted": F.lit(True)})
+    got = {r.cluster: (r.consensus, r.changed) for r in clustering.consensus(df, 3, gapped=True).collect()}
+    assert got == {1: (a, True), 2: (a, False)}
+    plain = {r.cluster: r.consensus for r in clustering.consensus(df, 3).collect()}
+    assert plain[1] == lost  # only members as long as the head vote
+
+
+def test_a_known_head_gets_the_errors_of_its_members(spark):
+    a = "ACGTTGCAACGGATCCTTAGCATGCATTGG"
+    b, c = a[:4] + "A" + a[5:], a[:4] + "A" + a[5:12] + "G" + a[13:]
+    rows = [("M", "S", 1, "head", a, 50, 0), ("M", "S", 1, "member", b, 30, 1), ("M", "S", 1, "member", c, 4, 2), ("M", "S", 2, "head", c[1:], 9, 0)]
+    df = spark.createDataFrame(rows, "marker string, sample string, cluster int, role string, seq string, depth long, subs int").withColumns({"md5": F.md5("seq"), "counted": F.lit(True), **{x: F.lit(0) for x in ("ins", "dels", "homo")}})
+    known = spark.createDataFrame([("K", b)], "name string, seq string")
+    got = {(r.cluster, r.seq): (r.role, r.subs) for r in clustering.prefer_known_heads(df, known, errors=True).collect()}
+    assert got == {(1, a): ("member", 1), (1, b): ("head", 0), (1, c): ("member", 1), (2, c[1:]): ("head", 0)}
+
+
 def test_single_indels_are_repaired_before_ranking(spark):
     a = "ACGTTGCAACGGATCCTTAGCATGCATTGG"
     rows = [("M", "S", q, n, f) for q, n, f in ((a, 90, 90.0), (a[:9] + a[10:], 5, 5.0), (a[:5] + "A" + a[6:], 3, 3.0), (a[:12] + "T" + a[12:], 2, 2.0))]
