@@ -40,6 +40,19 @@ def combine(sets: list[DataFrame], min_reads: int = 0) -> DataFrame:
     return summed.join(deep, ["marker", "sample"], "left_semi")
 
 
+def side_by_side(sets: dict[str, DataFrame], min_reads: int = 0) -> DataFrame:
+    """Assignments of several result sets kept apart: marker, sample, md5, depths (a map
+    from the name of a set to its depth) and the sum, for samples with ``min_reads``."""
+    every = None
+    for name, x in sets.items():
+        x = x.select(*KEY, F.lit(name).alias("source"), "depth")
+        every = x if every is None else every.unionByName(x)
+    once = every.groupBy(*KEY, "source").agg(F.sum("depth").alias("depth"))
+    per = once.groupBy(*KEY).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "depth")))).alias("depths"), F.sum("depth").alias("depth"))
+    deep = per.groupBy("marker", "sample").agg(F.sum("depth").alias("d")).where(F.col("d") >= min_reads).select("marker", "sample")
+    return per.join(deep, ["marker", "sample"], "left_semi")
+
+
 def consistent_names(named: DataFrame) -> DataFrame:
     """(name, md5) kept where a name stands for one sequence; others are named by their md5."""
     clash = named.select("name", "md5").distinct().groupBy("name").agg(F.count("*").alias("n"))

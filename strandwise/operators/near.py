@@ -69,20 +69,20 @@ def _places(seq: Column, parts: int, errors: int) -> Column:
     return F.concat(*[of(i) for i in range(parts)])
 
 
-def near_candidates(variants: DataFrame, errors: int, same_length: bool = False) -> DataFrame:
-    """Pairs (a, b), a < b, of variant ids (``vid``) of an amplicon: all with at most
+def near_candidates(variants: DataFrame, errors: int, same_length: bool = False, within: tuple[str, ...] = AMPLICON) -> DataFrame:
+    """Pairs (a, b), a < b, of variant ids (``vid``) of an amplicon (or equal in ``within``): all with at most
     ``errors`` errors, or with at most as many substitutions, and some others."""
     parts = errors // 2 + 1
     seq = F.col("seq")
 
     def texts(places: Column, *more: str) -> DataFrame:
-        rows = variants.select("vid", *AMPLICON, *([F.length(seq).alias("n")] if same_length else []), F.explode(places).alias("p"))
-        key = [*AMPLICON, *(["n"] if same_length else []), "part", "text"]
+        rows = variants.select("vid", *within, *([F.length(seq).alias("n")] if same_length else []), F.explode(places).alias("p"))
+        key = [*within, *(["n"] if same_length else []), "part", "text"]
         rows = rows.select("vid", *[c for c in key if c not in ("part", "text")], "p.part", "p.text")
         return rows.withColumn("tid", F.xxhash64(*key))
 
     def keys(rows: DataFrame, tid: str) -> DataFrame:
-        scope = [*AMPLICON, *(["n"] if same_length else []), "part"]
+        scope = [*within, *(["n"] if same_length else []), "part"]
         once = rows.dropDuplicates(["tid"])
         around = _masked(F.col("text")) if same_length else _without_one(F.col("text"))
         return once.select(F.col("tid").alias(tid), F.explode(F.transform(around, lambda t: F.xxhash64(*scope, t))).alias("key"))

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import seq as s
+from .folders import stored
+from .near import near_candidates, settled
 from .ranking import first_rows
 
 
@@ -95,29 +97,22 @@ def reads_per_umi(rows: DataFrame) -> DataFrame:
 
 def cluster_equal_length(counts: DataFrame, substitutions: int, keys: list[str], seq: str = "cdr3", depth: str = "depth") -> DataFrame:
     """Greedy by depth within keys and length: a sequence joins the deepest earlier
-    head within ``substitutions``. Adds head. A group is one length of one sample."""
+    head within ``substitutions``. Adds head; an empty sequence has no row. Near
+    sequences meet by parts with one base masked, heads settle in rounds."""
     if not substitutions:
         return counts.withColumn("head", F.col(seq))
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        rows = rows.sort_values([depth, seq], ascending=[False, True])
-        x = np.frombuffer("".join(rows[seq]).encode("latin-1"), np.uint8).reshape(len(rows), -1)
-        heads: list[int] = []
-        to = np.empty(len(rows), np.int64)
-        for i in range(len(rows)):
-            near = np.flatnonzero((x[heads] != x[i]).sum(axis=1) <= substitutions) if heads else []
-            if len(near):
-                to[i] = heads[near[0]]
-            else:
-                heads.append(i)
-                to[i] = i
-        return rows.assign(head=rows[seq].to_numpy()[to]).drop(columns="__len")
-
-    keyed = counts.where(F.length(seq) > 0).withColumn("__len", F.length(seq))
-    schema = ", ".join(f"{n} {t}" for n, t in counts.dtypes) + ", head string"
-    return keyed.groupBy(*keys, "__len").applyInPandas(run, schema)
+    known = stored(counts.where(F.length(seq) > 0).select(F.xxhash64(*keys, seq).alias("vid"), *keys, F.col(seq).alias("seq"), F.col(depth).alias("depth")))
+    side = lambda k, end: known.select(F.col("vid").alias(end), *[F.col(c).alias(f"{c}_{k}") for c in (*keys, "seq")], F.struct((-F.col("depth")).alias("d"), "seq").alias(f"rank_{k}"))
+    pairs = near_candidates(known, substitutions, True, tuple(keys)).join(side(1, "a"), "a").join(side(2, "b"), "b")
+    for c in keys:
+        pairs = pairs.where(F.col(f"{c}_1").eqNullSafe(F.col(f"{c}_2")))
+    pairs = pairs.where(s.hamming("seq_1", "seq_2") <= substitutions)
+    first = F.col("rank_1") < F.col("rank_2")
+    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+    to = settled(pairs.select(pick("a", "b").alias("u"), pick("rank_1", "rank_2").alias("rank"), pick("b", "a").alias("v")))
+    heads = to.where("to is not null").join(known.select(F.col("vid").alias("to"), F.col("seq").alias("head")), "to").select(F.col("v").alias("vid"), "head")
+    out = counts.where(F.length(seq) > 0).withColumn("vid", F.xxhash64(*keys, seq)).join(heads, "vid", "left")
+    return out.withColumn("head", F.coalesce("head", F.col(seq))).drop("vid")
 
 
 def clonotypes(rows: DataFrame) -> DataFrame:
@@ -158,9 +153,62 @@ def length_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("sample", F.length("cdr3").alias("len")).agg(F.count("*").alias("n"))
 
 
+def depth_counts(counts: DataFrame, step: str) -> DataFrame:
+    """Per sample, marker and ``step`` (a name) how many sequences have each depth."""
+    return counts.groupBy("sample", "marker", F.lit(step).alias("step"), "depth").agg(F.count("*").alias("n"))
+
+
+#: Which columns a row of segment_usage is about, by its grouping id.
+USAGE = {0: "sample, v, j", 1: "sample, v", 2: "sample, j", 4: "v, j", 5: "v", 6: "j"}
+
+
 def segment_usage(rows: DataFrame) -> DataFrame:
-    """Counts of V, J and their pairs per sample and over all samples (sample null)."""
-    return rows.groupingSets([["sample", "v", "j"], ["sample", "v"], ["sample", "j"], ["v", "j"]], "sample", "v", "j").agg(F.grouping_id().alias("level"), F.count("*").alias("n"))
+    """Counts of V, J and their pairs per sample and over all samples; ``level`` names the
+    columns that a row is about, the others are null."""
+    sets = [["sample", "v", "j"], ["sample", "v"], ["sample", "j"], ["v", "j"], ["v"], ["j"]]
+    counted = rows.groupingSets(sets, "sample", "v", "j").agg(F.grouping_id().alias("g"), F.count("*").alias("n"))
+    names = F.create_map(*[F.lit(x) for kv in USAGE.items() for x in kv])
+    return counted.select(F.element_at(names, F.col("g").cast("int")).alias("level"), "sample", "v", "j", "n")
+
+
+def usage_by_length(rows: DataFrame) -> DataFrame:
+    """V and J counts of each CDR3 length over all samples."""
+    return rows.groupingSets([["len", "v"], ["len", "j"]], F.length("cdr3").alias("len"), "v", "j").agg(F.count("*").alias("n"))
+
+
+def shared_pairs(rows: DataFrame) -> DataFrame:
+    """Per individual and pair of its samples: sequences u that one of them alone has, c
+    that both have, and Chao2 = u + c + u^2 / 2c (null without common ones)."""
+    sets = rows.groupBy("marker", "individual", "cdr3").agg(F.array_sort(F.collect_set("sample")).alias("set")).groupBy("marker", "individual", "set").agg(F.count("*").alias("n"))
+    samples = sets.select("marker", "individual", F.explode("set").alias("a")).groupBy("marker", "individual").agg(F.array_sort(F.collect_set("a")).alias("all"))
+    pairs = samples.select("marker", "individual", "all", F.explode("all").alias("a")).select("marker", "individual", "a", F.explode(F.filter("all", lambda x: x > F.col("a"))).alias("b"))
+    met = pairs.join(sets, ["marker", "individual"]).select("marker", "individual", "a", "b", "n", F.array_contains("set", F.col("a")).alias("in_a"), F.array_contains("set", F.col("b")).alias("in_b"))
+    per = met.groupBy("marker", "individual", "a", "b").agg(F.sum(F.when(F.col("in_a") != F.col("in_b"), F.col("n")).otherwise(0)).alias("u"), F.sum(F.when(F.col("in_a") & F.col("in_b"), F.col("n")).otherwise(0)).alias("c"))
+    return per.withColumn("chao2", F.col("u") + F.col("c") + F.col("u") * F.col("u") / F.nullif(2 * F.col("c"), F.lit(0)))
+
+
+def shared_by_number(rows: DataFrame) -> DataFrame:
+    """Per marker: number of sequences found in exactly k individuals."""
+    k = rows.groupBy("marker", "cdr3").agg(F.countDistinct("individual").alias("k"))
+    return k.groupBy("marker", "k").agg(F.count("*").alias("n"))
+
+
+def variants_per_umi(rows: DataFrame) -> DataFrame:
+    """Histogram of distinct sequences per UMI (``plain_umis``) of each sample."""
+    per = plain_umis(rows).groupBy("sample", "umi").agg(F.countDistinct("cdr3").alias("variants"))
+    return per.groupBy("sample", "variants").agg(F.count("*").alias("umis"))
+
+
+def umi_clonotypes(rows: DataFrame) -> DataFrame:
+    """The clonotype table counted by correct UMIs (see ``umi_consensus``), each for its
+    most frequent sequence: cloneCount and cloneFraction in UMIs, totalReads and
+    readFraction in the reads that agree with it; V and J of those reads."""
+    umis = umi_consensus(rows, keep_singles=True).where("correct").select("sample", "marker", "umi", F.col("top").alias("cdr3"))
+    counted = rows.join(umis, ["sample", "marker", "umi", "cdr3"])
+    reads = counted.groupBy("sample", F.col("cdr3").alias("nSeqCDR3")).agg(F.count("*").alias("totalReads"))
+    one = counted.groupBy("sample", "marker", "umi", "cdr3").agg(F.mode("v", True).alias("v"), F.mode("j", True).alias("j"))
+    total = F.sum("totalReads").over(Window.partitionBy("sample"))
+    return clonotypes(one).join(reads, ["sample", "nSeqCDR3"]).withColumn("readFraction", F.round(F.col("totalReads") / total, 6))
 
 
 def shared_within(rows: DataFrame) -> DataFrame:

@@ -75,9 +75,45 @@ def g13(spark, d):
     return r.length_counts(rows(spark, d))
 
 
-@query("g14_segment_usage", with_views("SELECT sample, v, j, count(*) AS n FROM cdr3 GROUP BY GROUPING SETS ((sample, v, j), (sample, v), (sample, j), (v, j))", "cdr3"))
+@query("g14_segment_usage", with_views("SELECT concat_ws(', ', CASE WHEN grouping(sample) = 0 THEN 'sample' END, CASE WHEN grouping(v) = 0 THEN 'v' END, CASE WHEN grouping(j) = 0 THEN 'j' END) AS level, sample, v, j, count(*) AS n FROM cdr3 GROUP BY GROUPING SETS ((sample, v, j), (sample, v), (sample, j), (v, j), (v), (j))", "cdr3"))
 def g14(spark, d):
-    return r.segment_usage(rows(spark, d)).drop("level")
+    return r.segment_usage(rows(spark, d))
+
+
+@query("g14_usage_by_length", with_views("SELECT length(cdr3) AS len, v, j, count(*) AS n FROM cdr3 GROUP BY GROUPING SETS ((len, v), (len, j))", "cdr3"))
+def g14l(spark, d):
+    return r.usage_by_length(rows(spark, d))
+
+
+@query("g13_depth_histogram", with_views("SELECT sample, marker, 'reads' AS step, depth, count(*) AS n FROM (SELECT sample, marker, cdr3, count(*) AS depth FROM cdr3 GROUP BY ALL) GROUP BY ALL", "cdr3"))
+def g13d(spark, d):
+    return r.depth_counts(rows(spark, d).groupBy("sample", "marker", "cdr3").agg(F.count("*").alias("depth")), "reads")
+
+
+_SETS = "st AS (SELECT DISTINCT marker, individual, sample, cdr3 FROM cdr3), pa AS (SELECT DISTINCT x.marker, x.individual, x.sample AS a, y.sample AS b FROM st x JOIN st y ON y.marker = x.marker AND y.individual = x.individual AND y.sample > x.sample), nn AS (SELECT sample, marker, count(*) AS n FROM st GROUP BY ALL), cc AS (SELECT x.marker, x.individual, x.sample AS a, y.sample AS b, count(*) AS c FROM st x JOIN st y ON y.marker = x.marker AND y.individual = x.individual AND y.cdr3 = x.cdr3 AND y.sample > x.sample GROUP BY ALL), pc AS (SELECT pa.*, coalesce(c, 0) AS c, na.n + nb.n - 2 * coalesce(c, 0) AS u FROM pa LEFT JOIN cc USING (marker, individual, a, b) JOIN nn na ON na.sample = a AND na.marker = pa.marker JOIN nn nb ON nb.sample = b AND nb.marker = pa.marker)"
+
+
+@query("g27_chao2_pairs", with_views(_SETS + " SELECT marker, individual, a, b, u, c, CASE WHEN c > 0 THEN u + c + u * u / (2.0 * c) END AS chao2 FROM pc", "cdr3"))
+def g27p(spark, d):
+    return r.shared_pairs(rows(spark, d))
+
+
+@query("g19_shared_by_number", with_views("SELECT marker, k, count(*) AS n FROM (SELECT marker, cdr3, count(DISTINCT individual) AS k FROM cdr3 GROUP BY ALL) GROUP BY ALL", "cdr3"))
+def g19k(spark, d):
+    return r.shared_by_number(rows(spark, d))
+
+
+@query("g09_variants_per_umi", with_views("SELECT sample, variants, count(*) AS umis FROM (SELECT sample, umi, count(DISTINCT cdr3) AS variants FROM cdr3 GROUP BY ALL) GROUP BY ALL", "cdr3"))
+def g09v(spark, d):
+    return r.variants_per_umi(rows(spark, d))
+
+
+_BY_UMI = "n AS (SELECT sample, marker, umi, cdr3, count(*) AS n FROM cdr3 GROUP BY ALL), m AS (SELECT sample, marker, umi, sum(n)::BIGINT AS reads, max(n) AS clustered, arg_min(cdr3, (-n, cdr3)) AS top FROM n GROUP BY ALL), uc AS (SELECT sample, top AS cdr3, count(*) AS umis, sum(clustered)::BIGINT AS reads FROM m WHERE 2 * clustered > reads GROUP BY ALL)"
+
+
+@query("s09_umi_clonotypes", with_views(_BY_UMI + " SELECT sample, cdr3 AS \"nSeqCDR3\", umis AS \"cloneCount\", round(umis::DOUBLE / sum(umis) OVER (PARTITION BY sample), 6) AS \"cloneFraction\", reads AS \"totalReads\", round(reads::DOUBLE / sum(reads) OVER (PARTITION BY sample), 6) AS \"readFraction\" FROM uc", "cdr3"))
+def s09u(spark, d):
+    return r.umi_clonotypes(rows(spark, d)).select("sample", "nSeqCDR3", "cloneCount", "cloneFraction", "totalReads", "readFraction")
 
 
 @query("g16_stage_counts", with_views(_AA + ", cl AS (SELECT sample, cdr3, aa, count(*) AS n FROM ok GROUP BY ALL), p AS (SELECT sample, count(*) AS clones, count(*) FILTER (n = 1) AS singletons, count(DISTINCT aa) AS proteins FROM cl GROUP BY sample) SELECT x.sample, count(*) AS reads, (SELECT count(*) FROM ok WHERE ok.sample = x.sample) AS valid, coalesce(any_value(clones), 0) AS clones, coalesce(any_value(singletons), 0) AS singletons, coalesce(any_value(proteins), 0) AS proteins FROM x LEFT JOIN p ON p.sample = x.sample GROUP BY x.sample", "cdr3"))
@@ -280,6 +316,13 @@ def j10(spark, d):
     return c.combine(list(two(spark, d)), 1660).select("marker", "sample", "md5", "depth")
 
 
+@query("j10_side_by_side", with_views("SELECT marker, sample, md5, max(depth) FILTER (run = 'F') AS depth_f, max(depth) FILTER (run <> 'F') AS depth_o, sum(depth)::BIGINT AS depth FROM runs r WHERE (SELECT sum(depth) FROM runs q WHERE q.marker = r.marker AND q.sample = r.sample) >= 1660 GROUP BY ALL", "runs"))
+def j10s(spark, d):
+    a, b = two(spark, d)
+    out = c.side_by_side({"F": a, "O": b}, 1660)
+    return out.select("marker", "sample", "md5", F.col("depths")["F"].alias("depth_f"), F.col("depths")["O"].alias("depth_o"), "depth")
+
+
 @query("j10_consistent_names", with_views("nm AS (SELECT DISTINCT md5, concat(marker, length(seq), substr(md5, 1, 1)) AS name FROM runs), k AS (SELECT name, count(DISTINCT md5) AS n FROM nm GROUP BY name) SELECT md5, CASE WHEN n = 1 THEN name ELSE concat(name, '-', substr(md5, 1, 8)) END AS name FROM nm JOIN k USING (name)", "runs"))
 def j10n(spark, d):
     return c.consistent_names(view(spark, d, "runs").select(F.expr("concat(marker, length(seq), substr(md5, 1, 1))").alias("name"), "md5"))

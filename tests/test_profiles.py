@@ -107,3 +107,34 @@ def test_sparse_table_is_one_json_text(spark, tmp_path):
     assert {(x.otu, x["sample"]): x.depth for x in taxonomy.read_biom(spark, str(tmp_path / "table")).collect()} == dict(want)
     taxonomy.write_biom(df.limit(0), str(tmp_path / "none"))
     assert json.loads("\n".join(p.read_text() for p in sorted((tmp_path / "none").glob("part-*"))))["data"] == []
+
+
+def plain_heads(rows, substitutions):
+    """The walk by depth within each group and length."""
+    out = {}
+    for g in {x[0] for x in rows}:
+        heads = []
+        for _, q, _ in sorted((x for x in rows if x[0] == g), key=lambda x: (-x[2], x[1])):
+            near = [h for h in heads if len(h) == len(q) and sum(a != b for a, b in zip(h, q)) <= substitutions]
+            if not near:
+                heads.append(q)
+            out[g, q] = near[0] if near else q
+    return out
+
+
+def test_equal_length_clusters_equal_the_walk(spark):
+    r, rows = random.Random(5), {}
+    for g in ("a", "b"):
+        pool = ["".join(r.choice("ACGT") for _ in range(r.choice([12, 15]))) for _ in range(6)]
+        for _ in range(80):
+            q = r.choice(pool)
+            for _ in range(r.randint(0, 3)):
+                k = r.randrange(len(q))
+                q = q[:k] + r.choice("ACGT") + q[k + 1 :]
+            pool.append(q)
+            rows[g, q] = rows.get((g, q), 0) + r.randint(1, 9)
+    rows = [(g, q, n) for (g, q), n in rows.items()]
+    df = spark.createDataFrame([*rows, ("a", "", 3)], "sample string, cdr3 string, depth long").repartition(3)
+    for substitutions in (0, 1, 2):
+        got = {(x["sample"], x.cdr3): x["head"] for x in repertoire.cluster_equal_length(df, substitutions, ["sample"]).collect() if x.cdr3}
+        assert got == plain_heads(rows, substitutions)
