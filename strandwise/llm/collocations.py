@@ -260,17 +260,26 @@ def _phrases(pairs, longer):
 class Trie:
     """A double-array trie of phrases (rows of symbols, zero for none): the child
     of state t by code c is base[t] + c, if check holds t there. accept: the row
-    that ends in a state, or -1."""
+    that ends in a state, or -1. Symbols that end most edges have the smallest codes,
+    so the children of a state lie close together."""
 
     def __init__(self, phrases: np.ndarray):
-        self.phrases = phrases = phrases[np.lexsort(phrases.T[::-1])]
-        self.alphabet = np.unique(phrases[phrases != 0])
-        codes = np.where(phrases != 0, np.searchsorted(self.alphabet, phrases) + 1, 0)
+        self.alphabet, at = np.unique(phrases, return_inverse=True)
+        at = at.reshape(phrases.shape)
+        if self.alphabet[0] == 0:
+            self.alphabet, at = self.alphabet[1:], at - 1
+        later = at[:, 1:][at[:, 1:] >= 0]
+        self.code_of = np.empty(len(self.alphabet), np.int64)
+        self.code_of[np.argsort(-np.bincount(later, minlength=len(self.alphabet)), kind="stable")] = np.arange(1, len(self.alphabet) + 1)
+        codes = np.where(at >= 0, self.code_of[at], 0)
+        order = np.lexsort(codes.T[::-1])
+        self.phrases, codes = phrases[order], codes[order]
         width = len(self.alphabet) + 1
-        self._room(4 * width + 2 * len(phrases))
+        self._room(4 * width + 2 * len(codes))
         self.check[0] = 0
-        state = np.zeros(len(phrases), np.int64)
-        for level in range(phrases.shape[1]):
+        self._from = width
+        state = np.zeros(len(codes), np.int64)
+        for level in range(codes.shape[1]):
             rows = np.flatnonzero(codes[:, level])
             if not len(rows):
                 break
@@ -286,7 +295,7 @@ class Trie:
             self.base[parent[begin]] = base
             state[rows] = (np.repeat(base, number) + code)[np.cumsum(new) - 1]
         self.accept = np.full(len(self.base), -1, np.int32)
-        self.accept[state] = np.arange(len(phrases))
+        self.accept[state] = np.arange(len(codes))
 
     def _room(self, size: int) -> None:
         old = getattr(self, "check", np.zeros(0, np.int32))
@@ -294,18 +303,20 @@ class Trie:
         self.base = np.append(getattr(self, "base", old), np.zeros(size - len(old), np.int32))
 
     def _place(self, parent: int, edge: np.ndarray, width: int) -> int:
-        """A base that brings all edges to free places. Places below ``width`` stay
-        free, so no base is negative; steps grow with the failures."""
-        slot, failed = width, 0
+        """A base that brings all edges (ascending codes) to free places: whole windows of
+        places are tried at once, and the search goes on where the last one ended.
+        Places below ``width`` stay free, so no base is negative."""
+        window = max(8, (1 << 14) // len(edge))
         while True:
-            base = slot - int(edge[0])
-            if base + 2 * width >= len(self.check):
-                self._room(2 * len(self.check))
-            if (self.check[base + edge] < 0).all():
+            if self._from + window + 2 * width >= len(self.check):
+                self._room(2 * len(self.check) + window)
+            bases = np.flatnonzero(self.check[self._from : self._from + window] < 0) + self._from - edge[0]
+            fits = np.flatnonzero((self.check[bases[:, None] + edge] < 0).all(axis=1))
+            if len(fits):
+                base = int(bases[fits[0]])
                 self.check[base + edge] = parent
                 return base
-            failed += 1
-            slot += 1 + failed // 8
+            self._from += window
 
     def _fill(self, parents: np.ndarray, edges: np.ndarray, width: int) -> np.ndarray:
         """Bases of states with one child each: the first free places."""
@@ -317,7 +328,7 @@ class Trie:
     def count(self, x: np.ndarray) -> np.ndarray:
         """How often each phrase occurs in the symbols: all places advance at once."""
         at = np.minimum(np.searchsorted(self.alphabet, x), len(self.alphabet) - 1)
-        codes = np.append(np.where(self.alphabet[at] == x, at + 1, 0), np.zeros(self.phrases.shape[1], np.int64))
+        codes = np.append(np.where(self.alphabet[at] == x, self.code_of[at], 0), np.zeros(self.phrases.shape[1], np.int64))
         place, state, total = np.flatnonzero(codes), np.zeros(np.count_nonzero(codes), np.int64), np.zeros(len(self.phrases), np.int64)
         for level in range(self.phrases.shape[1]):
             code = codes[place + level]
