@@ -25,9 +25,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import by_position, table
+from ..operators.ranking import first_rows
+from .common import by_position, materialise, table
 
 SAMPLE_TEXTS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 1 << 14, 1 << 18
 LEVEL, NARROW = 6, 0.01
@@ -53,9 +53,9 @@ def learned(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str
     often = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(often) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    # Distinct hashes first: no copies, and of each language's only the least reach a task.
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("drawn"))
-    chosen = rows.select("lang", "drawn").distinct().withColumn("nth", nth).where(F.col("nth") <= SAMPLE_TEXTS)
+    # Distinct hashes, so no copies; of each language only the cells with the least are sorted.
+    hashes = materialise(rows.select("lang", "drawn").distinct())
+    chosen = first_rows(hashes, ["lang"], [F.substring("drawn", 1, 3)], [F.col("drawn")], SAMPLE_TEXTS)
     sample = rows.join(F.broadcast(chosen), ["lang", "drawn"]).groupBy("lang", "nth").agg(F.max("text").alias("text"))
     texts: dict[str, list] = {k: [] for k in sorted(often, key=lambda k: (-often[k], k))}
     for r in sample.collect():  # at most SAMPLE_TEXTS of SAMPLE_CHARS for each language
