@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -256,32 +252,42 @@ def reference_counts(segments: DataFrame) -> DataFrame:
     return segments.groupBy("ref").agg(F.sum("depth").alias("depth"), F.count("*").alias("matches"), F.countDistinct("name").alias("distinct_matches"))
 
 
-def segment_reads(reads: DataFrame, pattern: str) -> DataFrame:
-    """Cuts proteins of reads: the first of the frames +1, +2, +3, -1, -2, -3 without
-    a stop that matches ``pattern`` (named groups V, CDR3, J). Adds status (valid,
-    no_pattern, no_frame), frame and the nucleotide segments."""
-    schema = "read_id string, status string, frame int, v string, cdr3 string, j string"
-    tries = [s.translate_dna("seq", f) for f in (1, 2, 3)] + [s.translate_dna(s.reverse_complement("seq"), f) for f in (1, 2, 3)]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rx = re.compile(pattern)
-        for rows in batches:
-            out = []
-            for read_id, seq, rc, proteins in rows.itertuples(index=False):
-                status, cut = "no_frame", (None,) * 4
-                for k, p in enumerate(proteins):
-                    if not p or "*" in p:
-                        continue
-                    status = "no_pattern"
-                    if m := rx.search(p):
-                        dna, at = (seq if k < 3 else rc), k % 3
-                        status, cut = "valid", (k % 3 + 1 if k < 3 else -(k % 3 + 1), *(dna[at + 3 * m.start(g) : at + 3 * m.end(g)] for g in ("V", "CDR3", "J")))
-                        break
-                out.append((read_id, status, *cut))
-            yield pd.DataFrame(out, columns=["read_id", "status", "frame", "v", "cdr3", "j"]).astype({"frame": "Int32"})
-
-    return reads.select("read_id", "seq", s.reverse_complement("seq").alias("rc"), F.array(*tries).alias("proteins")).mapInPandas(run, schema)
+def segment_reads(reads: DataFrame, motifs: dict[str, str], d_motif: str | None = None, primers: list[str] | None = None) -> DataFrame:
+    """Cuts reads by the motifs of their segments, regular expressions on proteins that
+    follow each other (V, CDR3, J and, if wanted, C, in this order, without groups that
+    capture): the first of the frames +1, +2, +3, -1, -2, -3 without a stop that matches
+    all of them counts. Adds status (valid, no_pattern, no_frame), frame, the nucleotides
+    of each segment under its name in lower case, and ``marked``: all of them, those
+    beside the CDR3 in lower case. d_motif: adds d, the longest (first) match inside the
+    CDR3. primers (IUPAC): adds with_primer, does the read hold one in either strand."""
+    pattern = "".join(f"({m})" for m in motifs.values())
+    both = (F.col("seq"), s.reverse_complement("seq"))
+    tries = F.array(*[F.struct(F.lit(side * f).alias("frame"), F.substr(dna, F.lit(f)).alias("dna"), s.translate_dna(dna, f).alias("aa")) for side, dna in zip((1, -1), both, strict=True) for f in (1, 2, 3)])
+    opened = F.filter(tries, lambda x: (F.length(x["aa"]) > 0) & ~F.contains(x["aa"], F.lit("*")))
+    rows = reads.select("read_id", "seq", opened.alias("open")).withColumn("hit", F.get(F.filter("open", lambda x: F.rlike(x["aa"], F.lit(pattern))), F.lit(0)))
+    rows = rows.withColumns({f"aa_{n}": F.regexp_extract("hit.aa", pattern, k) for k, n in enumerate(motifs, 1)}).withColumn("at", F.regexp_instr("hit.aa", F.lit(pattern)) - 1)
+    start, columns = F.col("at"), []
+    for n in motifs:
+        columns.append(F.substr("hit.dna", 3 * start + 1, 3 * F.length(f"aa_{n}")).alias(n.lower()))
+        if n == "CDR3":
+            cdr3 = start
+        start = start + F.length(f"aa_{n}")
+    if d_motif:
+        found = F.regexp_extract_all("aa_CDR3", F.lit(d_motif), F.lit(0))
+        best = s.let(found, lambda x: F.get(F.filter(x, lambda m: F.length(m) == F.array_max(F.transform(x, lambda y: F.length(y)))), F.lit(0)))
+        rows = rows.withColumn("aa_D", best)
+        columns.append(F.substr("hit.dna", 3 * (cdr3 + F.instr("aa_CDR3", F.col("aa_D"))) - 2, 3 * F.length("aa_D")).alias("d"))
+    marked = F.concat(*[F.upper(c) if n == "CDR3" else F.lower(c) for n, c in ((n, F.col(n.lower())) for n in motifs)])
+    status = F.when(F.col("hit").isNotNull(), "valid").when(F.size("open") > 0, "no_pattern").otherwise("no_frame")
+    extra = []
+    if primers:
+        plain = "|".join(s.iupac_pattern(p) for p in primers)
+        extra.append(F.coalesce(F.rlike(F.upper("seq"), F.lit(plain)) | F.rlike(s.reverse_complement(F.upper("seq")), F.lit(plain)), F.lit(False)).alias("with_primer"))
+    cut = rows.select("read_id", status.alias("status"), F.col("hit.frame").alias("frame"), *columns, *extra)
+    return cut.withColumn("marked", marked)
 
 
 def parse_totals(segmented: DataFrame) -> DataFrame:
-    return segmented.agg(F.count("*").alias("reads"), *[F.count_if(F.col("status") == x).alias(x) for x in ("valid", "no_pattern", "no_frame")])
+    """One row: reads, those with a primer (if told) and those of each status."""
+    primer = [F.count_if("with_primer").alias("with_primer")] if "with_primer" in segmented.columns else []
+    return segmented.agg(F.count("*").alias("reads"), *primer, *[F.count_if(F.col("status") == x).alias(x) for x in ("valid", "no_pattern", "no_frame")])

@@ -188,7 +188,7 @@ def w09(spark, d):
     return r.percentile_group(r.clonotypes(rows(spark, d))).select("sample", "nSeqCDR3", "fifth")
 
 
-_PATTERN = r"(?P<V>..)(?P<CDR3>[A-Z]{3,})(?P<J>[A-Z]{2})$"
+_MOTIFS = {"V": "..", "CDR3": "[A-Z]{3,}", "J": "[A-Z]{2}$"}
 
 
 _SEGMENTS = f"""{CODE_CTE}, fr AS (SELECT event_id, k, k % 3 AS off, CASE WHEN k < 3 THEN cdr3 ELSE reverse(translate(cdr3, 'ACGT', 'TGCA')) END AS dna FROM (SELECT event_id, cdr3, unnest(range(6)) AS k FROM cdr3)),
@@ -202,21 +202,31 @@ def _with_pattern(v: int, least: int, j: int) -> str:
     return _SEGMENTS.replace("n >= 7", f"n >= {v + least + j}").replace("::INT, 6) AS v", f"::INT, {3 * v}) AS v").replace("off + 7)::INT, (3 * n - 12)", f"off + {3 * v + 1})::INT, (3 * n - {3 * (v + j)})").replace("off + 3 * n - 5)::INT, 6)", f"off + 3 * n - {3 * j - 1})::INT, {3 * j})")
 
 
+def tcr_reads(spark, d):
+    return rows(spark, d).select(F.col("event_id").cast("string").alias("read_id"), F.col("cdr3").alias("seq"))
+
+
 @query("c23_segment_reads", with_views(_SEGMENTS + " SELECT * FROM sg", "cdr3"))
 def c23(spark, d):
-    return r.segment_reads(rows(spark, d).select(F.col("event_id").cast("string").alias("read_id"), F.col("cdr3").alias("seq")), _PATTERN)
+    return r.segment_reads(tcr_reads(spark, d), _MOTIFS).drop("marked")
+
+
+@query("c23_constant_and_d", with_views(_with_pattern(2, 3, 4) + """, dd AS (SELECT sg.*, (SELECT string_agg(aa, '' ORDER BY i) FROM (SELECT unnest(range(length(cdr3) // 3)) AS i) JOIN code ON codon = substr(cdr3, (i * 3 + 1)::INT, 3)) AS p FROM sg),
+de AS (SELECT *, (SELECT x FROM (SELECT unnest(regexp_extract_all(p, '[A-M]+')) AS x, unnest(range(len(regexp_extract_all(p, '[A-M]+')))) AS i) ORDER BY length(x) DESC, i LIMIT 1) AS dm FROM dd)
+SELECT read_id, status, frame, v, cdr3, substr(j, 1, 6) AS j, substr(j, 7, 6) AS c, substr(cdr3, (3 * instr(p, dm) - 2)::INT, (3 * length(dm))::INT) AS d, lower(v) || cdr3 || lower(j) AS marked FROM de""", "cdr3"))
+def c23c(spark, d):
+    return r.segment_reads(tcr_reads(spark, d), {"V": "..", "CDR3": "[A-Z]{3,}", "J": "[A-Z]{2}", "C": "[A-Z]{2}$"}, "[A-M]+")
 
 
 @query("x01_user_patterns", with_views(_with_pattern(3, 2, 1) + " SELECT * FROM sg", "cdr3"))
 def x01(spark, d):
     """Segments by a pattern that the user gives."""
-    x = rows(spark, d).select(F.col("event_id").cast("string").alias("read_id"), F.col("cdr3").alias("seq"))
-    return r.segment_reads(x, r"(?P<V>[A-Z]{3})(?P<CDR3>[A-Z]{2,})(?P<J>[A-Z])$")
+    return r.segment_reads(tcr_reads(spark, d), {"V": "[A-Z]{3}", "CDR3": "[A-Z]{2,}", "J": "[A-Z]$"}).drop("marked")
 
 
-@query("g44_parse_totals", with_views(_SEGMENTS + " SELECT count(*) AS reads, count(*) FILTER (status = 'valid') AS valid, count(*) FILTER (status = 'no_pattern') AS no_pattern, count(*) FILTER (status = 'no_frame') AS no_frame FROM sg", "cdr3"))
+@query("g44_parse_totals", with_views(_SEGMENTS + " SELECT count(*) AS reads, (SELECT count(*) FROM cdr3 WHERE contains(cdr3, 'ACGT') OR contains(cdr3, 'GATTA') OR contains(cdr3, 'TAATC')) AS with_primer, count(*) FILTER (status = 'valid') AS valid, count(*) FILTER (status = 'no_pattern') AS no_pattern, count(*) FILTER (status = 'no_frame') AS no_frame FROM sg", "cdr3"))
 def g44(spark, d):
-    return r.parse_totals(c23(spark, d))
+    return r.parse_totals(r.segment_reads(tcr_reads(spark, d), _MOTIFS, primers=["ACGT", "GATTA"]))
 
 
 _LCA = "z AS (SELECT otu, count(DISTINCT regexp_extract(taxonomy, 'k:([^,]*)', 1)) AS k, min(regexp_extract(taxonomy, 'k:([^,]*)', 1)) AS kingdom, min(regexp_extract(taxonomy, 'p:([^,]*)', 1)) AS phylum, count(DISTINCT regexp_extract(taxonomy, 'p:([^,]*)', 1)) AS p, count(DISTINCT regexp_extract(taxonomy, 'g:([^,]*)', 1)) AS g, min(regexp_extract(taxonomy, 'f:([^,]*)', 1)) AS family, min(regexp_extract(taxonomy, 'g:([^,]*)', 1)) AS genus FROM taxa GROUP BY otu)"
