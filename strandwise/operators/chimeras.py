@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import seq as s
 from .folders import stored
 from .near import PRIORITY, near_pairs
 from .variants import AMPLICON

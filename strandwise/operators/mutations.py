@@ -243,13 +243,19 @@ def merge_adjacent(positions: DataFrame, keys: list[str]) -> DataFrame:
     return islands.groupBy(*keys, "__island").agg(F.min("pos").alias("first"), F.count("*").alias("length"), bases.alias("bases")).drop("__island")
 
 
-def in_ranges(points: DataFrame, ranges: DataFrame, width: int = 64, skip: str = r"^(OR\d|IG|TR[ABDG][VDJC])") -> DataFrame:
+def in_ranges(points: DataFrame, ranges: DataFrame, skip: str = r"^(OR\d|IG|TR[ABDG][VDJC])") -> DataFrame:
     """points (chrom, pos) inside ranges (gene, chrom, start, stop): an equi-join on
-    position bins; gene names that match ``skip`` are left out."""
-    bin_of = lambda c: F.floor(F.col(c) / width)
-    binned = ranges.where(~F.col("gene").rlike(skip)).withColumn("__bin", F.explode(F.sequence(bin_of("start"), bin_of("stop"))))
-    joined = points.withColumn("__bin", bin_of("pos")).join(binned, ["chrom", "__bin"])
-    return joined.where("pos between start and stop").drop("__bin")
+    position bins; gene names that match ``skip`` are left out. A range has bins of the
+    power of four that is as long as it, so two at most; a point looks in a bin of each
+    such size that occurs."""
+    level = F.greatest(F.ceil(F.log(4.0, F.greatest(F.col("stop") - F.col("start") + 1, F.lit(1)))), F.lit(3)).cast("int")
+    ranges = ranges.where(~F.col("gene").rlike(skip)).withColumn("__level", level)
+    levels = sorted(r[0] for r in ranges.select("__level").distinct().collect())  # some thirty at most
+    bin_of = lambda c: F.floor(F.col(c) / F.pow(F.lit(4.0), F.col("__level")))
+    binned = ranges.withColumn("__bin", F.explode(F.sequence(bin_of("start"), bin_of("stop"))))
+    asked = points.withColumn("__level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>"))).withColumn("__bin", bin_of("pos"))
+    joined = asked.join(binned, ["chrom", "__level", "__bin"])
+    return joined.where("pos between start and stop").drop("__bin", "__level")
 
 
 def transcript_positions(points: DataFrame, exons: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from strandwise.operators import alleles, ranking, reads, repertoire, taxonomy
+from strandwise.operators import alleles, mutations, ranking, reads, repertoire, taxonomy
 
 A = "ACGTTGCAACGGATCCTTAGCATGCATTGGCCAATTCGCGATATCGGATCA"
 
@@ -138,3 +138,15 @@ def test_equal_length_clusters_equal_the_walk(spark):
     for substitutions in (0, 1, 2):
         got = {(x["sample"], x.cdr3): x["head"] for x in repertoire.cluster_equal_length(df, substitutions, ["sample"]).collect() if x.cdr3}
         assert got == plain_heads(rows, substitutions)
+
+
+def test_points_in_ranges_of_all_lengths(spark):
+    r = random.Random(8)
+    ranges = []
+    for k in range(120):
+        start = r.randint(1, 5_000_000)
+        ranges.append((f"G{k}", f"chr{k % 2}", start, start + r.choice([0, 3, 60, 64, 900, 70_000, 2_000_000])))
+    ranges.append(("OR1", "chr0", 1, 5_000_000))
+    points = [(f"chr{k % 2}", r.randint(1, 6_000_000)) for k in range(300)] + [(c, s) for _, c, s, _ in ranges[:9]] + [(c, e) for _, c, _, e in ranges[:9]]
+    got = Counter((x.gene, x.chrom, x.pos) for x in mutations.in_ranges(spark.createDataFrame(points, "chrom string, pos int"), spark.createDataFrame(ranges, "gene string, chrom string, start int, stop int")).collect())
+    assert got == Counter((g, c, p) for c, p in points for g, gc, s, e in ranges[:-1] if c == gc and s <= p <= e)
