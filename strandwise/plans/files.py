@@ -52,6 +52,20 @@ def s04(spark, d):
 
 @query("s05_read_result_matrix", with_views("SELECT marker, md5, sample, depth, round(depth / 7.0, 2) AS freq, 'ok' AS note FROM variants", "variants"))
 def s05(spark, d):
+    return matrix_read_back(spark, d)
+
+
+@query("s05_variant_table", with_views("SELECT marker, md5, sum(depth)::BIGINT AS depth, count(*) AS samples, round(avg(round(depth / 7.0, 2)), 4) AS mean_freq, max(round(depth / 7.0, 2)) AS max_freq, min(round(depth / 7.0, 2)) AS min_freq FROM variants GROUP BY ALL", "variants"))
+def s05v(spark, d):
+    return readers.matrix_tables(matrix_read_back(spark, d), ["marker", "md5"])[0].withColumn("mean_freq", F.round("mean_freq", 4))
+
+
+@query("s05_sample_table", with_views("SELECT sample, sum(depth)::BIGINT AS depth_alleles, count(*) AS count_alleles FROM variants GROUP BY sample", "variants"))
+def s05s(spark, d):
+    return readers.matrix_tables(matrix_read_back(spark, d), ["marker", "md5"])[1]
+
+
+def matrix_read_back(spark, d):
     x = view(spark, d, "variants").withColumn("cell", F.concat("depth", F.lit("; "), F.round(F.col("depth") / 7, 2), F.lit("%; ok")))
     wide = writers.result_matrix(x, SAMPLES, "cell").drop("seq")
     path = work_folder(spark)
@@ -91,6 +105,19 @@ def s10(spark, d):
     return readers.read_vcf(spark, path).select(F.replace(gt["key"], F.lit("TUMOR"), F.lit("")).alias("file"), "chrom", "pos", "ref", "alt", "filter", gt["value"]["DP"].alias("dp"))
 
 
+@query("s10_native_calls", with_views("SELECT source, chrom, pos, ref, alt, dp::VARCHAR AS tumor_reads2 FROM calls", "calls"))
+def s10n(spark, d):
+    """A caller's own table, with columns in another order in every other file."""
+    x = view(spark, d, "calls").withColumn("odd", F.regexp_extract("source", r"\d+", 0).cast("int") % 2 == 1)
+    both = lambda a, b: F.when(F.col("odd"), F.concat_ws("\t", *a)).otherwise(F.concat_ws("\t", *b))
+    rows = x.select("source", F.lit(1).alias("k"), both(["chrom", "pos", "ref", "alt", "dp"], ["chrom", "dp", "pos", "ref", "alt"]).alias("value"))
+    names = [[F.lit(c) for c in cs] for cs in (("chrom", "position", "ref", "var", "tumor_reads2"), ("chrom", "tumor_reads2", "position", "ref", "var"))]
+    head = x.select("source", "odd").distinct().select("source", F.lit(0).alias("k"), both(*names).alias("value"))
+    path = work_folder(spark)
+    head.unionByName(rows).withColumn("file", F.col("source")).repartition("file").sortWithinPartitions("file", "k").select("file", "value").write.partitionBy("file").text(path)
+    return readers.read_native_calls(spark, path).select(F.regexp_extract("source", "file=([^/]+)/", 1).alias("source"), "chrom", "pos", "ref", "alt", F.col("fields")["tumor_reads2"].alias("tumor_reads2"))
+
+
 @query("s11_read_sam", with_views("SELECT read_id AS qname, marker AS rname, seq, tax % 3 AS xm FROM inserts", "inserts"))
 def s11(spark, d):
     x = view(spark, d, "inserts").select(F.concat_ws("\t", "read_id", F.lit("0"), "marker", F.lit("1"), F.lit("60"), F.concat(F.length("seq"), F.lit("M")), F.lit("*"), F.lit("0"), F.lit("0"), "seq", F.lit("*"), F.concat(F.lit("XM:i:"), (F.col("tax") % 3).cast("string"))).alias("value"))

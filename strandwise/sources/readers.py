@@ -152,6 +152,25 @@ def read_matrix(wide: DataFrame, variant_columns: list[str]) -> DataFrame:
     return long.select(*variant_columns, "sample", number(r"^\s*(\d+)").cast("long").alias("depth"), number(r"([\d.]+)\s*%").cast("double").alias("freq"), F.nullif(note, F.lit("")).alias("note"))
 
 
+def matrix_tables(assignments: DataFrame, variant_columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Of the long table of a result matrix: a row for each variant (depth, samples, mean,
+    greatest and least freq) and for each sample (depth and number of its variants)."""
+    variants = assignments.groupBy(*variant_columns).agg(F.sum("depth").alias("depth"), F.count("*").alias("samples"), F.avg("freq").alias("mean_freq"), F.max("freq").alias("max_freq"), F.min("freq").alias("min_freq"))
+    return variants, assignments.groupBy("sample").agg(F.sum("depth").alias("depth_alleles"), F.count("*").alias("count_alleles"))
+
+
+def read_native_calls(spark: SparkSession, path: str) -> DataFrame:
+    """Calls in a caller's own table, with a header line that begins with ``chrom`` and
+    names the columns: source, chrom, pos, ref, alt (columns chrom, position, ref, var)
+    and all fields as a map. Each file has its own header."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source"))
+    header = F.lower("value").startswith("chrom\t")
+    head = lines.where(header).groupBy("source").agg(F.split(F.lower(F.first("value")), "\t").alias("h"))
+    rows = lines.where(~header & (F.col("value") != "") & ~F.startswith("value", F.lit("#"))).select("source", F.split("value", "\t").alias("c")).join(head, "source")
+    whole = rows.select("source", F.map_from_arrays("h", F.transform("h", lambda _, i: F.get("c", i))).alias("fields"))
+    return whole.select("source", F.col("fields")["chrom"].alias("chrom"), F.col("fields")["position"].cast("int").alias("pos"), F.col("fields")["ref"].alias("ref"), F.col("fields")["var"].alias("alt"), "fields")
+
+
 def read_vcf(spark: SparkSession, path: str) -> DataFrame:
     """source, chrom, pos, id, ref, alt, filter, info and gt (sample -> field -> value); each file's own header names its samples."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source"))
@@ -254,3 +273,11 @@ def paired_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     f = files.select("path", F.regexp_extract("path", name, 1).alias("prefix"), F.regexp_extract("path", name, 2).alias("mate")).where("mate <> ''")
     side = lambda k: F.min(F.when(F.col("mate") == k, F.col("path")))
     return f.groupBy("prefix").agg(side("1").alias("r1"), side("2").alias("r2")).withColumn("complete", F.col("r1").isNotNull() & F.col("r2").isNotNull())
+
+
+def unequal_pairs(files: DataFrame, counts: DataFrame) -> DataFrame:
+    """The pairs of ``paired_files`` that can't be read together: a mate is missing, or
+    their numbers of reads (path, reads) differ: prefix, reads_1, reads_2."""
+    side = lambda k: counts.select(F.col("path").alias(f"r{k}"), F.col("reads").alias(f"reads_{k}"))
+    told = files.join(side(1), "r1", "left").join(side(2), "r2", "left")
+    return told.where(~F.col("reads_1").eqNullSafe(F.col("reads_2")) | ~F.col("complete")).select("prefix", "reads_1", "reads_2")

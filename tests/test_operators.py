@@ -113,6 +113,12 @@ def test_both_mates_must_match(spark):
     assert [[x.read_id for x in df.collect()] for df in reads.pairs_of_amplicons(left, right, patterns)] == [[1], [1]]
 
 
+def test_pairs_with_unequal_counts_are_told(spark):
+    files = readers.paired_files(spark, ["a_R1.fastq", "a_R2.fastq", "b_R1.fastq", "b_R2.fastq", "c_1.fq.gz", "d_R1.fastq", "d_R2.fastq"])
+    counts = spark.createDataFrame([("a_R1.fastq", 5), ("a_R2.fastq", 5), ("b_R1.fastq", 5), ("b_R2.fastq", 4), ("c_1.fq.gz", 3), ("d_R1.fastq", 2)], "path string, reads long")
+    assert sorted(tuple(x) for x in readers.unequal_pairs(files, counts).collect()) == [("b", 5, 4), ("c", 3, None), ("d", 2, None)]
+
+
 def test_more_clashing_tags_than_new_ones(spark):
     runs = spark.createDataFrame([("A", "S1", "AAC"), ("B", "S2", "AAC"), ("C", "S3", "AAC")], "run string, sample string, tag_f string")
     assert sorted((r["sample"], r.new_tag) for r in reads.retag_clashes(runs, ["X", "Y"]).collect()) == [("S1", None), ("S2", "X"), ("S3", "Y")]
