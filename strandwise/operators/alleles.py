@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from ..functions import seq as s
 from ..functions.align import with_pair_errors
+from .folders import stored
 
 
 def exact_matches(variants: DataFrame, alleles: DataFrame, least: int, both_strands: bool = False, word: int = 16) -> DataFrame:
@@ -189,15 +190,28 @@ def alleles_over_exons(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("locus", "sample").applyInPandas(run, "locus string, sample string, alleles string, freq double, markers int")
 
 
+def allele_sets(reads: DataFrame) -> DataFrame:
+    """(locus, allele, read) to (locus, alleles, reads): each set of alleles that reads
+    support, and how many do. A read is shuffled once; all counts of alleles over reads,
+    and which alleles the same reads support, follow from these sets alone."""
+    per = reads.repartition("locus", "read").groupBy("locus", "read").agg(F.array_sort(F.collect_set("allele")).alias("alleles"))
+    return stored(per.groupBy("locus", "alleles").agg(F.count("*").alias("reads")))
+
+
+def _corrected(sets: DataFrame) -> DataFrame:
+    """locus, allele, reads, corrected of sets of alleles."""
+    rows = sets.withColumn("allele", F.explode("alleles"))
+    counts = rows.groupBy("locus", "allele").agg(F.sum("reads").alias("reads"))
+    better = F.struct((-F.col("total")).alias("r"), "allele")
+    first = rows.join(counts.withColumnRenamed("reads", "total"), ["locus", "allele"]).groupBy("locus", "alleles").agg(F.min(better)["allele"].alias("allele"), F.first("reads").alias("reads"))
+    own = first.groupBy("locus", "allele").agg(F.sum("reads").alias("corrected"))
+    return counts.join(own, ["locus", "allele"])
+
+
 def corrected_coverage(reads: DataFrame, most: int = 2, ratio: float = 5) -> DataFrame:
     """(locus, allele, read): alleles by reads, reads of better alleles taken off; an
     allele stays while the one before has under ``ratio`` times its reads, ``most`` at most.
     A read counts for the best allele that has it; of a locus only its alleles meet."""
-    rows = reads.select("locus", "allele", "read").distinct()
-    counts = rows.groupBy("locus", "allele").agg(F.count("*").alias("reads"))
-    better = F.struct((-F.col("reads")).alias("r"), "allele")
-    first = rows.join(counts, ["locus", "allele"]).groupBy("locus", "read").agg(F.min(better)["allele"].alias("allele"))
-    own = first.groupBy("locus", "allele").agg(F.count("*").alias("corrected"))
 
     def keep(rows: pd.DataFrame) -> pd.DataFrame:
         rows, kept, before = rows.sort_values(["reads", "allele"], ascending=[False, True]), [], None
@@ -206,21 +220,26 @@ def corrected_coverage(reads: DataFrame, most: int = 2, ratio: float = 5) -> Dat
             before = n
         return rows.assign(kept=kept)
 
-    return counts.join(own, ["locus", "allele"]).groupBy("locus").applyInPandas(keep, "locus string, allele string, reads long, corrected long, kept boolean")
+    return _corrected(allele_sets(reads)).groupBy("locus").applyInPandas(keep, "locus string, allele string, reads long, corrected long, kept boolean")
 
 
 def equal_alleles(reads: DataFrame) -> DataFrame:
     """(locus, allele, read) to (locus, allele, entry): alleles of a locus that the same
-    reads support get one entry, the names joined. Sets meet by their size and a sum of
-    hashes of their reads, which needs no order and no list; an anti-join of the reads
-    with those of the first allele confirms each."""
-    rows = reads.select("locus", "allele", "read").distinct()
-    hashed = F.xxhash64("read").cast("decimal(38,0)")
-    sets = rows.groupBy("locus", "allele").agg(F.count("*").alias("n"), F.sum(hashed).alias("sum"), F.bit_xor(F.xxhash64("read", F.lit(1))).alias("xor"))
-    lead = sets.withColumn("lead", F.min("allele").over(Window.partitionBy("locus", "n", "sum", "xor"))).select("locus", "allele", "lead")
+    reads support get one entry, the names joined."""
+    return _equal(allele_sets(reads))
+
+
+def _equal(sets: DataFrame) -> DataFrame:
+    """Alleles that are in the same sets meet by the number and a sum of hashes of these,
+    which needs no order and no list; an anti-join of the sets with those of the first
+    allele confirms each."""
+    rows = sets.select("locus", F.explode("alleles").alias("allele"), "alleles")
+    hashed = F.xxhash64("alleles").cast("decimal(38,0)")
+    keys = rows.groupBy("locus", "allele").agg(F.count("*").alias("n"), F.sum(hashed).alias("sum"), F.bit_xor(F.xxhash64("alleles", F.lit(1))).alias("xor"))
+    lead = keys.withColumn("lead", F.min("allele").over(Window.partitionBy("locus", "n", "sum", "xor"))).select("locus", "allele", "lead")
     others = rows.join(lead.where("allele <> lead"), ["locus", "allele"])
-    of_lead = rows.select("locus", F.col("allele").alias("lead"), "read")
-    wrong = others.join(of_lead, ["locus", "lead", "read"], "left_anti").select("locus", "allele", F.lit(True).alias("wrong")).distinct()
+    of_lead = rows.select("locus", F.col("allele").alias("lead"), "alleles")
+    wrong = others.join(of_lead, ["locus", "lead", "alleles"], "left_anti").select("locus", "allele", F.lit(True).alias("wrong")).distinct()
     checked = lead.join(wrong, ["locus", "allele"], "left").withColumn("lead", F.when(F.col("wrong"), F.col("allele")).otherwise(F.col("lead")))
     names = checked.groupBy("locus", "lead").agg(F.array_join(F.array_sort(F.collect_set("allele")), " | ").alias("entry"))
     return checked.join(names, ["locus", "lead"]).select("locus", "allele", "entry")
@@ -230,9 +249,10 @@ def allele_numbers(reads: DataFrame, ratio: float = 5, most: int = 2) -> DataFra
     """locus, allele (entries of ``equal_alleles``), reads, corrected, kept: one allele
     where the best has more than ``ratio`` times the corrected reads of the next, else
     as many as the degree of change of the first most + 1 says."""
-    entries = equal_alleles(reads)
-    single = reads.join(entries, ["locus", "allele"]).select("locus", F.col("entry").alias("allele"), "read").distinct()
-    corrected = corrected_coverage(single, most, ratio).drop("kept")
+    sets = allele_sets(reads)
+    named = sets.withColumn("allele", F.explode("alleles")).join(_equal(sets), ["locus", "allele"])
+    entries = named.groupBy("locus", "alleles", "reads").agg(F.array_sort(F.collect_set("entry")).alias("entries"))
+    corrected = _corrected(entries.groupBy("locus", F.col("entries").alias("alleles")).agg(F.sum("reads").alias("reads")))
     order = Window.partitionBy("locus").orderBy(F.desc("corrected"), "allele")
     ranked = corrected.withColumns({"nth": F.row_number().over(order), "next": F.lead("corrected").over(order), "first": F.first("corrected").over(order)})
     top = ranked.where(F.col("nth") <= most + 1)

@@ -296,7 +296,7 @@ _LOC = "ht AS (SELECT DISTINCT marker AS locus, concat('A', x) AS allele, read_i
 @query("g35_corrected_coverage", with_views(_LOC + " SELECT locus, allele, reads, corrected, fine AND coalesce(sum(fine::INT) OVER (PARTITION BY locus ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 2 AS kept FROM rk", "inserts"))
 def g35(spark, d):
     x = view(spark, d, "inserts").select("read_id", "marker", "sample")
-    hits = x.select(F.col("marker").alias("locus"), F.explode(F.array(F.concat(F.lit("A"), F.expr("cast(substr(sample, 2) as int) % 5")), F.concat(F.lit("A"), F.expr("cast(substr(sample, 2) as int) % 3")))).alias("allele"), F.col("read_id").alias("read")).distinct()
+    hits = x.select(F.col("marker").alias("locus"), F.explode(F.array(F.concat(F.lit("A"), F.expr("cast(substr(sample, 2) as int) % 5")), F.concat(F.lit("A"), F.expr("cast(substr(sample, 2) as int) % 3")))).alias("allele"), F.col("read_id").alias("read"))
     return a.corrected_coverage(hits)
 
 
@@ -307,12 +307,12 @@ def read_sets(spark, d):
     """Each read supports an allele by its sample modulo 5, and two by it modulo 3."""
     x = view(spark, d, "inserts").select("read_id", "marker", F.expr("cast(substr(sample, 2) as int)").alias("k"))
     alleles = F.array(*[F.concat(F.lit("A"), e.cast("string")) for e in (F.col("k") % 5, F.col("k") % 3, F.col("k") % 3 + 100)])
-    return x.select(F.col("marker").alias("locus"), F.explode(alleles).alias("allele"), F.col("read_id").alias("read")).distinct()
+    return x.select(F.col("marker").alias("locus"), F.explode(alleles).alias("allele"), F.col("read_id").alias("read"))
 
 
 @query("g35_equal_alleles", with_views(_EQUAL + " SELECT locus, allele, entry FROM sg JOIN nm USING (locus, reads)", "inserts"))
 def g35e(spark, d):
-    return a.equal_alleles(stored(read_sets(spark, d)))
+    return a.equal_alleles(read_sets(spark, d))
 
 
 @query("g35_allele_numbers", with_views(_EQUAL + """, e AS (SELECT DISTINCT locus, entry AS allele, read FROM ht JOIN sg USING (locus, allele) JOIN nm USING (locus, reads)), ct AS (SELECT locus, allele, count(*) AS reads FROM e GROUP BY ALL),
@@ -321,7 +321,7 @@ rk AS (SELECT *, row_number() OVER w AS nth, lead(corrected) OVER w AS next FROM
 dc AS (SELECT locus, max(CASE WHEN nth = 1 THEN corrected > 5 * next END) AS one, arg_max(nth, (corrected::DOUBLE / next, nth)) AS degree FROM rk WHERE nth <= 2 AND next IS NOT NULL GROUP BY locus)
 SELECT rk.locus, allele, reads, corrected, nth <= CASE WHEN coalesce(one, true) THEN 1 ELSE degree END AS kept FROM rk LEFT JOIN dc ON dc.locus = rk.locus""", "inserts"))
 def g35n(spark, d):
-    return a.allele_numbers(stored(read_sets(spark, d)))
+    return a.allele_numbers(read_sets(spark, d))
 
 
 @query("c21_allele_groups")
