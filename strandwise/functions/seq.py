@@ -1,12 +1,17 @@
 """Column functions on sequences, qualities, headers, taxonomy strings and names.
 
-All are built-in expressions and stay in the JVM. Positions are 1-based and
-closed. Null in gives null out unless stated."""
+All but the means and forms of qualities, which read whole batches in numpy, are
+built-in expressions and stay in the JVM. Positions are 1-based and closed. Null in
+gives null out unless stated."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,11 +96,14 @@ def regex_to_prosite(pattern: str | Column) -> Column:
 
 def translate_dna(seq: str | Column, frame: int | Column = 1) -> Column:
     """Protein from ``frame`` (1 to 3); an unknown codon is X, a partial one is left out."""
-    code, seq = _map(CODONS), F.translate(F.upper(_c(seq)), "U", "T")
-    frame = F.lit(frame) if isinstance(frame, int) else frame
-    last = F.length(seq) - 2
-    at = F.when(last >= frame, F.sequence(frame, F.greatest(last, frame), F.lit(3))).otherwise(F.array().cast("array<int>"))
-    return F.array_join(F.transform(at, lambda i: F.coalesce(F.try_element_at(code, F.substr(seq, i, F.lit(3))), F.lit("X"))), "")
+    code, frame = _map(CODONS), F.lit(frame) if isinstance(frame, int) else frame
+
+    def protein(dna: Column) -> Column:
+        last = F.length(dna) - 2
+        at = F.when(last >= frame, F.sequence(frame, F.greatest(last, frame), F.lit(3))).otherwise(F.array().cast("array<int>"))
+        return F.array_join(F.transform(at, lambda i: F.coalesce(F.try_element_at(code, F.substr(dna, i, F.lit(3))), F.lit("X"))), "")
+
+    return let(F.translate(F.upper(_c(seq)), "U", "T"), protein)
 
 
 def has_stop(seq: str | Column, frame: int = 1) -> Column:
@@ -183,17 +191,60 @@ def one_line_alignment(a: str | Column, b: str | Column) -> Column:
     return F.array_join(F.zip_with(letters(a), letters(b), lambda x, y: F.when(x == y, x).otherwise(F.concat(F.lit("["), x, F.lit("|"), y, F.lit("]")))), "")
 
 
+def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, and where each text starts and the last ends; null: none."""
+    column = pc.fill_null(column, "").cast(pa.large_string())
+    _, offsets, values = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(values, np.uint8)[at[0] : at[-1]] if values is not None else np.zeros(0, np.uint8)
+    if (data < 128).all():
+        return data, at - at[0]
+    return np.frombuffer("".join(column.to_pylist()).encode("utf-32-le"), np.uint32), np.append(0, np.cumsum(pc.utf8_length(column).to_numpy()))
+
+
 def phred_values(qual: str | Column, kind: str = "sanger") -> Column:
-    return F.transform(letters(qual), lambda c: F.ascii(c) - PHRED_OFFSET[kind])
+    low = PHRED_OFFSET[kind]
+
+    @F.arrow_udf("array<int>")
+    def values(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            codes, at = _codes(column)
+            yield pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(codes.astype(np.int32) - low), mask=column.is_null())
+
+    return values(_c(qual))
 
 
 def phred_text(values: str | Column, kind: str = "sanger") -> Column:
-    return F.array_join(F.transform(_c(values), lambda v: F.char(v + PHRED_OFFSET[kind])), "")
+    low = PHRED_OFFSET[kind]
+
+    @F.arrow_udf("string")
+    def text(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            codes = column.flatten()
+            plain = codes.to_numpy(zero_copy_only=False) + low if not codes.null_count else np.array([-1])
+            if ((plain > 0) & (plain < 128)).all():
+                at = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy()))
+                out = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(plain.astype(np.uint8)))
+                yield pc.if_else(column.is_valid(), out, pa.scalar(None, pa.large_string())).cast(pa.string())
+            else:  # as char() has it: modulo 256, and nothing for a negative number or null
+                letter = lambda v: "" if v is None or v + low < 0 else chr((v + low) % 256)
+                yield pa.array([None if x is None else "".join(map(letter, x)) for x in column.to_pylist()], pa.string())
+
+    return text(_c(values))
 
 
 def mean_phred(qual: str | Column, kind: str = "sanger") -> Column:
     """Null for an empty text."""
-    return F.aggregate(letters(qual), F.lit(0), lambda s, c: s + F.ascii(c)) / F.nullif(F.length(_c(qual)), F.lit(0)) - PHRED_OFFSET[kind]
+    low = PHRED_OFFSET[kind]
+
+    @F.arrow_udf("double")
+    def mean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            codes, at = _codes(column)
+            total, n = np.append(0, np.cumsum(codes, dtype=np.int64)), np.diff(at)
+            yield pa.array((total[at[1:]] - total[at[:-1]]) / np.maximum(n, 1) - low, mask=n == 0)
+
+    return mean(_c(qual))
 
 
 def quality_by_position(reads: DataFrame, qual: str = "qual", kind: str = "sanger") -> DataFrame:
@@ -253,7 +304,7 @@ def read_taxonomy(text: str | Column) -> Column:
 
 
 def print_taxonomy(taxonomy: str | Column) -> Column:
-    return F.array_join(F.array_compact(F.array(*[F.concat(F.lit(x[0] + ":"), _c(taxonomy)[x]) for x in LEVELS])), ",")
+    return let(_c(taxonomy), lambda t: F.array_join(F.array_compact(F.array(*[F.concat(F.lit(x[0] + ":"), t[x]) for x in LEVELS])), ","))
 
 
 def aa_names(protein: str | Column) -> Column:

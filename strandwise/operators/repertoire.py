@@ -261,8 +261,8 @@ def segment_reads(reads: DataFrame, motifs: dict[str, str], d_motif: str | None
     beside the CDR3 in lower case. d_motif: adds d, the longest (first) match inside the
     CDR3. primers (IUPAC): adds with_primer, does the read hold one in either strand."""
     pattern = "".join(f"({m})" for m in motifs.values())
-    both = (F.col("seq"), s.reverse_complement("seq"))
-    tries = F.array(*[F.struct(F.lit(side * f).alias("frame"), F.substr(dna, F.lit(f)).alias("dna"), s.translate_dna(dna, f).alias("aa")) for side, dna in zip((1, -1), both, strict=True) for f in (1, 2, 3)])
+    both = F.struct(F.col("seq").alias("forward"), s.reverse_complement("seq").alias("turned"))
+    tries = s.let(both, lambda b: F.array(*[F.struct(F.lit(side * f).alias("frame"), F.substr(b[dna], F.lit(f)).alias("dna"), s.translate_dna(b[dna], f).alias("aa")) for side, dna in ((1, "forward"), (-1, "turned")) for f in (1, 2, 3)]))
     opened = F.filter(tries, lambda x: (F.length(x["aa"]) > 0) & ~F.contains(x["aa"], F.lit("*")))
     rows = reads.select("read_id", "seq", opened.alias("open")).withColumn("hit", F.get(F.filter("open", lambda x: F.rlike(x["aa"], F.lit(pattern))), F.lit(0)))
     rows = rows.withColumns({f"aa_{n}": F.regexp_extract("hit.aa", pattern, k) for k, n in enumerate(motifs, 1)}).withColumn("at", F.regexp_instr("hit.aa", F.lit(pattern)) - 1)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from strandwise.operators import alleles
+from pyspark.sql import functions as F
+
+from strandwise.functions import seq as s
+from strandwise.operators import alleles, repertoire
 
 
 def test_allele_sets_need_reads_once(spark):
@@ -21,3 +24,25 @@ def test_allele_sets_need_reads_once(spark):
     passes.value = 0
     assert sorted((x.allele, x.reads, x.corrected, x.kept) for x in alleles.allele_numbers(seen).collect()) == [("A1 | A2", 30, 30, True), ("A3", 10, 10, False)]
     assert passes.value == len(rows) + 5
+
+
+def _times(frame, call: str) -> int:
+    return frame._jdf.queryExecution().analyzed().toString().count(call)
+
+
+def test_inputs_of_sequence_functions_are_computed_once(spark):
+    x = spark.createDataFrame([("ACGTTGNATG",)], "x string")
+    text = F.reverse("x")
+    for column in (s.translate_dna(text), s.mean_phred(text), s.print_taxonomy(s.read_taxonomy(text))):
+        assert _times(x.select(column.alias("y")), "reverse(x") == 1
+    reads = spark.createDataFrame([("r", "ATGGCTTGTTGGAAATTT")], "read_id string, seq string")
+    cut = repertoire.segment_reads(reads, {"V": "..", "CDR3": "[A-Z]{2,}", "J": "[A-Z]$"})
+    assert _times(cut, "reverse(translate(seq") == 1 and cut.first()["status"] == "valid"
+
+
+def test_quality_texts(spark):
+    x = spark.createDataFrame([("5:?DI",), ("",), (None,), ("Ié",)], "q string")
+    got = x.select(s.mean_phred("q").alias("m"), s.phred_values("q").alias("v"), s.phred_text(s.phred_values("q"), "illumina_old").alias("t")).collect()
+    assert [r.m for r in got] == [sum(map(ord, "5:?DI")) / 5 - 33, None, None, (73 + 233) / 2 - 33]
+    assert [r.v for r in got] == [[20, 25, 30, 35, 40], [], None, [40, 200]]
+    assert [r.t for r in got] == ["TY^ch", "", None, "h\x08"]
