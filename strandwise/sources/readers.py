@@ -20,14 +20,15 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     meet in their order in a split, and those that a split's end parts in the order of
     splits. A head without its tail raises an error."""
     text = spark.read.option("lineSep", "\n@").text(path)
-    lines = F.split(F.rtrim(F.translate("value", "\r", ""), F.lit("\n ")), "\n")
+    lines = F.split(F.rtrim(F.replace("value", F.lit("\r"), F.lit("")), F.lit("\n ")), "\n")
     lines = F.filter(lines, lambda x, k: ~(x.startswith("#") & (k % 4 != 3)))
     at = [F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth")]
     pieces = text.select(*at, lines.alias("lines"))
     line = lambda k: F.get("lines", F.lit(k))
     header = F.when(F.col("block") == 0, F.regexp_replace(line(0), "^@", "")).otherwise(line(0))
     record = lambda header, qual: [F.regexp_extract(header, r"^(\S*)", 1).alias("read_id"), header.alias("header"), F.col("seq"), qual.alias("qual"), F.col("source")]
-    whole = pieces.where(F.size("lines") >= 4).withColumn("seq", line(1)).select(*record(header, line(3)))
+    # An explode, not a filter, which would be pushed down and the lines be cut twice.
+    whole = pieces.withColumn("lines", F.explode(F.filter(F.array("lines"), lambda x: F.size(x) >= 4))).withColumn("seq", line(1)).select(*record(header, line(3)))
     parts = pieces.where(F.size("lines") < 4).select("source", "block", "nth", (F.size("lines") > 1).alias("head"), header.alias("header"), line(0).alias("text"), line(1).alias("seq"))
     after = lambda w: {"then": F.lead("head").over(w), "tail": F.lead("text").over(w)}
     split = Window.partitionBy("source", "block").orderBy("nth")
