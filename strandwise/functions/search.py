@@ -69,15 +69,40 @@ def word_codes(letters: np.ndarray) -> np.ndarray:
     return codes
 
 
-def places(letters: np.ndarray, pattern: np.ndarray, most: int = 0, codes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def first_places(codes: np.ndarray, patterns: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+    """(row, start) of the places where the first WORD letters of each pattern fit, in one
+    pass over the codes for eight patterns; None for a pattern with fewer letters."""
+    out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(patterns)
+    long = [k for k, p in enumerate(patterns) if len(p) >= WORD]
+    for i in range(0, len(long), 8):
+        fits = np.zeros(4**WORD + 1, np.uint8)
+        for bit, k in enumerate(long[i : i + 8]):
+            right = np.ones(4**WORD, bool)
+            for j in range(WORD):
+                right &= (1 << (np.arange(4**WORD) >> 2 * (WORD - 1 - j) & 3) & patterns[k][j]) > 0
+            fits[:-1] |= right.astype(np.uint8) << bit
+        found = fits[codes]
+        row, start = np.divmod(np.flatnonzero(found), max(1, codes.shape[1]))
+        bits = found[row, start]
+        for bit, k in enumerate(long[i : i + 8]):
+            here = (bits >> bit & 1).astype(bool)
+            out[k] = (row[here], start[here])
+    return out
+
+
+def places(letters: np.ndarray, pattern: np.ndarray, most: int = 0, codes: np.ndarray | None = None, first: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, errors) of all places where at most ``most`` letters differ, by row,
     then start. Some columns are compared everywhere, the others where hope is left;
-    ``codes`` of the letters, if given, tell at once where the first WORD letters fit."""
+    ``codes`` of the letters, if given, tell at once where the first WORD letters fit,
+    and ``first`` holds such places found before."""
     m, n = letters.shape
     number, width = len(pattern), n - len(pattern) + 1
     if width <= 0 or not m:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not most and codes is not None and number >= WORD:
+    if not most and first is not None:
+        row, start = first[0][first[1] < width], first[1][first[1] < width]
+        errors, dense = np.zeros(len(row), np.int64), WORD
+    elif not most and codes is not None and number >= WORD:
         right = np.ones(4**WORD + 1, bool)
         right[-1] = False
         for k in range(WORD):

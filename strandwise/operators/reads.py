@@ -84,14 +84,17 @@ def _ends(heads: list[tuple[str, int]], tails: list[str]):
     def found(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             head, tail = [], ([], [])
+            given = column.is_valid().to_numpy(zero_copy_only=False)
             for rows, letters in search.letters_by_length(column):
+                rows, letters = rows[given[rows]], letters[given[rows]]
                 strands = (letters, search.turned(letters))
                 codes = [search.word_codes(x) for x in strands]
+                firsts = [search.first_places(c, [p for p, _, _ in before]) for c in codes]
                 any_head = np.zeros((2, len(rows)), bool)
                 for kind, (pattern, _, n) in enumerate(before):
                     parts = []
                     for side, x in enumerate(strands):
-                        row, start, _ = search.places(x, pattern, codes=codes[side])
+                        row, start, _ = search.places(x, pattern, codes=codes[side], first=firsts[side][kind])
                         row, start = row[start >= n], start[start >= n]
                         any_head[side, row] = True
                         tag = np.ascontiguousarray(x[row[:, None], start[:, None] - n + np.arange(n)]).view(f"S{n}").ravel() if n else np.zeros(len(row), "S1")
@@ -108,8 +111,10 @@ def _ends(heads: list[tuple[str, int]], tails: list[str]):
                     head.append((rows[row[new]], np.full(int(new.sum()), kind), tag[new], first[0], first[1]))
                 for side, x in enumerate(strands):
                     some = np.flatnonzero(any_head[side])
+                    texts, numbers = x[some], codes[side][some]
+                    firsts = search.first_places(numbers, behind)
                     for kind, pattern in enumerate(behind):
-                        row, start, _ = search.places(x[some], pattern, codes=codes[side][some])
+                        row, start, _ = search.places(texts, pattern, codes=numbers, first=firsts[kind])
                         if not len(pattern):  # no reverse primer: the insert goes on to the end
                             row, start = np.arange(len(some)), np.full(len(some), x.shape[1])
                         tail[side].append((rows[some[row]], np.full(len(row), kind), start))
@@ -137,7 +142,7 @@ def _matches(reads: DataFrame, patterns: list[Line]) -> DataFrame:
     sheet = spark.createDataFrame(lines, "kind int, tag string, sample string, marker string, line int, head int, tail int, tail_length int, tag_rc string")
     sheet = F.broadcast(sheet) if sum(64 + sum(len(x) for x in p) for p in patterns) <= SHEET_BYTES else sheet
     given = reads.columns
-    found = reads.where("seq is not null").withColumn("__ends", _ends(heads, tails)(F.col("seq"))).withColumn("__h", F.explode("__ends.heads"))
+    found = reads.withColumn("__ends", _ends(heads, tails)(F.col("seq"))).withColumn("__h", F.explode("__ends.heads"))
     found = found.select(*given, "__ends", "__h", F.col("__h.kind").alias("kind"), F.col("__h.tag").alias("tag")).join(sheet, ["kind", "tag"])
     turned = s.reverse_complement(F.upper("seq"))
 
@@ -145,11 +150,12 @@ def _matches(reads: DataFrame, patterns: list[Line]) -> DataFrame:
         fits = lambda t: (t["kind"] == F.col("tail")) & (t["start"] > F.col(f"__h.{side}") + F.col("head")) & ((F.col("tag_rc") == "") | (F.substr(text, t["start"] + F.col("tail_length") + 1, F.length("tag_rc")) == F.col("tag_rc")))
         return F.when(F.col(f"__h.{side}").isNotNull(), F.array_max(F.transform(F.filter(f"__ends.{side}", fits), lambda t: t["start"])))
 
-    hits = found.withColumns({"__f": stop("forward", F.upper("seq")), "__t": stop("turned", turned)}).where("__f is not null or __t is not null")
-    back = F.col("__f").isNull()
-    head = F.when(back, F.col("__h.turned")).otherwise(F.col("__h.forward"))
-    begin = head + F.col("head")
-    hits = hits.select(*given, "sample", "marker", "tag", "line", F.when(back, turned).otherwise(F.upper("seq")).alias("strand"), back.alias("turned"), (head + 1).alias("at"), (begin + 1).alias("start"), (F.coalesce("__f", "__t") - begin).alias("length"))
+    # An explode, not a filter, takes the first strand that matches: a filter would be
+    # pushed down and all that it needs be computed twice.
+    ends = F.array(*[F.struct(F.lit(side == "turned").alias("turned"), F.col(f"__h.{side}").alias("head"), stop(side, text).alias("stop")) for side, text in (("forward", F.upper("seq")), ("turned", turned))])
+    hits = found.withColumn("__m", F.explode(F.slice(F.filter(ends, lambda x: x["stop"].isNotNull()), 1, 1)))
+    back, head, begin = F.col("__m.turned"), F.col("__m.head"), F.col("__m.head") + F.col("head")
+    hits = hits.select(*given, "sample", "marker", "tag", "line", F.when(back, turned).otherwise(F.upper("seq")).alias("strand"), back.alias("turned"), (head + 1).alias("at"), (begin + 1).alias("start"), (F.col("__m.stop") - begin).alias("length"))
     if len({p[:2] for p in patterns}) < len(patterns):  # an amplicon has several lines: its first counts
         first = Window.partitionBy("read_id", "sample", "marker").orderBy("line")
         hits = hits.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
@@ -192,10 +198,11 @@ def inserts_from_hits(hits: DataFrame, reads: DataFrame) -> DataFrame:
     """From primer hits (read_id, sample, marker, side F or R, strand, start, stop):
     the insert between a forward and a reverse hit of one amplicon on one strand;
     the first such pair of a read counts."""
-    f = hits.where("side = 'F'").select("read_id", "sample", "marker", "strand", F.col("stop").alias("left"))
-    r = hits.where("side = 'R'").select("read_id", "sample", "marker", "strand", F.col("start").alias("right"))
-    both = f.join(r, ["read_id", "sample", "marker", "strand"]).where("right > left")
-    first = both.withColumn("nth", F.row_number().over(Window.partitionBy("read_id", "sample", "marker").orderBy("left", "right", "strand"))).where("nth = 1")
+    side = lambda x: F.filter("hits", lambda h: h["side"] == x)
+    pairs = F.flatten(F.transform(side("F"), lambda f: F.transform(F.filter("back", lambda b: (b["strand"] == f["strand"]) & (b["start"] > f["stop"])), lambda b: F.struct(f["stop"].alias("left"), b["start"].alias("right"), f["strand"].alias("strand")))))
+    # Dealt by read at once, so that the reads meet them where they are.
+    each = hits.repartition("read_id").groupBy("read_id", "sample", "marker").agg(F.collect_list(F.struct("side", "strand", "start", "stop")).alias("hits"))
+    first = each.withColumn("back", side("R")).select("read_id", "sample", "marker", F.explode(F.slice(F.array_sort(pairs), 1, 1)).alias("p")).select("read_id", "sample", "marker", "p.*")
     seq = F.substr("seq", F.col("left") + 1, F.col("right") - F.col("left") - 1)
     return first.join(reads.select("read_id", "seq"), "read_id").select("read_id", "sample", "marker", F.when(F.col("strand") == "-", s.reverse_complement(seq)).otherwise(seq).alias("seq"))
 

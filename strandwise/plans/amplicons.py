@@ -63,10 +63,11 @@ def hits(spark, d):
     x = view(spark, d, "inserts")
     n, total = F.length("seq"), F.length("seq") + 26
     strand = F.when(F.col("strand") == "R", "-").otherwise("+")
-    f = x.select("read_id", "sample", "marker", F.lit("F").alias("side"), strand.alias("strand"), F.when(strand == "+", 7).otherwise(total - 15).alias("start"), F.when(strand == "+", 16).otherwise(total - 6).alias("stop"))
-    b = x.select("read_id", "sample", "marker", F.lit("R").alias("side"), strand.alias("strand"), F.when(strand == "+", 17 + n).otherwise(1).alias("start"), F.when(strand == "+", total).otherwise(10).alias("stop"))
-    swap = lambda h: h.withColumn("side", F.when(F.col("strand") == "+", F.col("side")).otherwise(F.translate("side", "FR", "RF")))
-    return swap(f.unionByName(b))
+    plus = strand == "+"
+    hit = lambda side, start, stop: F.struct(side.alias("side"), strand.alias("strand"), start.alias("start"), stop.alias("stop"))
+    f = hit(F.when(plus, "F").otherwise("R"), F.when(plus, 7).otherwise(total - 15), F.when(plus, 16).otherwise(total - 6))
+    b = hit(F.when(plus, "R").otherwise("F"), F.when(plus, 17 + n).otherwise(1), F.when(plus, total).otherwise(10))
+    return x.select("read_id", "sample", "marker", F.inline(F.array(f, b)))
 
 
 @query("j02_inserts_from_hits", with_views("SELECT read_id, sample, marker, seq FROM inserts", "inserts"))
@@ -114,7 +115,7 @@ def j19(spark, d):
 
 @query("s04_compressed_amplicons", with_views("SELECT marker, sample, md5, seq, depth FROM variants", "variants"))
 def s04(spark, d):
-    x = view(spark, d, "variants")
+    x = stored(view(spark, d, "variants"))
     forward = x.select("marker", "sample", "seq", F.col("depth").alias("w"))
     twin = x.where("depth > 2").select("marker", "sample", s.reverse_complement("seq").alias("seq"), F.lit(1).cast("long").alias("w"))
     return r.fold_strands(forward.join(twin.select("marker", "sample", s.reverse_complement("seq").alias("seq"), F.col("w").alias("less")), ["marker", "sample", "seq"], "left").select("marker", "sample", "seq", (F.col("w") - F.coalesce("less", F.lit(0))).alias("w")).unionByName(twin), F.col("w"))

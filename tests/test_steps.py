@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from strandwise.functions import search
 from strandwise.functions import seq as s
-from strandwise.operators import alleles, repertoire
+from strandwise.operators import alleles, reads, repertoire
 
 
 def test_allele_sets_need_reads_once(spark):
@@ -35,8 +37,8 @@ def test_inputs_of_sequence_functions_are_computed_once(spark):
     text = F.reverse("x")
     for column in (s.translate_dna(text), s.mean_phred(text), s.print_taxonomy(s.read_taxonomy(text))):
         assert _times(x.select(column.alias("y")), "reverse(x") == 1
-    reads = spark.createDataFrame([("r", "ATGGCTTGTTGGAAATTT")], "read_id string, seq string")
-    cut = repertoire.segment_reads(reads, {"V": "..", "CDR3": "[A-Z]{2,}", "J": "[A-Z]$"})
+    given = spark.createDataFrame([("r", "ATGGCTTGTTGGAAATTT")], "read_id string, seq string")
+    cut = repertoire.segment_reads(given, {"V": "..", "CDR3": "[A-Z]{2,}", "J": "[A-Z]$"})
     assert _times(cut, "reverse(translate(seq") == 1 and cut.first()["status"] == "valid"
 
 
@@ -46,3 +48,34 @@ def test_quality_texts(spark):
     assert [r.m for r in got] == [sum(map(ord, "5:?DI")) / 5 - 33, None, None, (73 + 233) / 2 - 33]
     assert [r.v for r in got] == [[20, 25, 30, 35, 40], [], None, [40, 200]]
     assert [r.t for r in got] == ["TY^ch", "", None, "h\x08"]
+
+
+def _counted(spark, df):
+    """``df``, and an accumulator of the rows that are computed of it."""
+    passes = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            passes.add(len(b))
+            yield b
+
+    return df.mapInPandas(run, df.schema), passes
+
+
+def test_hits_and_variants_are_computed_once(spark):
+    rows = [("r", "S", "M", "F", "+", 1, 3), ("r", "S", "M", "F", "+", 2, 4), ("r", "S", "M", "R", "+", 7, 9), ("r", "S", "M", "R", "-", 6, 8)]
+    hits, passes = _counted(spark, spark.createDataFrame(rows, "read_id string, sample string, marker string, side string, strand string, start int, stop int"))
+    read = spark.createDataFrame([("r", "ACGTACGTA")], "read_id string, seq string")
+    assert [x.seq for x in reads.inserts_from_hits(hits, read).collect()] == ["TAC"] and passes.value == 4
+    variants, passes = _counted(spark, spark.createDataFrame([("v", "ACGTTGCAACGGATCAGTCA")], "md5 string, seq string"))
+    alleles_ = spark.createDataFrame([("a", "ACGTTGCAACGGATCAGTCAT")], "name string, seq string")
+    assert [x.name for x in alleles.exact_matches(variants, alleles_, 16).collect()] == ["a"] and passes.value == 1
+
+
+def test_first_places_of_all_patterns_at_once():
+    text = np.frombuffer(b"ACGTTGCAACNGGATCAGTCAACGTTGCAAC", np.uint8).reshape(1, -1)
+    patterns = [search.pattern_masks(p) for p in ("ACGTTGCAAC", "GGATCARTCA", "ACG", *["TTGCAAC"] * 9)]
+    found = search.first_places(search.word_codes(text), patterns)
+    assert found[2] is None
+    for p, f in zip(patterns, found, strict=True):
+        assert [x.tolist() for x in search.places(text, p, first=f)] == [x.tolist() for x in search.places(text, p)]
