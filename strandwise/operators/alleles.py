@@ -20,7 +20,7 @@ def exact_matches(variants: DataFrame, alleles: DataFrame, least: int, both_stra
         refs = refs.unionByName(refs.withColumn("ref", s.reverse_complement("ref")))
     words = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - word + 1), lambda i: F.substr(c, i, F.lit(word))))
     first = lambda c: F.substring(c, 1, word)
-    q = variants.select("md5", F.upper("seq").alias("q")).distinct().where(F.length("q") >= max(word, least))
+    q = stored(variants.select("md5", F.upper("seq").alias("q")).distinct().where(F.length("q") >= max(word, least)))
     r = refs.where(F.length("ref") >= max(word, least))
     inside = q.withColumn("w", first("q")).join(r.withColumn("w", F.explode(words(F.col("ref")))), "w").where(F.contains("ref", "q"))
     outside = q.withColumn("w", F.explode(words(F.col("q")))).join(r.withColumn("w", first("ref")), "w").where(F.contains("q", "ref"))

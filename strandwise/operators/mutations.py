@@ -129,7 +129,9 @@ def aligned_rows(rows: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray,
 
 
 def align_cigars(sam: DataFrame, references: DataFrame) -> DataFrame:
-    """qname, rname, q_aln, r_aln, ident of each alignment."""
+    """qname, rname, q_aln, r_aln, ident of each alignment. References, of which each row
+    gets its own, are sent to all executors: a few of them have all reads, which a shuffle
+    by reference would put into a few tasks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -137,7 +139,7 @@ def align_cigars(sam: DataFrame, references: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"qname": same["qname"], "rname": same["rname"], "q_aln": texts_of(q), "r_aln": texts_of(r), "ident": (q == r).sum(axis=1)})
 
     ref = references.select(F.col("name").alias("rname"), F.col("seq").alias("ref_seq"))
-    return sam.join(ref, "rname").select("qname", "rname", "seq", "ref_seq", "pos", "cigar").mapInPandas(run, "qname string, rname string, q_aln string, r_aln string, ident int")
+    return sam.join(F.broadcast(ref), "rname").select("qname", "rname", "seq", "ref_seq", "pos", "cigar").mapInPandas(run, "qname string, rname string, q_aln string, r_aln string, ident int")
 
 
 def _changes(same: pd.DataFrame, q: np.ndarray, r: np.ndarray, at: np.ndarray, ends: int) -> Iterator[tuple]:
