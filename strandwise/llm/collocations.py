@@ -5,7 +5,10 @@ between pieces; that no two words share a symbol is checked, else the next seed
 taken. Candidates are found level by level: phrases are counted under a hash, which
 bounds each count from above, and only where their shorter phrases pass. What
 passes goes into a bitmap of FILTER_BITS bits, of that size whatever the table:
-false hits add candidates and lose none. The candidates are dealt by a hash into
+false hits add candidates and lose none. Each hash keeps the least of its rows'
+owners, so that a candidate is written out where it is owned, not by each task that
+holds it; if two phrases share a hash, the exact counts don't add up to the hashed
+ones, and the next seed is taken. The candidates are dealt by a hash into
 shards of some TRIE_PHRASES; a task lays each shard out as a double-array trie
 over its own alphabet, which is then broadcast. Every text position is a state;
 all states advance together, level by level, and the accepting ones are counted.
@@ -19,6 +22,7 @@ empty table gives no rows; other columns aren't read, so their names are free.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +46,8 @@ HELD_KEYS = 1 << 20
 ROW_SYMBOLS = 1 << 13
 #: Such rows that a task takes at once.
 ROWS = 32
+#: Bytes of files that a task counts a trie in: it holds one number for each phrase.
+COUNT_SPLIT = "128m"
 #: Documents that a task takes at once, and bytes of a file that a task reads: the distinct
 #: keys of a task are held in the executor's memory, too.
 DOCUMENTS, SPLIT = 1000, "16m"
@@ -135,27 +141,41 @@ def _encoder(seed: int):
     return run
 
 
-def _symbols(ids: pa.Array) -> np.ndarray:
-    """The symbols of all rows of a batch, one row behind the other."""
+def _rows(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all rows of a batch, one row behind the other, and the rows' bounds."""
     if not len(ids):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     _, offsets, values = ids.buffers()
     bounds = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1]
-    return np.frombuffer(values, np.uint8)[bounds[0] : bounds[-1]].view(np.uint64)
+    return np.frombuffer(values, np.uint8)[bounds[0] : bounds[-1]].view(np.uint64), (bounds - bounds[0]) >> 3
+
+
+def _owned_rows(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of a batch and the owner of each: 16 bits from what its row holds, so
+    they are the same wherever the row is read."""
+    x, bounds = _rows(ids)
+    if not len(x):
+        return x, np.zeros(0, np.uint16)
+    owner = (mix(np.add.reduceat(x, bounds[:-1])) >> np.uint64(48)).astype(np.uint16)
+    return x, np.repeat(owner, np.diff(bounds))
 
 
 # ---- candidates ------------------------------------------------------------
 
 
-def gram_hashes(x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+def gram_hashes(x: np.ndarray, at: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """A hash of the ``n`` symbols from each place on."""
-    h = x[at]
+    h, step = x[at], _STEP + np.uint64(2 * seed)
     with np.errstate(over="ignore"):
         for k in range(1, n):
-            h = mix(h * _STEP + x[at + k] + np.uint64(k))
+            h = mix(h * step + x[at + k] + np.uint64(k))
     return h
 
 
+def _owned(keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    return keys ^ (owners.astype(np.uint64) << np.uint64(48))
+
+
 def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     slot = keys >> np.uint64(65 - (64 * len(bits)).bit_length())
     return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
@@ -171,45 +191,46 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def _pairs(x: np.ndarray) -> np.ndarray:
-    """Places of two words one behind the other."""
-    return np.flatnonzero((x[:-1] != 0) & (x[1:] != 0))
-
-
-def _marks(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(x) + LONGEST, bool)
-    out[at] = True
-    return out
-
-
-def _longer(x: np.ndarray, pairs) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(n, places, hashes) of phrases of n words, all of whose pairs pass."""
-    at = _pairs(x)
-    h = gram_hashes(x, at, 2)
-    keep = _passes(pairs.value, h)
-    at, h = at[keep], h[keep]
-    yield 2, at, h
-    good = _marks(x, at)
-    for n in range(3, LONGEST + 1):
-        at = at[good[at + n - 2]]
-        yield n, at, gram_hashes(x, at, n)
+def levels(x: np.ndarray, filters: list, seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, places, hashes) of the phrases of 2, 3, ... words, all of whose shorter phrases
+    pass; filters: the bitmaps of words, pairs, ..."""
+    at = np.flatnonzero(x)
+    h = x[at]
+    for n, bits in enumerate(filters, 2):
+        at = at[_passes(bits.value, h)]
+        good = np.zeros(len(x) + 1, bool)
+        good[at] = True
+        at = at[good[at + 1]]
+        h = gram_hashes(x, at, n, seed)
+        yield n, at, h
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the sums of their counts and the least of their owners."""
+    if not len(keys):
+        return keys, counts, owners
+    order = np.argsort(keys)
+    k = keys[order]
+    new = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    return k[new], np.add.reduceat(counts[order], new), np.minimum.reduceat(owners[order], new)
 
 
-def _counter(found):
-    """Sums of the keys that ``found`` gives for the symbols of a row: (key, n)."""
+def _counter(filters: list, seed: int):
+    """Sums and owners of the hashes of the longest phrases that the filters tell of: (key, n, owner)."""
 
     def emit(parts: list) -> Iterator[pa.RecordBatch]:
-        k, _, n = _merged(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        k, n, owner = _summed(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
         for i in range(0, len(k), OUT_ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array(k[i : i + OUT_ROWS].view(np.int64)), pa.array(n[i : i + OUT_ROWS])], ["key", "n"])
+            own = slice(i, i + OUT_ROWS)
+            yield pa.RecordBatch.from_arrays([pa.array(k[own].view(np.int64)), pa.array(n[own]), pa.array(owner[own].astype(np.int32))], ["key", "n", "owner"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            for keys in found(_symbols(batch.column(0))):
-                k, _, n = _merged(keys, np.ones(len(keys), np.int64))
-                parts.append((k, n))
-                held += len(k)
+            x, owners = _owned_rows(batch.column(0))
+            *_, (_, at, keys) = levels(x, filters, seed)
+            parts.append(_summed(keys, np.ones(len(keys), np.int64), owners[at]))
+            held += len(parts[-1][0])
             if held > HELD_KEYS:
                 yield from emit(parts)
                 parts, held = [], 0
@@ -219,31 +240,30 @@ def _counter(found):
     return run
 
 
-def _phrases(pairs, longer):
-    """Distinct (key, n, symbols) of the phrases that pass."""
+def _phrases(filters: list, owned, seed: int):
+    """Distinct (key, symbols) of the phrases that pass, from the rows that own them."""
 
-    def distinct(key: np.ndarray, n: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def distinct(key: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         if (symbols[first][inverse] != symbols).any():  # unlike phrases of one hash
-            return key, n, symbols
-        return key[first], n[first], symbols[first]
+            return key, symbols
+        return key[first], symbols[first]
 
     def emit(parts: list) -> Iterator[pa.RecordBatch]:
-        key, n, symbols = distinct(*(np.concatenate([p[k] for p in parts]) for k in range(3)))
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n), *(pa.array(np.ascontiguousarray(symbols[:, k]).view(np.int64)) for k in range(LONGEST))], ["key", "n", *_S])
+        key, symbols = distinct(*(np.concatenate([p[k] for p in parts]) for k in range(2)))
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(pa.array(np.ascontiguousarray(symbols[:, k]).view(np.int64)) for k in range(LONGEST))], ["key", *_S])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            x = _symbols(batch.column(0))
-            for n, at, h in _longer(x, pairs):
-                if n > 2:
-                    keep = _passes(longer.value, h)
-                    at, h = at[keep], h[keep]
+            x, owners = _owned_rows(batch.column(0))
+            for n, at, h in levels(x, filters, seed):
+                keep = _passes(owned.value, _owned(h, owners[at]))
+                at, h = at[keep], h[keep]
                 symbols = np.zeros((len(at), LONGEST), np.uint64)
                 for k in range(n):
                     symbols[:, k] = x[at + k]
-                parts.append(distinct(h, np.full(len(at), n), symbols))
+                parts.append(distinct(h, symbols))
                 held += len(parts[-1][0])
             if held > HELD_KEYS >> 2:
                 yield from emit(parts)
@@ -353,7 +373,7 @@ def _trie_counter(trie):
         own = pickle.loads(trie.value)
         total = np.zeros(len(own.phrases), np.int64)
         for batch in batches:
-            total += own.count(_symbols(batch.column(0)))
+            total += own.count(_rows(batch.column(0))[0])
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(own.phrases[some, k]).view(np.int64)) for k in range(LONGEST)), pa.array(total[some])], [*_S, "n"])
 
@@ -376,45 +396,44 @@ def _encoded(docs: DataFrame, lang: str, text: str) -> tuple[DataFrame, DataFram
         seed += 2
 
 
-def counted_phrases(ids: DataFrame, words: DataFrame, least: int) -> DataFrame:
-    """s1, s2, ... (zero for none), a: the exact counts of all phrases of two words or more that occur ``least`` times."""
+def candidates(ids: DataFrame, words: DataFrame, least: int, seed: int = 0) -> tuple[DataFrame, DataFrame, list]:
+    """The hashes of the phrases that occur ``least`` times (key, n, owner), the phrases
+    of such hashes (key, s1, s2, ...) from their owners, with false hits, and the bitmaps in use."""
     context = ids.sparkSession.sparkContext
+    filters, counts = [context.broadcast(_bitmap(words.where(F.col("n") >= least).select(F.col("symbol").alias("key"))))], []
+    for n in range(2, LONGEST + 1):
+        hashed = ids.mapInArrow(_counter(list(filters), seed), "key long, n long, owner int")
+        counts.append(materialise(hashed.groupBy("key").agg(F.sum("n").alias("n"), F.min("owner").alias("owner")).where(F.col("n") >= least)))
+        if n < LONGEST:
+            filters.append(context.broadcast(_bitmap(counts[-1].select("key"))))
+    keys = functools.reduce(DataFrame.unionByName, counts)
+    owned = context.broadcast(_bitmap(keys.select(F.col("key").bitwiseXOR(F.shiftleft(F.col("owner").cast("long"), 48)).alias("key"))))
+    return keys, ids.mapInArrow(_phrases(filters, owned, seed), f"key long, {_PHRASE}"), [*filters, owned]
 
-    def enough(found) -> DataFrame:
-        return materialise(ids.mapInArrow(_counter(found), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"))
-
-    often = context.broadcast(_bitmap(words.where(F.col("n") >= least).select(F.col("symbol").alias("key"))))
-
-    def pairs_of(x: np.ndarray) -> Iterator[np.ndarray]:
-        good = _passes(often.value, x) & (x != 0)
-        yield gram_hashes(x, np.flatnonzero(good[:-1] & good[1:]), 2)
-
-    pair_keys = enough(pairs_of)
-    pairs = context.broadcast(_bitmap(pair_keys))
-
-    def longer_of(x: np.ndarray) -> Iterator[np.ndarray]:
-        for n, _, h in _longer(x, pairs):
-            if n > 2:
-                yield h
-
-    long_keys = enough(longer_of)
-    longer = context.broadcast(_bitmap(long_keys))
-    phrases = ids.mapInArrow(_phrases(pairs, longer), f"key long, n long, {_PHRASE}")
-    phrases = materialise(phrases.join(pair_keys.unionByName(long_keys).distinct(), "key", "left_semi").select(*_S).distinct())
-    shards = max(1, -(-phrases.count() // TRIE_PHRASES))
-    tries = materialise(phrases.withColumn("shard", F.pmod(F.xxhash64(*_S), F.lit(shards))).groupBy("shard").applyInPandas(_built, "shard long, trie binary"))
-    out = None
-    for shard in range(shards):  # one bounded trie after the other
-        one = tries.where(F.col("shard") == shard).select("trie").head()
-        if one is None:
-            continue
-        trie = context.broadcast(bytes(one["trie"]))
-        found = materialise(ids.mapInArrow(_trie_counter(trie), f"{_PHRASE}, n long").groupBy(*_S).agg(F.sum("n").alias("a")).where(F.col("a") >= least))
-        out = found if out is None else out.unionByName(found)
-        trie.unpersist()
-    for b in (often, pairs, longer):
-        b.unpersist()
-    return out if out is not None else phrases.limit(0).withColumn("a", F.lit(0).cast("long"))
+
+def counted_phrases(ids: DataFrame, words: DataFrame, least: int) -> DataFrame:
+    """s1, s2, ... (zero for none), a: the exact counts of all phrases of two words or more that occur ``least`` times."""
+    spark, seed = ids.sparkSession, 0
+    while True:
+        keys, phrases, bitmaps = candidates(ids, words, least, seed)
+        phrases = materialise(phrases.join(keys.select("key"), "key", "left_semi").select(*_S).distinct())
+        for b in bitmaps:
+            b.unpersist()
+        shards = max(1, -(-phrases.count() // TRIE_PHRASES))
+        tries = materialise(phrases.withColumn("shard", F.pmod(F.xxhash64(*_S), F.lit(shards))).groupBy("shard").applyInPandas(_built, "shard long, trie binary"))
+        out = phrases.limit(0).withColumn("a", F.lit(0).cast("long"))
+        for shard in range(shards):  # one bounded trie after the other
+            one = tries.where(F.col("shard") == shard).select("trie").head()
+            if one is None:
+                continue
+            trie = spark.sparkContext.broadcast(bytes(one["trie"]))
+            with settings(spark, {"spark.sql.files.maxPartitionBytes": COUNT_SPLIT}):
+                out = out.unionByName(materialise(ids.mapInArrow(_trie_counter(trie), f"{_PHRASE}, n long").groupBy(*_S).agg(F.sum("n").alias("a")).where(F.col("a") >= least)))
+            trie.unpersist()
+        # Each hashed count is the sum of its phrases' counts: equal totals tell that none is missing.
+        if keys.agg(F.sum("n")).head()[0] == out.agg(F.sum("a")).head()[0]:
+            return out
+        seed += 1
 
 
 # ---- scores ----------------------------------------------------------------

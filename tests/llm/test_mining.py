@@ -80,6 +80,28 @@ def test_tries_count_as_a_search_does():
     assert collocations.Trie(phrases[:1]).count(np.zeros(0, np.uint64)).tolist() == [0]
 
 
+def test_candidates_are_written_where_they_are_owned(spark):
+    df = spark.createDataFrame(phrase_rows(4, 400), "text string, lang string").repartition(8)
+    ids, words_of = collocations._encoded(df, "lang", "text")
+    assert ids.count() >= 8
+    keys, phrases, _ = collocations.candidates(ids, words_of, 5)
+    # Most phrases lie in all eight files; each is written once all the same.
+    assert phrases.count() == phrases.distinct().count() == keys.count() > 60
+
+
+def test_phrases_of_one_hash_are_told_apart(spark):
+    a, b, c = np.random.default_rng(7).integers(1 << 40, 1 << 63, 3, np.uint64)
+    with np.errstate(over="ignore"):
+        d = c + (a - b) * collocations._STEP
+    one, other = (np.array([*p, 0] * 6, np.uint64) for p in ((a, c), (b, d)))
+    assert collocations.gram_hashes(one, np.array([0]), 2) == collocations.gram_hashes(other, np.array([0]), 2)
+    ids = spark.createDataFrame([(bytearray(x.tobytes()),) for x in (one, other)], "ids binary").repartition(2)
+    signed = np.array([a, c, b, d], np.uint64).view(np.int64).tolist()
+    words_of = spark.createDataFrame([(s, "en", f"w{s}", 6) for s in signed], "symbol long, lang string, word string, n long")
+    got = collocations.counted_phrases(ids, words_of, 5).collect()
+    assert sorted((r.s1, r.s2, r.s3, r.s4, r.a) for r in got) == sorted([(signed[0], signed[1], 0, 0, 6), (signed[2], signed[3], 0, 0, 6)])
+
+
 def test_scores_beyond_64_bits(spark):
     a = 10**13
     words_of = spark.createDataFrame([(1, "en", "x", 3 * a), (2, "en", "y", 2 * a + 1)], "symbol long, lang string, word string, n long")
