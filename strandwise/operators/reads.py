@@ -8,13 +8,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import search
 from ..functions import seq as s
-from ..functions.align import rows_of, texts_of
+from ..functions.align import texts_of
 from .ranking import first_rows
 
 
@@ -236,30 +237,67 @@ def join_mates(left: DataFrame, right: DataFrame, reverse: bool = True) -> DataF
     return left.join(r, "read_id").select("read_id", F.concat("seq", seq2).alias("seq"), F.concat("qual", qual2).alias("qual"))
 
 
+#: Complements of letters in either case.
+_TURNED = np.arange(256, dtype=np.uint8)
+_TURNED[list((s.IUPAC + s.IUPAC.lower()).encode())] = list((s.COMPLEMENT + s.COMPLEMENT.lower()).encode())
+
+
+def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of all texts, a byte each, and the texts' bounds."""
+    if not pc.all(pc.string_is_ascii(column), min_count=0).as_py():
+        column = pa.array([x.encode("latin-1") for x in column.to_pylist()], pa.large_binary())
+    _, offsets, values = column.cast(pa.large_binary()).buffers()
+    bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    return np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8), bounds
+
+
+def _texts(columns: np.ndarray) -> pa.Array:
+    """The texts whose letters stand below each other."""
+    rows = np.ascontiguousarray(columns.T)
+    if rows.size and rows.max() > 127:
+        return pa.array(texts_of(rows))
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.StringArray.from_buffers(len(rows), pa.py_buffer(offsets), pa.py_buffer(rows))
+
+
 def merge_mates(left: DataFrame, right: DataFrame, shortest: int = 10, longest: int = 200, max_mismatch: float = 0.25) -> DataFrame:
     """One read from overlapping mates: the overlap with the lowest share of
     mismatches (the longest, if equal); in it the base of higher quality."""
+    names = ["read_id", "seq", "qual", "overlap"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            out = [pd.DataFrame({c: pd.Series([], dtype=str) for c in ("read_id", "seq", "qual")} | {"overlap": pd.Series([], dtype="int32")})]
-            for (la, lb), same in rows.groupby([rows["seq"].str.len(), rows["seq2"].str.len()], sort=False):
-                a, qa, b, qb = (rows_of(same[c].tolist()) for c in ("seq", "qual", "seq2", "qual2"))
-                share, best = np.full(len(same), np.inf), np.zeros(len(same), np.int64)
-                for n in range(min(longest, la, lb), shortest - 1, -1):
-                    wrong = (a[:, la - n :] != b[:, :n]).sum(axis=1) / n
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.column(1).null_count or batch.column(3).null_count:  # not before: a filter would be pushed down
+                batch = batch.filter(pc.and_(batch.column(1).is_valid(), batch.column(3).is_valid()))
+            texts = [_letters(c) for c in batch.columns[1:]]
+            (la, qla, lb, qlb), out = (np.diff(bounds) for _, bounds in texts), []
+            if (la != qla).any() or (lb != qlb).any():
+                raise ValueError("a read and its qualities differ in length")
+            for pair in np.unique(la << 32 | lb).tolist():
+                na, nb = pair >> 32, pair & 0xFFFFFFFF
+                rows = np.flatnonzero((la == na) & (lb == nb))
+                # A column for each pair of mates: sums go over whole rows of numbers.
+                a, qa, b, qb = (data[bounds[rows] + np.arange(n)[:, None]] for (data, bounds), n in zip(texts, (na, na, nb, nb), strict=True))
+                b, qb = _TURNED[b[::-1]], qb[::-1]
+                share, best = np.full(len(rows), np.inf), np.zeros(len(rows), np.int64)
+                for n in range(min(longest, na, nb), shortest - 1, -1):
+                    wrong = (a[na - n :] != b[:n]).view(np.uint8).sum(axis=0, dtype=np.uint8 if n < 256 else np.int64) / n
                     better = (wrong <= max_mismatch) & (wrong < share)
                     share[better], best[better] = wrong[better], n
+                    if not share.any():  # no shorter overlap is better than none wrong
+                        break
                 for n in np.unique(best[best > 0]).tolist():
                     at = np.flatnonzero(best == n)
-                    left = qa[at, la - n :] >= qb[at, :n]
-                    seq = np.hstack([a[at, : la - n], np.where(left, a[at, la - n :], b[at, :n]), b[at, n:]])
-                    qual = np.hstack([qa[at, : la - n], np.maximum(qa[at, la - n :], qb[at, :n]), qb[at, n:]])
-                    out.append(pd.DataFrame({"read_id": same["read_id"].to_numpy()[at], "seq": texts_of(seq), "qual": texts_of(qual), "overlap": n}))
-            yield pd.concat(out)
-
-    r = right.select("read_id", s.reverse_complement("seq").alias("seq2"), F.reverse("qual").alias("qual2"))
-    return left.select("read_id", "seq", "qual").join(r, "read_id").mapInPandas(run, "read_id string, seq string, qual string, overlap int")
+                    ours, theirs, q, p = a[na - n :, at], b[:n, at], qa[na - n :, at], qb[:n, at]
+                    seq = np.concatenate([a[: na - n, at], np.where(q >= p, ours, theirs), b[n:, at]])
+                    qual = np.concatenate([qa[: na - n, at], np.maximum(q, p), qb[n:, at]])
+                    out.append(pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows[at])), _texts(seq), _texts(qual), pa.array(np.full(len(at), n, np.int32))], names))
+            if out:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+
+    key = left.schema["read_id"].dataType.simpleString()
+    r = right.select("read_id", F.col("seq").alias("seq2"), F.col("qual").alias("qual2"))
+    return left.select("read_id", "seq", "qual").join(r, "read_id").mapInArrow(run, f"read_id {key}, seq string, qual string, overlap int")
 
 
 def fold_strands(inserts: DataFrame, weight: Column) -> DataFrame:

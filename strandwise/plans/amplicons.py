@@ -100,14 +100,14 @@ def f04p(spark, d):
 
 @query("j18_join_mates", with_views("SELECT read_id, concat(seq, reverse(translate(substr(seq, 41), 'ACGT', 'TGCA'))) AS seq, concat(qual, reverse(substr(qual, 41))) AS qual FROM reads", "reads"))
 def j18(spark, d):
-    x = view(spark, d, "reads").select("read_id", "seq", "qual")
+    x = view(spark, d, "reads").select("read_id", "seq", "qual").repartition("read_id")  # both mates come from one pass
     return r.join_mates(x, x.select("read_id", F.substr("seq", F.lit(41)).alias("seq"), F.substr("qual", F.lit(41)).alias("qual")))
 
 
 @query("j19_merge_mates", with_views("SELECT read_id, seq, qual FROM reads", "reads"))
 def j19(spark, d):
     """Mates that share 29 or 30 bases, by the length of the read."""
-    x = view(spark, d, "reads").select("read_id", "seq", "qual")
+    x = view(spark, d, "reads").select("read_id", "seq", "qual").repartition("read_id")  # both mates come from one pass
     left = x.select("read_id", F.substring("seq", 1, 60).alias("seq"), F.substring("qual", 1, 60).alias("qual"))
     right = x.select("read_id", s.reverse_complement(F.substr("seq", F.lit(31))).alias("seq"), F.reverse(F.substr("qual", F.lit(31))).alias("qual"))
     return r.merge_mates(left, right, 25, 40, 0).select("read_id", "seq", "qual")

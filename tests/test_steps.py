@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from strandwise import plans
 from strandwise.functions import search
 from strandwise.functions import seq as s
 from strandwise.operators import alleles, reads, repertoire
@@ -79,3 +83,48 @@ def test_first_places_of_all_patterns_at_once():
     assert found[2] is None
     for p, f in zip(patterns, found, strict=True):
         assert [x.tolist() for x in search.places(text, p, first=f)] == [x.tolist() for x in search.places(text, p)]
+
+
+@pytest.mark.parametrize("name", ["j18_join_mates", "j19_merge_mates"])
+def test_both_mates_come_from_one_pass(spark, name):
+    found = plans.QUERIES[name](spark, "/root/testdata/sf0.001")
+    rows = found.collect()
+    assert len(rows) > 5000 and "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def _merged(a, qa, b, qb, shortest, longest, most):
+    """Mates (the second turned to the first's strand) as one read, overlap by overlap."""
+    best = None
+    for n in range(min(longest, len(a), len(b)), shortest - 1, -1):
+        share = sum(x != y for x, y in zip(a[-n:], b[:n], strict=True)) / n
+        if share <= most and (best is None or share < best[0]):
+            best = share, n
+    if best:
+        n = best[1]
+        pairs = list(zip(a[-n:], qa[-n:], b[:n], qb[:n], strict=True))
+        return a[:-n] + "".join(x if p >= q else y for x, p, y, q in pairs) + b[n:], qa[:-n] + "".join(max(p, q) for _, p, _, q in pairs) + qb[n:], n
+
+
+def test_merged_mates_equal_a_plain_search(spark):
+    r, turn = random.Random(3), str.maketrans("ACGTRYacgtryN", "TGCAYRtgcayrN")
+    left, right, want = [], [], {most: [] for most in (0, 0.25)}
+    for i in range(300):
+        whole = "".join(r.choice("ACGTacgtRYN" if i % 3 else "ACé") for _ in range(r.randint(20, 40)))
+        a, b = whole[: r.randint(10, 20)], list(whole[-r.randint(10, 22) :])
+        for _ in range(r.randint(0, 2)):
+            b[r.randrange(len(b))] = r.choice("ACGT")
+        b = "".join(b)
+        qa, qb = ("".join(r.choice("5?DI") for _ in x) for x in (a, b))
+        left.append((f"r{i}", a, qa))
+        right.append((f"r{i}", b[::-1].translate(turn), qb[::-1]))
+        for most, rows in want.items():
+            if got := _merged(a, qa, b, qb, 3, 15, most):
+                rows.append((f"r{i}", *got))
+    left += [("none", None, None), ("one", "ACGT", "IIII"), ("empty", "", "")]
+    right += [("none", "ACGT", "IIII"), ("one", None, None), ("empty", "", "")]
+    one, other = (spark.createDataFrame(x, "read_id string, seq string, qual string") for x in (left, right))
+    for most, rows in want.items():
+        assert len(rows) > 50
+        assert sorted(tuple(x) for x in reads.merge_mates(one, other, 3, 15, most).collect()) == sorted(rows)
+    with pytest.raises(Exception, match="differ in length"):
+        reads.merge_mates(one.withColumn("qual", F.lit("I")), other).collect()
