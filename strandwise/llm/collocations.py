@@ -40,8 +40,8 @@ HELD_PERCENT = 80
 SCALE = 2_000_000
 FILTER_BITS = 26
 TRIE_PHRASES = 1 << 18
-#: Distinct keys that a task holds before it hands them on.
-HELD_KEYS = 1 << 20
+#: Keys that a task holds before it hands them on: most tasks hand on once.
+HELD_KEYS = 1 << 21
 #: Symbols of a row of the encoded table. Parquet buffers a hundred rows before it looks at their size.
 ROW_SYMBOLS = 1 << 13
 #: Such rows that a task takes at once.
@@ -93,6 +93,17 @@ def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return k[new], order[new], np.add.reduceat(counts[order], new) if len(new) else counts[:0]
 
 
+def _slices(parts: list) -> Iterator[list]:
+    """The parts, whose keys come first and ascend, cut by the keys' top bits: what is
+    put together at once is a sixteenth of all that is held."""
+    edges = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
+    cuts = [[0, *np.searchsorted(p[0], edges).tolist(), len(p[0])] for p in parts]
+    for k in range(16):
+        own = [[column[at[k] : at[k + 1]] for column in p] for p, at in zip(parts, cuts, strict=True) if at[k] < at[k + 1]]
+        if own:
+            yield own
+
+
 _ENCODED = pa.schema([("ids", pa.binary()), ("symbol", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
 
@@ -100,12 +111,13 @@ def _encoder(seed: int):
     """(text, lang) to rows of symbols (ids) and rows of words with their counts."""
 
     def words(parts: list) -> Iterator[pa.RecordBatch]:
-        symbol, first, n = _merged(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        langs, names = (pa.concat_arrays([p[k] for p in parts]) for k in (2, 3))
-        for i in range(0, len(symbol), OUT_ROWS):
-            at = pa.array(first[i : i + OUT_ROWS])
-            lang, word = langs.take(at), names.take(at)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(symbol[i : i + OUT_ROWS].view(np.int64)), lang, word, pa.array(n[i : i + OUT_ROWS])], schema=_ENCODED)
+        for own in _slices(parts):
+            symbol, first, n = _merged(np.concatenate([p[0] for p in own]), np.concatenate([p[1] for p in own]))
+            langs, names = (pa.concat_arrays([p[k] for p in own]) for k in (2, 3))
+            for i in range(0, len(symbol), OUT_ROWS):
+                at = pa.array(first[i : i + OUT_ROWS])
+                lang, word = langs.take(at), names.take(at)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(symbol[i : i + OUT_ROWS].view(np.int64)), lang, word, pa.array(n[i : i + OUT_ROWS])], schema=_ENCODED)
 
     def rows_of(x: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Rows that end with a piece, so that no phrase is cut."""
@@ -219,10 +231,11 @@ def _counter(filters: list, seed: int):
     """Sums and owners of the hashes of the longest phrases that the filters tell of: (key, n, owner)."""
 
     def emit(parts: list) -> Iterator[pa.RecordBatch]:
-        k, n, owner = _summed(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
-        for i in range(0, len(k), OUT_ROWS):
-            own = slice(i, i + OUT_ROWS)
-            yield pa.RecordBatch.from_arrays([pa.array(k[own].view(np.int64)), pa.array(n[own]), pa.array(owner[own].astype(np.int32))], ["key", "n", "owner"])
+        for part in _slices(parts):
+            k, n, owner = _summed(*(np.concatenate([p[i] for p in part]) for i in range(3)))
+            for i in range(0, len(k), OUT_ROWS):
+                own = slice(i, i + OUT_ROWS)
+                yield pa.RecordBatch.from_arrays([pa.array(k[own].view(np.int64)), pa.array(n[own]), pa.array(owner[own].astype(np.int32))], ["key", "n", "owner"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -265,7 +278,7 @@ def _phrases(filters: list, owned, seed: int):
                     symbols[:, k] = x[at + k]
                 parts.append(distinct(h, symbols))
                 held += len(parts[-1][0])
-            if held > HELD_KEYS >> 2:
+            if held > HELD_KEYS >> 3:
                 yield from emit(parts)
                 parts, held = [], 0
         if held:
@@ -396,6 +409,14 @@ def _encoded(docs: DataFrame, lang: str, text: str) -> tuple[DataFrame, DataFram
         seed += 2
 
 
+def summed_hashes(hashed: DataFrame) -> DataFrame:
+    """``hashed`` (key, n, owner) with one row for each key. Tasks have summed what they hold, and few
+    keys come from one task twice: rows are dealt by key before they are summed, as a sum
+    ahead of that would hold all keys of a split in the executor's memory."""
+    parts = 2 * int(hashed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return hashed.repartition(parts, "key").groupBy("key").agg(F.sum("n").alias("n"), F.min("owner").alias("owner"))
+
+
 def candidates(ids: DataFrame, words: DataFrame, least: int, seed: int = 0) -> tuple[DataFrame, DataFrame, list]:
     """The hashes of the phrases that occur ``least`` times (key, n, owner), the phrases
     of such hashes (key, s1, s2, ...) from their owners, with false hits, and the bitmaps in use."""
@@ -403,7 +424,7 @@ def candidates(ids: DataFrame, words: DataFrame, least: int, seed: int = 0) -> t
     filters, counts = [context.broadcast(_bitmap(words.where(F.col("n") >= least).select(F.col("symbol").alias("key"))))], []
     for n in range(2, LONGEST + 1):
         hashed = ids.mapInArrow(_counter(list(filters), seed), "key long, n long, owner int")
-        counts.append(materialise(hashed.groupBy("key").agg(F.sum("n").alias("n"), F.min("owner").alias("owner")).where(F.col("n") >= least)))
+        counts.append(materialise(summed_hashes(hashed).where(F.col("n") >= least)))
         if n < LONGEST:
             filters.append(context.broadcast(_bitmap(counts[-1].select("key"))))
     keys = functools.reduce(DataFrame.unionByName, counts)

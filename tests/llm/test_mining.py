@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from strandwise.llm import centroids, collocations, languages
@@ -89,6 +91,48 @@ def test_candidates_are_written_where_they_are_owned(spark):
     assert phrases.count() == phrases.distinct().count() == keys.count() > 60
 
 
+def test_hashes_are_summed_where_they_were_dealt_to(spark):
+    # A sum ahead of the exchange holds all keys of a split in the executor's memory.
+    df = spark.createDataFrame(phrase_rows(4, 400), "text string, lang string").repartition(8)
+    ids, words_of = collocations._encoded(df, "lang", "text")
+    every = spark.sparkContext.broadcast(np.full(1 << (collocations.FILTER_BITS - 6), np.uint64((1 << 64) - 1)))
+    hashed = ids.mapInArrow(collocations._counter([every], 0), "key long, n long, owner int")
+    summed = collocations.summed_hashes(hashed)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange", 1)
+    assert "HashAggregate" in above and "HashAggregate" not in below and "MapInArrow" in below
+    want = {}
+    for r in hashed.collect():
+        n, owner = want.get(r.key, (0, r.owner))
+        want[r.key] = (n + r.n, min(owner, r.owner))
+    assert {r.key: (r.n, r.owner) for r in summed.collect()} == want
+
+
+def test_workers_hand_on_in_slices():
+    """What a worker needs beside the keys that it holds is a part of them."""
+
+    class Every:
+        value = np.full(1 << (collocations.FILTER_BITS - 6), np.uint64((1 << 64) - 1))
+
+    def batches():
+        r = np.random.default_rng(8)
+        for _ in range(4):
+            x = r.integers(1, 1 << 63, 1 << 17, np.uint64)
+            x[-1] = 0
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["ids"])
+
+    keys, before = 0, np.uint64(0)
+    tracemalloc.start()
+    for batch in collocations._counter([Every], 0)(batches()):
+        k = batch.column(0).to_numpy().view(np.uint64)
+        assert k[0] > before and (k[1:] > k[:-1]).all()
+        keys, before = keys + len(k), k[-1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert keys == 4 * ((1 << 17) - 2)
+    assert peak < 60 * keys, peak / keys  # a key with count and owner takes 18 bytes
+
+
 def test_phrases_of_one_hash_are_told_apart(spark):
     a, b, c = np.random.default_rng(7).integers(1 << 40, 1 << 63, 3, np.uint64)
     with np.errstate(over="ignore"):
